@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, secrets
-from .base import table
+from . import decontaminate, langid, quality, secrets, toxicity
+from .base import fold, table
+
+def held_out() -> Column:
+    return (fold(F.col("doc_id")) == 0).alias("held_out")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~held_out()))
+    return langid.identify(docs, model, keep=(F.col("doc_id"), held_out()))
+
+
+def op3_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs.where(~held_out()), table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, F.col("doc_id"), held_out())
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +29,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(docs, owner="source", repo=F.concat_ws("/", "source", "lang")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs.where(~held_out()), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, F.col("doc_id"), held_out())
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.with_verdict(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -21,7 +42,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_language_id": op1_language_id,
+        "op3_quality_nbsvm": op3_quality_nbsvm,
         "op4_secret_scan": op4_secret_scan,
+        "op8_toxicity": op8_toxicity,
         "op9_decontaminate": op9_decontaminate,
     }
 
