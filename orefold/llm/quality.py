@@ -43,10 +43,7 @@ def _classes() -> np.ndarray:
 
 @lru_cache(1)
 def _powers() -> np.ndarray:
-    out = np.ones(1 << 12, _U)
-    for i in range(1, len(out)):
-        out[i] = out[i - 1] * _P
-    return out
+    return np.array([pow(int(_P), i, 1 << 64) for i in range(1 << 12)], _U)
 
 
 def cells(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, quality, secrets, toxicity
+from . import decontaminate, jaccard, langid, quality, secrets, toxicity
 from .base import fold, table
 
 def held_out() -> Column:
@@ -29,6 +29,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(docs, owner="source", repo=F.concat_ws("/", "source", "lang")))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.cluster(table(spark, sf_dir, "documents"), size=4, share=85)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs.where(~held_out()), table(spark, sf_dir, "labels"))
@@ -45,6 +49,7 @@ def queries() -> dict:
         "op1_language_id": op1_language_id,
         "op3_quality_nbsvm": op3_quality_nbsvm,
         "op4_secret_scan": op4_secret_scan,
+        "op6_jaccard_join": op6_jaccard_join,
         "op8_toxicity": op8_toxicity,
         "op9_decontaminate": op9_decontaminate,
     }
