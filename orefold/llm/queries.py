@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, quality, secrets, toxicity
+from . import decontaminate, htmltext, jaccard, langid, neardup, quality, secrets, toxicity
 from .base import fold, table
 
 def held_out() -> Column:
@@ -33,6 +33,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.cluster(table(spark, sf_dir, "documents"), size=4, share=85)
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.train(pages), F.col("page_id"), F.col("url"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs.where(~held_out()), table(spark, sf_dir, "labels"))
@@ -44,14 +49,20 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.with_verdict(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
         "op3_quality_nbsvm": op3_quality_nbsvm,
         "op4_secret_scan": op4_secret_scan,
         "op6_jaccard_join": op6_jaccard_join,
+        "op7_main_text": op7_main_text,
         "op8_toxicity": op8_toxicity,
         "op9_decontaminate": op9_decontaminate,
+        "op10_embedding_neardup": op10_embedding_neardup,
     }
 
 
@@ -122,7 +133,31 @@ FROM d LEFT JOIN j USING (doc_id) GROUP BY d.doc_id
 """
 
 
+OP7_SQL = r"""
+WITH a AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS body FROM pages),
+b AS (SELECT page_id, url, list_transform(string_split_regex(body, '</?(?:h1|p)>'),
+  lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]+>', ' ', 'g'),
+    '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS parts FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""
+
+OP10_SQL = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL),
+ok AS (SELECT * FROM e WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(v, lambda x: x * x)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (WITH RECURSIVE r(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM r JOIN link l ON r.b = l.a) SELECT a, min(b) AS b FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT m.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(m.vec_id, coalesce(r.b, m.vec_id)) AS component_id,
+  m.vec_id = least(m.vec_id, coalesce(r.b, m.vec_id)) AS kept
+FROM embeddings m LEFT JOIN n ON n.a = m.vec_id LEFT JOIN reach r ON r.a = m.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_main_text": OP7_SQL,
+        "op10_embedding_neardup": OP10_SQL,
         "op4_secret_scan": OP4_SQL,
         "op9_decontaminate": OP9_SQL}
