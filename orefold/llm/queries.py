@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, jaccard, langid, neardup, quality, secrets, toxicity
+from . import decontaminate, htmltext, jaccard, langid, neardup, pieces, quality, secrets, toxicity
 from .base import fold, table
 
 def held_out() -> Column:
@@ -29,6 +29,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(docs, owner="source", repo=F.concat_ws("/", "source", "lang")))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text, decodes it again, and says whether the text came back."""
+    vocabulary = pieces.load()
+    text_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary, F.col("doc_id"), text_hash)
+    both = pieces.decode(encoded, vocabulary)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), (F.xxhash64("decoded") == F.col("text_hash")).alias("exact"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.cluster(table(spark, sf_dir, "documents"), size=4, share=85)
 
@@ -53,11 +62,19 @@ def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
+        "pipeline": pipeline,
         "op1_language_id": op1_language_id,
         "op3_quality_nbsvm": op3_quality_nbsvm,
         "op4_secret_scan": op4_secret_scan,
+        "op5_sentencepiece": op5_sentencepiece,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_main_text": op7_main_text,
         "op8_toxicity": op8_toxicity,
