@@ -86,11 +86,11 @@ def _flag(kind: str, severity: Column) -> Column:
 def flags(rows: DataFrame) -> DataFrame:
     """A row per fact row and rule broken. ``rows`` has metric_value, the rule's columns and ``b``, a baseline or NULL."""
     v = F.col("metric_value")
-    low, high = S.fence(F.col("b.p25_value"), F.col("b.p75_value"), F.col("fence"))
+    low, high = (F.round(x, 9) for x in S.fence(F.col("b.p25_value"), F.col("b.p75_value"), F.col("fence")))  # not apart by a last bit
     z = F.abs(S.modified_z(v, F.col("b.median_value"), F.col("b.mad_value")))
     width = high - low
     outside = (v < low) | (v > high)
-    far = (v < low - width) | (v > high + width)
+    far = (v < F.round(low - width, 9)) | (v > F.round(high + width, 9))
     all_flags = F.array(
         _flag("negative_value", F.when(F.col("non_negative") & (v < 0), "critical")),
         _flag("range_violation", F.when((v < F.col("abs_min")) | (v > F.col("abs_max")), "critical")),

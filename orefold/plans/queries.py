@@ -177,14 +177,14 @@ def _flags(spark, sf):
 
 FLAGS_SQL = f"""{GRAINS_SQL}, base AS (SELECT g.*, m.mad_value FROM grains g JOIN mads m ON g.assessment_family = m.assessment_family AND g.metric_name = m.metric_name AND g.grain = m.grain
   AND g.team_group_id IS NOT DISTINCT FROM m.team_group_id AND g.test_type IS NOT DISTINCT FROM m.test_type),
-picked AS (SELECT f.*, b.median_value, b.mad_value, b.p25_value - (b.p75_value - b.p25_value) * 0.5 AS low, b.p75_value + (b.p75_value - b.p25_value) * 0.5 AS high FROM fact f JOIN base b
+picked AS (SELECT f.*, b.median_value, b.mad_value, round(b.p25_value - (b.p75_value - b.p25_value) * 0.5, 9) AS low, round(b.p75_value + (b.p75_value - b.p25_value) * 0.5, 9) AS high FROM fact f JOIN base b
   ON f.assessment_family = b.assessment_family AND f.metric_name = b.metric_name AND (b.grain < 2 OR f.team_group_id = b.team_group_id) AND (b.grain % 2 = 0 OR f.test_type = b.test_type)
   QUALIFY row_number() OVER (PARTITION BY f.test_id, f.rep_number, f.metric_name ORDER BY b.grain DESC) = 1),
 flagged AS (
   SELECT *, 'range_violation' AS flag_type, 'critical' AS severity FROM picked WHERE metric_value < 0 OR (metric_name = 'quantity' AND metric_value > 49)
   UNION ALL SELECT *, 'outlier_modified_zscore', CASE WHEN abs(0.6745 * (metric_value - median_value) / mad_value) >= 1.4 THEN 'critical' ELSE 'warning' END FROM picked
     WHERE mad_value >= 1.0 AND abs(0.6745 * (metric_value - median_value) / mad_value) >= 1.2
-  UNION ALL SELECT *, 'outlier_iqr', CASE WHEN metric_value < low - (high - low) OR metric_value > high + (high - low) THEN 'critical' ELSE 'warning' END FROM picked WHERE metric_value < low OR metric_value > high)"""
+  UNION ALL SELECT *, 'outlier_iqr', CASE WHEN metric_value < round(low - (high - low), 9) OR metric_value > round(high + (high - low), 9) THEN 'critical' ELSE 'warning' END FROM picked WHERE metric_value < low OR metric_value > high)"""
 
 
 @query(f"WITH {FLAGS_SQL} SELECT test_id, rep_number, metric_name, flag_type, severity FROM flagged")
