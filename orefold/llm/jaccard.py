@@ -7,12 +7,14 @@ T(m, n) = ceil(share (m + n) / (100 + share)). The search has these steps, all a
 1. A pass over the texts gives each document's class, and the n-grams that several documents of a task share. The
    most frequent of these over the corpus (at most ``HOT``) are broadcast. They only decide the order of
    n-grams within a set, rare before frequent; any order gives the same links.
-2. A pass gives each class's prefix, its n - T + 1 first n-grams for the least possible T. Two linked classes share an
-   n-gram there. These are the short inverted lists; grouping by n-gram merges them. Lists with one class fall out, and
-   so do entries that by their place in the set can't reach T with any other in their list.
-3. Each list has a pivot, the class of least hash in it. Lists with one pivot form a search group; copies of one text with
-   some words changed share their pivot, so they meet in one group and not in each of their lists.
-   Large groups are cut in chunks, and every pair of chunks is a task of its own, so a task's rows are bounded.
+2. A pass gives each class's prefix, its n - T + 1 first n-grams for the least possible T. Two linked classes share
+   k >= T(m, n) - ceil(share max(m, n) / 100) + 1 n-grams of their prefixes, one at least. The prefixes are the inverted lists;
+   lists with one class fall out.
+3. T-occurrence over these lists, as DivideSkip divides them: pairs are only made in short lists (at most ``SHORT``
+   classes) and counted; a pair stays if its count and the number of its long lists (the lesser of both) reach k. What hangs
+   together by such pairs is a search group. A pair that meets in long lists alone is found in the groups of these: the
+   classes of long lists that could reach k there, grouped by the list's pivot, its class of least hash. Large
+   groups are cut in chunks, and every pair of chunks is a task of its own, so a task's rows are bounded.
 4. In each group the sets are indexed and every class is a query: DivideSkip merges the short lists of its n-grams in
    sorted order, keeps those seen T - L times, and binary-searches them for the n-grams of the L longest lists. Classes already
    connected aren't compared again; a group gives a spanning forest of its links.
@@ -42,6 +44,7 @@ from .base import as_bytes, slices, staged
 from .graph import components
 
 HOT = 1 << 18
+SHORT = 64
 LEAST_CHUNK, MOST_CHUNK = 128, 4096
 _U = np.uint64
 
@@ -108,7 +111,7 @@ def classes(docs: DataFrame, doc_col: str, text_col: str, size: int) -> DataFram
                     held += len(g)
             ids = batch.column("doc_id")
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), ids, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())], names=names)
-            if held > 4_000_000:
+            if held > 2_000_000:
                 yield repeated(ids.type)
                 seen, held = [], 0
                 met.clear()
@@ -244,7 +247,7 @@ def search(keys: list[int], sets: list[np.ndarray], share: int, side: list[int]
 
 
 def groups_search(rows: DataFrame, share: int) -> DataFrame:
-    """``pivot, one, two, class, side, grams``, dealt by the first three and sorted: links a, b."""
+    """``kind, pivot, one, two, class, side, grams``, dealt by the first four and sorted: links a, b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -256,16 +259,16 @@ def groups_search(rows: DataFrame, share: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("pivot", "one", "two", "class", "side", "grams")]
-            for p, i, j, key, side, data in zip(*cols, strict=True):
-                if (p, i, j) != now:
+            cols = [batch.column(c).to_pylist() for c in ("kind", "pivot", "one", "two", "class", "side", "grams")]
+            for *group, key, side, data in zip(*cols, strict=True):
+                if group != now:
                     yield from close()
-                    now, held = (p, i, j), []
+                    now, held = group, []
                 held.append((key, np.frombuffer(data, _U), side))
         yield from close()
 
-    dealt = rows.repartition("pivot", "one", "two").sortWithinPartitions("pivot", "one", "two", "class")
-    return dealt.select("pivot", "one", "two", "class", "side", "grams").mapInArrow(run, "a bigint, b bigint")
+    dealt = rows.repartition("kind", "pivot", "one", "two").sortWithinPartitions("kind", "pivot", "one", "two", "class")
+    return dealt.select("kind", "pivot", "one", "two", "class", "side", "grams").mapInArrow(run, "a bigint, b bigint")
 
 
 def links(docs: DataFrame, table: DataFrame, *, doc_col: str, text_col: str, size: int, share: int) -> DataFrame:
@@ -278,19 +281,14 @@ def links(docs: DataFrame, table: DataFrame, *, doc_col: str, text_col: str, siz
 
     every = entries(docs, text_col, size, share, shared_hot, None).select("gram", "class")
     lists = every.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    few = staged(_filtered(docs, text_col, size, share, shared_hot, lists), "entries")
-
-    need = lambda m, n: F.ceil((m + n) * share / F.lit(100.0 + share) - 1e-9)
-    n, place = F.col("n"), F.col("place")
-    leads = place <= n - need(n, n)  # can be the smaller or equal one of a pair
-    per = few.groupBy("gram").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.min(F.when(leads, n)).alias("least"), F.min(F.struct(F.xxhash64("class").alias("by"), F.col("class").alias("pivot"))).alias("p")
-    ).where("low <> high and least is not null").select("gram", "least", "p.pivot")
-    smallest = F.greatest(F.col("least"), F.ceil(n * share / F.lit(100.0) - 1e-9))
-    able = few.join(per, "gram").where(leads | ((smallest <= n) & (need(n, smallest) <= n - place)))
-    members = staged(able.select("pivot", "class", "n").distinct(), "members")
-    counts = members.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1")
-    members = staged(members.join(counts, "pivot"), "members")
+    few = staged(_filtered(docs, text_col, size, share, shared_hot, lists).select("gram", "class", "n").distinct(), "entries")
+    per = few.groupBy("gram").agg(F.count("*").alias("classes"), F.min("n").alias("least"), F.max("n").alias("most"), F.min(F.struct(F.xxhash64("class").alias("by"), F.col("class").alias("pivot"))).alias("p"))
+    known = staged(few.join(per.where("classes > 1").select("gram", "classes", "least", "most", "p.pivot"), "gram"), "lists")
+    many = known.where(F.col("classes") > SHORT).groupBy("class").agg(F.count("*").alias("long"))
+    known = known.join(many, "class", "left").withColumn("long", F.coalesce("long", F.lit(0)))
+    members = staged(_near(known, share).unionByName(_among_long(known, share)), "members")
+    counts = members.groupBy("kind", "pivot").agg(F.count("*").alias("size")).where("size > 1")
+    members = staged(members.join(counts, ["kind", "pivot"]), "members")
 
     rep = table.where("kind = 0 and n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     ids = rep.join(members.select("class").distinct(), "class", "left_semi")
@@ -301,11 +299,39 @@ def links(docs: DataFrame, table: DataFrame, *, doc_col: str, text_col: str, siz
         members.withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
         .withColumn("side", F.pmod(F.xxhash64("class", F.lit(5)), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("pivot", "class", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
+        .select("kind", "pivot", "class", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
     )
     return groups_search(cut.join(sets, "class"), share)
 
 
+def _needed(m: Column, n: Column, share: int) -> Column:
+    """How many n-grams of their prefixes two linked classes share at least."""
+    overlap = F.ceil((m + n) * share / F.lit(100.0 + share) - 1e-9)
+    return overlap - F.ceil(F.greatest(m, n) * share / F.lit(100.0) - 1e-9) + 1
+
+
+def _near(known: DataFrame, share: int) -> DataFrame:
+    """kind 0, pivot, class: what hangs together by pairs that short lists let pass."""
+    short = known.where(F.col("classes") <= SHORT).select("gram", "class", "n", "long")
+    a, b = short.alias("a"), short.alias("b")
+    sized = (F.col("a.n") * 100 >= F.col("b.n") * share) & (F.col("b.n") * 100 >= F.col("a.n") * share)
+    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.class") < F.col("b.class")) & sized)
+    pairs = met.groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b")).agg(
+        F.count("*").alias("k"), F.min("a.n").alias("m"), F.min("b.n").alias("n"), F.min(F.least("a.long", "b.long")).alias("long")
+    )
+    pairs = pairs.where(F.col("k") + F.col("long") >= _needed(F.col("m"), F.col("n"), share))
+    return components(pairs.select("a", "b")).select(F.lit(0).alias("kind"), F.col("component").alias("pivot"), F.col("node").alias("class"))
+
+
+def _among_long(known: DataFrame, share: int) -> DataFrame:
+    """kind 1, pivot, class: the classes of long lists that have enough of these for some size of partner in the list."""
+    n, long = F.col("n"), F.col("long")
+    smaller = F.greatest(F.col("least"), F.ceil(n * share / F.lit(100.0) - 1e-9))
+    larger = F.least(F.col("most"), F.floor(n * 100 / F.lit(float(share)) + 1e-9))
+    able = (_needed(n, smaller, share) <= long) | (_needed(larger, n, share) <= long)
+    return known.where((F.col("classes") > SHORT) & able).select(F.lit(1).alias("kind"), "pivot", "class").distinct()
+
+
 def _filtered(docs: DataFrame, text_col: str, size: int, share: int, hot: object, lists: DataFrame, bits: int = 25) -> DataFrame:
     """The entries of the lists that have several classes, and a few more by chance."""
     keep = docs.sparkSession.sparkContext.broadcast(_gram_bitmap(lists, bits))
