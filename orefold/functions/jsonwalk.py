@@ -45,3 +45,33 @@ def items(payload, of: str):
     wrapped = F.from_json(payload, f"struct<items:array<{of}>>")["items"]
     start = F.substring(F.ltrim(payload), 1, 1)
     return F.when(start == "[", F.from_json(payload, f"array<{of}>")).otherwise(F.coalesce(wrapped, F.array(F.from_json(payload, of))))
+
+
+def repetition_leaves(df: DataFrame, payload: str, *keep: str) -> DataFrame:
+    """Repetitions with jumps and splits inside to rows: the kept columns, rep_number, metric_name, metric_value, metric_unit.
+
+    A repetition's own numbers keep their names, those of its jumps and splits become jump_<n>_<name> and split_<n>_<name>, also
+    what a split has nested. Numbers of repetitions, jumps and splits default to their places, counted from one.
+    """
+    many, one = "array<map<string,string>>", "map<string,string>"
+    at = lambda m, *names: F.coalesce(*[S.whole(F.col(m)[n]) for n in names], F.col("pos") + 1)
+    reps = df.select(*keep, F.posexplode(F.from_json(payload, many)).alias("pos", "rep")).select(*keep, at("rep", "repIndex", "repNumber").cast("int").alias("rep_number"), "rep")
+    keep = (*keep, "rep_number")
+
+    def numbers(rows: DataFrame, m: str, prefix, ignored: list[str]) -> DataFrame:
+        each = rows.withColumn("e", F.explode(F.map_entries(m))).where(~F.col("e.key").isin(ignored))
+        name = F.concat(prefix, S.camel_to_snake(F.col("e.key")))
+        return each.select(*keep, name.alias("metric_name"), S.finite(F.col("e.value")).alias("metric_value"))
+
+    parts = [numbers(reps, "rep", F.lit(""), ["repIndex", "repNumber", "jumpResults", "splitResults"])]
+    for kind, ignored in (("jump", ["jumpIndex", "splitCompleteDate"]), ("split", ["splitIndex", "gateIndex", "splitCompleteDate", "additionalSplitData"])):
+        items_ = reps.select(*keep, F.posexplode(F.from_json(F.col("rep")[f"{kind}Results"], many)).alias("pos", "item"))
+        items_ = items_.withColumn("prefix", F.concat(F.lit(f"{kind}_"), at("item", f"{kind}Index").cast("string"), F.lit("_")))
+        parts.append(numbers(items_, "item", F.col("prefix"), ignored))
+        if kind == "split":
+            nested = items_.withColumn("more", F.from_json(F.col("item")["additionalSplitData"], one))
+            parts.append(numbers(nested, "more", F.col("prefix"), []))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.where("metric_value is not null").withColumn("metric_unit", S.gate_unit(F.col("metric_name")))
