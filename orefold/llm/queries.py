@@ -135,7 +135,7 @@ vals AS (SELECT DISTINCT v FROM cand),
 bits AS (SELECT v, -sum(c / n * log2(c / n)) AS bits FROM (
   SELECT v, ch, CAST(count(*) AS DOUBLE) AS c, CAST(any_value(length(v)) AS DOUBLE) AS n
   FROM (SELECT v, unnest(string_split(v, '')) AS ch FROM vals) GROUP BY v, ch) GROUP BY v),
-good AS (SELECT c.*, b.bits >= 3.0 AND NOT regexp_matches(lower(c.v), 'example|sample|changeme|placeholder|your|dummy|test|xxxx|1234567|abcdef') AS random
+good AS (SELECT c.*, b.bits >= CASE c.kind WHEN 0 THEN 2.5 ELSE 3.0 END AND NOT regexp_matches(lower(c.v), 'example|sample|changeme|placeholder|your|dummy|test|xxxx|1234567|abcdef') AS random
   FROM cand c JOIN bits b USING (v) WHERE c.kind < 3 OR (regexp_matches(c.v, '[0-9]') AND lower(c.v) <> c.v AND upper(c.v) <> c.v AND b.bits >= 3.5
     AND NOT EXISTS (SELECT 1 FROM cand o WHERE o.doc_id = c.doc_id AND o.kind < 3 AND o.start < c.stop AND c.start < o.stop))),
 own AS (SELECT v, count(DISTINCT owner) AS n_owners, bool_or(random) AS random FROM good GROUP BY v),

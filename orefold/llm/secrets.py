@@ -41,7 +41,9 @@ PLACEHOLDER = re.compile(r"example|sample|changeme|placeholder|your|dummy|test|x
 
 MAX_OWNERS = 2
 MAX_REPOS = 3
+#: Least entropy, in bits a character, of values that look random; in assignments the name before the value says much already.
 MIN_BITS = 3.0
+MIN_ASSIGNED_BITS = 2.5
 
 _CANDIDATE = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop", pa.int64()), ("value", pa.string()), ("random", pa.bool_())])
 
@@ -51,8 +53,8 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
 
 
-def looks_random(value: str) -> bool:
-    return entropy(value) >= MIN_BITS and not PLACEHOLDER.search(value)
+def looks_random(kind: int, value: str) -> bool:
+    return entropy(value) >= (MIN_BITS if kind else MIN_ASSIGNED_BITS) and not PLACEHOLDER.search(value)
 
 
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
@@ -82,7 +84,7 @@ def scan(docs: DataFrame, text: Column, *keep: Column) -> DataFrame:
         for batch in batches:
             found = [
                 [
-                    {"kind": k, "start": s, "stop": e, "value": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()[:32], "random": looks_random(v)}
+                    {"kind": k, "start": s, "stop": e, "value": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()[:32], "random": looks_random(k, v)}
                     for k, s, e, v in candidates(t)
                 ]
                 if t
@@ -145,7 +147,7 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, *, text_col: str = "text", owner: Column | str = "source", repo: Column | str = "source") -> DataFrame:
-    """``docs`` with each secret replaced by ``[secret]``; values that are copied widely stay as they are.
+    """``docs`` with each live secret replaced by ``[secret]``; values copied widely or not random stay as they are.
 
     Overlapping spans become one. ``n_chars``, if there, is the new length. Only the spans are joined back, by the
     text's own hash, so documents of one text share them.
@@ -153,7 +155,7 @@ def redact(docs: DataFrame, *, text_col: str = "text", owner: Column | str = "so
     owner, repo = (F.col(c) if isinstance(c, str) else c for c in (owner, repo))
     key = F.xxhash64(F.col(text_col)).alias("key"), F.length(text_col).alias("size")
     scanned = staged(scan(docs, F.col(text_col), *key, owner.cast("string").alias("owner"), repo.cast("string").alias("repo")), "secrets")
-    cut = judged(scanned).where(F.col("status") != "copied").where((F.col("kind") < 3) | (F.col("status") == "live")).select("row", "start", "stop")
+    cut = judged(scanned).where("status = 'live'").select("row", "start", "stop")
     cut = scanned.where(F.size("found") > 0).select("row", "key", "size").join(cut, "row").groupBy("key", "size").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cut"))
     names = docs.columns
     joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("body"), F.col(text_col).alias("text"), *key).join(cut, ["key", "size"], "left")
