@@ -185,7 +185,7 @@ class Field:
         return out[::-1]
 
 
-def fit(pages: list[tuple[list[list[str]], list[int]]], *, rounds: int = 150, rate: float = 0.5, decay: float = 1e-3) -> Field:
+def fit(pages: list[tuple[list[list[str]], list[int]]], *, rounds: int = 200, rate: float = 1.0, decay: float = 1e-4) -> Field:
     """Maximum likelihood with a quadratic penalty, by AdaGrad over all pages at once."""
     pages = [p for p in pages if p[0]]
     names: dict[str, int] = {}
@@ -237,7 +237,7 @@ def fit(pages: list[tuple[list[list[str]], list[int]]], *, rounds: int = 150, ra
     return Field(names, theta[: len(names)].copy(), theta[len(names) : -4].reshape(2, 2).copy(), theta[-4:-2].copy(), theta[-2:].copy())
 
 
-def layouts(count: int = 240) -> list[str]:
+def layouts(count: int = 360) -> list[str]:
     """Pages of many layouts, whose elements say in data-label which text is main (1) and which isn't (0)."""
     r = np.random.default_rng(7)
     pick = lambda *x: x[r.integers(len(x))]
@@ -280,7 +280,7 @@ def layouts(count: int = 240) -> list[str]:
         advert = lambda: f"<div class='{pick('ad', 'ads', 'advert', 'banner ad', 'sponsored', 'promo')}' data-label=0>{sentence(int(r.integers(3, 25)))}</div>"
         if r.random() < 0.6:
             top.append(advert())
-        body = [pick(f"<h1>{words(int(r.integers(2, 9)))}</h1>", f"<header><h1>{words(5)}</h1></header>" if named else f"<h1>{words(5)}</h1>")]
+        body = [pick(f"<h1>{words(int(r.integers(1, 9)))}</h1>", f"<header><h1>{words(5)}</h1></header>" if named else f"<h1>{words(5)}</h1>", "")]
         for _ in range(int(r.integers(1, 14))):
             body.append(paragraph())
             if r.random() < 0.05:
@@ -289,14 +289,24 @@ def layouts(count: int = 240) -> list[str]:
             body.append(f"<aside data-label=0>{pick('<p>', '')}{sentence(8)}</aside>")
         if r.random() < 0.15:
             body.append(f"<div class='{pick('share', 'social', 'related', 'related-posts')}' data-label=0><ul>{links(3)}</ul></div>")
-        talk = f"<{pick('section', 'div')} {pick('class', 'id')}='{pick('comments', 'comment-list', 'comment', 'reader-comments', 'discussion', 'replies')}' data-label=0><h3>{words(1)}</h3>" + "".join(f"<div class='comment'><p>{sentence(int(r.integers(3, 30)))}</p></div>" for _ in range(2)) + "</div></section>"
-        inside = r.random() < 0.3
+        one = lambda: pick(f"<div class='comment'><p>{sentence(int(r.integers(1, 30)))}</p></div>", f"<p>{sentence(int(r.integers(1, 30)))}</p>", f"<ul><li>{sentence(4)}</li></ul>")
+        name = pick("comments", "comment-list", "comment", "reader-comments", "discussion", "replies")
+        talk = f"<div {pick('class', 'id')}='{name}' data-label=0>{pick(f'<h3>{words(1)}</h3>', '')}{''.join(one() for _ in range(int(r.integers(1, 4))))}</div>"
+        inside = r.random() < 0.4
         if inside:
             body.append(talk)
-        wrap = pick("article", "article", "main") if named else f"div {pick('class', 'id')}='{pick('content', 'article', 'post', 'entry-content', 'main', 'story', 'article-body', 'page-content')}'"
+        bare = r.random() < 0.3  # a page of little else than its text
+        if bare:
+            top = top[:1] if r.random() < 0.3 else []
+        wrap = "div" if bare and r.random() < 0.3 else pick("article", "article", "main") if named else f"div {pick('class', 'id')}='{pick('content', 'article', 'post', 'entry-content', 'main', 'story', 'article-body', 'page-content')}'"
+        if r.random() < 0.2:
+            body.append(f"<p>{words(1)}</p>" if r.random() < 0.5 else f"<form data-label=0><label>{words(2)}</label><input></form><p>{words(2)}</p>")
         page.append(f"<{wrap} data-label=1>{''.join(body)}</{wrap.split()[0]}>")
         if not inside and r.random() < 0.4:
             page.append(talk)
+        if bare:
+            out.append(f"<body>{''.join(top + page)}" if r.random() < 0.5 else "".join(top + page))
+            continue
         if r.random() < 0.4:
             page.append(pick(f"<aside data-label=0><p>{sentence(9)}</p><ul>{links(3)}</ul></aside>", f"<div class='{pick('sidebar', 'widget', 'side', 'rail', 'newsletter', 'subscribe')}' data-label=0><p>{sentence(9)}</p><ul>{links(3)}</ul></div>"))
         if r.random() < 0.4:
