@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, jaccard, langid, neardup, pieces, quality, secrets, toxicity
+from . import decontaminate, htmltext, jaccard, langid, neardup, pieces, quality, secrets, toxicity, warc
 from .base import fold, table
 
 def held_out() -> Column:
@@ -18,6 +18,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=(F.col("doc_id"), held_out()))
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.resolve(warc.captures(table(spark, sf_dir, "pages"))))
+
+
 def op3_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs.where(~held_out()), table(spark, sf_dir, "labels"))
@@ -72,6 +76,7 @@ def queries() -> dict:
     return {
         "pipeline": pipeline,
         "op1_language_id": op1_language_id,
+        "op2_warc_revisits": op2_warc_revisits,
         "op3_quality_nbsvm": op3_quality_nbsvm,
         "op4_secret_scan": op4_secret_scan,
         "op5_sentencepiece": op5_sentencepiece,
@@ -150,6 +155,27 @@ FROM d LEFT JOIN j USING (doc_id) GROUP BY d.doc_id
 """
 
 
+OP2_SQL = r"""
+WITH p AS (SELECT page_id, url, html, md5(html) AS tag, regexp_replace(regexp_replace(url, '^https?://(www\.|m\.)?', ''), '#.*$', '') AS u FROM pages),
+c AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^([^/?]*)', 1)), '^(www|m)\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
+      lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))), '&'), ''), '') AS canonical_url FROM p),
+r AS (SELECT page_id * 3 AS id, page_id, canonical_url, page_id * 10 AS t, 0 AS k, tag, html FROM c
+  UNION ALL SELECT page_id * 3 + 1, page_id, canonical_url, page_id * 10 + 5, 1, CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 7 = 0 THEN 'other' ELSE tag END, NULL FROM c
+  UNION ALL SELECT page_id * 3 + 2, page_id, canonical_url, page_id * 10 - 5, 1, CASE WHEN page_id % 7 = 0 THEN 'other' ELSE tag END, NULL FROM c WHERE page_id % 13 = 0),
+a AS (SELECT *, last_value(CASE WHEN k = 0 THEN page_id END IGNORE NULLS) OVER (PARTITION BY canonical_url ORDER BY t, k, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS src FROM r),
+j AS (SELECT a.id, a.page_id, a.canonical_url, a.tag, s.page_id AS sid, s.tag AS stag, s.html AS shtml, CASE WHEN s.page_id IS NULL THEN 'missing' WHEN a.tag IS NULL THEN 'unchecked' WHEN a.tag = s.tag THEN 'resolved' ELSE 'changed' END AS outcome,
+  a.id % 3 = 2 AS early FROM a LEFT JOIN c s ON a.src = s.page_id WHERE a.k = 1)
+SELECT id AS record_id, canonical_url, CASE WHEN outcome IN ('resolved', 'unchecked') THEN CAST(sid * 3 AS VARCHAR) END AS source_id, outcome,
+  CASE WHEN outcome IN ('resolved', 'unchecked') THEN 'cache-control: max-age=60' || chr(10) || 'content-length: ' || strlen(shtml) || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || (page_id * 10 + 5)
+      || chr(10) || 'etag: ' || CASE WHEN outcome = 'unchecked' THEN stag ELSE 'W/' || tag END
+    ELSE 'cache-control: max-age=60' || chr(10) || 'content-length: 0' || chr(10) || 'date: ' || (page_id * 10 + 5)
+      || coalesce(chr(10) || 'etag: ' || CASE WHEN tag = 'other' THEN tag ELSE 'W/' || tag END, '') END AS header_text,
+  CASE WHEN outcome IN ('resolved', 'unchecked') THEN md5(shtml) END AS body_md5
+FROM j
+"""
+
 OP7_SQL = r"""
 WITH a AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS body FROM pages),
 b AS (SELECT page_id, url, list_transform(string_split_regex(body, '</?(?:h1|p)>'),
@@ -176,5 +202,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_main_text": OP7_SQL,
         "op10_embedding_neardup": OP10_SQL,
+        "op2_warc_revisits": OP2_SQL,
         "op4_secret_scan": OP4_SQL,
         "op9_decontaminate": OP9_SQL}
