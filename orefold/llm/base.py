@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,7 +17,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+#: (setting, its usual value, ours)
+BATCHES = [("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4194304b")]
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once an application, so that they need no copy of their own, and sees that Arrow
+    batches are small, where the session has left that open: texts are long, and Python and the JVM hold several batches."""
+    for name, usual, ours in BATCHES:
+        if spark.conf.get(name, usual) == usual:
+            spark.conf.set(name, ours)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        top = Path(__file__).resolve().parent.parent
+        path = Path(tempfile.mkdtemp()) / "orefold.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        context.addPyFile(str(path))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,7 +69,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that one slice's texts stay near ``limit`` bytes (one longer text is a slice of its own)."""
     for batch in batches:
         col = batch.column(column)
@@ -54,6 +83,14 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20)
             size += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the machine; Python workers live on after a task."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def as_bytes(col: pa.Array) -> list[bytes | None]:

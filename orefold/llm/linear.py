@@ -27,7 +27,7 @@ from .base import slices, staged
 
 BITS = 20
 SAMPLE = 24_000
-FEATURES = 30_000
+FEATURES = 8192
 
 #: From texts to (number of the text, bucket) of each n-gram in them, repeats included.
 Cells = Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
@@ -143,6 +143,8 @@ def train(
     least: int = 3,
 ) -> Model:
     """``docs`` must hold only the documents whose labels may be learned from."""
+    if features > 1 << 16:
+        raise ValueError("at most 65536 features")
     rows = sampled(docs, labels, doc_col=doc_col, text_col=text_col, label_col=label_col, sample=sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +158,7 @@ def train(
         yield pa.RecordBatch.from_arrays([pa.array([size.tolist()], pa.list_(pa.int64())), pa.array([n.tobytes()], pa.binary())], names=["size", "n"])
 
     n, size = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for r in rows.coalesce(6).mapInArrow(count, "size array<bigint>, n binary").toLocalIterator():
+    for r in rows.coalesce(4).mapInArrow(count, "size array<bigint>, n binary").collect():
         size += np.array(r["size"])
         n += np.frombuffer(r["n"], np.int32).reshape(2, -1)
     weights = np.zeros(1 << BITS, np.float32)
@@ -166,7 +168,7 @@ def train(
     ratio = np.log((n[1] + 1) / (size[1] + 2)) - np.log((n[0] + 1) / (size[0] + 2))
     total, p = n.sum(0), size[1] / size.sum()
     z = np.abs(n[1] - total * p) / np.sqrt(np.maximum(total * p * (1 - p) * (1 - total / (size.sum() + 1)), 1e-9))
-    z[(total < least) | (z < 2.5)] = 0
+    z[(total < least) | (z < 3)] = 0
     chosen = np.flatnonzero(z)
     chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:features]])
     number = np.full(1 << BITS, -1, np.int32)
@@ -179,11 +181,11 @@ def train(
             hit = shared.value[cell] >= 0
             doc, cell = distinct(doc[hit], cell[hit])
             ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            own = shared.value[cell].astype(np.int32)
+            own = shared.value[cell].astype(np.uint16)
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([own[s:e].tobytes() for s, e in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["y", "x"])
 
-    got = sorted((r.y, bytes(r.x)) for r in rows.mapInArrow(encode, "y int, x binary").toLocalIterator())
-    x = [np.frombuffer(r[1], np.int32) for r in got]
+    got = sorted((r.y, bytes(r.x)) for r in rows.mapInArrow(encode, "y int, x binary").collect())
+    x = [np.frombuffer(r[1], np.uint16) for r in got]
     y = np.where(np.array([r[0] for r in got]) > 0, 1.0, -1.0)
     values = ratio[chosen]
     values = values / max(np.sqrt(np.mean([float((values[r] ** 2).sum()) for r in x])), 1e-9)
@@ -192,7 +194,7 @@ def train(
     out = {}
     for name, inside in (("trial", part != 0), ("final", part >= 0)):
         keep = np.flatnonzero(inside)
-        out[name] = descend([x[i] for i in keep], values, y[keep], cost[keep], logistic=logistic, rounds=30)
+        out[name] = descend([x[i] for i in keep], values, y[keep], cost[keep], logistic=logistic, rounds=12)
     w, b = out["trial"]
     held = np.flatnonzero(part == 0)
     a, c = sigmoid_fit(np.array([float(w[x[i]] @ values[x[i]]) + b for i in held]), y[held]) if len(held) else (1.0, 0.0)
