@@ -5,15 +5,15 @@
 2. A bounded sample (``SAMPLE`` vectors) gives each label centroids by spherical k-means, about one for ``CELL`` vectors and at most
    ``CENTROIDS`` in all. A class goes to its nearest centroid c and to each other centroid b that it might share with a
    neighbour: with r the chord of the threshold, v.(c - b) <= r/2 |c - b|. Of two vectors within r at least one fulfils
-   this for the other's cell, so every such pair meets in a shard. Shards above ``BLOCK`` vectors are cut in chunks and each pair
+   this for the other's cell, so every such pair meets in a shard. Shards are large, so few vectors lie in many. Shards above ``BLOCK`` vectors are cut in chunks and each pair
    of chunks is a shard of its own.
 3. Each shard builds a flat graph: candidates are a vertex's nearest and some random ones in the shard, robust pruning keeps
    the nearest p and drops what p is closer to by the factor ``ALPHA``, and so on up to ``DEGREE``; edges go both ways.
 4. The adjacency lists of a vector are united over its shards and go back to the shards.
-5. In each shard every vector is a query: greedy beam search from the medoid, then range expansion: whatever lies
+5. In its home shard, that of its nearest centroid, every vector is a query: greedy beam search from the medoid, then range expansion: whatever lies
    in range has its neighbours looked at, until nothing new is in range. Hits are verified by cosine in double
-   precision. A pair counts in the least shard that both are in, so no pairs need to be written: a shard gives the numbers
-   of links of its vectors and a spanning forest of them.
+   precision. A pair counts in one shard, the lesser of the two homes that have both, so no pairs need to be written: a
+   shard gives the numbers of links of its vectors and a spanning forest of them.
 6. Connected components; then recall is audited: ``AUDIT`` queries against all vectors by brute force. Under ``RECALL`` the
    search runs again with a wider beam.
 
@@ -36,7 +36,9 @@ from .base import staged
 from .graph import components
 
 SAMPLE = 20_000
-CELL, BLOCK, CENTROIDS = 512, 768, 4096
+CELL, BLOCK, CENTROIDS = 2048, 3072, 4096
+#: Rows of a shard that are searched at a time.
+QUERIES = 128
 DEGREE, ALPHA, BEAM = 16, 1.2, 24
 AUDIT, RECALL = 128, 0.95
 
@@ -107,18 +109,20 @@ def assign(classes: DataFrame, cells: dict, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gaps = {k: np.sqrt(np.maximum(0, 2 - 2 * c @ c.T)) * margin + 1e-9 for k, (_, c) in shared.value.items()}
         for batch in batches:
-            got = []
+            got, homes = [], []
             for label, dim, vec in zip(*(batch.column(c).to_pylist() for c in ("label", "dim", "vec")), strict=True):
                 first, c = shared.value.get((label, dim), (0, None))
                 if c is None:
                     got.append([-1])
+                    homes.append(-1)
                     continue
                 dots = c @ unit(np.frombuffer(vec))
                 home = int(dots.argmax())
+                homes.append(first + home)
                 got.append((first + np.flatnonzero(dots[home] - dots <= gaps[label, dim][home])).tolist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "dim", "rep", "weight", "vec")), pa.array(got, pa.list_(pa.int32()))], names=["label", "dim", "rep", "weight", "vec", "cells"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "dim", "rep", "weight", "vec")), pa.array(homes, pa.int32()), pa.array(got, pa.list_(pa.int32()))], names=["label", "dim", "rep", "weight", "vec", "home", "cells"])
 
-    return classes.select("label", "dim", "rep", "weight", "vec").mapInArrow(run, "label string, dim int, rep bigint, weight bigint, vec binary, cells array<int>")
+    return classes.select("label", "dim", "rep", "weight", "vec").mapInArrow(run, "label string, dim int, rep bigint, weight bigint, vec binary, home int, cells array<int>")
 
 
 def shards(assigned: DataFrame) -> DataFrame:
@@ -164,7 +168,8 @@ def build(x: np.ndarray, seed: int = 0) -> list[np.ndarray]:
     n = len(x)
     if n == 1:
         return [np.zeros(0, np.int64)]
-    sims = (x @ x.T).astype(np.float32)
+    x = x.astype(np.float32)
+    sims = x @ x.T
     np.fill_diagonal(sims, -2)
     near = min(n - 1, 3 * DEGREE)
     pool = np.argpartition(-sims, near - 1, axis=1)[:, :near] if near < n - 1 else np.argsort(-sims, axis=1)[:, : n - 1]
@@ -192,33 +197,35 @@ def build(x: np.ndarray, seed: int = 0) -> list[np.ndarray]:
     return [np.array(sorted(e), np.int64) for e in edges]
 
 
-def greedy(x: np.ndarray, edges: list[np.ndarray], threshold: float, beam: int) -> np.ndarray:
-    """In-range pairs (query, found), queries being all rows: beam search from the medoid, then range expansion."""
+def greedy(x: np.ndarray, edges: list[np.ndarray], threshold: float, beam: int, who: np.ndarray) -> np.ndarray:
+    """In-range pairs (query, found) of the rows ``who``: beam search from the medoid, then range expansion."""
     n = len(x)
-    width = max((len(e) for e in edges), default=0)
-    table = np.full((n, max(width, 1)), -1, np.int64)
+    table = np.full((n, max(1, max((len(e) for e in edges), default=0))), -1, np.int64)
     for i, e in enumerate(edges):
         table[i, : len(e)] = e
     medoid = int((x @ x.sum(0)).argmax())
-    beam = min(beam, n)
-    rows = np.arange(n)
-    seen = np.zeros((n, n), bool)
+    found = [_search_some(x, who[a : a + QUERIES], table, medoid, threshold - 1e-6, min(beam, n)) for a in range(0, len(who), QUERIES)]
+    out = np.concatenate([np.zeros((0, 2), np.int64), *found])
+    return out[out[:, 0] != out[:, 1]]
+
+
+def _search_some(x: np.ndarray, own: np.ndarray, table: np.ndarray, medoid: int, within: float, beam: int) -> np.ndarray:
+    """``within`` is a little looser than the threshold; an exact test follows the search."""
+    m, n = len(own), len(x)
+    seen = np.zeros((m, n), bool)
     seen[:, medoid] = True
-    at = np.full((n, beam), -1, np.int64)
-    sim = np.full((n, beam), -np.inf)
-    done = np.ones((n, beam), bool)
-    at[:, 0], sim[:, 0], done[:, 0] = medoid, x @ x[medoid], False
-    within = threshold - 1e-6  # a looser range here; the exact test follows
-    hits = [np.stack([rows, np.full(n, medoid)], 1)[sim[:, 0] >= within]]
-    active = rows
+    at, sim, done = np.full((m, beam), -1, np.int64), np.full((m, beam), -np.inf), np.ones((m, beam), bool)
+    at[:, 0], sim[:, 0], done[:, 0] = medoid, x[own] @ x[medoid], False
+    first = np.flatnonzero(sim[:, 0] >= within)
+    hits = [np.stack([first, np.full(len(first), medoid)], 1)]
+    active = np.arange(m)
     while len(active):
         best = np.where(done[active], -np.inf, sim[active]).argmax(1)
         node = at[active, best]
         done[active, best] = True
         near = table[node]
         fresh = (near >= 0) & ~seen[active[:, None], np.maximum(near, 0)]
-        got = np.where(fresh, near, 0)
-        s = np.where(fresh, np.einsum("qd,qkd->qk", x[active], x[got]), -np.inf)
+        s = np.where(fresh, np.einsum("qd,qkd->qk", x[own[active]], x[np.where(fresh, near, 0)]), -np.inf)
         q, k = np.nonzero(fresh)
         seen[active[q], near[q, k]] = True
         inside = s[q, k] >= within
@@ -231,18 +238,21 @@ def greedy(x: np.ndarray, edges: list[np.ndarray], threshold: float, beam: int)
     found = np.concatenate(hits)
     front = found
     while len(front):  # whatever is in range is expanded, however many there are
-        near = table[front[:, 1]]
-        q, v = np.repeat(front[:, 0], near.shape[1]), near.reshape(-1)
-        keep = v >= 0
-        q, v = q[keep], v[keep]
-        keep = ~seen[q, v]
-        pair = np.unique(q[keep] * n + v[keep])
-        q, v = pair // n, pair % n
-        seen[q, v] = True
-        inside = np.einsum("id,id->i", x[q], x[v]) >= within
-        front = np.stack([q[inside], v[inside]], 1)
+        fresh = []
+        for a in range(0, len(front), 8192):
+            part = front[a : a + 8192]
+            q, v = np.repeat(part[:, 0], table.shape[1]), table[part[:, 1]].reshape(-1)
+            keep = v >= 0
+            q, v = q[keep], v[keep]
+            keep = ~seen[q, v]
+            pair = np.unique(q[keep] * n + v[keep])
+            q, v = pair // n, pair % n
+            seen[q, v] = True
+            inside = np.einsum("id,id->i", x[own[q]], x[v]) >= within
+            fresh.append(np.stack([q[inside], v[inside]], 1))
+        front = np.concatenate(fresh)
         found = np.concatenate([found, front])
-    return found[found[:, 0] != found[:, 1]]
+    return np.stack([own[found[:, 0]], found[:, 1]], 1)
 
 
 def vectors(part: pa.Table) -> np.ndarray:
@@ -277,10 +287,11 @@ def search(rows: DataFrame, threshold: float, beam: int) -> DataFrame:
             number = {r: i for i, r in enumerate(rep.tolist())}
             raw = vectors(part)
             edges = [np.array(sorted({number[r] for r in e if r in number} - {i}), np.int64) for i, e in enumerate(part.column("near").to_pylist())]
-            pairs = greedy(unit(raw), edges, threshold, beam)
-            pairs = np.unique(np.sort(pairs, 1), axis=0)
             cell, one, two = (part.column(c)[0].as_py() for c in ("cell", "one", "two"))
             cells, side = part.column("cells").to_pylist(), part.column("side").to_pylist()
+            home = part.column("home").to_numpy()
+            pairs = greedy(unit(raw), edges, threshold, beam, np.flatnonzero(home == cell))
+            pairs = np.unique(np.sort(pairs, 1), axis=0)
             big = np.abs(raw).max(1, keepdims=True)
             raw = raw / big
             norm = np.sqrt((raw * raw).sum(1))
@@ -297,12 +308,18 @@ def search(rows: DataFrame, threshold: float, beam: int) -> DataFrame:
                     i = root[i]
                 return i
 
+            homes, number_of = np.unique(home, return_inverse=True)
+            inside = np.array([[c in own for c in homes.tolist()] for own in map(set, cells)], bool).reshape(len(cells), len(homes))
+            a, b = pairs[:, 0], pairs[:, 1]
+            none = np.iinfo(np.int64).max
+            here = np.minimum(np.where(inside[b, number_of[a]], home[a], none), np.where(inside[a, number_of[b]], home[b], none)) == cell
+            if one != two:
+                where = np.array(side)
+                here &= where[a] != where[b]
+            np.add.at(n, a[here], weight[b[here]])
+            np.add.at(n, b[here], weight[a[here]])
             forest = []
-            sets = [set(c) for c in cells]
             for i, j in pairs.tolist():
-                if (one == two or side[i] != side[j]) and min(sets[i] & sets[j]) == cell:
-                    n[i] += weight[j]
-                    n[j] += weight[i]
                 p, q = find(i), find(j)
                 if p != q:
                     root[max(p, q)] = min(p, q)
@@ -313,7 +330,7 @@ def search(rows: DataFrame, threshold: float, beam: int) -> DataFrame:
             right = np.concatenate([n[some], np.array([f[1] for f in forest], np.int64)])
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(left), pa.array(right)], names=["kind", "rep", "n"])
 
-    return dealt(rows, "vec", "weight", "cells", "side", "near").mapInArrow(run, "kind int, rep bigint, n bigint")
+    return dealt(rows, "vec", "weight", "home", "cells", "side", "near").mapInArrow(run, "kind int, rep bigint, n bigint")
 
 
 def truth(classes: DataFrame, queries: list[tuple[int, str, int, bytes]], threshold: float) -> dict[int, int]:
