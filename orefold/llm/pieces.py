@@ -9,13 +9,14 @@ without a piece, and that character itself, are spelled in byte pieces, so decod
 Equal sums are told apart by the sum of a hash of each piece, and then by the sum of hash times place; both stand in the lower
 bits of one whole number with the score. So the best path is unique and the same however the text is cut.
 
-Where white space starts no piece can cross; between such places the lattice falls apart into words, whose paths are kept.
-Documents above ``GIANT`` characters are cut into chunks, each a row of its own:
+Where white space starts no piece can cross; between such places the lattice falls apart into words. A batch's new words are
+solved together, place by place, and their ids are kept for later ones. Documents above ``GIANT`` characters are cut into chunks, each a row of its own:
 1. Each chunk gives its transfer matrix: best sum from "the first piece boundary at or after my start is i characters on" to
    the same for the next chunk's start.
 2. The matrices of a document are combined in order, and the best path's state at each boundary is read off. A matrix
    takes at most 14 KB for ``CHUNK`` characters, mostly 1 KB, so a document's matrices are smaller than its text.
-3. Each chunk is backtraced by itself between its two states, and the ids are put together by chunk number.
+3. Each chunk is backtraced by itself between its two states, and the ids are put together by chunk number. What lies between
+   the first and the last place of a chunk that no piece crosses is the same for all states, so step 1 has its ids already.
 
 Cases: null text is empty and has no ids; repeated rows are encoded one by one; decoding unknown or null ids skips them;
 only the named columns are read.
@@ -33,15 +34,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .base import slices, staged
+from .base import slices, staged, trim
+from .langid import HashArray
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT, CHUNK = 32_768, 16_384
-KEPT_WORDS = 400_000
+KEPT_WORDS, LONG_WORD = 80_000, 64
 SPACE = "▁"
 SCORE_BIT, HASH_BIT = 180, 100
 
 
+_PRIME, _SALT, _ALL = 0x100000001B3, 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
 def _hash(number: int) -> int:
     return int.from_bytes(hashlib.blake2b(str(number).encode(), digest_size=5).digest(), "big")
 
@@ -65,10 +70,29 @@ class Vocabulary:
         self.free = not any(SPACE in p.lstrip(SPACE) for p in self.ids)  # no piece has white space after another character
         self.line = not any("\n" in p for p in self.ids)
         self.words = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if self.line else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+") if self.free else re.compile("(?s).+")
-        self.memo: dict[str, list[int]] = {}
-        self.sums: dict[str, tuple[int, int]] = {}
+        self.memo: dict[str, bytes] = {}
+        self._arrays(unknown)
         self.spelled = [bytes([int(p[1:-1], 16)]) if k == "byte" else p.replace(SPACE, " ").encode() if k == "piece" else b"" for p, _, k in pieces]
 
+    def _arrays(self, unknown: float) -> None:
+        """Scores, hashes, turns and lengths by id, and the ids by a hash of their pieces."""
+        n = len(self.pieces)
+        self.score, self.tie, self.turns, self.length = (np.zeros(n, np.int64) for _ in range(4))
+        for p, i in self.ids.items():
+            self.score[i], self.tie[i], self.turns[i], self.length[i] = round(self.pieces[i][1] * 1000), _hash(i), self.turn[p], len(p)
+        for b, i in self.bytes.items():  # a character's first byte stands for it, the others only add their weight
+            lead = not 0x80 <= b < 0xC0
+            self.score[i], self.tie[i], self.turns[i], self.length[i] = round(unknown * 1000), _hash(-1), self.byte_turn * lead, lead
+        order = sorted(self.ids, key=lambda p: (len(p), p))
+        hashes = []
+        for p in order:
+            h = 0
+            for c in p:
+                h = (h * _PRIME + ord(c)) & _ALL
+            hashes.append((h + len(p) * _SALT) & _ALL)
+        self.table = HashArray(np.array(hashes, np.uint64))
+        self.id_at = np.array([self.ids[p] for p in order], np.int32)[self.table.order]
+
     @staticmethod
     def _weigh(score: float, number: int) -> int:
         return (round(score * 1000) << SCORE_BIT) + (_hash(number) << HASH_BIT)
@@ -133,29 +157,99 @@ class Vocabulary:
         cuts.reverse()
         return [i for a, b in zip(cuts[:-1], cuts[1:], strict=True) for i in self.spell(s[a:b])]
 
-    def word(self, w: str) -> list[int]:
-        got = self.memo.get(w)
-        if got is None:
-            got = self.solve(w, 0, len(w))[0]
-            if len(w) <= 64:
-                if len(self.memo) >= KEPT_WORDS:
-                    self.memo.clear()
-                self.memo[w] = got
-        return got
+    def solve_words(self, words: list[str]) -> list[bytes]:
+        """Best ids (as bytes) of each word, all at once; every character must be a piece."""
+        out: list[bytes] = [b""] * len(words)
+        by_size = sorted(range(len(words)), key=lambda k: len(words[k]))
+        start = 0
+        while start < len(words):
+            stop = start + 1
+            while stop < len(words) and (stop - start + 1) * len(words[by_size[stop]]) <= 100_000:
+                stop += 1
+            part = by_size[start:stop]
+            for k, ids in zip(part, self._solve_some([words[k] for k in part]), strict=True):
+                out[k] = ids
+            start = stop
+        return out
+
+    def _solve_some(self, words: list[str]) -> list[bytes]:
+        n, sizes = len(words), np.array([len(w) for w in words])
+        most = int(sizes.max())
+        chars = np.zeros((n, most), np.uint64)
+        chars[np.arange(most) < sizes[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        least = np.int64(-(1 << 61))
+        best, tie, place = np.full((most + 1, n), least), np.zeros((most + 1, n), np.int64), np.zeros((most + 1, n), np.int64)
+        best[0] = 0
+        came, piece = np.zeros((most + 1, n), np.int32), np.full((most + 1, n), -1, np.int32)
+        h = np.zeros((n, most), np.uint64)
+        found = []
+        for size in range(1, min(self.longest, most) + 1):
+            h = h[:, : most - size + 1] * np.uint64(_PRIME) + chars[:, size - 1 :]
+            inside = np.arange(most - size + 1) + size <= sizes[:, None]
+            ids = np.full(h.shape, -1, np.int32)
+            at = self.table.find(h[inside] + np.uint64(size * _SALT & _ALL))
+            ids[inside] = np.where(at >= 0, self.id_at[at], -1)
+            found.append(np.ascontiguousarray(ids.T))
+        for i in range(most):
+            for size in range(1, min(self.longest, most - i) + 1):
+                ids = found[size - 1][i]
+                k = np.flatnonzero((ids >= 0) & (best[i] > least))
+                if not len(k):
+                    continue
+                j, own = i + size, ids[k]
+                new = best[i, k] + self.score[own]
+                new_tie = tie[i, k] + self.tie[own]
+                new_place = place[i, k] + self.turns[own] * i
+                old = best[j, k]
+                wins = (new > old) | ((new == old) & ((new_tie > tie[j, k]) | ((new_tie == tie[j, k]) & (new_place > place[j, k]))))
+                k = k[wins]
+                best[j, k], tie[j, k], place[j, k], came[j, k], piece[j, k] = new[wins], new_tie[wins], new_place[wins], i, own[wins]
+        at, rows, order = sizes.copy(), [], []
+        live = np.arange(n)
+        while len(live):
+            rows.append(live)
+            order.append(piece[at[live], live])
+            at[live] = came[at[live], live]
+            live = live[at[live] > 0]
+        row, ids = np.concatenate(rows), np.concatenate(order)
+        turn = np.arange(len(row))[::-1]
+        by = np.lexsort((turn, row))
+        data = ids[by].astype("<i4").tobytes()
+        ends = 4 * np.cumsum(np.bincount(row, minlength=n))
+        return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def know(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of the words; those worth it are kept for later calls."""
+        new = [w for w in words if w not in self.memo]
+        if len(self.memo) + len(new) > KEPT_WORDS:
+            self.memo = {}
+            new = list(words)
+        weight = self.weight
+        easy = [w for w in new if len(w) <= LONG_WORD and all(c in weight for c in w)]
+        got = dict(zip(easy, self.solve_words(easy), strict=True))
+        self.memo.update(got)
+        if len(easy) < len(new):
+            got = {w: np.array(self.solve(w, 0, len(w))[0], "<i4").tobytes() for w in new if w not in got}
+            self.memo.update({w: b for w, b in got.items() if len(w) <= LONG_WORD})
+            if any(len(w) > LONG_WORD for w in got):
+                return self.memo | got
+        return self.memo
+
+    def encode_all(self, masked: list[str]) -> list[bytes]:
+        """Ids of texts as the lattice sees them."""
+        split = [self.words.findall(m) for m in masked]
+        known = self.know(set().union(*split)) if split else {}
+        return [b"".join([known[w] for w in ws]) for ws in split]
+
+    def encode_texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        return [np.frombuffer(b, "<i4") for b in self.encode_all([self.mask(t) if t else "" for t in texts])]
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        out: list[int] = []
-        memo, word = self.memo.get, self.word
-        for w in self.words.findall(self.mask(text)):
-            out += memo(w) or word(w)
-        return out
+        return self.encode_texts([text])[0].tolist()
 
     def decode(self, ids: list[int | None] | None) -> str:
-        spelled = self.spelled
-        data = b"".join(spelled[i] for i in ids or [] if i is not None and 0 <= i < len(spelled))
-        text = data.decode("utf-8", "replace")
+        known = [i for i in ids or [] if i is not None and 0 <= i < len(self.spelled)]
+        text = b"".join(map(self.spelled.__getitem__, known)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
     # chunks of a giant document: s has the chunk's own ``size`` characters and what the next chunk begins with
@@ -187,58 +281,46 @@ class Vocabulary:
                     out[j - size] = (at + w, i)
         return out, back
 
-    def matrix(self, s: str, size: int, origin: int) -> dict[tuple[int, int], int]:
-        """(entry, exit) to best sum; an entry is among the chunk's first characters."""
+    def total(self, ids: np.ndarray, place: int) -> int:
+        """Sum of a path of these ids that starts at a place of the text."""
+        at = place + np.cumsum(self.length[ids]) - self.length[ids]
+        turns = int((self.turns[ids].astype(object) * at).sum()) if place > 1 << 30 else int((self.turns[ids] * at).sum())
+        return (int(self.score[ids].sum()) << SCORE_BIT) + (int(self.tie[ids].sum()) << HASH_BIT) + turns
+
+    def transfer(self, s: str, size: int, origin: int) -> tuple[dict[tuple[int, int], int], int, int, np.ndarray]:
+        """(entry, exit) to best sum; the first and the last choke (or -1); the ids between these.
+
+        An entry is among the chunk's first characters and not beyond the first choke, as no piece crosses that.
+        """
         chokes = self.chokes(s, size)
-        out: dict[tuple[int, int], int] = {}
-        tail = self.exits(s, chokes[-1], size, origin)[0] if chokes else {}
-        middle: dict[int, int] = {}
-        for i in range(min(self.longest, size + 1)):
-            first = next((c for c in chokes if c >= i), None)
-            if first is None:
-                out.update({(i, j): v for j, (v, _) in self.exits(s, i, size, origin)[0].items()})
-                continue
-            if first not in middle:
-                middle[first] = self.between(s, first, chokes[-1], origin)
-            head = self.forward(s, i, first, origin)[0][-1] + middle[first]
+        if not chokes:
+            none = {(i, j): v for i in range(min(self.longest, size + 1)) for j, (v, _) in self.exits(s, i, size, origin)[0].items()}
+            return none, -1, -1, np.zeros(0, np.int32)
+        first, last = chokes[0], chokes[-1]
+        ids = np.frombuffer(self.encode_all([s[first:last]])[0], "<i4")
+        middle = self.total(ids, origin + first)
+        tail = self.exits(s, last, size, origin)[0]
+        out = {}
+        for i in range(min(self.longest, first + 1)):
+            head = self.forward(s, i, first, origin)[0][-1] + middle
             out.update({(i, j): head + v for j, (v, _) in tail.items()})
-        return out
+        return out, first, last, ids
 
-    def between(self, s: str, start: int, stop: int, origin: int) -> int:
-        """Sum of the best path from one choke to another, word by word."""
-        total, at = 0, start
-        for w in self.words.findall(s[start:stop]):
-            total += self.forward(s, at, at + len(w), origin)[0][-1] if len(w) > 64 else self._known(w, origin + at)
-            at += len(w)
-        return total
-
-    def _known(self, w: str, place: int) -> int:
-        got = self.sums.get(w)
-        if got is None:
-            if len(self.sums) >= KEPT_WORDS:
-                self.sums.clear()
-            best, back = self.forward(w, 0, len(w))
-            turns, j = 0, len(w)
-            while j:
-                turns += self.turn.get(w[back[j] : j], self.byte_turn)
-                j = back[j]
-            got = self.sums[w] = (best[-1], turns)
-        return got[0] + got[1] * place
+    def ends(self, head: str, tail: str, first: int, last: int, size: int, origin: int, entry: int, leave: int) -> tuple[list[int], list[int]]:
+        """Ids before the first choke and after the last one, of the best path from an entry to an exit."""
+        if first < 0:
+            return [], self._out(tail, entry, size, origin, leave) if entry < size else []
+        return self.solve(head, entry, first, origin)[0], self._out(tail, 0, size - last, origin + last, leave) if last < size else []
+
+    def _out(self, s: str, start: int, size: int, origin: int, leave: int) -> list[int]:
+        best, back = self.exits(s, start, size, origin)
+        return self.read(s, start, [size + leave, best[leave][1]], back)
 
     def chunk_path(self, s: str, size: int, origin: int, entry: int, leave: int) -> list[int]:
-        """Ids of the best path from an entry to an exit."""
-        chokes = [c for c in self.chokes(s, size) if c >= entry]
-        out: list[int] = []
-        start = entry
-        if chokes:
-            out += self.solve(s, entry, chokes[0], origin)[0]
-            for w in self.words.findall(s[chokes[0] : chokes[-1]]):
-                out += self.word(w)
-            start = chokes[-1]
-        if start < size:
-            best, back = self.exits(s, start, size, origin)
-            out += self.read(s, start, [size + leave, best[leave][1]], back)
-        return out
+        """Ids of a chunk's best path from an entry to an exit."""
+        _, first, last, ids = self.transfer(s, size, origin)
+        before, after = self.ends(s[: max(first, 0)], s[max(last, 0) :], first, last, size, origin, entry, leave)
+        return before + ids.tolist() + after
 
 
 def load(path: str = MODEL) -> Vocabulary:
@@ -288,7 +370,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__text"):
-            ids = [np.array(shared.value.encode(t), np.int32) for t in batch.column("__text").to_pylist()]
+            ids = shared.value.encode_texts(batch.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _lists(ids)], names=[*names, "ids"])
 
     small = own.where("not __long").drop("__long").mapInArrow(run, StructType([*fields, StructField("ids", ArrayType(IntegerType()))]))
@@ -302,15 +384,22 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str
     giants = own.where("__long").drop("__long").withColumn("row", F.monotonically_increasing_id())
     giants = staged(giants, "giants")
     pieces = giants.select("row", F.col("__text").alias("text")).mapInArrow(cut, "row bigint, chunk int, part string, size int").repartition("row", "chunk")
-    pieces = staged(pieces, "chunks")
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [shared.value.matrix(p, n, k * chunk) for p, n, k in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "chunk")), strict=True)]
-            cells = [[{"a": i, "b": j, "sum": v.to_bytes(40, "big", signed=True)} for (i, j), v in sorted(m.items())] for m in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(cells, pa.list_(_CELL))], names=["row", "chunk", "cells"])
-
-    matrices = pieces.select("row", "chunk", "part", "size").mapInArrow(transfer, "row bigint, chunk int, cells array<struct<a:int,b:int,sum:binary>>")
+            for part in (batch.slice(k, 16) for k in range(0, batch.num_rows, 16)):
+                texts, sizes, numbers = (part.column(c).to_pylist() for c in ("part", "size", "chunk"))
+                got = [shared.value.transfer(t, n, k * chunk) for t, n, k in zip(texts, sizes, numbers, strict=True)]
+                cells = [[{"a": i, "b": j, "sum": v.to_bytes(40, "big", signed=True)} for (i, j), v in sorted(g[0].items())] for g in got]
+                cols = [
+                    part.column("row"), part.column("chunk"), part.column("size"), pa.array([t[: max(g[1], 0)] for t, g in zip(texts, got, strict=True)]), pa.array([t[max(g[2], 0) :] for t, g in zip(texts, got, strict=True)]),
+                    pa.array([g[1] for g in got], pa.int32()), pa.array([g[2] for g in got], pa.int32()), _lists([g[3] for g in got]), pa.array(cells, pa.list_(_CELL)),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "chunk", "size", "head", "tail", "first", "last", "middle", "cells"])
+
+    kept = "row bigint, chunk int, size int, head string, tail string, first int, last int, middle array<int>, cells array<struct<a:int,b:int,sum:binary>>"
+    parts = staged(pieces.mapInArrow(transfer, kept), "transfers")
+    matrices = parts.select("row", "chunk", "cells")
 
     def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,11 +412,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str
     states = whole.mapInArrow(through, "row bigint, chunk int, entry int, leave int")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["head", "tail", "first", "last", "size", "chunk", "entry", "leave", "middle"]
         for batch in batches:
-            ids = [np.array(shared.value.chunk_path(p, n, k * chunk, a, b), np.int32) for p, n, k, a, b in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "chunk", "entry", "leave")), strict=True)]
+            ids = []
+            for head, tail, first, last, size, k, a, b, middle in zip(*(batch.column(c) for c in names), strict=True):
+                before, after = shared.value.ends(head.as_py(), tail.as_py(), first.as_py(), last.as_py(), size.as_py(), k.as_py() * chunk, a.as_py(), b.as_py())
+                ids.append(np.concatenate([np.array(before, np.int32), middle.values.to_numpy(), np.array(after, np.int32)]))
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), _lists(ids)], names=["row", "chunk", "part"])
 
-    traced = pieces.join(states, ["row", "chunk"]).select("row", "chunk", "part", "size", "entry", "leave").mapInArrow(trace, "row bigint, chunk int, part array<int>")
+    traced = parts.drop("cells").join(states, ["row", "chunk"]).mapInArrow(trace, "row bigint, chunk int, part array<int>")
     ids = traced.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "part"))), lambda x: x["part"])).alias("ids"))
     large = giants.drop("__text").join(ids, "row").drop("row")
     return small.unionByName(large)
@@ -348,7 +441,8 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", to:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [shared.value.decode(i) for i in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts)], names=[*names, to])
+            texts = [shared.value.decode(i.values.to_numpy().tolist() if i.is_valid else None) for i in batch.column(ids_col)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, to])
+        trim()
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, *StructType.fromDDL(f"`{to}` string").fields]))
