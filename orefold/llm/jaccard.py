@@ -328,7 +328,10 @@ def _among_long(known: DataFrame, share: int) -> DataFrame:
     n, long = F.col("n"), F.col("long")
     smaller = F.greatest(F.col("least"), F.ceil(n * share / F.lit(100.0) - 1e-9))
     larger = F.least(F.col("most"), F.floor(n * 100 / F.lit(float(share)) + 1e-9))
-    able = (_needed(n, smaller, share) <= long) | (_needed(larger, n, share) <= long)
+    # Up to n what is needed grows with the partner. Above n it isn't monotone, for both parts of it are rounded up: it is more than
+    # their difference without rounding, which is least at the largest partner.
+    above = F.floor((n + larger) * share / F.lit(100.0 + share) - larger * share / F.lit(100.0) - 1e-9) + 1
+    able = (_needed(n, smaller, share) <= long) | (above <= long)
     return known.where((F.col("classes") > SHORT) & able).select(F.lit(1).alias("kind"), "pivot", "class").distinct()
 
 

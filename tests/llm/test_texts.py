@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orefold.llm import decontaminate, jaccard, langid, linear, pieces, quality, secrets, toxicity
 
@@ -130,6 +131,29 @@ def test_components_equal_brute_force(spark, monkeypatch, size, share, short):
     assert got == plain_components(docs, size, share)
 
 
+@pytest.mark.parametrize("share", [80, 85])
+def test_classes_of_long_lists_are_kept_for_any_partner(spark, share):
+    needed = lambda m, n: -(-(m + n) * share // (100 + share)) - -(-max(m, n) * share // 100) + 1
+    rows, able = [], set()
+    for n in range(1, 130):
+        for most in range(n, n * 100 // share + 1):
+            least = min(needed(n, p) for p in range(n, most + 1))
+            for long in range(1, least + 1):
+                rows.append((len(rows), n, n, most, long))
+            able.add(len(rows) - 1)
+    known = spark.createDataFrame(rows, "class long, n int, least int, most int, long int").withColumn("classes", F.lit(65)).withColumn("pivot", F.col("class"))
+    assert able <= {r["class"] for r in jaccard._among_long(known, share).collect()}
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_passages_with_a_few_words_more_equal_brute_force(spark, seed):
+    r = random.Random(seed)
+    passage = " ".join(f"p{seed}x{i}" for i in range(20))
+    docs = [passage + "".join(f" u{r.getrandbits(40)}" for _ in range(1 + i % 3)) for i in range(75)]
+    got = {a.doc_id: (a.n_shingles, a.component_id) for a in jaccard.cluster(frame(spark, docs), size=4, share=85).collect()}
+    assert got == plain_components(docs, 4, 85)
+
+
 def test_one_of_each_group_stays(spark):
     docs = frame(spark, ["a b c d e f g", "a b c d e f g", "z", None, ""]).withColumnRenamed("doc_id", "doc_id")
     twice = docs.unionByName(docs.where("doc_id = 4"))
