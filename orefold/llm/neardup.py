@@ -8,14 +8,16 @@
    this for the other's cell, so every such pair meets in a shard. Shards are large, so few vectors lie in many. Shards above ``BLOCK`` vectors are cut in chunks and each pair
    of chunks is a shard of its own.
 3. Each shard builds a flat graph: candidates are a vertex's nearest and some random ones in the shard, robust pruning keeps
-   the nearest p and drops what p is closer to by the factor ``ALPHA``, and so on up to ``DEGREE``; edges go both ways.
+   the nearest p and drops what p is closer to by the factor ``ALPHA``, and so on up to ``DEGREE``; edges go both ways. Parts of the graph
+   that can't be reached from the medoid get an edge from it to their own medoid.
 4. The adjacency lists of a vector are united over its shards and go back to the shards.
 5. In its home shard, that of its nearest centroid, every vector is a query: greedy beam search from the medoid, then range expansion: whatever lies
    in range has its neighbours looked at, until nothing new is in range. Hits are verified by cosine in double
    precision. A pair counts in one shard, the lesser of the two homes that have both, so no pairs need to be written: a
    shard gives the numbers of links of its vectors and a spanning forest of them.
-6. Connected components; then recall is audited: ``AUDIT`` queries against all vectors by brute force. Under ``RECALL`` the
-   search runs again with a wider beam.
+6. Recall is audited against all vectors by brute force: about ``AUDIT`` queries of all vectors and as many of those that have
+   others in range in their shard. Under ``RECALL`` the search runs again with a wider beam, and after the widest
+   the shards are compared whole; if even that misses links, it is an error. Then connected components.
 
 Cases: a vector that can't link has no links and is its own component; repeated rows are linked to each other;
 vectors of different length never meet; an empty table gives an empty result; only the named columns are read.
@@ -163,14 +165,16 @@ def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def build(x: np.ndarray, seed: int = 0) -> list[np.ndarray]:
-    """Neighbours of each row of unit vectors: robust pruning, then both directions."""
+def build(x: np.ndarray, threshold: float = 2.0, seed: int = 0) -> tuple[list[np.ndarray], np.ndarray]:
+    """Neighbours of each row of unit vectors (robust pruning, both directions, all in reach of the medoid), and who has some in range."""
     n = len(x)
     if n == 1:
-        return [np.zeros(0, np.int64)]
+        return [np.zeros(0, np.int64)], np.zeros(1, bool)
+    start = medoid(x)
     x = x.astype(np.float32)
     sims = x @ x.T
     np.fill_diagonal(sims, -2)
+    linked = sims.max(1) >= threshold - 1e-5
     near = min(n - 1, 3 * DEGREE)
     pool = np.argpartition(-sims, near - 1, axis=1)[:, :near] if near < n - 1 else np.argsort(-sims, axis=1)[:, : n - 1]
     if n > near + 1:
@@ -194,7 +198,34 @@ def build(x: np.ndarray, seed: int = 0) -> list[np.ndarray]:
         apart = np.sqrt(np.maximum(0, 2 - 2 * np.maximum(sims[p[:, None], pool[who]], -1)))
         apart[pool[who] == p[:, None]] = 0
         alive[who] &= ALPHA * apart > dist[who]
-    return [np.array(sorted(e), np.int64) for e in edges]
+    reached = np.zeros(n, bool)
+    for first in [start, *range(n)]:
+        if reached[first]:
+            continue
+        part, reached[first] = [first], True
+        for i in part:
+            new = [j for j in edges[i] if not reached[j]]
+            reached[new] = True
+            part += new
+        if first != start:
+            own = part[medoid(x[part])]
+            edges[start].add(own)
+            edges[own].add(start)
+    return [np.array(sorted(e), np.int64) for e in edges], linked
+
+
+def medoid(x: np.ndarray) -> int:
+    return int((x @ x.sum(0)).argmax())
+
+
+def exact(x: np.ndarray, threshold: float, who: np.ndarray) -> np.ndarray:
+    """In-range pairs (query, found) of the rows ``who`` by comparison with every row."""
+    out = [np.zeros((0, 2), np.int64)]
+    for a in range(0, len(who), QUERIES):
+        q, v = np.nonzero(x[who[a : a + QUERIES]] @ x.T >= threshold - 1e-6)
+        out.append(np.stack([who[a + q], v], 1))
+    found = np.concatenate(out)
+    return found[found[:, 0] != found[:, 1]]
 
 
 def greedy(x: np.ndarray, edges: list[np.ndarray], threshold: float, beam: int, who: np.ndarray) -> np.ndarray:
@@ -203,21 +234,21 @@ def greedy(x: np.ndarray, edges: list[np.ndarray], threshold: float, beam: int,
     table = np.full((n, max(1, max((len(e) for e in edges), default=0))), -1, np.int64)
     for i, e in enumerate(edges):
         table[i, : len(e)] = e
-    medoid = int((x @ x.sum(0)).argmax())
-    found = [_search_some(x, who[a : a + QUERIES], table, medoid, threshold - 1e-6, min(beam, n)) for a in range(0, len(who), QUERIES)]
+    start = medoid(x)
+    found = [_search_some(x, who[a : a + QUERIES], table, start, threshold - 1e-6, min(beam, n)) for a in range(0, len(who), QUERIES)]
     out = np.concatenate([np.zeros((0, 2), np.int64), *found])
     return out[out[:, 0] != out[:, 1]]
 
 
-def _search_some(x: np.ndarray, own: np.ndarray, table: np.ndarray, medoid: int, within: float, beam: int) -> np.ndarray:
+def _search_some(x: np.ndarray, own: np.ndarray, table: np.ndarray, start: int, within: float, beam: int) -> np.ndarray:
     """``within`` is a little looser than the threshold; an exact test follows the search."""
     m, n = len(own), len(x)
     seen = np.zeros((m, n), bool)
-    seen[:, medoid] = True
+    seen[:, start] = True
     at, sim, done = np.full((m, beam), -1, np.int64), np.full((m, beam), -np.inf), np.ones((m, beam), bool)
-    at[:, 0], sim[:, 0], done[:, 0] = medoid, x[own] @ x[medoid], False
+    at[:, 0], sim[:, 0], done[:, 0] = start, x[own] @ x[start], False
     first = np.flatnonzero(sim[:, 0] >= within)
-    hits = [np.stack([first, np.full(len(first), medoid)], 1)]
+    hits = [np.stack([first, np.full(len(first), start)], 1)]
     active = np.arange(m)
     while len(active):
         best = np.where(done[active], -np.inf, sim[active]).argmax(1)
@@ -263,21 +294,21 @@ def dealt(rows: DataFrame, *more: str) -> DataFrame:
     return rows.repartition(*KEY).sortWithinPartitions(*KEY, "rep").select(*KEY, "rep", *more)
 
 
-def graph(rows: DataFrame) -> DataFrame:
-    """rep, near: the adjacency lists united over all shards of a class."""
+def graph(rows: DataFrame, threshold: float) -> DataFrame:
+    """rep, near, linked: the adjacency lists united over all shards of a class, and whether it has others in range in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_shard(batches):
             rep = np.array(part.column("rep").to_pylist(), np.int64)
-            edges = build(unit(vectors(part)))
-            yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array([rep[e].tolist() for e in edges], pa.list_(pa.int64()))], names=["rep", "near"])
+            edges, linked = build(unit(vectors(part)), threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array([rep[e].tolist() for e in edges], pa.list_(pa.int64())), pa.array(linked)], names=["rep", "near", "linked"])
 
-    lists = dealt(rows, "vec").mapInArrow(run, "rep bigint, near array<bigint>")
-    return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    lists = dealt(rows, "vec").mapInArrow(run, "rep bigint, near array<bigint>, linked boolean")
+    return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.max("linked").alias("linked"))
 
 
-def search(rows: DataFrame, threshold: float, beam: int) -> DataFrame:
-    """kind 0: (rep, n): links of rep in a shard, weights counted; kind 1: (rep, n): an edge of a spanning forest."""
+def search(rows: DataFrame, threshold: float, beam: int | None) -> DataFrame:
+    """By the graph, or without a beam by comparing whole shards. kind 0: (rep, n): links of rep in a shard, weights counted; kind 1: (rep, n): an edge of a spanning forest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_shard(batches):
@@ -290,7 +321,8 @@ def search(rows: DataFrame, threshold: float, beam: int) -> DataFrame:
             cell, one, two = (part.column(c)[0].as_py() for c in ("cell", "one", "two"))
             cells, side = part.column("cells").to_pylist(), part.column("side").to_pylist()
             home = part.column("home").to_numpy()
-            pairs = greedy(unit(raw), edges, threshold, beam, np.flatnonzero(home == cell))
+            who = np.flatnonzero(home == cell)
+            pairs = exact(unit(raw), threshold, who) if beam is None else greedy(unit(raw), edges, threshold, beam, who)
             pairs = np.unique(np.sort(pairs, 1), axis=0)
             big = np.abs(raw).max(1, keepdims=True)
             raw = raw / big
@@ -359,6 +391,14 @@ def truth(classes: DataFrame, queries: list[tuple[int, str, int, bytes]], thresh
     return {r["rep"]: r["n"] for r in got.collect()}
 
 
+def audited(classes: DataFrame, parts: DataFrame, audit: int) -> list[tuple[int, str, int, bytes]]:
+    """Queries (rep, label, dim, vec): about ``audit`` of all classes and as many of those that have others in range."""
+    linked = parts.where("linked").select("rep").distinct()
+    picked = [some.where(F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1_000_000)) < math.ceil(1e6 * min(1.0, audit / max(some.count(), 1)))).select("rep") for some in (classes, linked)]
+    few = classes.join(F.broadcast(picked[0].unionByName(picked[1]).distinct()), "rep", "left_semi")
+    return [(r["rep"], r["label"], r["dim"], bytes(r["vec"])) for r in few.select("rep", "label", "dim", "vec").collect()]
+
+
 def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, sample: int = SAMPLE, beam: int = BEAM, audit: int = AUDIT, found: dict | None = None) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept. ``found``: gets the audited recall."""
     rows = staged(usable(df, id_col, vec_col, label_col), "vectors")
@@ -366,11 +406,10 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
     classes = staged(able.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("vec").alias("vec")), "vector-classes")
     cells = centroids(classes, sample)
     parts = staged(shards(assign(classes, cells, threshold)), "shards")
-    near = graph(parts)
+    near = graph(parts, threshold)
     parts = staged(parts.join(near, "rep"), "graph")
-    total = classes.count()
-    few = classes.where(F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1_000_000)) < math.ceil(1e6 * min(1.0, audit / max(total, 1)))).select("rep", "label", "dim", "vec").collect() if audit else []
-    known = truth(classes, [(r["rep"], r["label"], r["dim"], bytes(r["vec"])) for r in few], threshold) if few else {}
+    few = audited(classes, parts, audit) if audit else []
+    known = truth(classes, few, threshold) if few else {}
     while True:
         result = staged(search(parts, threshold, beam), "links")
         counts = result.where("kind = 0").groupBy("rep").agg(F.sum("n").alias("n"))
@@ -379,9 +418,11 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
         recall = sum(min(got.get(k, 0), v) for k, v in known.items()) / all_true if all_true else 1.0
         if found is not None:
             found.update(recall=recall, links=all_true, queries=len(known), beam=beam)
-        if recall >= RECALL or beam >= 8 * BEAM:
+        if recall >= RECALL:
             break
-        beam *= 2
+        if beam is None:
+            raise RuntimeError(f"{recall:.3f} of the audited links found by comparing whole shards")
+        beam = beam * 2 if beam < 8 * BEAM else None
     of = components(result.where("kind = 1").select(F.col("rep").alias("a"), F.col("n").alias("b")))
     final = (
         classes.select("label", "dim", "key", "rep", "weight")

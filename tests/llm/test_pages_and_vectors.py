@@ -87,6 +87,39 @@ def test_recall_on_many_cells_and_chunks(spark, monkeypatch):
     assert found["recall"] >= 0.95 and sum(min(got[i], t) for i, t in enumerate(true)) >= 0.95 * true.sum() and all(got[i] <= t for i, t in enumerate(true))
 
 
+def groups_of_copies(groups, copies, dim):
+    r = np.random.default_rng(3)
+    base = neardup.unit(r.normal(size=(groups, dim)))
+    return (base[:, None] + 0.08 / np.sqrt(dim) * r.normal(size=(groups, copies, dim))).reshape(-1, dim)
+
+
+def test_all_of_a_graph_is_reached():
+    x = neardup.unit(groups_of_copies(30, 60, 256))
+    edges, linked = neardup.build(x, 0.98)
+    table, reached = [neardup.medoid(x)], {neardup.medoid(x)}
+    for i in table:
+        new = set(edges[i].tolist()) - reached
+        reached |= new
+        table += new
+    assert len(reached) == len(x) and linked.all()
+    who = np.arange(len(x))
+    pairs = lambda found: set(map(tuple, found.tolist()))
+    true = pairs(np.argwhere((x @ x.T >= 0.98 - 1e-6) & ~np.eye(len(x), dtype=bool)))
+    assert pairs(neardup.exact(x, 0.98, who)) == true
+    assert len(pairs(neardup.greedy(x, edges, 0.98, neardup.BEAM, who)) & true) >= 0.95 * len(true)
+
+
+def test_links_a_blind_search_misses_are_found(spark, monkeypatch):
+    x = groups_of_copies(6, 20, 32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(neardup, "greedy", lambda x, edges, threshold, beam, who: np.zeros((0, 2), np.int64))
+    monkeypatch.setattr(neardup, "BEAM", 3)
+    found = {}
+    got = {a.vec_id: a.n_links for a in neardup.near_duplicates(df, found=found).collect()}
+    u = neardup.unit(x)
+    assert found["recall"] == 1.0 and found["links"] and [got[i] for i in range(len(x))] == ((u @ u.T >= 0.98).sum(1) - 1).tolist()
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in graph.components(edges).collect()}
