@@ -4,8 +4,7 @@ Text is lower-cased, every run of non-letters becomes one space, and a document
 after three spaces. Four characters, 16 bits each, make a key; characters beyond the basic plane count as one symbol.
 
 Training counts the four-grams of all training documents per language (a sum by key in Spark, after each task has
-summed what it read). A four-gram stays in the model if its share of its language's four-grams is at least
-``MIN_SHARE``, so a language has at most 1 / MIN_SHARE entries at any input size: that bounds what is broadcast.
+summed what it read). Every four-gram stays in the model, so what is broadcast grows with the different four-grams of the input.
 From these the driver derives continuation counts, discounts and interpolated probabilities of all orders, as sorted
 arrays of hashed keys with one column of log probabilities for each language.
 
@@ -29,10 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .base import slices
+from .base import slices, staged
 
 ORDER = 4
-MIN_SHARE = 1e-6
 SAMPLE = 4096
 REJECT = 0.005
 
@@ -224,30 +222,27 @@ def count_grams(rows: DataFrame) -> DataFrame:
     return counted.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(rows: DataFrame, *, min_share: float = MIN_SHARE, sample: int = SAMPLE) -> Model:
-    """A model of ``lang, text`` rows."""
-    counts = count_grams(rows).persist()
-    totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted(totals)
-    least = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v * min_share)) for k, v in totals.items()], F.lit(0.0))
-    kept = counts.where(F.col("n") >= least).toPandas()
-    counts.unpersist()
+def train(rows: DataFrame, *, id_col: str | None = None, sample: int = SAMPLE) -> Model:
+    """A model of ``lang, text`` rows; by ``id_col``, or by their place where there is none, they are sampled for calibration."""
+    counts = staged(count_grams(rows), "grams")
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     parts = []
     for k in langs:
-        one = kept[kept.lang == k]
-        keys = one.gram.to_numpy(np.int64).view(_U)
+        one = counts.where(F.col("lang") == k).select("gram", "n").toArrow()
+        keys, n = one.column("gram").to_numpy().view(_U), one.column("n").to_numpy()
         order = np.argsort(keys)
-        parts.append((keys[order], one.n.to_numpy()[order]))
+        parts.append((keys[order], n[order]))
     model = Model(langs, parts)
     if langs:
-        calibrate(model, rows, sample)
+        calibrate(model, rows, sample, id_col)
     return model
 
 
-def calibrate(model: Model, rows: DataFrame, sample: int) -> None:
+def calibrate(model: Model, rows: DataFrame, sample: int, id_col: str | None = None) -> None:
     known = rows.where("lang is not null and text is not null")
     n = known.select("lang").count()
-    picked = known.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(math.ceil(1e6 * min(1.0, sample / max(n, 1)))))
+    numbered = known.select("lang", "text", (F.col(id_col) if id_col else F.monotonically_increasing_id()).alias("row"))  # copies of a text are rows of their own
+    picked = numbered.where(F.pmod(F.xxhash64("text", "row"), F.lit(1_000_000)) < F.lit(math.ceil(1e6 * min(1.0, sample / max(n, 1)))))
     shared, index = known.sparkSession.sparkContext.broadcast(model), {k: i for i, k in enumerate(model.langs)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

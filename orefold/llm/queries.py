@@ -14,7 +14,7 @@ def held_out() -> Column:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = langid.train(docs.where(~held_out()))
+    model = langid.train(docs.where(~held_out()), id_col="doc_id")
     return langid.identify(docs, model, keep=(F.col("doc_id"), held_out()))
 
 

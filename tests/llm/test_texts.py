@@ -235,6 +235,21 @@ def test_hash_array_finds_all():
     assert (table.hashes[at] == langid.mix(keys)).all() and (table.find(keys + np.uint64(1)) == -1).all()
 
 
+def test_rare_grams_of_large_languages_stay(spark):
+    rows = spark.range(600).selectExpr("'l' as lang", "repeat('common words of it ', 200) as text").unionByName(spark.sql("select 'l' as lang, 'xyzq' as text"))
+    model = langid.train(rows, sample=10)
+    keys, _ = langid.keys_of(["xyzq"])
+    assert (model.tables[langid.ORDER - 1][0].find(keys) >= 0).all()
+
+
+def test_copies_of_a_text_do_not_flood_calibration(spark, monkeypatch):
+    rows = spark.range(4000).selectExpr("'l' as lang", "'one and the same text' as text")
+    seen = []
+    monkeypatch.setattr(np, "quantile", lambda own, q: seen.append(len(own)) or 0.0)
+    langid.calibrate(langid.Model(["l"], [np.unique(langid.keys_of(["one and the same text"])[0], return_counts=True)]), rows, 400)
+    assert seen and 200 < seen[0] < 600
+
+
 def test_language_of_held_out_documents(spark):
     r = random.Random(2)
     make = lambda parts: " ".join("".join(r.choice(parts) for _ in range(3)) for _ in range(20))
