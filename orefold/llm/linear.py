@@ -2,7 +2,7 @@
 
 Labelled rows are a bounded sample (``SAMPLE`` rows, by a hash of the text): their ids and labels are broadcast, their
 texts are staged once. Executors count in how many sampled texts of either class each hashed n-gram occurs; the
-driver adds up these arrays of fixed size, picks the features whose counts differ most and gives each its log-count ratio.
+driver adds up these arrays of fixed size, picks every feature whose counts differ clearly and gives each its log-count ratio.
 A second pass over the sample brings the driver each text's features; there a linear model is fitted by dual coordinate
 descent, with hinge loss (a support vector machine) or logistic loss, and its margins are turned into
 probabilities on a held-out part of the sample. Scoring is one pass over all documents without a shuffle.
@@ -27,7 +27,6 @@ from .base import slices, staged
 
 BITS = 20
 SAMPLE = 24_000
-FEATURES = 8192
 
 #: From texts to (number of the text, bucket) of each n-gram in them, repeats included.
 Cells = Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
@@ -46,10 +45,10 @@ def distinct(doc: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return both >> BITS, both & ((1 << BITS) - 1)
 
 
-def descend(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: np.ndarray, *, logistic: bool, rounds: int, seed: int = 0) -> tuple[np.ndarray, float]:
+def descend(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: np.ndarray, *, logistic: bool, rounds: int = 1000, seed: int = 0) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for  min |w|^2 / 2 + sum cost_i loss(y_i (w.x_i + b)).
 
-    x_i has ``values[j]`` at each j in rows[i], and 1 for the bias, which is learned like any other weight.
+    It ends when no step of a round is above a thousandth of its cost. x_i has ``values[j]`` at each j in rows[i], and 1 for the bias, which is learned like any other weight.
     """
     w, b = np.zeros(len(values)), 0.0
     norm = np.array([float((values[r] ** 2).sum()) + 1 for r in rows])
@@ -138,13 +137,10 @@ def train(
     text_col: str = "text",
     logistic: bool = False,
     sample: int = SAMPLE,
-    features: int = FEATURES,
     strength: float = 1.0,
     least: int = 3,
 ) -> Model:
     """``docs`` must hold only the documents whose labels may be learned from."""
-    if features > 1 << 16:
-        raise ValueError("at most 65536 features")
     rows = sampled(docs, labels, doc_col=doc_col, text_col=text_col, label_col=label_col, sample=sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +164,8 @@ def train(
     ratio = np.log((n[1] + 1) / (size[1] + 2)) - np.log((n[0] + 1) / (size[0] + 2))
     total, p = n.sum(0), size[1] / size.sum()
     z = np.abs(n[1] - total * p) / np.sqrt(np.maximum(total * p * (1 - p) * (1 - total / (size.sum() + 1)), 1e-9))
-    z[(total < least) | (z < 3)] = 0
+    z[(total < least) | (z < 2.5)] = 0
     chosen = np.flatnonzero(z)
-    chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:features]])
     number = np.full(1 << BITS, -1, np.int32)
     number[chosen] = np.arange(len(chosen))
     shared = rows.sparkSession.sparkContext.broadcast(number)
@@ -181,11 +176,11 @@ def train(
             hit = shared.value[cell] >= 0
             doc, cell = distinct(doc[hit], cell[hit])
             ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            own = shared.value[cell].astype(np.uint16)
+            own = shared.value[cell]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([own[s:e].tobytes() for s, e in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["y", "x"])
 
-    got = sorted((r.y, bytes(r.x)) for r in rows.mapInArrow(encode, "y int, x binary").collect())
-    x = [np.frombuffer(r[1], np.uint16) for r in got]
+    got = sorted((r.y, bytes(r.x)) for r in rows.mapInArrow(encode, "y int, x binary").toLocalIterator())
+    x = [np.frombuffer(r[1], np.int32) for r in got]
     y = np.where(np.array([r[0] for r in got]) > 0, 1.0, -1.0)
     values = ratio[chosen]
     values = values / max(np.sqrt(np.mean([float((values[r] ** 2).sum()) for r in x])), 1e-9)
@@ -194,7 +189,7 @@ def train(
     out = {}
     for name, inside in (("trial", part != 0), ("final", part >= 0)):
         keep = np.flatnonzero(inside)
-        out[name] = descend([x[i] for i in keep], values, y[keep], cost[keep], logistic=logistic, rounds=12)
+        out[name] = descend([x[i] for i in keep], values, y[keep], cost[keep], logistic=logistic)
     w, b = out["trial"]
     held = np.flatnonzero(part == 0)
     a, c = sigmoid_fit(np.array([float(w[x[i]] @ values[x[i]]) + b for i in held]), y[held]) if len(held) else (1.0, 0.0)

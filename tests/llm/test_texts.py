@@ -295,6 +295,22 @@ def test_classifier_learns_and_takes_odd_texts(spark, module):
     assert 0 < module.score(docs, none, F.col("doc_id")).first().score < 1
 
 
+def test_each_of_many_expressions_counts(spark):
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    r, n = random.Random(5), 4500  # of 9,000 words, 4,500 stand in bad texts only, each in 12 of them
+    texts, of = [], []
+    for label in (0, 1):
+        places = [2 * i + label for i in range(n) for _ in range(12)]
+        r.shuffle(places)
+        for a in range(0, len(places), 30):
+            texts.append(" ".join(word(37 * i) for i in places[a : a + 30]))
+            of.append(label)
+    labels = spark.createDataFrame(list(enumerate(of)), "doc_id long, quality int")
+    model = quality.train(frame(spark, texts), labels)
+    got = model.margins([word(37 * i) for i in range(2 * n)]) - model.bias
+    assert np.mean(got != 0) > 0.95
+
+
 def test_cells_of_one_text_do_not_depend_on_its_neighbours():
     for module in (toxicity, quality):
         texts = ["One two!!", "", "three", None, "four FIVE five"]
