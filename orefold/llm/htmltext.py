@@ -10,7 +10,8 @@ given pages (``SAMPLE`` rows by a hash) that mark their article themselves, whos
 
 Cases: null, empty or tagless html: without a tag the whole is one block and kept if the field says so; a page
 without main blocks has empty text; scripts, styles, comments, form controls and head titles are no blocks at all;
-unclosed tags end with their parent; repeated pages are extracted one by one; only the named columns are read.
+unclosed tags end with their parent, unclosed elements without text of their own with the next block, and a head
+with the first element or text that can't stand in it; repeated pages are extracted one by one; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ SILENT = frozenset("script style noscript template title textarea select button
 RAW = frozenset("script style textarea title iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK - {"body", "html", "head"}
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -52,6 +54,50 @@ class Block:
         self.text, self.links, self.path, self.gold = text, links, path, gold
 
 
+def tags(page: str) -> list[tuple[int, int, str, bool, str]]:
+    """Start and end in the page, name, whether it is an end tag, attributes; a comment has no name, what RAW elements hold is part of their tag."""
+    out, skip_to = [], 0
+    for m in _TOKEN.finditer(page):
+        if m.start() < skip_to:
+            continue
+        name, closing, skip_to = (m[2] or m[5] or "").lower(), (m[1] or m[4]) == "/", m.end()
+        if name in RAW and not closing:
+            end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, m.end())
+            skip_to = end.end() if end else len(page)
+        out.append((m.start(), skip_to, name, closing, (m[3] if m[2] else m[6]) or ""))
+    return out
+
+
+def _opens_silence(name: str, attributes: str) -> bool:
+    return name in SILENT and name not in RAW and not (name in ("svg", "math") and attributes.endswith("/"))
+
+
+def _unclosed(found: list[tuple[int, int, str, bool, str]]) -> set[int]:
+    """Which tags start a silent element that ends with its parent or the page, not by its own end tag."""
+    out: set[int] = set()
+    stack: list[tuple[str, int]] = []
+
+    def cut(k: int) -> None:
+        out.update(i for name, i in stack[k:] if name in SILENT)
+        del stack[k:]
+
+    for i, (_, _, name, closing, attributes) in enumerate(found):
+        if name == "head" or name in VOID or not (name in BLOCK or name in SILENT):
+            continue
+        at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None) if closing or name in ("button", "select") else None
+        if closing:
+            if at is not None:
+                cut(at + 1)
+                stack.pop()
+        else:
+            if at is not None:  # a button can't stand in a button
+                cut(at)
+            if name in BLOCK or _opens_silence(name, attributes):
+                stack.append((name, i))
+    cut(0)
+    return out
+
+
 def blocks(page: str | None) -> list[Block]:
     """Blocks in page order; ``path`` has (tag, attribute words) of the open block elements."""
     out: list[Block] = []
@@ -59,7 +105,15 @@ def blocks(page: str | None) -> list[Block]:
         return out
     stack: list[tuple[str, tuple[str, ...], int | None]] = []
     parts: list[tuple[str, bool]] = []
-    silent, anchors, at, skip_to = 0, 0, 0, 0
+    anchors, at = 0, 0
+    quiet: int | None = None  # place in the stack of the first silent element
+    loose: int | None = None  # and of the first that has no end tag
+
+    def cut(k: int) -> None:
+        nonlocal quiet, loose
+        del stack[k:]
+        quiet = None if quiet is not None and quiet >= k else quiet
+        loose = None if loose is not None and loose >= k else loose
 
     def flush() -> None:
         if parts:
@@ -67,59 +121,59 @@ def blocks(page: str | None) -> list[Block]:
             if text:
                 linked = sum(len(p) for p, a in parts if a)
                 whole = sum(len(p) for p, _ in parts)
-                gold = next((s[2] for s in reversed(stack) if s[2] is not None), None)
-                out.append(Block(text, round(10 * linked / whole), tuple((s[0], s[1]) for s in stack), gold))
+                gold = next((s[2] for s in reversed(stack[:quiet]) if s[2] is not None), None)
+                out.append(Block(text, round(10 * linked / whole), tuple((s[0], s[1]) for s in stack[:quiet]), gold))
             parts.clear()
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < skip_to:
-            continue
-        if m.start() > at and not silent:
-            parts.append((page[at : m.start()], anchors > 0))
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
+    found = tags(page)
+    unclosed = _unclosed(found)
+    for i, (start, end, name, closing, attributes) in enumerate(found):
+        if start > at:
+            if stack and stack[-1][0] == "head" and not page[at:start].isspace():
+                cut(len(stack) - 1)
+            if quiet is None:
+                parts.append((page[at:start], anchors > 0))
+        at = end
+        if not name or (name in RAW and not closing):
             continue
-        name = name.lower()
-        closing = (m[1] or m[4]) == "/"
-        if name in RAW and not closing:
-            end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            at = skip_to = end.end() if end else len(page)
-            continue
-        if name in SILENT and name not in VOID:
-            if closing:
-                silent = max(0, silent - 1)
-                if name == "head":
-                    silent = 0
-            else:
-                silent += 1
-        elif name == "body":
-            silent = 0
+        if not closing and name not in IN_HEAD and stack and stack[-1][0] == "head":
+            cut(len(stack) - 1)
+        if loose is not None and name in BLOCK and name not in ("option", "hr"):
+            cut(loose)
+        if name == "body" and not closing and quiet is not None:
+            cut(quiet)
+        silences = not closing and _opens_silence(name, attributes)
         if name == "br":
             parts.append((" ", False))
         elif name == "a":
             anchors = max(0, anchors - 1) if closing else anchors + 1
-        elif name in BLOCK:
-            flush()
+        elif name in BLOCK or name in SILENT:
+            if name in BLOCK:
+                flush()
             if closing:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
-                        del stack[k:]
+                        cut(k)
                         break
-            elif name not in VOID:
+            elif name not in VOID and (name in BLOCK or silences):
                 if name in CLOSES_P and stack and stack[-1][0] == "p":
                     stack.pop()
                 if name == "li" and stack and stack[-1][0] == "li":
                     stack.pop()
                 words, gold = (), None
-                attributes = m[3] if m[2] else m[6]
                 if attributes:
-                    found = [(k.lower(), a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(attributes)]
-                    words = tuple(sorted({w for k, v in found if k != "data-label" for w in _PART.findall(v.lower())}))
-                    gold = next((int(v) for k, v in found if k == "data-label"), None)
+                    own = [(k.lower(), a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(attributes)]
+                    words = tuple(sorted({w for k, v in own if k != "data-label" for w in _PART.findall(v.lower())}))
+                    gold = next((int(v) for k, v in own if k == "data-label"), None)
+                if silences:
+                    quiet = len(stack) if quiet is None else quiet
+                    loose = len(stack) if loose is None and i in unclosed else loose
                 stack.append((name, words, gold))
-                anchors = 0
-    if at < len(page) and not silent:
+                if name in BLOCK:
+                    anchors = 0
+    if at < len(page) and stack and stack[-1][0] == "head" and not page[at:].isspace():
+        cut(len(stack) - 1)
+    if at < len(page) and quiet is None:
         tail = page[at:]
         cut = re.search(r"<[a-zA-Z/!][^>]*\Z", tail)
         parts.append((tail[: cut.start()] if cut else tail, anchors > 0))

@@ -31,6 +31,25 @@ def test_blocks():
     assert [b.text for b in htmltext.blocks(next(iter(PAGES)))] == ["One & two", "three"]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><svg class='i' /><p>One</p><p>two</p>",
+        "<body><div><svg><path d=x></div><p>One</p><p>two</p>",
+        "<body><button>menu<article><p>One</p><p>two</p></article></body>",
+        "<body><button>menu<article><p>One</p></article><button>x</button><p>two</p></body>",
+        "<body><select><option>a<option>b<article><p>One</p><p>two</p></article>",
+        "<object data=x><p>One</p><p>two</p>",
+        "<body><noscript><template>no</noscript><p>One</p><p>two</p>",
+        "<html><head><meta charset=x><title>t</title><p>One</p><p>two</p>",
+        "<head><title>t</title>One<p>two</p>",
+        "<body><p>One</p><button><div>no</div></button><svg><text>no</text><svg/></svg><object><p>no</p></object><p>two</p>",
+    ],
+)
+def test_silent_elements_end(page):
+    assert [b.text for b in htmltext.blocks(page)] == ["One", "two"]
+
+
 def test_viterbi_is_the_best_of_all_labellings():
     r = np.random.default_rng(0)
     field = htmltext.Field({"a": 0, "b": 1}, r.normal(size=2), r.normal(size=(2, 2)), r.normal(size=2), r.normal(size=2))
