@@ -1,6 +1,7 @@
 """Operators on texts, held against plain versions of the same rules."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -202,8 +203,41 @@ def test_round_trip_and_chunks(vocabulary):
         assert ids == vocabulary.solve(whole, 0, len(whole))[0]
         for chunk in (16, 23):
             parts = pieces.chunks(vocabulary, t, chunk)
-            states = pieces.combine([(k, vocabulary.transfer(s, n, k * chunk)[0]) for k, s, n in parts])
-            assert ids == [i for (k, s, n), (_, a, b) in zip(parts, states, strict=True) for i in vocabulary.chunk_path(s, n, k * chunk, a, b)]
+            matrices = [vocabulary.transfer(s, n, k * chunk)[0] for k, s, n in parts]
+            states = pieces.combine(matrices)
+            assert ids == [i for (k, s, n), (a, b) in zip(parts, states, strict=True) for i in vocabulary.chunk_path(s, n, k * chunk, a, b)]
+            half = len(matrices) // 2
+            if half:  # any bracketing gives one product
+                left, right = pieces.scan(matrices[:half])[-1], pieces.scan(matrices[half:])[-1]
+                assert pieces.product(left, right)[0, 0] == pieces.scan(matrices)[-1][0, 0]
+                (_, middle), _ = pieces.combine([left, right])
+                assert pieces.combine(matrices[:half], 0, middle) + pieces.combine(matrices[half:], middle, 0) == states
+
+
+def test_best_of_all_segmentations():
+    r = random.Random(4)
+    letters = "ab" + pieces.SPACE
+    named = sorted({"".join(r.choice(letters) for _ in range(k)) for k in (1, 1, 2, 2, 2, 3, 3, 3, 4) for _ in range(3)} | {"a", "b", pieces.SPACE})
+    small = pieces.Vocabulary([(f"<0x{b:02X}>", 0.0, "byte") for b in range(256)] + [(p, -r.randrange(1, 9) / 2, "piece") for p in named])
+    sums = lambda ps: sum(round(small.pieces[small.ids[p]][1] * 1000) for p in ps)
+    for _ in range(40):
+        text = "".join(r.choice("ab ") for _ in range(r.randrange(1, 9)))
+        s = small.mask(text)
+        cuts = [[s[a:b] for a, b in zip((0, *c), (*c, len(s)), strict=True)] for k in range(len(s)) for c in itertools.combinations(range(1, len(s)), k)]
+        best = max(sums(c) for c in cuts if all(p in small.ids for p in c))
+        got = [small.pieces[i][0] for i in small.encode(text)]
+        assert "".join(got) == s and sums(got) == best
+
+
+def test_words_forgotten_and_met_again(vocabulary):
+    r = random.Random(2)
+    few = pieces.Vocabulary(vocabulary.pieces)
+    few.memo.most = 20
+    for _ in range(30):
+        texts = [" ".join("".join(r.choice("aeioé𝔘 日tn") for _ in range(r.randrange(1, 6))) for _ in range(8)) for _ in range(3)]
+        ids, counts = few.encode_texts(texts)
+        assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [vocabulary.encode(t) for t in texts]
+        assert few.decode_all(ids, counts) == texts
 
 
 def test_encoding_in_spark(spark, vocabulary):
@@ -213,6 +247,20 @@ def test_encoding_in_spark(spark, vocabulary):
     rows = pieces.decode(pieces.encode(docs, vocabulary, F.col("doc_id"), giant=100, chunk=64), vocabulary).collect()
     assert {r.doc_id: r.decoded for r in rows} == {i: t or "" for i, t in enumerate([*ODD, "giant text, " * 50])}
     assert {r.doc_id: r.ids for r in rows} == {i: vocabulary.encode(t) for i, t in enumerate([*ODD, "giant text, " * 50])}
+    with pytest.raises(ValueError):
+        pieces.encode(docs, vocabulary, F.col("doc_id").alias("ids"))
+    assert pieces.encode(docs.where("false"), vocabulary, F.col("doc_id").alias("row")).collect() == []
+    none = spark.createDataFrame([(1, None), (2, [None, -5, 10**6]), (3, [])], "row long, ids array<int>")
+    assert [r.decoded for r in pieces.decode(none, vocabulary).orderBy("row").collect()] == ["", "", ""]
+
+
+def test_many_chunks_in_several_levels(spark, vocabulary, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(pieces, "FAN", 3)
+    texts = ["no gaps at all".replace(" ", "") * 60, "some words, some " * 40 + "x" * 300, "short"]
+    got = pieces.encode(frame(spark, texts), vocabulary, F.col("doc_id"), giant=50, chunk=32).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: vocabulary.encode(t) for i, t in enumerate(texts)}
 
 
 # language
