@@ -36,6 +36,17 @@ def numeric_leaves(df: DataFrame, payload: str, *keep: str, depth: int = 5) -> D
     return out
 
 
+def all_leaves(df: DataFrame, payload: str, *keep: str, depth: int = 5) -> DataFrame:
+    """The same at any depth: as long as something lies deeper, twice the depth is walked."""
+    while True:
+        rows = numeric_leaves(df, payload, *keep, depth=depth)
+        # brackets bound the depth; only texts with more of them than levels are walked to see
+        brackets = F.regexp_count(F.col(payload), F.lit(r"[\[{]"))
+        if not numeric_leaves(df.where(brackets > depth), payload, depth=depth).where("too_deep").limit(1).count():
+            return rows.where("not too_deep").drop("too_deep")
+        depth *= 2
+
+
 def wide_to_long(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:
     return df.unpivot(ids, metrics, "metric_name", "metric_value")
 

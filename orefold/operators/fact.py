@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
-KEY_PARTS = ["profile_id", "team_group_id", "test_id", "assessment_family", "source_module", "metric_name", "side", "rep_number", "test_date", "metric_value"]
+#: A hint tells apart rows of one value, such as the trial's id; the date isn't part of the key, so a corrected date makes no second row.
+KEY_PARTS = ["profile_id", "team_group_id", "test_id", "assessment_family", "source_module", "metric_name", "side", "rep_number", "metric_value", "row_hint"]
 
 
 def rep_numbers(df: DataFrame, *, test: str = "test_id", side: str = "side", when: str = "test_date", trial: str = "trial_id", repeat: str = "repeat") -> DataFrame:
@@ -24,7 +27,8 @@ def first_of(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def with_row_key(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
-    cols = [S.key_number(F.col(c)) if c == "metric_value" else F.col(c) for c in parts or KEY_PARTS]
+    """md5 of the parts; what ``df`` has no column for is empty."""
+    cols = [F.lit(None) if c not in df.columns else S.key_number(F.col(c)) if c == "metric_value" else F.trim(F.col(c).cast("string")) for c in parts or KEY_PARTS]
     return df.withColumn("metric_row_key", S.row_key(*cols))
 
 
@@ -57,7 +61,7 @@ def family_fact(base: DataFrame, profiles: DataFrame, ids: list[str], metrics: l
     scope = [c for c in who.columns if c != "profile_id"]
     wide = jsonwalk.wide_to_long(rows, [*ids, *scope], metrics).withColumn("__rank", F.lit(0))
     if payload:
-        open_ = jsonwalk.numeric_leaves(rows, payload, *ids, *scope, depth=depth).where("not too_deep").drop("too_deep")
+        open_ = jsonwalk.all_leaves(rows, payload, *ids, *scope, depth=depth)
         wide = wide.unionByName(open_.withColumn("__rank", F.lit(1)))
     long = normalised(wide)
     return first_of(long, ["test_id", "metric_name", "side", "rep_number"], [F.asc("__rank"), F.asc("metric_value")]).drop("__rank")
@@ -85,11 +89,69 @@ def trial_fact(results: DataFrame, tests: DataFrame, trials: DataFrame, definiti
         .where("metric_value is not null")
     )
     ranked = rep_numbers(named).withColumn("__number", S.key_number(F.col("metric_value")))
-    keys = ["profile_id", "test_id", "metric_name", "side", "rep_number", "__number"]
+    keys = ["profile_id", *[c for c in ("team_group_id",) if c in ranked.columns], "test_id", "metric_name", "side", "rep_number", "__number", "trial_id"]
     order = [F.col(c).asc_nulls_last() for c in ("test_date", "metric_unit", "test_type", "result_id")]
     return first_of(ranked, keys, order).drop("__number", "tested_at", "trial_date", "trial_limb", "result_group", "result_name", "result_unit", "limb", "value")
 
 
+def _active(profiles: DataFrame) -> DataFrame:
+    return profiles.where("is_active").drop("is_active")
+
+
+def _first_in_test(rows: DataFrame) -> DataFrame:
+    """Of several values of a test's metric, side and repetition the one of the earliest source (``__rank``), then the least; without NULLs."""
+    return first_of(rows.where("metric_value is not null"), ["test_id", "metric_name", "side", "rep_number"], [F.asc("__rank"), F.asc("metric_value")]).drop("__rank")
+
+
+def gate_fact(summaries: DataFrame, details: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Timing gates: test_id, test_name, test_type, test_date, the profile's columns, metric_name, metric_value, metric_unit, side, rep_number.
+
+    Summaries (test_id, profile_id, test_name, test_type, test_date) with the details of their test, if any (test_id, profile_id, test_date, results,
+    reps as JSON); the detail's profile and date go first. Numbers of results have no repetition, those of repetitions, jumps and splits have.
+    """
+    from ..functions import jsonwalk
+
+    d = details.select("test_id", F.col("profile_id").alias("__profile"), F.col("test_date").alias("__date"), "results", "reps")
+    base = summaries.join(d, "test_id", "left").withColumn("profile_id", F.coalesce("__profile", "profile_id")).withColumn("test_date", F.coalesce("__date", "test_date"))
+    base = base.drop("__profile", "__date").join(_active(profiles), "profile_id").where("test_date is not null")
+    keep = [c for c in base.columns if c not in ("results", "reps")]
+    whole = jsonwalk.all_leaves(base, "results", *keep).select(*keep, F.lit(None).cast("int").alias("rep_number"), "metric_name", "metric_value", S.gate_unit(F.col("metric_name")).alias("metric_unit"), F.lit(0).alias("__rank"))
+    each = jsonwalk.repetition_leaves(base, "reps", *keep).withColumn("__rank", F.lit(1))
+    rows = whole.unionByName(each)
+    name = S.metric_name(F.col("metric_name"))
+    return _first_in_test(rows.withColumn("side", S.side_of_name(name)).withColumn("metric_name", S.name_without_side(name)))
+
+
+#: Numbers of a repetition's payload that stand in the trace and aren't metrics of their own.
+EXCLUDED = ("force", "force_newtons")
+
+
+def dynamometer_fact(tests: DataFrame, summaries: DataFrame, repetitions: DataFrame, profiles: DataFrame, *, of_summary: list[str], of_repetition: list[str], excluded: tuple[str, ...] = EXCLUDED) -> DataFrame:
+    """Dynamometer: summary rows and repetition rows of tests of active profiles, columns first, then the numbers of their payload (JSON).
+
+    tests: test_id, profile_id, test_name, test_type, test_date; summaries: test_id, side, payload, metrics; repetitions: also repetition_number.
+    """
+    from ..functions import jsonwalk
+
+    base = tests.join(_active(profiles), "profile_id").where("test_date is not null")
+    parts = []
+    for rows, metrics, numbered in ((summaries, of_summary, False), (repetitions, of_repetition, True)):
+        number = F.col("repetition_number").cast("int") if numbered else F.lit(None).cast("int")
+        own = base.join(rows.withColumn("rep_number", number).drop("repetition_number"), "test_id")
+        keep = [*base.columns, "side", "rep_number"]
+        wide = jsonwalk.wide_to_long(own, keep, metrics).withColumn("__rank", F.lit(0))
+        open_ = jsonwalk.all_leaves(own, "payload", *keep).withColumn("__rank", F.lit(1))
+        parts += [wide, open_.where(~F.col("metric_name").isin(*excluded)) if numbered else open_]
+    rows = reduce(DataFrame.unionByName, parts)
+    return _first_in_test(normalised(rows))
+
+
+def all_families(families: dict[str, DataFrame]) -> DataFrame:
+    """One fact of the families' facts, with assessment_family and the row key; columns that a family lacks are NULL."""
+    named = [df.withColumn("assessment_family", F.lit(k)) for k, df in families.items()]
+    return with_row_key(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named))
+
+
 def fill_ticks(df: DataFrame, group: str, position: str, tick: str) -> DataFrame:
     """A missing tick is the one before plus one; before any tick it is the position."""
     w = Window.partitionBy(group).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COHORT = ["assessment_family", "team_group_id", "test_type", "metric_name", "side"]
@@ -80,40 +80,55 @@ def stats(labelled: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def in_range(labelled: DataFrame, reference: str) -> DataFrame:
-    return labelled.where((F.col("metric_name") == reference) & ~F.col("is_above") & ~F.col("is_below"))
+#: What names a test in a catalog of reference metrics.
+NAMED = ("source_module", "assessment_family", "test_name")
 
 
-def back_to_rows(fact: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    """All metrics of what was chosen by ``keys``, NULL being a value."""
+def in_range(labelled: DataFrame) -> DataFrame:
+    return labelled.where(~F.col("is_above") & ~F.col("is_below"))
+
+
+def candidates(labelled: DataFrame, catalog: DataFrame, named: tuple[str, ...] = NAMED) -> DataFrame:
+    """Rows in range that hold their test name's reference metric; ``catalog``: the names and reference_metric (NULL: not covered)."""
+    c = catalog.where("reference_metric is not null").select(*[F.col(k).alias(f"c_{k}") for k in named], F.col("reference_metric").alias("c_metric")).distinct()
+    rows = in_range(labelled)
+    return rows.join(c, reduce(and_, [rows[k].eqNullSafe(c[f"c_{k}"]) for k in named], rows["metric_name"] == c["c_metric"]), "left_semi")
+
+
+def back_to_rows(rows: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of what was chosen by ``keys``, NULL being a value."""
     picked = chosen.select(*[F.col(k).alias(f"w_{k}") for k in keys]).distinct()
-    return fact.join(picked, reduce(and_, [fact[k].eqNullSafe(picked[f"w_{k}"]) for k in keys]), "left_semi")
+    return rows.join(picked, reduce(and_, [rows[k].eqNullSafe(picked[f"w_{k}"]) for k in keys]), "left_semi")
+
+
+def mart_simple(labelled: DataFrame, catalog: DataFrame, *, named: tuple[str, ...] = NAMED) -> DataFrame:
+    """All rows in range of tests with a candidate."""
+    return back_to_rows(in_range(labelled), candidates(labelled, catalog, named), ["test_id"])
 
 
-def mart_simple(fact: DataFrame, labelled: DataFrame, reference: str) -> DataFrame:
-    return back_to_rows(fact, in_range(labelled, reference), ["test_id"])
+def mart_by_side(labelled: DataFrame, catalog: DataFrame, *, named: tuple[str, ...] = NAMED) -> DataFrame:
+    """All rows in range of tests and sides with a candidate."""
+    return back_to_rows(in_range(labelled), candidates(labelled, catalog, named), ["test_id", "side"])
 
 
-def mart_by_side(fact: DataFrame, labelled: DataFrame, reference: str) -> DataFrame:
-    return back_to_rows(fact, in_range(labelled, reference), ["test_id", "side"])
+def _first(rows: DataFrame, keys: list[str], value: Column, tie: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(value, F.col("rep_number").asc(), *[F.col(t).asc_nulls_last() for t in tie])
+    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1")
 
 
-def mart_least_rep(fact: DataFrame, labelled: DataFrame, reference: str, *, lower_is_better: bool = True, tie: list[str] = ()) -> DataFrame:
-    """All metrics of the best repetition of each test."""
-    value = F.col("metric_value").asc_nulls_last() if lower_is_better else F.col("metric_value").desc_nulls_last()
-    w = Window.partitionBy("test_id").orderBy(value, F.col("rep_number").asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie])
-    best = in_range(labelled, reference).withColumn("__n", F.row_number().over(w)).where("__n = 1")
-    return back_to_rows(fact, best, ["test_id", "side", "rep_number"])
+def mart_least_rep(labelled: DataFrame, catalog: DataFrame, *, named: tuple[str, ...] = NAMED, tie: tuple[str, ...] = ("metric_row_key",)) -> DataFrame:
+    """All rows in range, of any side, of the repetition with a test's least candidate; candidates have a repetition number."""
+    rows = candidates(labelled, catalog, named).where("rep_number is not null")
+    return back_to_rows(in_range(labelled), _first(rows, ["test_id"], F.col("metric_value").asc_nulls_last(), list(tie)), ["test_id", "rep_number"])
 
 
-def mart_greatest_rep_by_side(fact: DataFrame, labelled: DataFrame, reference: str, *, tie: list[str] = ()) -> DataFrame:
-    """All metrics of the best repetition of each test and side; where a test has left or right, only these compete."""
-    rows = in_range(labelled, reference)
-    sided = F.bool_or(F.coalesce(F.col("side").isin("left", "right"), F.lit(False))).over(Window.partitionBy("test_id"))
-    rows = rows.withColumn("__sided", sided).where(~F.col("__sided") | F.coalesce(F.col("side").isin("left", "right"), F.lit(False)))
-    w = Window.partitionBy("test_id", "side").orderBy(F.col("metric_value").desc_nulls_last(), F.col("rep_number").asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie])
-    best = rows.withColumn("__n", F.row_number().over(w)).where("__n = 1")
-    return back_to_rows(fact, best, ["test_id", "side", "rep_number"])
+def mart_greatest_rep_by_side(labelled: DataFrame, catalog: DataFrame, *, named: tuple[str, ...] = NAMED, tie: tuple[str, ...] = ("metric_row_key",)) -> DataFrame:
+    """All rows in range of the repetition with the greatest candidate of each test and side; where a test has candidates of left or right, only
+    these compete."""
+    rows = candidates(labelled, catalog, named).where("rep_number is not null")
+    lateral = F.coalesce(F.col("side").isin("left", "right"), F.lit(False))
+    rows = rows.withColumn("__sided", F.bool_or(lateral).over(Window.partitionBy("test_id"))).where(~F.col("__sided") | lateral)
+    return back_to_rows(in_range(labelled), _first(rows, ["test_id", "side"], F.col("metric_value").desc_nulls_last(), list(tie)), ["test_id", "side", "rep_number"])
 
 
 def publish(existing: DataFrame, chosen: DataFrame, scope: DataFrame | None) -> DataFrame:

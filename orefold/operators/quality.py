@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .marts import LARGE_COHORT, exact_percentiles
 
 MIN_SAMPLES = 10
 Z_WARNING, Z_CRITICAL = 2.5, 3.5
@@ -39,48 +40,67 @@ def rule_table(spark: SparkSession, rules: dict[str, list] = RULES) -> DataFrame
     )
 
 
-def baselines(fact: DataFrame, keys: list[str], *, kind: str = "test_type", team: str = "team_group_id") -> DataFrame:
+def grains(rows: DataFrame, keys: list[str], kind: str, team: str) -> DataFrame:
+    """A row for each grain that a value belongs to: 0 all, 1 kind, 2 team, 3 both; a row without the grain's own dimension has no part in it."""
+    each = rows.select(*keys, team, kind, "metric_value").withColumn("grain", F.explode(F.array(*[F.lit(g) for g in range(4)])))
+    each = each.where(((F.col("grain") < 2) | F.col(team).isNotNull()) & ((F.col("grain") % 2 == 0) | F.col(kind).isNotNull()))
+    return each.withColumn(team, F.when(F.col("grain") >= 2, F.col(team))).withColumn(kind, F.when(F.col("grain") % 2 == 1, F.col(kind)))
+
+
+def percentiles(rows: DataFrame, by: list[str], value: str, shares: list[float], large: bool) -> DataFrame:
+    """``by`` (named q_...) and p0, p1, ...; for large groups by ranges of values, so that no task holds a group."""
+    if large:
+        out = exact_percentiles(rows, by, value, shares)
+    else:
+        out = rows.groupBy(*by).agg(F.percentile(value, shares).alias("p")).select(*by, *[F.col("p")[i].alias(f"p{i}") for i in range(len(shares))])
+    return out.withColumnsRenamed({c: f"q_{c}" for c in by})
+
+
+def baselines(fact: DataFrame, keys: list[str], *, kind: str = "test_type", team: str = "team_group_id", large: bool | None = None) -> DataFrame:
     """Per keys and grain (global, kind, team, team and kind) from ``MIN_SAMPLES`` values on: count, mean, sd, quartiles, ends, mad.
 
-    One pass with grouping sets; ``grain`` is 0 to 3, and a row without the grain's own dimension has no part in it.
+    ``large``: None looks at the greatest group first; groups above ``LARGE_COHORT`` values get the same numbers by ranges of values.
     """
     rows = fact.where("metric_value is not null")
-    sets = [(*keys,), (*keys, kind), (*keys, team), (*keys, team, kind)]
-    grouped = rows.groupingSets(sets, *keys, team, kind).agg(
-        F.grouping(team).alias("no_team"), F.grouping(kind).alias("no_kind"), F.count("*").alias("sample_count"), F.avg("metric_value").alias("mean_value"), F.stddev_pop("metric_value").alias("sd_value"),
-        F.percentile("metric_value", [0.25, 0.5, 0.75]).alias("p"), F.min("metric_value").alias("min_value"), F.max("metric_value").alias("max_value"),
-    )
-    grain = (2 * (1 - F.col("no_team")) + (1 - F.col("no_kind"))).alias("grain")
-    dims = ((F.col("no_team") == 1) | F.col(team).isNotNull()) & ((F.col("no_kind") == 1) | F.col(kind).isNotNull())
-    out = grouped.where(dims & (F.col("sample_count") >= MIN_SAMPLES)).select(
-        *keys, team, kind, grain, "sample_count", "mean_value", "sd_value", F.col("p")[0].alias("p25_value"), F.col("p")[1].alias("median_value"), F.col("p")[2].alias("p75_value"), "min_value", "max_value"
+    if large is None:
+        large = (rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > LARGE_COHORT
+    by = [*keys, team, kind, "grain"]
+    each = grains(rows, keys, kind, team)
+    same = lambda a, b, p: reduce(and_, [a[c].eqNullSafe(b[f"{p}_{c}"]) for c in by])
+    plain = each.groupBy(*by).agg(
+        F.count("*").alias("sample_count"), F.avg("metric_value").alias("mean_value"), F.stddev_pop("metric_value").alias("sd_value"), F.min("metric_value").alias("min_value"), F.max("metric_value").alias("max_value"),
+        *([] if large else [F.percentile("metric_value", [0.25, 0.5, 0.75]).alias("p")]),
+    ).where(F.col("sample_count") >= MIN_SAMPLES)
+    if large:
+        q = percentiles(each, by, "metric_value", [0.25, 0.5, 0.75], True)
+        plain = plain.join(q, same(plain, q, "q")).withColumn("p", F.array("p0", "p1", "p2"))
+    base = plain.select(
+        *by, "sample_count", "mean_value", "sd_value", F.col("p")[0].alias("p25_value"), F.col("p")[1].alias("median_value"), F.col("p")[2].alias("p75_value"), "min_value", "max_value"
     )
-    return with_mad(rows, out, keys, kind=kind, team=team)
-
-
-def with_mad(rows: DataFrame, base: DataFrame, keys: list[str], *, kind: str, team: str) -> DataFrame:
-    """The median distance from the median, per baseline: each value goes to the four grains it belongs to."""
-    each = rows.select(*keys, team, kind, "metric_value").withColumn("grain", F.explode(F.array(*[F.lit(g) for g in range(4)])))
-    each = each.withColumn(team, F.when(F.col("grain") >= 2, F.col(team))).withColumn(kind, F.when(F.col("grain") % 2 == 1, F.col(kind)))
-    b = base.select(*[F.col(c).alias(f"b_{c}") for c in (*keys, team, kind, "grain")], "median_value")
-    on = reduce(and_, [each[c].eqNullSafe(b[f"b_{c}"]) for c in (*keys, team, kind, "grain")])
-    mad = each.join(b, on).groupBy(*keys, team, kind, "grain").agg(F.percentile(F.abs(F.col("metric_value") - F.col("median_value")), 0.5).alias("mad_value"))
-    m = mad.select(*[F.col(c).alias(f"m_{c}") for c in (*keys, team, kind, "grain")], "mad_value")
-    return base.join(m, reduce(and_, [base[c].eqNullSafe(m[f"m_{c}"]) for c in (*keys, team, kind, "grain")])).drop(*[f"m_{c}" for c in (*keys, team, kind, "grain")])
+    b = base.select(*[F.col(c).alias(f"b_{c}") for c in by], "median_value")
+    distance = each.join(b, same(each, b, "b")).select(*by, F.abs(F.col("metric_value") - F.col("median_value")).alias("distance"))
+    mad = percentiles(distance, by, "distance", [0.5], large)
+    return base.join(mad, same(base, mad, "q")).drop(*[f"q_{c}" for c in by]).withColumnRenamed("p0", "mad_value")
 
 
 def with_baseline(fact: DataFrame, base: DataFrame, keys: list[str], *, kind: str = "test_type", team: str = "team_group_id") -> DataFrame:
-    """Each row with the finest baseline there is: team and kind, team, kind, global."""
+    """Each row with the finest baseline there is: team and kind, team, kind, global. Which one that is, is found once for each pair of team and
+    kind that a metric has, so the baselines are read once."""
+    by = [*keys, team, kind, "grain"]
     values = [c for c in base.columns if c not in (*keys, team, kind)]
-    out = fact
-    for g, dims in ((3, (team, kind)), (2, (team,)), (1, (kind,)), (0, ())):
-        one = base.where(F.col("grain") == g).select(*[F.col(c).alias(f"b_{c}") for c in (*keys, *dims)], F.struct(*values).alias(f"g{g}"))
-        out = out.join(one, reduce(and_, [out[c] == one[f"b_{c}"] for c in (*keys, *dims)]), "left").drop(*[f"b_{c}" for c in (*keys, *dims)])
-    return out.withColumn("b", F.coalesce("g3", "g2", "g1", "g0")).drop("g0", "g1", "g2", "g3")
+    pairs = fact.select(*keys, F.col(team).alias("__team"), F.col(kind).alias("__kind")).distinct()
+    named = pairs.select(*keys, "__team", "__kind", F.col("__team").alias(team), F.col("__kind").alias(kind), F.lit(0.0).alias("metric_value"))
+    asked = grains(named.withColumn("__pair", F.struct("__team", "__kind")), [*keys, "__pair"], kind, team)
+    b = base.select(*[F.col(c).alias(f"b_{c}") for c in by], F.struct(*values).alias("b"))
+    found = asked.join(b, reduce(and_, [asked[c].eqNullSafe(b[f"b_{c}"]) for c in by])).groupBy(*keys, "__pair").agg(F.max_by("b", "grain").alias("b"))
+    found = found.select(*[F.col(k).alias(f"f_{k}") for k in keys], F.col("__pair.__team").alias("f_team"), F.col("__pair.__kind").alias("f_kind"), "b")
+    on = reduce(and_, [*[fact[k].eqNullSafe(found[f"f_{k}"]) for k in keys], fact[team].eqNullSafe(found["f_team"]), fact[kind].eqNullSafe(found["f_kind"])])
+    return fact.join(found, on, "left").drop(*[f"f_{k}" for k in keys], "f_team", "f_kind")
 
 
-def _flag(kind: str, severity: Column) -> Column:
-    return F.struct(F.lit(kind).alias("flag_type"), severity.alias("severity"))
+def _flag(kind: str, severity: Column, **details: Column) -> Column:
+    """``details``: JSON of what led to the flag."""
+    return F.struct(F.lit(kind).alias("flag_type"), severity.alias("severity"), F.to_json(F.struct(*[c.cast("double").alias(n) for n, c in details.items()])).alias("details"))
 
 
 def flags(rows: DataFrame) -> DataFrame:
@@ -92,12 +112,12 @@ def flags(rows: DataFrame) -> DataFrame:
     outside = (v < low) | (v > high)
     far = (v < F.round(low - width, 9)) | (v > F.round(high + width, 9))
     all_flags = F.array(
-        _flag("negative_value", F.when(F.col("non_negative") & (v < 0), "critical")),
-        _flag("range_violation", F.when((v < F.col("abs_min")) | (v > F.col("abs_max")), "critical")),
-        _flag("outlier_modified_zscore", F.when(z >= F.col("z_critical"), "critical").when(z >= F.col("z_warning"), "warning")),
-        _flag("outlier_iqr", F.when(outside & far, "critical").when(outside, "warning")),
+        _flag("negative_value", F.when(F.col("non_negative") & (v < 0), "critical"), value=v),
+        _flag("range_violation", F.when((v < F.col("abs_min")) | (v > F.col("abs_max")), "critical"), value=v, least=F.col("abs_min"), most=F.col("abs_max")),
+        _flag("outlier_modified_zscore", F.when(z >= F.col("z_critical"), "critical").when(z >= F.col("z_warning"), "warning"), value=v, modified_z=z, median=F.col("b.median_value"), mad=F.col("b.mad_value"), samples=F.col("b.sample_count")),
+        _flag("outlier_iqr", F.when(outside & far, "critical").when(outside, "warning"), value=v, low=low, high=high, p25=F.col("b.p25_value"), p75=F.col("b.p75_value"), samples=F.col("b.sample_count")),
     )
-    return rows.where("metric_value is not null").withColumn("flag", F.explode(F.filter(all_flags, lambda f: f["severity"].isNotNull()))).select("*", "flag.flag_type", "flag.severity").drop("flag")
+    return rows.where("metric_value is not null").withColumn("flag", F.explode(F.filter(all_flags, lambda f: f["severity"].isNotNull()))).select("*", "flag.flag_type", "flag.severity", "flag.details").drop("flag")
 
 
 def asymmetry_flags(fact: DataFrame, keys: list[str], *, least: float = 0.0, warning: float = ASYMMETRY_WARNING, critical: float = ASYMMETRY_CRITICAL) -> DataFrame:
@@ -110,12 +130,24 @@ def asymmetry_flags(fact: DataFrame, keys: list[str], *, least: float = 0.0, war
     return pct.withColumn("severity", F.when(F.col("asymmetry_pct") >= critical, "critical").when(F.col("asymmetry_pct") >= warning, "warning")).where("severity is not null")
 
 
-def persist_flags(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, value, status after an audit: an open flag takes the new value, a reviewed one stays, new ones open, a
-    superseded one that comes back opens again, and an open one that did not come back is superseded."""
+def persist_flags(old: DataFrame, new: DataFrame, keys: list[str], *, within: DataFrame | None = None) -> DataFrame:
+    """keys, what else ``new`` has, status after an audit: an open flag takes the new values, a reviewed one stays, new ones open, a
+    superseded one that comes back opens again. An open one that did not come back is superseded, if its row was looked at (``within``: rows
+    looked at, by some of the keys; None: all), and else stays open."""
     o, n = old.withColumn("__o", F.lit(True)).alias("o"), new.withColumn("__n", F.lit(True)).alias("n")
     both = o.join(n, reduce(and_, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]), "full")
     reviewed = F.coalesce(~F.col("o.status").isin("open", "superseded"), F.lit(False))
-    status = F.when(reviewed, F.col("o.status")).when(F.col("n.__n"), "open").otherwise("superseded")
-    value = F.when(reviewed | F.col("n.__n").isNull(), F.col("o.value")).otherwise(F.col("n.value"))
-    return both.select(*[F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in keys], value.alias("value"), status.alias("status"))
+    gone = F.col("n.__n").isNull()
+    values = [c for c in new.columns if c not in keys]
+    old_value = lambda c: F.col(f"o.{c}") if c in old.columns else F.lit(None)
+    out = both.select(
+        *[F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in keys],
+        *[F.when(reviewed | gone, old_value(c)).otherwise(F.col(f"n.{c}")).alias(c) for c in values],
+        F.when(reviewed, F.col("o.status")).when(~gone, "open").otherwise("superseded").alias("status"), (gone & (F.col("o.status") == "open")).alias("__gone"),
+    )
+    if within is None:
+        return out.drop("__gone")
+    w = within.select(*[F.col(c).alias(f"w_{c}") for c in within.columns], F.lit(True).alias("__seen")).distinct()
+    out = out.join(w, reduce(and_, [out[c].eqNullSafe(w[f"w_{c}"]) for c in within.columns]), "left")
+    status = F.when(F.col("__gone") & F.col("__seen").isNull(), "open").otherwise(F.col("status"))
+    return out.withColumn("status", status).drop("__gone", "__seen", *[f"w_{c}" for c in within.columns])

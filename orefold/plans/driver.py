@@ -9,7 +9,6 @@ from ..functions.jsonwalk import wide_to_long
 from ..operators.fact import first_of
 
 METRICS = ["quantity", "extendedprice", "discount", "tax"]
-REFERENCE = "extendedprice"
 IDS = ["profile_id", "team_group_id", "assessment_family", "test_id", "test_type", "test_date", "side", "rep_number"]
 _LINE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -57,6 +56,5 @@ limits AS (SELECT assessment_family, team_group_id, test_type, metric_name, side
   quantile_cont(metric_value, 0.25) AS p25, quantile_cont(metric_value, 0.99) * {factor} AS upper_limit, quantile_cont(metric_value, 0.25) AS lower_limit FROM fact GROUP BY ALL),
 labelled AS (SELECT f.*, coalesce(f.metric_value > l.upper_limit, false) AS is_above, coalesce(f.metric_value < l.lower_limit, false) AS is_below
   FROM fact f LEFT JOIN limits l ON f.assessment_family = l.assessment_family AND f.team_group_id = l.team_group_id AND f.metric_name = l.metric_name
-  AND f.test_type IS NOT DISTINCT FROM l.test_type AND f.side IS NOT DISTINCT FROM l.side),
-inside AS (SELECT * FROM labelled WHERE metric_name = '{REFERENCE}' AND NOT is_above AND NOT is_below)"""
+  AND f.test_type IS NOT DISTINCT FROM l.test_type AND f.side IS NOT DISTINCT FROM l.side)"""
     )

@@ -13,26 +13,26 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsonwalk import wide_to_long
 from ..operators import coverage, marts, quality, scope
 from ..operators.merge import latest
 
 
 @dataclass(frozen=True)
 class Mart:
-    """How a family's mart is made; ``select`` gets the fact, its labelled rows and the reference metric."""
+    """How a family's mart is made; ``select`` gets the labelled rows and the catalog of reference metrics."""
 
     family: str
-    reference: str
-    select: Callable[[DataFrame, DataFrame, str], DataFrame]
+    select: Callable[..., DataFrame]
     keys: tuple[str, ...]
 
 
 MARTS = [
-    Mart("hamstring", "max_force", marts.mart_simple, ("test_id", "metric_name", "side")),
-    Mart("frame", "max_force", marts.mart_simple, ("test_id", "metric_name", "side")),
-    Mart("dynamometer", "max_force_newtons", marts.mart_by_side, ("test_id", "metric_name", "side", "rep_number")),
-    Mart("gates", "total_time", marts.mart_least_rep, ("test_id", "metric_name", "rep_number")),
-    Mart("plates", "takeoff_jump_height_imp_mom", marts.mart_greatest_rep_by_side, ("test_id", "metric_name", "side", "rep_number")),
+    Mart("hamstring", marts.mart_simple, ("test_id", "metric_name", "side")),
+    Mart("frame", marts.mart_simple, ("test_id", "metric_name", "side")),
+    Mart("dynamometer", marts.mart_by_side, ("test_id", "metric_name", "side", "rep_number")),
+    Mart("gates", marts.mart_least_rep, ("test_id", "metric_name", "side", "rep_number")),
+    Mart("plates", marts.mart_greatest_rep_by_side, ("test_id", "metric_name", "side", "rep_number")),
 ]
 
 
@@ -42,24 +42,46 @@ def refresh_fact(existing: DataFrame | None, families: list[DataFrame], tests: D
     return new if tests is None or existing is None else scope.refreshed(existing, new, tests)
 
 
-def refresh_mart(fact: DataFrame, mart: Mart, existing: DataFrame | None = None, tests: DataFrame | None = None, *, factor: float = marts.FACTOR) -> tuple[DataFrame, DataFrame]:
+def refresh_mart(
+    fact: DataFrame, mart: Mart, catalog: DataFrame, existing: DataFrame | None = None, tests: DataFrame | None = None, *, factor: float = marts.FACTOR, named: tuple[str, ...] = marts.NAMED
+) -> tuple[DataFrame, DataFrame]:
     """A family's mart, one row per natural key, and the counts of its labels."""
     own = fact.where(F.col("assessment_family") == mart.family)
     labelled = marts.label(own, marts.thresholds(own, factor=factor))
-    chosen = latest(mart.select(own, labelled, mart.reference), list(mart.keys), [F.desc("metric_row_key") if "metric_row_key" in own.columns else F.desc("metric_value")])
+    order = [F.desc("metric_row_key")] if "metric_row_key" in own.columns else []
+    chosen = latest(mart.select(labelled, catalog, named=named).select(*fact.columns), list(mart.keys), [*order, F.desc("metric_value")])
     full = chosen if existing is None else marts.publish(existing, chosen, tests)
     return full, marts.stats(labelled, ["assessment_family"])
 
 
-def audit(fact: DataFrame, rules: DataFrame, existing: DataFrame | None = None, *, since: str | None = None) -> DataFrame:
-    """Flags of the fact's rows (those updated after ``since``) by the rules of their metric, merged into those there are."""
+def refresh_all(
+    fact: DataFrame, catalog: DataFrame, existing: dict[str, DataFrame] | None = None, tests: DataFrame | None = None, *, every: list[Mart] | None = None, factor: float = marts.FACTOR
+) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Mart and label counts of each family; with a scope, rows of the tests in it are replaced."""
+    return {m.family: refresh_mart(fact, m, catalog, (existing or {}).get(m.family), tests, factor=factor) for m in every or MARTS}
+
+
+FLAG_KEYS = ["test_id", "metric_name", "side", "rep_number", "flag_type"]
+
+
+def audit(fact: DataFrame, rules: DataFrame, existing: DataFrame | None = None, *, since: str | None = None, most: int | None = None) -> DataFrame:
+    """Flags of the fact's rows (those updated after ``since``; of these ``most`` rows at most, if the caller limits a run) by the rules of their metric, with
+    severity and details, merged into those there are. Only flags of rows that were looked at can be superseded."""
     keys = ["assessment_family", "metric_name"]
     base = quality.baselines(fact, keys)
     rows = fact if since is None else fact.where(F.col("updated_at") > F.lit(since).cast("timestamp"))
+    rows = rows if most is None else rows.orderBy("test_id", "metric_name", "side", "rep_number").limit(most)
     ruled = quality.with_baseline(rows, base, keys).join(rules, keys)
-    found = quality.flags(ruled).groupBy("test_id", "metric_name", "side", "flag_type").agg(F.max_by("metric_value", F.abs("metric_value")).alias("value"))
-    named = ["test_id", "metric_name", "side", "flag_type"]
-    return found.withColumn("status", F.lit("open")) if existing is None else quality.persist_flags(existing, found, named)
+    worst = F.struct(F.col("severity") == "critical", F.abs("metric_value"))
+    found = quality.flags(ruled).groupBy(*FLAG_KEYS).agg(*[F.max_by(c, worst).alias(n) for c, n in (("metric_value", "value"), ("severity", "severity"), ("details", "details"))])
+    if existing is None:
+        return found.withColumn("status", F.lit("open"))
+    return quality.persist_flags(existing, found, FLAG_KEYS, within=rows.select(*FLAG_KEYS[:-1]).distinct())
+
+
+def audit_wide(rows: DataFrame, ids: list[str], metrics: list[str], rules: DataFrame, existing: DataFrame | None = None, **how) -> DataFrame:
+    """The same for a table with a column for each metric; ``ids`` must hold the columns of a fact but metric_name and metric_value."""
+    return audit(wide_to_long(rows, ids, metrics), rules, existing, **how)
 
 
 def covered_only(sources: DataFrame, catalog: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,9 +90,10 @@ def covered_only(sources: DataFrame, catalog: DataFrame, keys: list[str]) -> Dat
     return marts.back_to_rows(sources, named, keys)
 
 
-def coverage_of(fact: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
-    keys = ["source_module", "test_name"]
-    return coverage.coverage(coverage.source_catalog(sources), coverage.reference_metrics(coverage.metric_candidates(fact, keys), keys), keys)
+def coverage_of(fact: DataFrame, sources: DataFrame, **choice) -> DataFrame:
+    """Source tests (source_module, assessment_family, test_name, test_id, test_date) with their reference metric, chosen as ``choice`` says."""
+    keys = list(marts.NAMED)
+    return coverage.coverage(coverage.catalog_of(sources, keys), coverage.reference_metrics(coverage.metric_candidates(fact, keys), keys, **choice), keys)
 
 
 def last_audit(log: DataFrame) -> DataFrame:

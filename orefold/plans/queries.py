@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonwalk
 from ..functions import scalars as S
 from ..operators import audit, coverage, dims, fact, marts, merge, ops, quality, scope
+from ..sources import payloads
 from . import driver as D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,7 +53,7 @@ def cohort_thresholds_by_ranges(spark, sf):
 
 def _labelled(spark, sf, factor):
     f = D.fact(spark, sf)
-    return f, marts.label(f, marts.thresholds(f, factor=factor, large=False))
+    return f, marts.label(f, marts.thresholds(f, factor=factor))
 
 
 @query(f"WITH {D.limits_sql(1.0)} SELECT test_id, side, rep_number, metric_name, is_above, is_below FROM labelled WHERE is_above OR is_below")
@@ -67,37 +68,45 @@ def threshold_stats(spark, sf):
 
 
 MART = "test_id, side, rep_number, metric_name, metric_value"
+TEST_NAMED = ("assessment_family", "test_type")
+#: Reference metrics by test name, here the order's priority; one has none. Line 7 stands for a row without a repetition.
+_METRICS = {"1-URGENT": "quantity", "2-HIGH": "extendedprice", "3-MEDIUM": "extendedprice", "4-NOT SPECIFIED": "tax"}
+_MARTS_SQL = D.limits_sql(1.0) + f""",
+source AS (SELECT * REPLACE (nullif(rep_number, 7) AS rep_number) FROM labelled),
+catalog AS (SELECT DISTINCT assessment_family, test_type, CASE test_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _METRICS.items())} END AS reference FROM fact),
+kept AS (SELECT * FROM source WHERE NOT is_above AND NOT is_below),
+cand AS (SELECT s.* FROM kept s JOIN catalog c ON c.assessment_family = s.assessment_family AND c.test_type IS NOT DISTINCT FROM s.test_type AND c.reference = s.metric_name)"""
 
 
-def _mart(rows):
-    return rows.select(*MART.split(", "))
+def _mart(select, spark, sf, **how):
+    f, labelled = _labelled(spark, sf, 1.0)
+    keys = list(TEST_NAMED)
+    catalog = coverage.reference_metrics(coverage.metric_candidates(f, keys), keys, module="test_type", fixed=_METRICS)
+    return select(labelled.withColumn("rep_number", F.nullif("rep_number", F.lit(7))), catalog, named=TEST_NAMED, **how).select(*MART.split(", "))
 
 
-@query(f"WITH {D.limits_sql(1.0)} SELECT {MART} FROM fact WHERE test_id IN (SELECT test_id FROM inside)")
+@query(f"WITH {_MARTS_SQL} SELECT {MART} FROM kept WHERE test_id IN (SELECT test_id FROM cand)")
 def mart_simple(spark, sf):
-    return _mart(marts.mart_simple(*_labelled(spark, sf, 1.0), D.REFERENCE))
+    return _mart(marts.mart_simple, spark, sf)
 
 
-@query(f"WITH {D.limits_sql(1.0)} SELECT {MART} FROM fact f WHERE EXISTS (SELECT 1 FROM inside i WHERE i.test_id = f.test_id AND i.side IS NOT DISTINCT FROM f.side)")
+@query(f"WITH {_MARTS_SQL} SELECT {MART} FROM kept f WHERE EXISTS (SELECT 1 FROM cand i WHERE i.test_id = f.test_id AND i.side IS NOT DISTINCT FROM f.side)")
 def mart_side(spark, sf):
-    return _mart(marts.mart_by_side(*_labelled(spark, sf, 1.0), D.REFERENCE))
-
+    return _mart(marts.mart_by_side, spark, sf)
 
-_BEST = "EXISTS (SELECT 1 FROM best b WHERE b.test_id = f.test_id AND b.side IS NOT DISTINCT FROM f.side AND b.rep_number IS NOT DISTINCT FROM f.rep_number)"
 
-
-@query(f"""WITH {D.limits_sql(1.0)}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY metric_value NULLS LAST, rep_number NULLS LAST, side NULLS LAST) AS n FROM inside) WHERE n = 1)
-SELECT {MART} FROM fact f WHERE {_BEST}""")
+@query(f"""WITH {_MARTS_SQL}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY metric_value NULLS LAST, rep_number, side NULLS LAST) AS n FROM cand WHERE rep_number IS NOT NULL) WHERE n = 1)
+SELECT {MART} FROM kept f WHERE EXISTS (SELECT 1 FROM best b WHERE b.test_id = f.test_id AND b.rep_number = f.rep_number)""")
 def mart_min_rep(spark, sf):
-    return _mart(marts.mart_least_rep(*_labelled(spark, sf, 1.0), D.REFERENCE, tie=["side"]))
+    return _mart(marts.mart_least_rep, spark, sf, tie=["side"])
 
 
-@query(f"""WITH {D.limits_sql(1.0)}, sided AS (SELECT *, bool_or(coalesce(side IN ('left', 'right'), false)) OVER (PARTITION BY test_id) AS has FROM inside),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY test_id, side ORDER BY metric_value DESC NULLS LAST, rep_number NULLS LAST) AS n FROM sided
-  WHERE NOT has OR coalesce(side IN ('left', 'right'), false)) WHERE n = 1)
-SELECT {MART} FROM fact f WHERE {_BEST}""")
+@query(f"""WITH {_MARTS_SQL}, mode AS (SELECT test_id, bool_or(coalesce(side IN ('left', 'right'), false)) AS has FROM cand WHERE rep_number IS NOT NULL GROUP BY 1),
+best AS (SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY c.test_id, c.side ORDER BY metric_value DESC NULLS LAST, rep_number) AS n FROM cand c JOIN mode m ON c.test_id = m.test_id
+  WHERE rep_number IS NOT NULL AND (NOT has OR coalesce(side IN ('left', 'right'), false))) WHERE n = 1)
+SELECT {MART} FROM kept f WHERE EXISTS (SELECT 1 FROM best b WHERE b.test_id = f.test_id AND b.side IS NOT DISTINCT FROM f.side AND b.rep_number = f.rep_number)""")
 def mart_max_rep_side(spark, sf):
-    return _mart(marts.mart_greatest_rep_by_side(*_labelled(spark, sf, 1.0), D.REFERENCE))
+    return _mart(marts.mart_greatest_rep_by_side, spark, sf, tie=[])
 
 
 # the fact
@@ -115,12 +124,11 @@ def rep_dense_rank(spark, sf):
     return fact.rep_numbers(rows).select("test_id", "trial_id", "side", F.col("rep_number").cast("long").alias("rep_number"))
 
 
-@query(f"""WITH {D.WIDE_SQL} SELECT test_id, rep_number, md5(concat_ws('|', CAST(profile_id AS VARCHAR), CAST(test_id AS VARCHAR), assessment_family, 'extendedprice',
-coalesce(side, ''), CAST(rep_number AS VARCHAR), regexp_replace(regexp_replace(CAST(CAST(extendedprice AS DECIMAL(18, 4)) AS VARCHAR), '0+$', ''), '\\.$', ''))) AS metric_row_key FROM wide""")
+@query(f"""WITH {D.WIDE_SQL} SELECT test_id, rep_number, md5(concat_ws('|', CAST(profile_id AS VARCHAR), CAST(team_group_id AS VARCHAR), CAST(test_id AS VARCHAR), assessment_family, 'erp', 'extendedprice',
+coalesce(side, ''), CAST(rep_number AS VARCHAR), regexp_replace(regexp_replace(CAST(CAST(extendedprice AS DECIMAL(18, 4)) AS VARCHAR), '0+$', ''), '\\.$', ''), 'line ' || CAST(rep_number AS VARCHAR))) AS metric_row_key FROM wide""")
 def fact_dedup(spark, sf):
-    rows = D.wide(spark, sf).withColumn("metric_name", F.lit("extendedprice")).withColumn("metric_value", F.col("extendedprice").cast("decimal(18,4)"))
-    keyed = fact.with_row_key(rows, ["profile_id", "test_id", "assessment_family", "metric_name", "side", "rep_number", "metric_value"])
-    return keyed.select("test_id", "rep_number", "metric_row_key")
+    rows = D.wide(spark, sf).withColumns({"source_module": F.lit("erp"), "metric_name": F.lit("extendedprice"), "metric_value": F.col("extendedprice").cast("decimal(18,4)"), "row_hint": F.concat(F.lit("line "), F.col("rep_number").cast("string"))})
+    return fact.with_row_key(rows).select("test_id", "rep_number", "metric_row_key")
 
 
 @query("""WITH e AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos, CASE WHEN event_id % 3 = 0 THEN event_id % 50 END AS tick FROM events),
@@ -302,14 +310,12 @@ SELECT c.source_module, c.test_name, n_tests, last_date, CASE WHEN r.test_name I
 FROM c LEFT JOIN r ON c.source_module = r.source_module AND c.test_name = r.test_name""")
 def coverage_catalog(spark, sf):
     o = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    names = [r[0] for r in t(spark, sf, "customer").select("c_mktsegment").distinct().collect()]  # a handful of modules
-    sources = {m: o.where(F.col("c_mktsegment") == m).select(F.col("o_orderpriority").alias("test_name"), F.col("o_orderkey").alias("test_id"), F.col("o_orderdate").alias("test_date")) for m in sorted(names)}
+    keys = ["source_module", "test_name"]
+    sources = o.select(F.col("c_mktsegment").alias("source_module"), F.col("o_orderpriority").alias("test_name"), F.col("o_orderkey").alias("test_id"), F.col("o_orderdate").alias("test_date"))
     high = o.join(t(spark, sf, "lineitem").where("l_quantity >= 50"), F.col("l_orderkey") == F.col("o_orderkey"))
     fact_ = high.select(F.col("c_mktsegment").alias("source_module"), F.col("o_orderpriority").alias("test_name"), F.lit("quantity").alias("metric_name"), F.col("l_quantity").alias("metric_value"))
-    keys = ["source_module", "test_name"]
-    fixed = {m: "quantity" for m in names if m != "BUILDING"}
-    ref = coverage.reference_metrics(coverage.metric_candidates(fact_, keys), keys, fixed=fixed)
-    return coverage.coverage(coverage.source_catalog(sources), ref, keys)
+    fixed = dict.fromkeys(("AUTOMOBILE", "FURNITURE", "HOUSEHOLD", "MACHINERY"), "quantity")
+    return coverage.coverage(coverage.catalog_of(sources, keys), coverage.reference_metrics(coverage.metric_candidates(fact_, keys), keys, fixed=fixed), keys)
 
 
 _PAIRS = [("orders_customer", "orders", "customer", "o_custkey", "c_custkey"), ("lineitem_orders", "lineitem", "orders", "l_orderkey", "o_orderkey"), ("lineitem_part", "lineitem", "part", "l_partkey", "p_partkey"), ("lineitem_supplier", "lineitem", "supplier", "l_suppkey", "s_suppkey"), ("customer_nation", "customer", "nation", "c_nationkey", "n_nationkey"), ("supplier_customer", "supplier", "customer", "s_suppkey", "c_custkey"), ("events_customer", "events", "customer", "user_id", "c_custkey"), ("labels_documents", "labels", "documents", "doc_id", "doc_id")]
@@ -369,29 +375,33 @@ def day_window_scope(spark, sf):
     return e.where(scope.local_day(F.col("ts"), str(first), "UTC")).select("event_id")
 
 
-@query("""SELECT DISTINCT c_mktsegment AS family, test_id FROM (SELECT o_orderkey AS test_id, o_custkey FROM orders WHERE o_orderkey % 97 < 5
-UNION ALL SELECT o_orderkey, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 89 < 3) JOIN customer ON o_custkey = c_custkey""")
+_SINCE = "1997-01-01"
+
+
+@query(f"""SELECT DISTINCT c_mktsegment AS family, test_id FROM (SELECT o_orderkey AS test_id, o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '{_SINCE}'
+UNION ALL SELECT o_orderkey, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate >= TIMESTAMP '{_SINCE}') JOIN customer ON o_custkey = c_custkey""")
 def touched_scope(spark, sf):
+    """Tests of which the order or a line is of a date since then."""
     o, c = t(spark, sf, "orders"), t(spark, sf, "customer")
     tests = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_mktsegment").alias("family"), F.col("o_orderkey").alias("test_id"))
-    lines = t(spark, sf, "lineitem").where("l_partkey % 89 < 3").select(F.col("l_orderkey").alias("test_id"))
-    names = scope.touched({"any": [o.where("o_orderkey % 97 < 5").select(F.col("o_orderkey").alias("test_id")), lines.join(o, F.col("test_id") == F.col("o_orderkey")).select("test_id")]})
+    lines = t(spark, sf, "lineitem").where(F.col("l_shipdate") >= F.lit(_SINCE).cast("timestamp_ntz")).select(F.col("l_orderkey").alias("test_id"))
+    names = scope.touched({"any": [o.where(F.col("o_orderdate") >= F.lit(_SINCE).cast("timestamp_ntz")).select(F.col("o_orderkey").alias("test_id")), lines]})
     return names.drop("family").join(tests, "test_id").select("family", "test_id").distinct()
 
 
-@query(f"WITH {D.limits_sql(1.0)} SELECT {MART} FROM fact WHERE test_id IN (SELECT test_id FROM inside)")
+@query(f"WITH {_MARTS_SQL} SELECT {MART} FROM kept WHERE test_id IN (SELECT test_id FROM cand)")
 def scoped_refresh(spark, sf):
-    """A mart from which a scope's rows are stale, refreshed: the same as the full one."""
-    f, labelled = _labelled(spark, sf, 1.0)
-    full = _mart(marts.mart_simple(f, labelled, D.REFERENCE))
-    ids = t(spark, sf, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("test_id"))
-    stale = full.withColumn("metric_value", F.when(F.col("test_id") % 7 == 0, -1.0).otherwise(F.col("metric_value")))
-    return scope.refreshed(stale, full, ids)
+    """A mart in which the rows of one order status are stale, refreshed: the same as the full one."""
+    full = mart_simple(spark, sf)
+    ids = t(spark, sf, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("test_id"))
+    marked = full.join(ids.withColumn("__stale", F.lit(True)), "test_id", "left")
+    stale = marked.withColumn("metric_value", F.when(F.col("__stale"), -1.0).otherwise(F.col("metric_value"))).drop("__stale")
+    return scope.refreshed(stale.select(*full.columns), full, ids)
 
 
 @query("SELECT event_id, 'k' AS metric_name, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS metric_value FROM events WHERE props IS NOT NULL AND json_extract_string(props, '$.k') IS NOT NULL")
 def json_leaf_walk(spark, sf):
-    return jsonwalk.numeric_leaves(t(spark, sf, "events"), "props", "event_id", depth=3).where("not too_deep").drop("too_deep")
+    return jsonwalk.all_leaves(t(spark, sf, "events"), "props", "event_id", depth=2)
 
 
 _CAMEL = "concat('maxRFDValue', upper(substr(p_brand, 1, 1)), lower(substr(replace(p_brand, '#', ''), 2)), 'Test - ', replace(p_type, ' ', '--'))"
@@ -422,14 +432,103 @@ def unit_infer(spark, sf):
     return t(spark, sf, "part").select("p_partkey", S.unit(F.expr(_NAMED)).alias("metric_unit"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, coalesce(CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate END, o_orderdate) AS start_time, CASE WHEN p_partkey IS NOT NULL THEN CAST(l_partkey AS VARCHAR) END AS period_id, l_partkey AS period_key
-FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) p ON l_partkey = p_partkey""")
-def stats_parent_fill(spark, sf):
-    o = t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    p = t(spark, sf, "part").where("p_size > 10").select("p_partkey")
-    rows = t(spark, sf, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
-    start = F.coalesce(F.when(F.col("l_linenumber") % 2 == 0, F.col("l_shipdate")), F.col("o_orderdate"))
-    return rows.select("l_orderkey", "l_linenumber", start.alias("start_time"), F.when(F.col("p_partkey").isNotNull(), F.col("l_partkey").cast("string")).alias("period_id"), F.col("l_partkey").alias("period_key"))
+# payloads, written from the tables as JSON and read again
+
+
+def _raw(rows: DataFrame, payload, params=None) -> DataFrame:
+    """Raw rows: raw_id, source_account, request_params, response_payload (JSON of a column)."""
+    asked = F.to_json(params) if params is not None else F.lit("{}")
+    return rows.select("raw_id", F.lit("acc").alias("source_account"), asked.alias("request_params"), F.to_json(payload).alias("response_payload"))
+
+
+def _per_order(spark, sf, *fields, name: str = "items") -> DataFrame:
+    """An order's lines as an array of structs in their order."""
+    return D.lines(spark, sf).groupBy(F.col("l_orderkey").alias("raw_id")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), *fields))).alias(name))
+
+
+_LINES_SQL = D.WIDE_SQL.split(",\nwide AS")[0]
+
+
+@query(f"WITH {_LINES_SQL} SELECT CAST(l_orderkey AS VARCHAR) AS trial_id, CAST(l_partkey AS VARCHAR) AS result_id, coalesce(CASE l_returnflag WHEN 'R' THEN 'right' WHEN 'A' THEN 'left' END, 'both') AS limb, CAST(l_linenumber AS BIGINT) AS repeat, l_extendedprice AS value FROM lines WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL")
+def payload_results(spark, sf):
+    """Trials with results inside; a result without a limb has its trial's."""
+    side = F.when(F.col("l_returnflag") == "R", "right").when(F.col("l_returnflag") == "A", "left")
+    rows = _per_order(spark, sf, F.col("l_partkey").alias("resultId"), F.col("l_extendedprice").alias("value"), side.alias("limb"), F.col("l_linenumber").alias("repeat"), name="results").where("raw_id is not null")
+    raw = _raw(rows, F.array(F.struct(F.col("raw_id").alias("id"), F.lit("both").alias("limb"), "results")))
+    return payloads.flatten(raw, "plate_results").select("trial_id", "result_id", "limb", F.col("repeat").cast("long").alias("repeat"), "value")
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS profile_id, kind AS category_id, CASE kind WHEN 'segment' THEN lower(c_mktsegment) ELSE CAST(c_nationkey AS VARCHAR) END AS group_id FROM customer, (VALUES ('segment'), ('nation')) AS k(kind) WHERE c_custkey IS NOT NULL""")
+def payload_categories(spark, sf):
+    """Attributes of profiles: a kind is a category, its value the group; a kind given twice counts once, as given first."""
+    c = t(spark, sf, "customer").where("c_custkey is not null").withColumn("raw_id", F.col("c_custkey"))
+    one = lambda kind, value: F.struct(F.lit(kind).alias("attributeTypeId"), value.cast("string").alias("attributeValueId"))
+    listed = F.array(one("segment", F.lower("c_mktsegment")), one("nation", F.col("c_nationkey")), one("segment", F.lit("late")))
+    return payloads.flatten(_raw(c, F.array(F.struct(F.col("c_custkey").alias("id"), listed.alias("attributes")))), "profile_categories").select("profile_id", "category_id", "group_id")
+
+
+@query(f"""WITH {_LINES_SQL}, e AS (SELECT l_orderkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS pos, CASE WHEN l_linenumber % 3 = 1 THEN 10 * l_linenumber END AS tick FROM lines WHERE l_orderkey IS NOT NULL),
+g AS (SELECT *, last_value(tick IGNORE NULLS) OVER w AS known, last_value(CASE WHEN tick IS NOT NULL THEN pos END IGNORE NULLS) OVER w AS p FROM e WINDOW w AS (PARTITION BY l_orderkey ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+tr AS (SELECT l_orderkey, CAST(coalesce(known + pos - p, pos) AS BIGINT) AS tick, l_quantity FROM g QUALIFY row_number() OVER (PARTITION BY l_orderkey, coalesce(known + pos - p, pos) ORDER BY pos DESC) = 1)
+SELECT CAST(l_orderkey AS VARCHAR) AS test_id, tick, l_quantity AS inner_left, CAST(o_custkey AS VARCHAR) AS profile_id, CASE WHEN o_custkey IS NULL THEN 'missing profile_id' END AS reject_reason
+FROM tr LEFT JOIN (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P') ON l_orderkey = o_orderkey""")
+def payload_traces(spark, sf):
+    """Traces with gaps in their ticks, and the profile of their test; of tests that aren't known they are rejected."""
+    rows = _per_order(spark, sf, F.when(F.col("l_linenumber") % 3 == 1, 10 * F.col("l_linenumber")).alias("tick"), F.col("l_quantity").alias("innerLeftForce"), name="forces").where("raw_id is not null")
+    flat = payloads.flatten(_raw(rows, F.struct("forces"), F.struct(F.col("raw_id").alias("testId"))), "frame_traces")
+    tests = t(spark, sf, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").cast("string").alias("test_id"), F.col("o_custkey").cast("string").alias("profile_id"))
+    return payloads.with_parent(flat, tests, "test_id", {"profile_id": "profile_id"}, required="profile_id").select("test_id", F.col("tick").cast("long").alias("tick"), "inner_left", "profile_id", "reject_reason")
+
+
+@query(f"""WITH {_LINES_SQL}, s AS (SELECT l_orderkey, l_suppkey, l_partkey, max(l_linenumber) AS n FROM lines WHERE l_orderkey > 0 AND l_suppkey > 0 AND l_partkey > 0 GROUP BY ALL)
+SELECT CAST(s.l_orderkey AS VARCHAR) AS activity_id, CAST(s.l_suppkey AS VARCHAR) AS athlete_id, CASE WHEN p_partkey IS NOT NULL THEN CAST(s.l_partkey AS VARCHAR) END AS period_id, CAST(s.l_partkey AS VARCHAR) AS period_key, CAST(n AS VARCHAR) AS n_text,
+  o_orderdate AS start_time FROM s LEFT JOIN orders ON s.l_orderkey = o_orderkey LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) ON s.l_partkey = p_partkey""")
+def payload_stats(spark, sf):
+    """Statistics rows: suffixed ids, start from the activity, the period only where it is known, the latest of repeats."""
+    both = lambda c, name: F.col(c).cast("string").alias(name)
+    rows = _per_order(spark, sf, both("l_orderkey", "activity_id_id"), both("l_suppkey", "athlete_id"), both("l_partkey", "period_id_id"), both("l_linenumber", "n_text")).where("raw_id is not null")
+    listed = F.filter("items", lambda x: (x["athlete_id"] > "0") & (x["period_id_id"] > "0"))
+    activities = t(spark, sf, "orders").select(F.lit("acc").alias("source_account"), F.col("o_orderkey").cast("string").alias("activity_id"), F.col("o_orderdate").cast("timestamp").alias("start_time"), F.lit(None).cast("timestamp").alias("end_time"))
+    periods = t(spark, sf, "part").where("p_size > 10").select(F.lit("acc").alias("source_account"), F.col("p_partkey").cast("string").alias("period_id"))
+    got = payloads.stats(_raw(rows, listed), activities, periods).where("reject_reason is null")
+    return got.select("activity_id", "athlete_id", "period_id", "period_key", F.col("all_parameters")["n_text"].alias("n_text"), F.col("start_time").cast("timestamp_ntz").alias("start_time"))
+
+
+_GATE_SQL = f"""{_LINES_SQL}, o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0 AND o_orderdate IS NOT NULL)"""
+
+
+@query(f"""WITH {_GATE_SQL}, r AS (SELECT l_orderkey, l_linenumber AS rep, l_tax, l_quantity, l_discount FROM lines JOIN o ON l_orderkey = o_orderkey)
+SELECT o_orderkey AS test_id, NULL AS rep_number, 'total_price' AS metric_name, o_totalprice AS metric_value FROM o WHERE o_totalprice IS NOT NULL
+UNION ALL SELECT l_orderkey, rep, 'reaction_time', l_tax FROM r WHERE l_tax IS NOT NULL UNION ALL SELECT l_orderkey, rep, 'split_1_split_time', l_quantity FROM r WHERE l_quantity IS NOT NULL
+UNION ALL SELECT l_orderkey, rep, 'split_1_peak_velocity', l_discount FROM r WHERE l_discount IS NOT NULL UNION ALL SELECT l_orderkey, rep, 'jump_4_flight_time', l_quantity + 1 FROM r WHERE l_quantity IS NOT NULL""")
+def gate_fact(spark, sf):
+    """Timing gates: details with repetitions, splits and jumps inside, of active profiles; the profile is the detail's."""
+    split = F.array(F.struct(F.col("l_quantity").alias("splitTime"), F.lit(9).alias("gateIndex"), F.struct(F.col("l_discount").alias("peakVelocity")).alias("additionalSplitData")))
+    jump = F.array(F.struct(F.lit(4).alias("jumpIndex"), (F.col("l_quantity") + 1).alias("flightTime")))
+    reps = _per_order(spark, sf, F.struct(F.col("l_linenumber").alias("repIndex"), F.col("l_tax").alias("reactionTime"), split.alias("splitResults"), jump.alias("jumpResults")).alias("rep"))
+    o = t(spark, sf, "orders").where("o_orderkey is not null")
+    summaries = o.select(F.col("o_orderkey").alias("test_id"), F.lit(-1).cast("long").alias("profile_id"), F.col("o_orderpriority").alias("test_name"), F.lit("run").alias("test_type"), F.lit(None).cast("timestamp_ntz").alias("test_date"))
+    blob = F.to_json(F.struct(F.col("o_totalprice").alias("totalPrice"), F.lit(5).alias("someId"), F.lit(True).alias("valid")))
+    details = o.join(reps, F.col("o_orderkey") == F.col("raw_id"), "left").select(F.col("o_orderkey").alias("test_id"), F.col("o_custkey").alias("profile_id"), F.col("o_orderdate").alias("test_date"), blob.alias("results"), F.to_json(F.transform("items", lambda i: i["rep"])).alias("reps"))
+    profiles = t(spark, sf, "customer").select(F.col("c_custkey").alias("profile_id"), (F.col("c_acctbal") > 0).alias("is_active"))
+    return fact.gate_fact(summaries, details, profiles).select("test_id", "rep_number", "metric_name", "metric_value")
+
+
+@query(f"""WITH {_GATE_SQL}, s AS (SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 'right' WHEN 'A' THEN 'left' END AS side, max(l_quantity) AS q, max(l_tax) AS x FROM lines JOIN o ON l_orderkey = o_orderkey GROUP BY ALL),
+r AS (SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 'right' WHEN 'A' THEN 'left' END AS side, l_linenumber AS rep, l_extendedprice AS v, l_discount AS d FROM lines JOIN o ON l_orderkey = o_orderkey)
+SELECT l_orderkey AS test_id, side, NULL AS rep_number, 'max_force_newtons' AS metric_name, q AS metric_value FROM s WHERE q IS NOT NULL UNION ALL SELECT l_orderkey, side, NULL, 'extra_tax', x FROM s WHERE x IS NOT NULL
+UNION ALL SELECT l_orderkey, side, rep, 'impulse_ns', v FROM r WHERE v IS NOT NULL UNION ALL SELECT l_orderkey, side, rep, 'speed', d FROM r WHERE d IS NOT NULL""")
+def dynamometer_fact(spark, sf):
+    """Dynamometer: summaries and repetitions; a column goes before a number of its name in the payload, and some payload numbers are left out."""
+    side = F.when(F.col("l_returnflag") == "R", "right").when(F.col("l_returnflag") == "A", "left").alias("side")
+    rows = D.lines(spark, sf).where("l_orderkey is not null").withColumnRenamed("l_orderkey", "test_id")
+    summaries = rows.groupBy("test_id", side).agg(F.max("l_quantity").alias("max_force_newtons"), F.to_json(F.struct(F.max("l_tax").alias("extraTax"))).alias("payload"))
+    blob = F.to_json(F.struct(F.col("l_discount").alias("speed"), F.lit(3).alias("force"), F.when(F.col("l_extendedprice").isNotNull(), -1).alias("impulseNs")))
+    repetitions = rows.select("test_id", side, F.col("l_linenumber").alias("repetition_number"), F.col("l_extendedprice").alias("impulse_ns"), blob.alias("payload"))
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("test_id"), F.col("o_custkey").alias("profile_id"), F.col("o_orderpriority").alias("test_name"), F.lit("hold").alias("test_type"), F.col("o_orderdate").alias("test_date"))
+    profiles = t(spark, sf, "customer").select(F.col("c_custkey").alias("profile_id"), (F.col("c_acctbal") > 0).alias("is_active"))
+    got = fact.dynamometer_fact(o, summaries, repetitions, profiles, of_summary=["max_force_newtons"], of_repetition=["impulse_ns"])
+    return got.select("test_id", "side", "rep_number", "metric_name", "metric_value")
 
 
 @query("""WITH w AS (SELECT CAST(s_nationkey % 5 AS VARCHAR) AS a, s_suppkey AS i, n_name AS p FROM supplier JOIN nation ON s_nationkey = n_nationkey),

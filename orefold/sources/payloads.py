@@ -33,19 +33,20 @@ TYPES: dict[str, Callable[[Column], Column]] = {
 class Shape:
     """columns: name to (aliases, type); an alias may be a path such as ``team.id``, and ``params.x`` looks at the request.
     arrays: paths of inner arrays, the first that is given is exploded (``up.x`` in columns then is a field of the item above).
-    counter: a column that defaults to the 1-based place in its array."""
+    counter: a column that defaults to the 1-based place in its array. first: of a key's items in one payload the first counts, not the last."""
 
     columns: dict[str, tuple[str, str]]
     keys: list[str]
     arrays: list[str] = field(default_factory=list)
     counter: str | None = None
     required: list[str] = field(default_factory=list)
+    first: bool = False
 
 
-def _shape(keys: str, arrays: str = "", counter: str | None = None, required: str = "", **columns: str) -> Shape:
+def _shape(keys: str, arrays: str = "", counter: str | None = None, required: str = "", first: bool = False, **columns: str) -> Shape:
     """columns as ``name="type alias|alias"``."""
     parsed = {n: (v.split(" ", 1)[1], v.split(" ", 1)[0]) for n, v in columns.items()}
-    return Shape(parsed, keys.split(), arrays.split(), counter, (required or keys).split())
+    return Shape(parsed, keys.split(), arrays.split(), counter, (required or keys).split(), first)
 
 
 def _force(prefixes: list[str], metrics: dict[str, str]) -> dict[str, str]:
@@ -64,7 +65,7 @@ _DEFAULT = {"max_force": "MaxForce", "avg_force": "AvgForce", "impulse": "Impuls
 
 SHAPES: dict[str, Shape] = {
     "profiles": _shape("profile_id", profile_id="uuid id|profileId", tenant_id="uuid tenantId|teamId|params.tenantId", given_name="text givenName", family_name="text familyName", external_id="text externalId", date_of_birth="date dateOfBirth"),
-    "profile_categories": _shape("profile_id category_id", "attributes", profile_id="uuid up.id|up.profileId", tenant_id="uuid up.tenantId|params.tenantId", group_id="uuid attributeTypeId", group_name="text typeName", category_id="uuid attributeValueId", category_name="text valueName"),
+    "profile_categories": _shape("profile_id category_id", "attributes", profile_id="uuid up.id|up.profileId", tenant_id="uuid up.tenantId|params.tenantId", category_id="uuid attributeTypeId", category_name="text typeName", group_id="uuid attributeValueId", group_name="text valueName", first=True),
     "plate_tests": _shape("test_id", test_id="uuid id|testId", test_type="text testType", weight="number weight", recorded_at="time recordedDateUtc|recordedDateUTC|recordedUtc", analysed_at="time analysedDateUtc|analysedDateUTC", attributes="json extendedParameters", **_TEST),
     "plate_definitions": _shape("result_id", "resultDefinitions items", result_id="id resultId|id", result_name="text resultName|name", result_group="text resultGroup", result_unit="text resultUnitName|resultUnit", trend="text trendDirection"),
     "plate_trials": _shape("trial_id", trial_id="uuid id", test_id="uuid testId|params.testId", profile_id="uuid profileId|athleteId", recorded_at="time recordedUtc|recordedUTC", limb="text limb"),
@@ -151,7 +152,31 @@ def flatten(raw: DataFrame, shape: Shape | str) -> DataFrame:
     good = rows_of(raw, shape).where("reject_reason is null").drop("reject_reason")
     if shape.counter == "tick":
         good = _ticks(good)
-    return latest(good, shape.keys, [F.desc("raw_id"), F.desc("pos")])
+    return latest(good, shape.keys, [F.desc("raw_id"), F.asc("pos") if shape.first else F.desc("pos")])
+
+
+def with_parent(rows: DataFrame, parents: DataFrame, key: str, take: dict[str, str], *, required: str | None = None) -> DataFrame:
+    """``rows`` with columns of their parent where they have none of their own (``take``: own name to the parent's), and a reject_reason where
+    ``required`` stays empty."""
+    p = parents.select(F.col(key).alias("__key"), *[F.col(v).alias(f"__{k}") for k, v in take.items()])
+    out = rows.join(p, F.col(key) == F.col("__key"), "left").drop("__key")
+    for k in take:
+        out = out.withColumn(k, F.coalesce(k, f"__{k}") if k in rows.columns else F.col(f"__{k}")).drop(f"__{k}")
+    return out.withColumn("reject_reason", F.when(F.col(required).isNull(), F.lit(f"missing {required}")) if required else F.lit(None).cast("string"))
+
+
+def load_counts(raw: DataFrame, shape: Shape | str) -> DataFrame:
+    """One row: attempted, loaded (before repeats of a key fall together), skipped."""
+    shape = SHAPES[shape] if isinstance(shape, str) else shape
+    bad = F.col("reject_reason").isNotNull()
+    return rows_of(raw, shape).agg(F.count("*").alias("attempted"), F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("skipped"))
+
+
+def count_items(payload: Column) -> Column:
+    """Items of a payload: a list's, those under ``items``, or one."""
+    v = F.try_parse_json(payload)
+    listed = F.coalesce(F.try_variant_get(v, "$.items", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"))
+    return F.when(v.isNull(), 0).otherwise(F.coalesce(F.size(listed), F.lit(1)))
 
 
 def _ticks(rows: DataFrame) -> DataFrame:
@@ -206,18 +231,20 @@ STAT_KEYS = ["activity_id", "activity_id_id", "athlete_id", "athlete_id_id", "pe
 
 
 def stats(raw: DataFrame, activities: DataFrame, periods: DataFrame) -> DataFrame:
-    """Statistics rows: ids with suffixed aliases (a 0 is none), times of the parent activity, the period only if it is known, and
+    """Statistics rows, the latest of account, activity, athlete and period: ids with suffixed aliases (a 0 is none), times of the parent activity, the period only if it is known, and
     all other fields as a map. Rows without activity or athlete carry a reject_reason."""
-    base = raw.select("raw_id", "source_account", F.explode(F.from_json("response_payload", "array<map<string,string>>")).alias("m"))
+    base = raw.select("raw_id", "source_account", F.posexplode(F.from_json("response_payload", "array<map<string,string>>")).alias("pos", "m"))
     rows = base.select(
-        "raw_id", "source_account", S.dimension_id(F.col("m")["activity_id"], F.col("m")["activity_id_id"]).alias("activity_id"), S.dimension_id(F.col("m")["athlete_id"], F.col("m")["athlete_id_id"]).alias("athlete_id"),
+        "raw_id", "pos", "source_account", S.dimension_id(F.col("m")["activity_id"], F.col("m")["activity_id_id"]).alias("activity_id"), S.dimension_id(F.col("m")["athlete_id"], F.col("m")["athlete_id_id"]).alias("athlete_id"),
         S.dimension_id(F.col("m")["period_id"], F.col("m")["period_id_id"]).alias("period_key"), S.moment(F.col("m")["start_time"]).alias("own_start"), S.remainder(F.col("m"), STAT_KEYS).alias("all_parameters"),
     )
     a = activities.select("source_account", "activity_id", F.col("start_time").alias("activity_start"), F.col("end_time").alias("end_time"))
     p = periods.select("source_account", F.col("period_id").alias("period_key"), F.col("period_id"))
     joined = rows.join(a, ["source_account", "activity_id"], "left").join(p, ["source_account", "period_key"], "left")
     reason = F.when(F.col("activity_id").isNull(), "missing activity_id").when(F.col("athlete_id").isNull(), "missing athlete_id")
-    return joined.withColumn("start_time", F.coalesce("own_start", "activity_start")).withColumn("reject_reason", reason).drop("own_start", "activity_start")
+    out = joined.withColumn("start_time", F.coalesce("own_start", "activity_start")).withColumn("reject_reason", reason).drop("own_start", "activity_start")
+    good = latest(out.where("reject_reason is null"), ["source_account", "activity_id", "athlete_id", "period_key"], [F.desc("raw_id"), F.desc("pos")])
+    return good.unionByName(out.where("reject_reason is not null")).drop("pos")
 
 
 def efforts(raw: DataFrame) -> DataFrame:

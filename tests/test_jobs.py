@@ -1,9 +1,11 @@
 import json
 
+import pandas
 from pyspark.sql import functions as F
 
 from orefold.functions.jsonwalk import repetition_leaves
 from orefold.operators import quality
+from orefold.operators.fact import all_families
 from orefold.plans import jobs
 
 FACT = "test_id long, profile_id long, assessment_family string, team_group_id int, test_type string, metric_name string, side string, rep_number int, metric_value double"
@@ -26,8 +28,10 @@ def test_only_the_scope_changes(spark):
     merged = jobs.refresh_fact(old, [new], tests)
     assert merged.where("metric_value % 1 <> 0").count() == 1 and merged.count() == 100
     mart = next(m for m in jobs.MARTS if m.family == "frame")
-    full, stats = jobs.refresh_mart(old, mart)
-    again, _ = jobs.refresh_mart(merged, mart, full, tests)
+    catalog = old.select("assessment_family", "test_type", F.lit("max_force").alias("reference_metric")).distinct()
+    named = ("assessment_family", "test_type")
+    full, stats = jobs.refresh_mart(old, mart, catalog, named=named)
+    again, _ = jobs.refresh_mart(merged, mart, catalog, full, tests, named=named)
     assert full.count() == again.count() == 75 and stats.first().n_below == 25
     assert {r.test_id for r in again.exceptAll(full).collect()} == {50}
 
@@ -41,8 +45,36 @@ def test_audit_twice_is_audit_once(spark):
     assert {(r.test_id, r.flag_type) for r in once.collect()} >= {(100, "outlier_iqr"), (101, "negative_value")}
 
 
-def test_every_mart_kind_runs(spark):
-    f = fact(spark, range(50))
-    for m in jobs.MARTS:
-        own = f.withColumn("assessment_family", F.lit(m.family)).withColumn("metric_name", F.lit(m.reference))
-        assert jobs.refresh_mart(own, m)[0].count() > 0
+def test_an_incremental_audit_leaves_other_rows_flags(spark):
+    f = fact(spark, [*range(100, 200), 5000, 6000]).withColumn("updated_at", F.when(F.col("test_id") == 100, F.lit("2026-02-01")).otherwise("2026-01-01").cast("timestamp"))
+    rules = quality.rule_table(spark)
+    once = jobs.audit(f, rules)
+    assert {r.severity for r in once.where("test_id in (100, 101)").collect()} == {"critical"} and all(json.loads(r.details)["value"] == r.value for r in once.collect())
+    mended = f.withColumn("metric_value", F.when(F.col("test_id") == 100, 150.0).otherwise(F.col("metric_value")))
+    again = jobs.audit(mended, rules, once, since="2026-01-15")
+    assert {(r.test_id, r.status) for r in again.collect()} == {(100, "superseded"), (101, "open")}
+
+
+def test_a_wide_table_is_audited(spark):
+    ids = ["test_id", "assessment_family", "team_group_id", "test_type", "side", "rep_number"]
+    wide = fact(spark, [*range(100, 200), -4]).select(*ids, F.col("metric_value").alias("max_force"), F.lit(1.0).alias("other"))
+    got = jobs.audit_wide(wide, ids, ["max_force", "other"], quality.rule_table(spark))
+    assert {(r.test_id, r.metric_name) for r in got.where("flag_type = 'negative_value'").collect()} == {(100, "max_force")}
+
+
+def test_all_families_at_once(spark):
+    f = fact(spark, range(50)).withColumn("source_module", F.lit("m")).withColumn("test_name", F.lit(None).cast("string"))
+    f = all_families({m.family: f for m in jobs.MARTS})
+    catalog = jobs.coverage_of(f, f.withColumn("test_date", F.lit("2026-01-01")), fixed={"m": "max_force"})
+    assert {r.coverage_status for r in catalog.collect()} == {"covered"}
+    got = jobs.refresh_all(f, catalog)
+    assert {k: m.count() for k, (m, _) in got.items()} == dict.fromkeys((m.family for m in jobs.MARTS), 37)
+    assert jobs.refresh_mart(f, jobs.MARTS[0], catalog.withColumn("reference_metric", F.lit(None).cast("string")))[0].count() == 0
+
+
+def test_baselines_of_large_groups_are_the_same(spark):
+    rows = [(i, i, "frame", i % 3 or None, "ab"[i % 2], "max_force", None, 1, float(i * 37 % 101)) for i in range(120)]
+    f = spark.createDataFrame(rows, FACT)
+    plain, ranged = (quality.baselines(f, ["assessment_family", "metric_name"], large=large).toPandas().sort_values(["grain", "team_group_id", "test_type"]).reset_index(drop=True) for large in (False, True))
+    pandas.testing.assert_frame_equal(plain, ranged[plain.columns])
+    assert len(plain) == 1 + 2 + 2 + 4

@@ -1,6 +1,7 @@
 """Cases on hand-made rows; the queries' equality with SQL is in test_queries.py."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import Row
@@ -20,7 +21,8 @@ def test_outlier_of_a_hundred_is_outside(spark, large):
     f = rows(spark, [*range(1, 101), 1000])
     labelled = marts.label(f, marts.thresholds(f, large=large))
     assert [r.metric_value for r in labelled.where("is_above").collect()] == [1000.0]
-    assert {r.metric_value for r in marts.mart_simple(f, labelled, "m").collect()} == set(map(float, range(26, 101)))
+    catalog = spark.createDataFrame([("t", "m")], "test_type string, reference_metric string")
+    assert {r.metric_value for r in marts.mart_simple(labelled, catalog, named=("test_type",)).collect()} == set(map(float, range(26, 101)))
 
 
 def test_limits_are_strict_and_null_is_neither(spark):
@@ -40,8 +42,9 @@ def test_best_repetitions(spark):
     data = [(1, 1, "f", 1, "t", "m", s, r, v) for s, r, v in [("left", 1, 5.0), ("left", 2, 7.0), (None, 3, 9.0), ("right", 1, 4.0)]]
     f = spark.createDataFrame(data, FACT)
     lab = f.withColumn("is_above", F.lit(False)).withColumn("is_below", F.lit(False))
-    assert sorted(r.metric_value for r in marts.mart_greatest_rep_by_side(f, lab, "m").collect()) == [4.0, 7.0]
-    assert [r.metric_value for r in marts.mart_least_rep(f, lab, "m").collect()] == [4.0]
+    how = {"catalog": spark.createDataFrame([("t", "m")], "test_type string, reference_metric string"), "named": ("test_type",), "tie": ("side",)}
+    assert sorted(r.metric_value for r in marts.mart_greatest_rep_by_side(lab, **how).collect()) == [4.0, 7.0]
+    assert sorted(r.metric_value for r in marts.mart_least_rep(lab, **how).collect()) == [4.0, 5.0]
 
 
 def test_publish_drops_what_no_longer_qualifies(spark):
@@ -67,9 +70,9 @@ RULE = {"non_negative": True, "abs_min": 0.0, "abs_max": 100.0, "fence": 2.0, "z
     [(50.0, 10.0, set()), (-1.0, 10.0, {("negative_value", "critical"), ("range_violation", "critical"), ("outlier_modified_zscore", "critical")}), (101.0, 100.0, {("range_violation", "critical")}), (81.0, 0.5, {("outlier_iqr", "warning")}), (89.0, 10.0, {("outlier_modified_zscore", "warning"), ("outlier_iqr", "warning")})],
 )
 def test_flags(spark, value, mad, expected):
-    base = F.struct(F.lit(45.0).alias("p25_value"), F.lit(50.0).alias("median_value"), F.lit(55.0).alias("p75_value"), F.lit(mad).alias("mad_value"))
+    base = F.struct(F.lit(45.0).alias("p25_value"), F.lit(50.0).alias("median_value"), F.lit(55.0).alias("p75_value"), F.lit(mad).alias("mad_value"), F.lit(10).alias("sample_count"))
     if value in (-1.0, 101.0):
-        base = F.struct(F.lit(0.0).alias("p25_value"), F.lit(60.0).alias("median_value"), F.lit(60.0).alias("p75_value"), F.lit(mad).alias("mad_value"))
+        base = F.struct(F.lit(0.0).alias("p25_value"), F.lit(60.0).alias("median_value"), F.lit(60.0).alias("p75_value"), F.lit(mad).alias("mad_value"), F.lit(10).alias("sample_count"))
     df = spark.createDataFrame([Row(metric_value=value)]).withColumns({k: F.lit(v) for k, v in RULE.items()}).withColumn("b", base)
     assert {(r.flag_type, r.severity) for r in quality.flags(df).collect()} == expected
 
@@ -112,14 +115,47 @@ def test_soft_delete_and_return(spark):
 
 def test_reference_metrics(spark):
     c = spark.createDataFrame(
-        [("gates", "a", "split_1_cumulative_time", 1.0), ("gates", "a", "split_3_cumulative_time", 3.0), ("gates", "a", "split_2_cumulative_time", 2.0), ("plates", "b", "performance_peak_vertical_force", 900.0), ("plates", "b", "takeoff_jump_height_imp_mom", 3.0), ("frame", "c", "avg_force", 1.0), ("frame", None, "max_force", 1.0)],
+        [("gates", "a", "split_1_cumulative_time", 1.0), ("gates", "a", "split_3_cumulative_time", 3.0), ("gates", "a", "split_2_cumulative_time", 2.0), ("plates", "b", "peak_force", 900.0), ("plates", "b", "jump_height", 3.0), ("plates", "d", "peak_force", 9.0), ("frame", "c", "avg_force", 1.0), ("frame", None, "max_force", 1.0)],
         "source_module string, test_name string, metric_name string, max_metric_value double",
     )
-    got = {(r.test_name, r.reference_metric) for r in coverage.reference_metrics(c, ["source_module", "test_name"]).collect()}
-    assert got == {("a", "split_3_cumulative_time"), ("b", "takeoff_jump_height_imp_mom"), (None, "max_force")}
+    keys = ["source_module", "test_name"]
+    choice = {"priority": {"plates": ["jump_height", "peak_force"]}, "splits": ("gates",), "fixed": {"frame": "max_force"}}
+    ref = coverage.reference_metrics(c, keys, **choice)
+    assert {(r.test_name, r.reference_metric) for r in ref.collect()} == {("a", "split_3_cumulative_time"), ("b", "jump_height"), ("d", "peak_force"), (None, "max_force")}
+    assert coverage.reference_metrics(c, keys).count() == 0
     cat = spark.createDataFrame([("frame", None), ("frame", "c")], "source_module string, test_name string")
-    ref = coverage.reference_metrics(c, ["source_module", "test_name"])
-    assert {(r.test_name, r.coverage_status) for r in coverage.coverage(cat, ref, ["source_module", "test_name"]).collect()} == {(None, "covered"), ("c", "unmapped")}
+    assert {(r.test_name, r.coverage_status) for r in coverage.coverage(cat, ref, keys).collect()} == {(None, "covered"), ("c", "unmapped")}
+
+
+def test_marts_publish_only_rows_in_range(spark):
+    rows = [  # test, side, rep, metric, value, above
+        (1, None, 1, "ref", 5.0, False), (1, "left", 1, "other", 1.0, False), (1, "left", 1, "wild", 9.0, True), (1, None, 2, "ref", 4.0, False), (1, "right", 2, "other", 2.0, False), (1, None, None, "ref", 1.0, False),
+        (2, None, 1, "ref", 5.0, True), (2, None, 1, "other", 5.0, False), (3, "left", 1, "ref", 7.0, False), (3, "left", 2, "ref", 8.0, False), (3, None, 9, "ref", 99.0, False), (3, "left", 2, "other", 0.5, False),
+    ]
+    df = spark.createDataFrame([(*r[:5], r[5], False, "n") for r in rows], "test_id int, side string, rep_number int, metric_name string, metric_value double, is_above boolean, is_below boolean, test_name string")
+    catalog = spark.createDataFrame([("n", "ref"), ("x", "other"), (None, None)], "test_name string, reference_metric string")
+    of = lambda m, **how: sorted((r.test_id, r.side or "", r.rep_number or 0, r.metric_name) for r in m(df, catalog, named=("test_name",), **how).collect())
+    assert of(marts.mart_simple) == sorted((r[0], r[1] or "", r[2] or 0, r[3]) for r in rows if r[0] != 2 and not r[5])
+    assert of(marts.mart_by_side) == [(1, "", 0, "ref"), (1, "", 1, "ref"), (1, "", 2, "ref"), (3, "", 9, "ref"), (3, "left", 1, "ref"), (3, "left", 2, "other"), (3, "left", 2, "ref")]
+    assert of(marts.mart_least_rep, tie=["side"]) == [(1, "", 2, "ref"), (1, "right", 2, "other"), (3, "left", 1, "ref")]
+    assert of(marts.mart_greatest_rep_by_side, tie=["side"]) == [(1, "", 1, "ref"), (3, "left", 2, "other"), (3, "left", 2, "ref")]
+
+
+def test_row_keys(spark):
+    one = {"profile_id": "p", "team_group_id": 3, "test_id": "t", "assessment_family": "f", "source_module": "m", "metric_name": "x", "side": None, "rep_number": 1, "metric_value": 1.50, "row_hint": None, "test_date": "2026-01-01"}
+    df = spark.createDataFrame([one], "profile_id string, team_group_id int, test_id string, assessment_family string, source_module string, metric_name string, side string, rep_number int, metric_value double, row_hint string, test_date string")
+    key = lambda d: fact.with_row_key(d).first().metric_row_key
+    assert key(df) == hashlib.md5(b"p|3|t|f|m|x||1|1.5|").hexdigest() == key(df.withColumn("test_date", F.lit("later"))) == key(df.drop("row_hint"))
+    assert key(df.withColumn("row_hint", F.lit("trial 2"))) == hashlib.md5(b"p|3|t|f|m|x||1|1.5|trial 2").hexdigest()
+
+
+def test_leaves_at_any_depth(spark):
+    from orefold.functions import jsonwalk
+
+    deep = '{"a": ' * 9 + "7" + "}" * 9
+    df = spark.createDataFrame([(1, deep), (2, '{"b": [1, {"c": 2}]}'), (3, None), (4, "broken")], "n int, p string")
+    got = {(r.n, r.metric_name, r.metric_value) for r in jsonwalk.all_leaves(df, "p", "n", depth=2).collect()}
+    assert got == {(1, "_".join("a" * 9), 7.0), (2, "b_1", 1.0), (2, "b_2_c", 2.0)}
 
 
 def test_ranks_put_missing_last(spark):

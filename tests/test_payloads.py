@@ -11,10 +11,13 @@ def raw(spark, *rows):
     return spark.createDataFrame([(i + 1, "acc", json.dumps(p), json.dumps(b) if not isinstance(b, str) else b) for i, (p, b) in enumerate(rows)], RAW)
 
 
-def test_two_attributes_give_two_rows_and_the_key_is_latest(spark):
-    body = [{"id": "P1", "tenantId": "T", "attributes": [{"attributeTypeId": "g1", "typeName": "G", "attributeValueId": "c1", "valueName": "C"}, {"attributeTypeId": "g2", "attributeValueId": "c2"}]}]
+def test_attributes_are_categories_and_the_first_of_a_payload_counts(spark):
+    of = lambda kind, value, name=None: {"attributeTypeId": kind, "typeName": name, "attributeValueId": value, "valueName": value and value.upper()}
+    body = [{"id": "P1", "tenantId": "T", "attributes": [of("k1", "g1", "K"), of("k2", "g2"), of("k1", "g3"), of(None, "g4")]}]
     got = P.flatten(raw(spark, ({}, body)), "profile_categories").orderBy("category_id").collect()
-    assert [(r.profile_id, r.group_id, r.category_id) for r in got] == [("P1", "g1", "c1"), ("P1", "g2", "c2")]
+    assert [(r.profile_id, r.category_id, r.category_name, r.group_id, r.group_name) for r in got] == [("P1", "k1", "K", "g1", "G1"), ("P1", "k2", None, "g2", "G2")]
+    later = raw(spark, ({}, body), ({}, [{"id": "P1", "attributes": [of("k1", "g9"), of("k1", "g1")]}]))
+    assert {(r.category_id, r.group_id) for r in P.flatten(later, "profile_categories").collect()} == {("k1", "g9"), ("k2", "g2")}
 
 
 def test_aliases_and_latest_wins(spark):
@@ -97,3 +100,24 @@ def test_placeholders(spark):
     types = spark.createDataFrame([("acc", "k1", "Known")], "source_account string, tag_type_id string, name string")
     got = {(r.tag_type_id, r.name) for r in P.with_placeholders(tags, types, "tag_type_id", "tag_type_id", ["source_account"]).collect()}
     assert got == {("k1", "Known"), ("k2", None)}
+
+
+def test_stats_replayed_are_there_once(spark):
+    body = [{"activity_id": "a1", "athlete_id": "p1", "total": "5"}]
+    none = spark.createDataFrame([], "source_account string, activity_id string, period_id string, start_time timestamp, end_time timestamp")
+    got = P.stats(raw(spark, ({}, body), ({}, [{**body[0], "total": "7"}])), none, none).collect()
+    assert [(r.raw_id, r.all_parameters) for r in got] == [(2, {"total": "7"})]
+
+
+def test_traces_take_profile_and_date_from_their_test(spark):
+    traces = spark.createDataFrame([("t1", 1, None), ("t2", 1, None), ("t3", 1, "own")], "test_id string, tick int, profile_id string")
+    tests = spark.sql("select 't1' test_id, 'p1' profile_id, date'2026-01-01' test_date union all select 't3', 'p3', null")
+    got = {r.test_id: r for r in P.with_parent(traces, tests, "test_id", {"profile_id": "profile_id", "started": "test_date"}, required="profile_id").collect()}
+    assert (got["t1"].profile_id, str(got["t1"].started), got["t1"].reject_reason) == ("p1", "2026-01-01", None)
+    assert got["t2"].reject_reason == "missing profile_id" and got["t3"].profile_id == "own"
+
+
+def test_counts_of_a_load(spark):
+    rows = raw(spark, ({}, [{"id": "1"}, {"id": "1"}, {"name": "x"}]), ({}, "broken {"), ({}, {"items": [{"id": 3}]}), ({}, {"id": 4}))
+    assert tuple(P.load_counts(rows, P.Shape({"team_id": ("id", "id")}, ["team_id"], required=["team_id"])).first()) == (5, 4, 1)
+    assert [r.n for r in rows.orderBy("raw_id").select(P.count_items(F.col("response_payload")).alias("n")).collect()] == [3, 0, 1, 1]
