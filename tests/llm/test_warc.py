@@ -53,5 +53,31 @@ def test_a_hot_url_over_many_spans_equals_brute_force(spark):
     assert len(got) == 300 and warc.resolve(records(spark, rows).limit(0)).count() == 0
 
 
+def test_odd_records(spark):
+    u = "http://a.example/x"
+    rows = [
+        (1, u, 10, "response", {"ETag": "1", "etag": "2", "Vary": None}, "first"),
+        (1, u, 12, "response", {"etag": "3"}, "later"),
+        (2, u, 10, "revisit", {"ETAG": "1", "Etag": "2"}, None),
+        (2, u, 10, "revisit", {"ETAG": "1", "Etag": "2"}, None),
+        (3, u, None, "revisit", {"etag": "1"}, None),
+        (4, u, None, "response", {"etag": "9"}, "timeless"),
+        (5, u, 99, "revisit", {"etag": "3"}, None),
+        (None, "http://b.example", 1, "response", {}, "no id"),
+        (6, "http://b.example", 2, "revisit", None, None),
+    ]
+    wide = records(spark, rows).withColumns({"span": F.lit("x"), "from": F.lit(1), "full": F.lit(None).cast("int"), "good": F.lit(2)})
+    got = sorted((r.record_id, r.source_id, r.outcome, r.body) for r in warc.resolve(wide).collect())
+    assert got == [(2, 1, "resolved", "later"), (2, 1, "resolved", "later"), (3, None, "changed", None), (5, 1, "resolved", "later"), (6, None, "missing", None)]
+    heads = {r.record_id: r.headers for r in warc.resolve(wide).collect()}
+    assert heads[2] == {"etag": "1, 2"} and heads[5] == {"etag": "3"}
+
+
+def test_many_records_of_one_time(spark):
+    rows = [(i, "http://h.example/", 5, "response" if i % 2 else "revisit", {"etag": "e"}, f"b{i}" if i % 2 else None) for i in range(200)]
+    got = warc.resolve(records(spark, rows)).collect()
+    assert {(r.source_id, r.outcome, r.body) for r in got} == {(199, "resolved", "b199")} and len(got) == 100
+
+
 def test_equals_sql(spark, data):
     sqlcheck.assert_equal(queries.op2_warc_revisits(spark, data), sqlcheck.connect(data), queries.OP2_SQL)
