@@ -4,26 +4,32 @@ Text is lower-cased, every run of non-letters becomes one space, and a document
 after three spaces. Four characters, 16 bits each, make a key; characters beyond the basic plane count as one symbol.
 
 Training counts the four-grams of all training documents per language (a sum by key in Spark, after each task has
-summed what it read). Every four-gram stays in the model, so what is broadcast grows with the different four-grams of the input.
-From these the driver derives continuation counts, discounts and interpolated probabilities of all orders, as sorted
-arrays of hashed keys with one column of log probabilities for each language.
+summed what it read); nothing is left out, so the model grows with the different four-grams of the input. Continuation counts, discounts
+and interpolated probabilities of all orders follow from these counts, in one of two ways with the same results but for rounding:
+* ``Model``: where different four-grams times languages are at most ``CELLS``, the driver makes sorted arrays of hashed keys with one column
+  of log probabilities for each language, which are broadcast, and scoring needs no shuffle;
+* ``Joined``: beyond that nothing of the model comes to the driver. Orders, contexts and discounted shares are tables, the different four-grams of the
+  documents are looked up by joins, and a document's sums by one more.
 
 A document gets the language with the lowest cross-entropy per character. ``score`` is a softmax of the entropies,
-its sharpness fitted on a bounded sample of training documents (``SAMPLE`` rows), and ``rejected`` says that the
-winning entropy is above what all but ``REJECT`` of that language's sampled documents have.
+its sharpness fitted on a bounded sample of training documents (``SAMPLE`` rows, a tenth of all at most), and ``rejected`` says that the
+winning entropy is above what all but ``REJECT`` of that language's sampled documents have. For both the sampled rows meet a model
+that was counted without them; the model that is returned has them in.
 
-Cases: null text or text without a letter gives ``und`` with score 0; no training rows gives ``und`` everywhere;
-ties go to the first language in order; repeated rows are counted and predicted one by one.
+Cases: null text or text without a letter gives ``und`` with score 0; no training rows gives ``und`` everywhere; an empty table gives an empty
+result; ties go to the first language in order; repeated rows are counted and predicted one by one; only the named columns are read.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -33,6 +39,7 @@ from .base import slices, staged
 ORDER = 4
 SAMPLE = 4096
 REJECT = 0.005
+CELLS = 4_000_000
 
 _U = np.uint64
 
@@ -141,8 +148,7 @@ class Model:
                 if not len(keys):
                     prob[:, j] = below[:, j]
                     continue
-                once, twice = (count == 1).sum(), (count == 2).sum()
-                cut = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.75
+                cut = discount(int((count == 1).sum()), int((count == 2).sum()))
                 ctx, back, kinds = np.unique(keys >> _U(16), return_inverse=True, return_counts=True)
                 total = np.bincount(back, weights=count.astype(float))
                 at = np.searchsorted(contexts, ctx)
@@ -180,103 +186,195 @@ class Model:
         return out, counts
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
-        if not self.langs:
-            return [("und", 0.0, True)] * len(texts)
-        entropy, counts = self.entropies(texts)
-        best = entropy.argmin(1)
-        soft = np.exp(-self.sharpness * (entropy - entropy.min(1, keepdims=True)))
-        score = 1 / soft.sum(1)
-        high = entropy[np.arange(len(texts)), best] > self.bounds[best]
-        return [(self.langs[b], float(s), bool(r)) if n else ("und", 0.0, True) for b, s, r, n in zip(best, score, high, counts, strict=True)]
+        return decide(self, *self.entropies(texts)) if self.langs else [("und", 0.0, True)] * len(texts)
+
+    @classmethod
+    def of(cls, langs: list[str], counts: DataFrame) -> Model:
+        """Of a ``lang, gram, n`` table of a checked size."""
+        got = counts.toArrow()
+        of, keys, n = pc.index_in(got.column("lang"), pa.array(langs, pa.string())).to_numpy(), got.column("gram").to_numpy().view(_U), got.column("n").to_numpy()
+        by = np.lexsort((keys, of))
+        ends = np.searchsorted(of[by], np.arange(len(langs) + 1))
+        return cls(langs, [(keys[by[a:b]], n[by[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)])
+
+    def table(self, rows: DataFrame) -> DataFrame:
+        """``row, text`` to row, h (entropies by language), n (characters; 0 without a letter)."""
+        shared = rows.sparkSession.sparkContext.broadcast(self)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                h, n = shared.value.entropies(batch.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(list(h), pa.list_(pa.float64())), pa.array(n, pa.int64())], names=["row", "h", "n"])
+
+        return rows.mapInArrow(run, "row bigint, h array<double>, n bigint")
+
+
+def discount(once: int, twice: int) -> float:
+    return min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.75
+
+
+def decide(model: Model | Joined, entropy: np.ndarray, counts: np.ndarray) -> list[tuple[str, float, bool]]:
+    best = entropy.argmin(1)
+    soft = np.exp(-model.sharpness * (entropy - entropy.min(1, keepdims=True)))
+    score = 1 / soft.sum(1)
+    high = entropy[np.arange(len(entropy)), best] > model.bounds[best]
+    return [(model.langs[b], float(s), bool(r)) if n else ("und", 0.0, True) for b, s, r, n in zip(best, score, high, counts, strict=True)]
+
+
+class Joined:
+    """The model as tables, for any number of four-grams."""
+
+    def __init__(self, langs: list[str], counts: DataFrame):
+        self.langs = langs
+        self.sharpness, self.bounds = 20.0, np.full(len(langs), np.inf)
+        self.shares, self.weights = {}, {}
+        rows = counts
+        for n in range(ORDER, 0, -1):
+            if n < ORDER:
+                rows = staged(rows.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * n) - 1)).alias("gram")).agg(F.count("*").alias("n")), f"grams{n}")
+            seen = rows.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect()
+            cuts = F.create_map(*[F.lit(x) for r in seen for x in (r.lang, discount(r.once, r.twice))])
+            own = rows.select("lang", "gram", "n", F.shiftrightunsigned("gram", 16).alias("context"))
+            contexts = own.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+            share = own.join(contexts, ["lang", "context"]).select("lang", "gram", (F.greatest(F.col("n") - cuts[F.col("lang")], F.lit(0.0)) / F.col("total")).alias("v"))
+            weight = contexts.select("lang", "context", (cuts[F.col("lang")] * F.col("kinds") / F.col("total")).alias("v"))
+            self.shares[n], self.weights[n] = staged(_by_language(share, "gram"), f"shares{n}"), staged(_by_language(weight, "context"), f"weights{n}")
+        self.floor = 1 / (max(1, rows.select("gram").distinct().count()) + 1)
+
+    def table(self, rows: DataFrame) -> DataFrame:
+        """``row, text`` to row, h (entropies by language), n (characters); texts without a letter have no row."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                keys, counts = keys_of(batch.column("text").to_pylist())
+                of = np.repeat(batch.column("row").to_numpy(), counts)
+                by = np.lexsort((keys, of))
+                of, keys = of[by], keys[by]
+                first = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (keys[1:] != keys[:-1]))) if len(of) else by
+                yield pa.RecordBatch.from_arrays([pa.array(of[first]), pa.array(keys[first].view(np.int64)), pa.array(np.diff(np.append(first, len(of))))], names=["row", "gram", "times"])
+
+        each = staged(rows.mapInArrow(run, "row bigint, gram bigint, times bigint"), "document-grams")
+        p = F.array(*[F.lit(self.floor)] * len(self.langs))
+        looked = each.select("gram").distinct()
+        for n in range(1, ORDER + 1):
+            gram = F.col("gram").bitwiseAND(F.lit((1 << 16 * n) - 1)) if n < ORDER else F.col("gram")
+            looked = looked.join(self.shares[n].withColumnsRenamed({"gram": "g", "v": "share"}), gram == F.col("g"), "left")
+            looked = looked.join(self.weights[n].withColumnsRenamed({"context": "c", "v": "weight"}), F.shiftrightunsigned(gram, 16) == F.col("c"), "left")
+            below = p if n == 1 else F.col("p")
+            values = [F.coalesce(F.col("share")[k], F.lit(0.0)) + F.coalesce(F.col("weight")[k], F.lit(1.0)) * below[i] for i, k in enumerate(self.langs)]
+            looked = looked.select("gram", F.array(*values).alias("p"))
+        logs = staged(looked.select("gram", F.transform("p", lambda x: F.log(x)).alias("logs")), "gram-logs")
+        sums = [F.sum(F.col("logs")[i] * F.col("times")) for i in range(len(self.langs))]
+        total = F.sum("times")
+        return each.join(logs, "gram").groupBy("row").agg(F.array(*[-s / total for s in sums]).alias("h"), total.alias("n"))
+
+
+def _by_language(rows: DataFrame, key: str) -> DataFrame:
+    """key, v: a map from language to value."""
+    return rows.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", "v"))).alias("v"))
 
 
 def count_grams(rows: DataFrame) -> DataFrame:
-    """Four-gram counts of ``lang, text`` rows: lang, gram, n."""
+    """Four-gram counts of ``lang, text, apart`` rows: lang, gram, n, n_rest (without the rows that stand apart)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list] = {}
+        seen: dict[tuple[str, bool], list] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, parts in seen.items():
-                keys = np.concatenate([k for k, _ in parts])
-                uniq, back = np.unique(keys, return_inverse=True)
+            for (lang, apart), parts in seen.items():
+                uniq, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
                 n = np.bincount(back, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(uniq)), pa.array(uniq.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(uniq)), pa.array(uniq.view(np.int64)), pa.array(n), pa.array(n * (not apart))], names=["lang", "gram", "n", "n_rest"])
             seen.clear()
 
         for batch in slices(batches, "text"):
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            texts = np.array(batch.column("text").to_pylist(), object)
-            for lang in sorted(set(langs)):
-                keys, _ = keys_of(list(texts[langs == lang]))
-                got = np.unique(keys, return_counts=True)
+            groups: dict[tuple[str, bool], list] = {}
+            for lang, apart, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "apart", "text")), strict=True):
+                groups.setdefault((lang, apart), []).append(text)
+            for group, texts in groups.items():
+                got = np.unique(keys_of(texts)[0], return_counts=True)
                 size += len(got[0])
-                seen.setdefault(lang, []).append(got)
+                seen.setdefault(group, []).append(got)
             if size > 4_000_000:
                 yield from flush()
                 size = 0
         yield from flush()
 
-    counted = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").alias("text")).where("lang is not null and text is not null")
-    return counted.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.select("lang", "apart", "text").mapInArrow(run, "lang string, gram bigint, n bigint, n_rest bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("n_rest").alias("n_rest"))
 
 
-def train(rows: DataFrame, *, id_col: str | None = None, sample: int = SAMPLE) -> Model:
-    """A model of ``lang, text`` rows; by ``id_col``, or by their place where there is none, they are sampled for calibration."""
-    counts = staged(count_grams(rows), "grams")
+def train(rows: DataFrame, *, id_col: str | None = None, sample: int = SAMPLE, cells: int = CELLS) -> Model | Joined:
+    """A model of ``lang, text`` rows; by ``id_col``, or by their place where there is none, rows are sampled for calibration."""
+    known = rows.where("lang is not null and text is not null")
+    share = math.ceil(1e6 * min(0.1, sample / max(known.count(), 1)))
+    number = F.col(id_col) if id_col else F.monotonically_increasing_id()  # copies of a text are rows of their own
+    marked = known.select(F.col("lang").cast("string").alias("lang"), "text", (F.pmod(F.xxhash64("text", number), F.lit(1_000_000)) < share).alias("apart"))
+    counts = staged(count_grams(marked), "grams")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
-    parts = []
-    for k in langs:
-        one = counts.where(F.col("lang") == k).select("gram", "n").toArrow()
-        keys, n = one.column("gram").to_numpy().view(_U), one.column("n").to_numpy()
-        order = np.argsort(keys)
-        parts.append((keys[order], n[order]))
-    model = Model(langs, parts)
-    if langs:
-        calibrate(model, rows, sample, id_col)
+    if not langs:
+        return Model([], [])
+    build = Model.of if counts.select("gram").distinct().count() * len(langs) <= cells else Joined
+    trial = build(langs, counts.where("n_rest > 0").select("lang", "gram", F.col("n_rest").alias("n")))
+    model = build(langs, counts.select("lang", "gram", "n"))
+    model.sharpness, model.bounds = calibrate(trial, marked.where("apart").select("lang", "text"))
     return model
 
 
-def calibrate(model: Model, rows: DataFrame, sample: int, id_col: str | None = None) -> None:
-    known = rows.where("lang is not null and text is not null")
-    n = known.select("lang").count()
-    numbered = known.select("lang", "text", (F.col(id_col) if id_col else F.monotonically_increasing_id()).alias("row"))  # copies of a text are rows of their own
-    picked = numbered.where(F.pmod(F.xxhash64("text", "row"), F.lit(1_000_000)) < F.lit(math.ceil(1e6 * min(1.0, sample / max(n, 1)))))
-    shared, index = known.sparkSession.sparkContext.broadcast(model), {k: i for i, k in enumerate(model.langs)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            entropy, counts = shared.value.entropies(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(entropy), pa.list_(pa.float64())), pa.array(counts)], names=["lang", "h", "n"])
-
-    got = picked.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(run, "lang string, h array<double>, n bigint").where("n > 0").collect()
-    got = [r for r in got if r.lang in index]
-    if not got:
-        return
-    h, true = np.array([r.h for r in got]), np.array([index[r.lang] for r in got])
+def calibrate(model: Model | Joined, rows: DataFrame) -> tuple[float, np.ndarray]:
+    """Sharpness and bounds, from rows that the model was not counted on."""
+    numbered = staged(rows.withColumn("row", F.monotonically_increasing_id()), "calibration")
+    got = numbered.drop("text").join(model.table(numbered.select("row", "text")).where("n > 0"), "row").select("lang", "h").toArrow()
+    bounds = model.bounds.copy()
+    true = np.array([model.langs.index(k) for k in got.column("lang").to_pylist()], np.int64)
+    if not len(true):
+        return model.sharpness, bounds
+    h = np.array(got.column("h").to_pylist())
+    for j in set(true.tolist()):
+        bounds[j] = float(np.quantile(h[true == j, j], 1 - REJECT)) + 0.05
     h = h - h.min(1, keepdims=True)
 
     def loss(beta: float) -> float:
         return float((beta * h[np.arange(len(h)), true] + np.log(np.exp(-beta * h).sum(1))).mean())
 
-    model.sharpness = min(np.geomspace(0.5, 200, 60), key=loss)
-    for lang, j in index.items():
-        own = [r.h[j] for r in got if r.lang == lang]
-        if own:
-            model.bounds[j] = float(np.quantile(own, 1 - REJECT)) + 0.05
+    return float(min(np.geomspace(0.5, 200, 60), key=loss)), bounds
 
 
-def identify(docs: DataFrame, model: Model, *, text: Column | str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, model: Model | Joined, *, text: Column | str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
     """The kept columns, lang_pred, score, rejected. Nothing but the text is looked at."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     own = docs.select(*keep, (F.col(text) if isinstance(text, str) else text).alias("__text"))
     names = own.columns[:-1]
+    schema = StructType([*own.schema.fields[:-1], *StructType.fromDDL("lang_pred string, score double, rejected boolean").fields])
+
+    def answer(batch: pa.RecordBatch, got: list[tuple[str, float, bool]]) -> pa.RecordBatch:
+        cols = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())]
+        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *cols], names=[*names, "lang_pred", "score", "rejected"])
+
+    if isinstance(model, Joined):
+        numbered = staged(own.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+        found = model.table(numbered.select(F.col("__row").alias("row"), F.col("__text").alias("text"))).withColumnsRenamed({"row": "__of", "h": "__h", "n": "__n"})
+        plain = Decision(model.langs, model.sharpness, model.bounds)
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            none = [0.0] * len(plain.langs)
+            for batch in batches:
+                h = np.array([x or none for x in batch.column("__h").to_pylist()]).reshape(batch.num_rows, len(none))
+                yield answer(batch, decide(plain, h, pc.fill_null(batch.column("__n"), 0).to_numpy()))
+
+        return numbered.drop("__text").join(found, F.col("__row") == F.col("__of"), "left").select(*[F.col(f"`{n}`") for n in names], "__h", "__n").mapInArrow(judge, schema)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__text"):
-            got = shared.value.predict(batch.column("__text").to_pylist())
-            cols = [pa.array([g[0] for g in got]), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *cols], names=[*names, "lang_pred", "score", "rejected"])
+            yield answer(batch, shared.value.predict(batch.column("__text").to_pylist()))
+
+    return own.mapInArrow(run, schema)
+
+
+@dataclass(frozen=True)
+class Decision:
+    """What deciding needs of a model, without its tables."""
 
-    return own.mapInArrow(run, StructType([*own.schema.fields[:-1], *StructType.fromDDL("lang_pred string, score double, rejected boolean").fields]))
+    langs: list[str]
+    sharpness: float
+    bounds: np.ndarray
