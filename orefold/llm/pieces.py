@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .base import slices, staged, trim
 from .langid import HashArray, mix
@@ -44,8 +44,8 @@ from .langid import HashArray, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT, CHUNK = 32_768, 16_384
 KEPT_WORDS, LONG_WORD = 400_000, 64
-#: Matrices that are multiplied at a time.
-FAN = 16
+#: Matrices that are multiplied at a time; ids that are decoded together.
+FAN, PART = 16, 1 << 18
 SPACE = "▁"
 SCORE_BIT, HASH_BIT = 180, 100
 
@@ -78,7 +78,7 @@ class Memo:
     def __init__(self, most: int):
         self.most, self.turn = most, 0
         self.keys, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.start, self.count, self.last = (np.zeros(0, np.int64) for _ in range(3))
+        self.start, self.count, self.last = (np.zeros(0, np.int32) for _ in range(3))
 
     def missing(self, keys: np.ndarray) -> np.ndarray:
         """Which of the sorted keys aren't here; the others stay through the next ``add``."""
@@ -96,7 +96,7 @@ class Memo:
             stay = np.flatnonzero(self.last > min(int(np.partition(self.last, half)[half]), self.turn - 1))
             self.ids = self.ids[_runs(self.start[stay], self.count[stay])]
             self.keys, self.count, self.last = self.keys[stay], self.count[stay], self.last[stay]
-            self.start = np.cumsum(self.count) - self.count
+            self.start = (np.cumsum(self.count) - self.count).astype(np.int32)
         at = np.searchsorted(self.keys, keys)
         self.start, self.count = np.insert(self.start, at, start + len(self.ids)), np.insert(self.count, at, count)
         self.keys, self.last = np.insert(self.keys, at, keys), np.insert(self.last, at, self.turn)
@@ -480,8 +480,8 @@ def chunks(vocabulary: Vocabulary, text: str, chunk: int) -> list[tuple[int, str
     return [(k, s[a : a + chunk + ahead], min(chunk, len(s) - a)) for k, a in enumerate(range(0, len(s), chunk))]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str = "text", giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """The kept columns and ids (array of int)."""
+def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str = "text", giant: int = GIANT, chunk: int = CHUNK, decoded: str | None = None) -> DataFrame:
+    """The kept columns and ids (array of int); ``decoded``: the name of a column for the text that these ids decode to."""
     if chunk < vocabulary.longest:
         raise ValueError("a chunk must be as long as the longest piece")
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -489,15 +489,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str
     own = docs.select(*keep, F.col(text_col).alias("__text"), long.alias("__long"))
     names = own.columns[:-2]
     fields = own.schema.fields[:-2]
-    if "ids" in names:
-        raise ValueError("a kept column is called ids")
+    if "ids" in names or decoded in names:
+        raise ValueError("a kept column has the name of a result")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, "__text", 1 << 19):
             ids = shared.value.encode_texts(batch.column("__text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _lists(*ids)], names=[*names, "ids"])
+            texts = [pa.array(shared.value.decode_all(*ids), pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _lists(*ids), *texts], names=results)
 
-    small = own.where("not __long").drop("__long").mapInArrow(run, StructType([*fields, StructField("ids", ArrayType(IntegerType()))]))
+    results = [*names, "ids", *([decoded] if decoded else [])]
+    more = [StructField("ids", ArrayType(IntegerType())), *([StructField(decoded, StringType())] if decoded else [])]
+    small = own.where("not __long").drop("__long").mapInArrow(run, StructType([*fields, *more]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -519,6 +522,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str
                     pa.array([g[1] for g in got], pa.int32()), pa.array([g[2] for g in got], pa.int32()), _joined([g[3] for g in got]), pa.array([_cells(g[0]) for g in got], pa.list_(_CELL)),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=["row", "chunk", "size", "head", "tail", "first", "last", "middle", "cells"])
+        trim()
 
     kept = f"row bigint, chunk int, size int, head string, tail string, first int, last int, middle array<int>, {_CELLS}"
     parts = staged(parts.mapInArrow(transfer, kept), "transfers")
@@ -536,7 +540,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *keep: Column, text_col: str
     traced = parts.drop("cells").join(states, ["row", "chunk"]).mapInArrow(trace, "row bigint, chunk int, part array<int>")
     ids = traced.groupBy(F.col("row").alias("__row")).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "part"))), lambda x: x["part"])).alias("ids"))
     large = giants.drop("__text").join(ids, "__row").drop("__row")
-    return small.unionByName(large)
+    return small.unionByName(decode(large, vocabulary, to=decoded) if decoded else large)
 
 
 def _grouped(level: DataFrame) -> DataFrame:
@@ -608,10 +612,15 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", to:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = batch.column(names.index(ids_col))
-            counts = np.nan_to_num(pc.list_value_length(col).to_numpy(zero_copy_only=False)).astype(np.int64)
-            texts = shared.value.decode_all(pc.fill_null(pc.list_flatten(col), -1).to_numpy(zero_copy_only=False), counts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, to])
+            lengths = pc.fill_null(pc.list_value_length(batch.column(names.index(ids_col))), 0).to_numpy().astype(np.int64)
+            first = 0
+            while first < batch.num_rows:  # as many rows as have ``PART`` ids, or one
+                count = max(1, int((np.cumsum(lengths[first:]) <= PART).sum()))
+                part = batch.slice(first, count)
+                ids = pc.fill_null(pc.list_flatten(part.column(names.index(ids_col))), -1).to_numpy(zero_copy_only=False)
+                texts = shared.value.decode_all(ids, lengths[first : first + count])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, to])
+                first += count
         trim()
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, *StructType.fromDDL(f"`{to}` string").fields]))

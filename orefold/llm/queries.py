@@ -37,8 +37,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes it again, and says whether the text came back."""
     vocabulary = pieces.load()
     text_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary, F.col("doc_id"), text_hash)
-    both = pieces.decode(encoded, vocabulary)
+    both = pieces.encode(table(spark, sf_dir, "documents"), vocabulary, F.col("doc_id"), text_hash, decoded="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), (F.xxhash64("decoded") == F.col("text_hash")).alias("exact"))
 
 
