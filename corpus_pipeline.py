@@ -39,8 +39,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = pieces.load()
-    encoded = pieces.encode(docs, vocabulary, F.col("doc_id"), F.col("lang"), F.col("source"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    decoded = pieces.decode(encoded, vocabulary)
+    text_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    decoded = pieces.encode(docs, vocabulary, F.col("doc_id"), F.col("lang"), F.col("source"), text_hash, decoded="decoded")
     return decoded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.xxhash64("decoded") == F.col("text_hash")).alias("exact"))
 
 
