@@ -1,8 +1,8 @@
 """Linear classifiers over n-gram indicators that are scaled by naive Bayes log-count ratios.
 
 Labelled rows are a bounded sample (``SAMPLE`` rows, by a hash of the text): their ids and labels are broadcast, their
-texts are staged once. Executors count in how many sampled texts of either class each hashed n-gram occurs; the
-driver adds up these arrays of fixed size, picks every feature whose counts differ clearly and gives each its log-count ratio.
+texts are staged once. Executors count in how many sampled texts of either class each hashed n-gram occurs; Spark
+adds these counts up by blocks of buckets, and every feature whose counts differ clearly gets its log-count ratio.
 A second pass over the sample brings the driver each text's features; there a linear model is fitted by dual coordinate
 descent, with hinge loss (a support vector machine) or logistic loss, and its margins are turned into
 probabilities on a held-out part of the sample. Scoring is one pass over all documents without a shuffle.
@@ -19,14 +19,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .base import slices, staged
+from .base import slices, staged, trim
 
 BITS = 20
+BLOCK = 1 << 14
+#: Tasks that count; each gives counts of all buckets, so few of them are enough for the bounded sample.
+TASKS = 16
 SAMPLE = 24_000
+#: Least distance, in standard deviations, of a feature's share in a class from what chance gives.
+CLEARLY = 2.5
 
 #: From texts to (number of the text, bucket) of each n-gram in them, repeats included.
 Cells = Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
@@ -45,22 +51,28 @@ def distinct(doc: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return both >> BITS, both & ((1 << BITS) - 1)
 
 
-def descend(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: np.ndarray, *, logistic: bool, rounds: int = 1000, seed: int = 0) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for  min |w|^2 / 2 + sum cost_i loss(y_i (w.x_i + b)).
+def descend(
+    rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: np.ndarray, *, logistic: bool, rounds: int = 1000, seed: int = 0, start: np.ndarray | None = None
+) -> tuple[np.ndarray, float, np.ndarray]:
+    """Dual coordinate descent for  min |w|^2 / 2 + sum cost_i loss(y_i (w.x_i + b)): w, b and the dual's alpha.
 
-    It ends when no step of a round is above a thousandth of its cost. x_i has ``values[j]`` at each j in rows[i], and 1 for the bias, which is learned like any other weight.
+    x_i has ``values[j]`` at each j in rows[i], and 1 for the bias, which is learned like any other weight. Rounds go over what still moves; when
+    none of it makes a step above a thousandth of its cost, a round over all rows must say the same. ``start``: an alpha to begin with.
     """
     w, b = np.zeros(len(values)), 0.0
     norm = np.array([float((values[r] ** 2).sum()) + 1 for r in rows])
-    alpha = np.minimum(1e-3, cost / 2) if logistic else np.zeros(len(rows))
+    alpha = np.zeros(len(rows)) if start is None else np.minimum(start, cost)
     if logistic:
-        for r, a, t in zip(rows, alpha, y, strict=True):
-            w[r] += a * t * values[r]
-            b += a * t
+        alpha = np.clip(alpha, np.minimum(1e-3, cost / 2), cost * (1 - 1e-9))
+    for i in np.flatnonzero(alpha):
+        w[rows[i]] += alpha[i] * y[i] * values[rows[i]]
+        b += alpha[i] * y[i]
     order = np.random.default_rng(seed)
+    everyone = np.arange(len(rows))
+    active = everyone
     for _ in range(rounds):
-        largest = 0.0
-        for i in order.permutation(len(rows)):
+        largest, still = 0.0, []
+        for i in order.permutation(active):
             r, t = rows[i], y[i]
             x = values[r]
             margin = t * (float(w[r] @ x) + b)
@@ -77,9 +89,15 @@ def descend(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: np.
                 b += step * t
                 alpha[i] = new
                 largest = max(largest, abs(step) / cost[i])
+            if logistic and abs(step) > 1e-4 * cost[i] or not logistic and (step or 0 < new < cost[i]):
+                still.append(i)
         if largest < 1e-3:
-            break
-    return w, b
+            if len(active) == len(rows):
+                break
+            active = everyone
+        else:
+            active = np.array(still)
+    return w, b, alpha
 
 
 def sigmoid_fit(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -127,45 +145,40 @@ def sampled(docs: DataFrame, labels: DataFrame, *, doc_col: str, text_col: str,
     return staged(own.join(F.broadcast(few), F.col("__doc") == F.col("__id")).select("text", "y"), "labelled")
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    cells: Cells,
-    *,
-    label_col: str,
-    doc_col: str = "doc_id",
-    text_col: str = "text",
-    logistic: bool = False,
-    sample: int = SAMPLE,
-    strength: float = 1.0,
-    least: int = 3,
-) -> Model:
-    """``docs`` must hold only the documents whose labels may be learned from."""
-    rows = sampled(docs, labels, doc_col=doc_col, text_col=text_col, label_col=label_col, sample=sample)
+def features(rows: DataFrame, cells: Cells, size: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that ``least`` texts have and whose share of either class differs clearly, and their log-count ratios.
+
+    Counts are added up in Spark, by blocks of buckets; only what is chosen comes to the driver.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, size = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64)
+        n = np.zeros((2, 1 << BITS), np.int32)
         for batch in slices(batches, "text"):
             y = np.array(batch.column("y").to_pylist(), np.int64)
-            size += np.bincount(y, minlength=2)
             doc, cell = distinct(*cells(batch.column("text").to_pylist()))
             for k in (0, 1):
                 n[k] += np.bincount(cell[y[doc] == k], minlength=1 << BITS).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array([size.tolist()], pa.list_(pa.int64())), pa.array([n.tobytes()], pa.binary())], names=["size", "n"])
-
-    n, size = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for r in rows.coalesce(4).mapInArrow(count, "size array<bigint>, n binary").collect():
-        size += np.array(r["size"])
-        n += np.frombuffer(r["n"], np.int32).reshape(2, -1)
-    weights = np.zeros(1 << BITS, np.float32)
-    prior = math.log((size[1] + 1) / (size[0] + 1))
-    if not size.all():
-        return Model(cells, weights, prior, 1.0, 0.0)
-    ratio = np.log((n[1] + 1) / (size[1] + 2)) - np.log((n[0] + 1) / (size[0] + 2))
-    total, p = n.sum(0), size[1] / size.sum()
-    z = np.abs(n[1] - total * p) / np.sqrt(np.maximum(total * p * (1 - p) * (1 - total / (size.sum() + 1)), 1e-9))
-    z[(total < least) | (z < 2.5)] = 0
-    chosen = np.flatnonzero(z)
+        for first in range(0, 1 << BITS, BLOCK):
+            part = n[:, first : first + BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["first", "n"])
+
+    def choose(block: pa.Table) -> pa.Table:
+        n = np.zeros((2, BLOCK), np.int64)
+        for part in block.column("n").to_pylist():
+            n += np.frombuffer(part, np.int32).reshape(2, -1)
+        total, p = n.sum(0), size[1] / size.sum()
+        z = np.abs(n[1] - total * p) / np.sqrt(np.maximum(total * p * (1 - p) * (1 - total / (size.sum() + 1)), 1e-9))
+        own = np.flatnonzero((total >= least) & (z >= CLEARLY))
+        ratio = np.log((n[1, own] + 1) / (size[1] + 2)) - np.log((n[0, own] + 1) / (size[0] + 2))
+        return pa.table({"cell": pa.array(own + block.column("first")[0].as_py(), pa.int64()), "ratio": pa.array(ratio)})
+
+    got = rows.coalesce(TASKS).mapInArrow(count, "first int, n binary").groupBy("first").applyInArrow(choose, "cell bigint, ratio double").toArrow().sort_by("cell")
+    return got.column("cell").to_numpy(), got.column("ratio").to_numpy()
+
+
+def encoded(rows: DataFrame, cells: Cells, chosen: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Numbers of the chosen features in each text, and its label (1 or -1); in an order that doesn't depend on the tasks."""
     number = np.full(1 << BITS, -1, np.int32)
     number[chosen] = np.arange(len(chosen))
     shared = rows.sparkSession.sparkContext.broadcast(number)
@@ -179,22 +192,49 @@ def train(
             own = shared.value[cell]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([own[s:e].tobytes() for s, e in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["y", "x"])
 
-    got = sorted((r.y, bytes(r.x)) for r in rows.mapInArrow(encode, "y int, x binary").toLocalIterator())
-    x = [np.frombuffer(r[1], np.int32) for r in got]
-    y = np.where(np.array([r[0] for r in got]) > 0, 1.0, -1.0)
-    values = ratio[chosen]
+    got = rows.mapInArrow(encode, "y int, x binary").toArrow()
+    shared.destroy()
+    x = [np.frombuffer(v.as_buffer(), np.int32) for v in got.column("x")]
+    y = got.column("y").to_numpy()
+    order = sorted(range(len(x)), key=lambda i: (xxhash.xxh3_128_digest(x[i]), y[i]))
+    return [x[i] for i in order], np.where(y[order] > 0, 1.0, -1.0)
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    cells: Cells,
+    *,
+    label_col: str,
+    doc_col: str = "doc_id",
+    text_col: str = "text",
+    logistic: bool = False,
+    sample: int = SAMPLE,
+    strength: float = 1.0,
+    least: int = 3,
+) -> Model:
+    """``docs`` must hold only the documents whose labels may be learned from."""
+    rows = sampled(docs, labels, doc_col=doc_col, text_col=text_col, label_col=label_col, sample=sample)
+    size = np.zeros(2, np.int64)
+    for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect():
+        size[r.y] = r.n
+    weights = np.zeros(1 << BITS, np.float32)
+    if not size.all():
+        return Model(cells, weights, math.log((size[1] + 1) / (size[0] + 1)), 1.0, 0.0)
+    chosen, values = features(rows, cells, size, least)
+    x, y = encoded(rows, cells, chosen)
     values = values / max(np.sqrt(np.mean([float((values[r] ** 2).sum()) for r in x])), 1e-9)
     part = np.random.default_rng(1).permutation(len(x)) % 5
     cost = np.where(y > 0, size.sum() / (2 * size[1]), size.sum() / (2 * size[0])) * strength
-    out = {}
-    for name, inside in (("trial", part != 0), ("final", part >= 0)):
-        keep = np.flatnonzero(inside)
-        out[name] = descend([x[i] for i in keep], values, y[keep], cost[keep], logistic=logistic)
-    w, b = out["trial"]
-    held = np.flatnonzero(part == 0)
+    rest, held = np.flatnonzero(part != 0), np.flatnonzero(part == 0)
+    w, b, alpha = descend([x[i] for i in rest], values, y[rest], cost[rest], logistic=logistic)
     a, c = sigmoid_fit(np.array([float(w[x[i]] @ values[x[i]]) + b for i in held]), y[held]) if len(held) else (1.0, 0.0)
-    w, b = out["final"]
+    start = np.zeros(len(x))
+    start[rest] = alpha
+    w, b, _ = descend(x, values, y, cost, logistic=logistic, start=start)
     weights[chosen] = w * values
+    del x
+    trim()
     return Model(cells, weights, b, a, c)
 
 

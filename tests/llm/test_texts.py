@@ -44,10 +44,14 @@ def test_decontamination(spark, block_bytes):
     items = [(i, " ".join(r.choice(vocabulary) for _ in range(n))) for i, n in enumerate([20, 13, 12, 3, 1, 0, 25, 25])] + [(8, None), (9, "Solo!")]
     items.append((10, items[0][1]))
     docs = [" ".join(r.choice(vocabulary) for _ in range(60)) + " x " + items[k % 8][1] + ", end" for k in range(24)] + ["solo", *ODD]
-    docs = list(dict.fromkeys(docs))  # with several blocks, wholly equal rows give one row
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {row.doc_id: row for row in decontaminate.with_verdict(decontaminate.find_overlaps(frame(spark, docs), bench, block_bytes=block_bytes)).collect()}
-    assert len(got) == len(docs)
+    twice = frame(spark, docs, row=docs).unionByName(frame(spark, docs, row=docs).where("doc_id < 3"))
+    rows = decontaminate.with_verdict(decontaminate.find_overlaps(twice, bench, block_bytes=block_bytes)).collect()
+    got = {row.doc_id: row for row in rows}
+    assert len(got) == len(docs) and len(rows) == len(docs) + 3
+    same = spark.createDataFrame([(1, docs[0], {"a": 1}), (1, "clean words", None), (None, docs[0], None), (None, "clean words", None)], "doc_id long, text string, row map<string,int>")
+    assert sorted(r.text for r in decontaminate.remove_contaminated(same, bench, block_bytes=block_bytes).collect()) == ["clean words"] * 2
+    assert decontaminate.find_overlaps(same.limit(0), bench, block_bytes=block_bytes).count() == 0
     for i, d in enumerate(docs):
         n, hit, found = plain_hits(d, items)
         assert (got[i].n_words, got[i].n_hit, got[i].n_items) == (n, hit, len(found)), i
@@ -65,6 +69,31 @@ def test_longest_match_and_removal(spark):
     assert decontaminate.remove_contaminated(docs, bench.limit(0)).count() == 2
 
 
+def test_matches_are_maximal(monkeypatch):
+    r = random.Random(8)
+    for pairs in (1, 7, 1 << 20):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        items = [(str(k), " ".join(r.choice("ab") for _ in range(n)).encode()) for k, n in enumerate((9, 4, 2, 6))]
+        docs = [" ".join(r.choice("abx") for _ in range(40)).encode() for _ in range(4)] + [b"a " * 30]
+        got = decontaminate.TestSuffixes(items, 3).search(docs)
+        for d, (_, _, matches, _) in zip(docs, got, strict=True):
+            w, want = d.split(), set()
+            for item, text in items:
+                v = text.split()
+                for i, j in itertools.product(range(len(w)), range(len(v))):
+                    n = 0
+                    while i + n < len(w) and j + n < len(v) and w[i + n] == v[j + n]:
+                        n += 1
+                    if n >= min(3, len(v)) and not (i and j and w[i - 1] == v[j - 1]):
+                        want.add((item, i, j, n))
+            assert {tuple(m) for m in matches} == want and len(matches) == len(want)
+
+
+def test_one_word_over_and_over():
+    got = decontaminate.TestSuffixes([("i", b"spam " * 500)]).search([b"spam " * 50_000, b"ham"])
+    assert got[0][1] == [[0, 50_000]] and len(got[0][2]) == 50_000 + 500 - 2 * 13 + 1 and got[1][1] == []
+
+
 # secrets
 
 
@@ -159,7 +188,10 @@ def test_one_of_each_group_stays(spark):
     docs = frame(spark, ["a b c d e f g", "a b c d e f g", "z", None, ""]).withColumnRenamed("doc_id", "doc_id")
     twice = docs.unionByName(docs.where("doc_id = 4"))
     assert sorted(r.doc_id for r in jaccard.keep_one(twice).collect()) == [0, 2, 3, 4]
-    assert jaccard.cluster(docs.limit(0)).count() == 0
+    assert jaccard.cluster(docs.limit(0)).count() == 0 and jaccard.keep_one(docs.limit(0)).count() == 0
+    odd = [(1, "h i j k l m n", "x"), (1, "a b c d e f g", "x"), (5, "a b c d e f g", "x"), (None, "a b c d e f g", "x"), (None, None, "x"), (1, "a b c d e f g", "y"), (7, "", None), (7, None, None)]
+    got = jaccard.keep_one(spark.createDataFrame(odd, "doc_id long, text string, body string")).collect()
+    assert sorted(((r.doc_id or 0), r.text or "") for r in got) == [(0, ""), (0, "a b c d e f g"), (1, "a b c d e f g"), (1, "h i j k l m n"), (7, "")]
 
 
 def test_divide_skip_finds_all_links():
@@ -247,6 +279,8 @@ def test_encoding_in_spark(spark, vocabulary):
     rows = pieces.decode(pieces.encode(docs, vocabulary, F.col("doc_id"), giant=100, chunk=64), vocabulary).collect()
     assert {r.doc_id: r.decoded for r in rows} == {i: t or "" for i, t in enumerate([*ODD, "giant text, " * 50])}
     assert {r.doc_id: r.ids for r in rows} == {i: vocabulary.encode(t) for i, t in enumerate([*ODD, "giant text, " * 50])}
+    both = pieces.encode(docs, vocabulary, F.col("doc_id"), giant=100, chunk=64, decoded="back").collect()
+    assert {r.doc_id: (r.ids, r.back) for r in both} == {r.doc_id: (r.ids, r.decoded) for r in rows}
     with pytest.raises(ValueError):
         pieces.encode(docs, vocabulary, F.col("doc_id").alias("ids"))
     assert pieces.encode(docs.where("false"), vocabulary, F.col("doc_id").alias("row")).collect() == []
@@ -294,10 +328,69 @@ def test_copies_of_a_text_do_not_flood_calibration(spark, monkeypatch):
     rows = spark.range(4000).selectExpr("'l' as lang", "'one and the same text' as text")
     seen = []
     monkeypatch.setattr(np, "quantile", lambda own, q: seen.append(len(own)) or 0.0)
-    langid.calibrate(langid.Model(["l"], [np.unique(langid.keys_of(["one and the same text"])[0], return_counts=True)]), rows, 400)
+    langid.train(rows, sample=400)
     assert seen and 200 < seen[0] < 600
 
 
+def plain_kneser_ney(texts, alphabet):
+    """Probability of a character after three others, by recursion over counts in dictionaries."""
+    grams = {4: defaultdict(int)}
+    for t in texts:
+        s = "   " + re.sub(r"[\W\d_]+", " ", t.lower())
+        for i in range(3, len(s)):
+            grams[4][s[i - 3 : i + 1]] += 1
+    for n in (3, 2, 1):
+        grams[n] = defaultdict(int)
+        for g in grams[n + 1]:
+            grams[n][g[1:]] += 1
+    cut = {n: langid.discount(sum(c == 1 for c in g.values()), sum(c == 2 for c in g.values())) for n, g in grams.items()}
+
+    def p(g):
+        if not g:
+            return 1 / (alphabet + 1)
+        table = grams[len(g)]
+        after = {k: c for k, c in table.items() if k[:-1] == g[:-1]}
+        total = sum(after.values())
+        return p(g[1:]) if not total else max(table.get(g, 0) - cut[len(g)], 0) / total + cut[len(g)] * len(after) / total * p(g[1:])
+
+    return p
+
+
+def test_entropies_equal_plain_kneser_ney_in_both_ways(spark, monkeypatch):
+    of = {"aa": ["abracadabra", "Banana-band 7", "a cabana"], "bb": ["the other one", "then, others"]}
+    counts = [np.unique(langid.keys_of(t)[0], return_counts=True) for t in of.values()]
+    alphabet = len({c for ts in of.values() for t in ts for c in re.sub(r"[\W\d_]+", " ", t.lower())})
+    plain = [plain_kneser_ney(t, alphabet) for t in of.values()]
+    tests = ["banana", "other cab", "zzz", "The q", "", "12 !", None]
+    want = []
+    for t in tests:
+        s = "   " + re.sub(r"[\W\d_]+", " ", (t or "").lower())
+        has = bool(s.strip())
+        want.append([-sum(np.log(p(s[i - 3 : i + 1])) for i in range(3, len(s))) / (len(s) - 3) if has else 0.0 for p in plain])
+    small = langid.Model(list(of), counts)
+    assert np.allclose(small.entropies(tests)[0], want, rtol=1e-5)
+    rows = [(k, int(g), int(n)) for k, (gs, ns) in zip(of, counts, strict=True) for g, n in zip(gs.view(np.int64), ns, strict=True)]
+    large = langid.Joined(list(of), spark.createDataFrame(rows, "lang string, gram long, n long"))
+    got = {r.row: r.h for r in large.table(spark.createDataFrame(list(enumerate(tests)), "row long, text string")).collect()}
+    assert set(got) == {0, 1, 2, 3} and all(np.allclose(got[i], want[i], rtol=1e-9) for i in got)
+
+
+def test_broadcast_and_joined_models_predict_alike(spark):
+    r = random.Random(9)
+    texts = [" ".join("".join(r.choice(p) for _ in range(4)) for _ in range(9)) for p in ("abcde", "cdefg", "efghi") for _ in range(60)]
+    docs = frame(spark, [*texts, *ODD], lang=["xyz"[i // 60] for i in range(180)] + [None] * len(ODD), row=["r"] * (180 + len(ODD)), score=["s"] * (180 + len(ODD)))
+    both = []
+    for cells in (langid.CELLS, 0):
+        model = langid.train(docs, id_col="doc_id", cells=cells)
+        assert isinstance(model, langid.Joined) == (cells == 0)
+        got = langid.identify(docs.unionByName(docs.where("doc_id = 3")), model, keep=(F.col("doc_id"), F.col("row")))
+        assert got.columns == ["doc_id", "row", "lang_pred", "score", "rejected"] and langid.identify(docs.limit(0), model).count() == 0
+        both.append(sorted(got.collect()))
+    assert len(both[0]) == len(both[1]) == 181 + len(ODD)
+    for a, b in zip(*both, strict=True):
+        assert (a.doc_id, a.lang_pred, a.rejected) == (b.doc_id, b.lang_pred, b.rejected) and abs(a.score - b.score) < 1e-4
+
+
 def test_language_of_held_out_documents(spark):
     r = random.Random(2)
     make = lambda parts: " ".join("".join(r.choice(parts) for _ in range(3)) for _ in range(20))
@@ -321,11 +414,48 @@ def test_dual_descent_separates():
     rows = [np.array([0, 2 + k % 3]) if k % 2 else np.array([1, 2 + k % 3]) for k in range(60)]
     y = np.array([1.0 if k % 2 else -1.0 for k in range(60)])
     for logistic in (False, True):
-        w, b = linear.descend(rows, np.ones(5), y, np.ones(60), logistic=logistic, rounds=50)
+        w, b, _ = linear.descend(rows, np.ones(5), y, np.ones(60), logistic=logistic, rounds=50)
         assert all(np.sign(w[x].sum() + b) == t for x, t in zip(rows, y, strict=True))
     del r
 
 
+@pytest.mark.parametrize("logistic", [False, True])
+def test_dual_descent_reaches_the_minimum(logistic):
+    r = np.random.default_rng(3)
+    rows = [np.flatnonzero(r.random(12) < 0.4) for _ in range(80)]
+    y, values = np.where(r.random(80) < 0.4, 1.0, -1.0), r.normal(size=12)
+    cost = np.where(y > 0, 1.5, 0.7)
+    w, b, alpha = linear.descend(rows, values, y, cost, logistic=logistic)
+    x = np.zeros((80, 13))
+    for i, own in enumerate(rows):
+        x[i, own], x[i, 12] = values[own], 1
+    z = (y[:, None] * x) @ np.append(w, b)
+    primal = (w @ w + b * b) / 2 + (cost * (np.logaddexp(0, -z) if logistic else np.maximum(0, 1 - z))).sum()
+    u = (alpha * y) @ x
+    entropy = (alpha * np.log(alpha / cost) + (cost - alpha) * np.log1p(-alpha / cost)).sum() if logistic else -alpha.sum()
+    dual = -(u @ u) / 2 - entropy  # the least value of the one is the greatest of the other
+    assert np.allclose(u, np.append(w, b)) and 0 <= primal - dual < 2e-3 * abs(primal)
+    again = linear.descend(rows, values, y, cost, logistic=logistic, start=alpha, seed=5)[0]
+    assert np.allclose(again, w, atol=2e-2)
+
+
+def test_features_equal_plain_counts(spark):
+    r = random.Random(6)
+    words = ["table", "river", "stone", "cloud", "green", "Loud!!"]
+    rows = [(" ".join(r.choice(words[k % 2 : 4 + k % 3]) for _ in range(9)), k % 2) for k in range(60)]
+    size, n = np.array([30, 30]), defaultdict(lambda: [0, 0])
+    for t, label in rows:
+        for c in set(quality.cells([t])[1].tolist()):
+            n[c][label] += 1
+    want = {}
+    for c, (bad, good) in n.items():
+        sd = ((bad + good) * 0.25 * (1 - (bad + good) / 61)) ** 0.5
+        if bad + good >= 3 and abs(good - (bad + good) / 2) / max(sd, 1e-9**0.5) >= linear.CLEARLY:
+            want[c] = np.log((good + 1) / 32) - np.log((bad + 1) / 32)
+    chosen, ratio = linear.features(spark.createDataFrame(rows, "text string, y int").repartition(3), quality.cells, size, 3)
+    assert dict(zip(chosen.tolist(), ratio.tolist(), strict=True)) == pytest.approx(want) and want
+
+
 @pytest.mark.parametrize("module", [toxicity, quality])
 def test_classifier_learns_and_takes_odd_texts(spark, module):
     r = random.Random(4)
@@ -339,6 +469,10 @@ def test_classifier_learns_and_takes_odd_texts(spark, module):
     got = {x.doc_id: x for x in module.score(docs, model, F.col("doc_id"), at=0.5).collect()}
     assert all(got[i].predicted == int(i % 3 == 0) for i in range(150, 200))
     assert len(got) == len(texts) + len(ODD) and all(0 <= x.score <= 1 for x in got.values())
+    assert module.score(docs.limit(0), model, F.col("doc_id")).count() == 0
+    clash = docs.where("doc_id < 2").select("doc_id", "text", F.lit("x").alias("score_of"), F.lit(1).alias("y"), F.lit("z").alias("row"))
+    assert module.score(clash, model, F.col("doc_id"), F.col("row")).columns == ["doc_id", "row", "score", "predicted"]
+    assert module.train(docs.limit(0), labels, label_col="y").margins(["a b c"]).tolist() == [0.0]
     none = module.train(docs, labels.limit(0), label_col="y")
     assert 0 < module.score(docs, none, F.col("doc_id")).first().score < 1
 
