@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by a robust-pruned flat graph.
 
 1. Vectors that can link (label and vector not null, finite, not zero) with equal label and bits are one class with a
-   weight; so exact copies cost nothing more.
+   weight, numbered by a 64-bit hash; so exact copies cost nothing more.
 2. A bounded sample (``SAMPLE`` vectors) gives each label centroids by spherical k-means, about one for ``CELL`` vectors and at most
    ``CENTROIDS`` in all. A class goes to its nearest centroid c and to each other centroid b that it might share with a
    neighbour: with r the chord of the threshold, v.(c - b) <= r/2 |c - b|. Of two vectors within r at least one fulfils
@@ -19,8 +19,8 @@
    others in range in their shard. Under ``RECALL`` the search runs again with a wider beam, and after the widest
    the shards are compared whole; if even that misses links, it is an error. Then connected components.
 
-Cases: a vector that can't link has no links and is its own component; repeated rows are linked to each other;
-vectors of different length never meet; an empty table gives an empty result; only the named columns are read.
+Cases: a vector that can't link, or has no id, has no links and is its own component; repeated rows are linked to each other; different
+vectors of one id are vertices of their own, each with its own links; vectors of different length never meet; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -58,8 +58,8 @@ def usable(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, dims, vecs = [], [], []
-            for label, v in zip(batch.column("label").to_pylist(), batch.column("v").to_pylist(), strict=True):
-                a = None if label is None or not v or None in v else np.array(v, np.float64) + 0.0
+            for number, label, v in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "label", "v")), strict=True):
+                a = None if number is None or label is None or not v or None in v else np.array(v, np.float64) + 0.0
                 if a is None or not np.isfinite(a).all() or not a.any():
                     keys.append(None)
                     dims.append(0)
@@ -403,7 +403,8 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
     """Per row: vec_id, n_links, component_id, kept. ``found``: gets the audited recall."""
     rows = staged(usable(df, id_col, vec_col, label_col), "vectors")
     able = rows.where("key is not null")
-    classes = staged(able.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("vec").alias("vec")), "vector-classes")
+    classes = able.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"), F.first("vec").alias("vec"))
+    classes = staged(classes.withColumn("rep", F.xxhash64("label", "dim", "key")), "vector-classes")
     cells = centroids(classes, sample)
     parts = staged(shards(assign(classes, cells, threshold)), "shards")
     near = graph(parts, threshold)
@@ -424,12 +425,15 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "em
             raise RuntimeError(f"{recall:.3f} of the audited links found by comparing whole shards")
         beam = beam * 2 if beam < 8 * BEAM else None
     of = components(result.where("kind = 1").select(F.col("rep").alias("a"), F.col("n").alias("b")))
-    final = (
-        classes.select("label", "dim", "key", "rep", "weight")
+    joined = (
+        classes.select("label", "dim", "key", "rep", "least", "weight")
         .join(counts, "rep", "left")
         .join(of, F.col("rep") == F.col("node"), "left")
-        .select("label", "dim", "key", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        .select("label", "dim", "key", "least", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )
+    first = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    final = joined.join(first, "component").select("label", "dim", "key", "n_links", "component_id")
+    component = F.coalesce("component_id", "vec_id")
     return rows.select("vec_id", "label", "dim", "key").join(final, ["label", "dim", "key"], "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"), (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept")
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")
     )

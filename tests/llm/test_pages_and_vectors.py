@@ -92,6 +92,14 @@ def test_vectors_that_cannot_link_and_copies(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_without_an_id_and_different_ones_of_one(spark):
+    a, b, c = [1.0, 0.0], [0.0, 1.0], [1.0, 0.01]
+    rows = [(7, a, 1), (7, b, 1), (3, c, 1), (9, b, 1), (None, a, 1), (None, b, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns({"rep": F.lit("x"), "key": F.lit("y"), "n": F.lit(1)})
+    got = sorted(((r.vec_id or 0), r.n_links, r.component_id or 0, r.kept) for r in neardup.near_duplicates(df).collect())
+    assert got == [(0, 0, 0, True), (0, 0, 0, True), (3, 1, 3, True), (7, 1, 3, False), (7, 1, 7, True), (9, 1, 7, False)]
+
+
 def test_recall_on_many_cells_and_chunks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "CELL", 60)
     monkeypatch.setattr(neardup, "BLOCK", 80)
