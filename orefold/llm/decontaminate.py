@@ -9,17 +9,18 @@ The array is sparse: it holds the suffixes whose first two words stand side by s
 no other suffix can match. Words that no item has are one and the same foreign word.
 
 Documents are never shuffled. The benchmark goes to the executors in blocks of a checked size: as long as it
-is under ``block_bytes`` there is one block and one pass; beyond it each block gets a pass of its own and the
-passes' matches are joined by document.
+is under ``block_bytes`` there is one block and one pass; beyond it each block gets a pass of its own over the stored, numbered
+rows and the passes' matches are joined by row.
 
 Cases: null or wordless text has no words and no hits; empty benchmark or items without words hit nothing;
-repeated items each count; repeated documents are judged each by itself.
+repeated items each count; repeated documents, and different ones of one id, are judged each by itself.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .base import as_bytes, slices
+from .base import as_bytes, slices, staged
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
+PAIRS = 1 << 20
 
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -53,15 +55,20 @@ class TestSuffixes:
     def __init__(self, items: list[tuple[str, bytes | None]], window: int = WINDOW):
         self.window = window
         self.vocab: dict[bytes, int] = {}
-        at: dict[tuple[int, ...], list[tuple[str, int]]] = defaultdict(list)
-        for item, data in items:
+        self.items = [item for item, _ in items]
+        at: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
+        for number, (_, data) in enumerate(items):
             ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(data)]
             size = min(window, len(ids))
             for j in range(len(ids) - size + 1 if ids else 0):
-                at[tuple(ids[j : j + size])].append((item, j))
+                at[tuple(ids[j : j + size])].append((number, j))
         self.windows = sorted(at)
-        self.places = [at[w] for w in self.windows]
+        places = [at[w] for w in self.windows]
         self.sizes = np.array([len(w) for w in self.windows], np.int64)
+        # the places of window k are those from first[k] on, count[k] of them
+        self.count = np.array([len(p) for p in places], np.int64)
+        self.first = np.cumsum(self.count) - self.count
+        self.item_of, self.place_of = np.array([x for p in places for x in p], np.int64).reshape(-1, 2).T
         low, high = np.zeros((len(at), window), ">u4"), np.full((len(at), window), 0xFFFFFFFF, ">u4")
         for k, w in enumerate(self.windows):
             low[k, : len(w)] = high[k, : len(w)] = w
@@ -104,30 +111,56 @@ class TestSuffixes:
             return out
         window_of = np.repeat(found, (hi - lo)[found])
         pos = np.concatenate([at[lo[k] : hi[k]] for k in found])
+        order = np.argsort(pos, kind="stable")
+        pos, window_of = pos[order], window_of[order]
         starts = np.array(starts)
-        doc = np.searchsorted(starts, pos, "right") - 1
-        by_doc: dict[int, dict[tuple[str, int], list[tuple[int, int, int]]]] = defaultdict(lambda: defaultdict(list))
-        for d, p, k in zip(doc.tolist(), (pos - starts[doc]).tolist(), window_of.tolist(), strict=True):
-            for item, j in self.places[k]:
-                by_doc[d][item, p - j].append((p, j, int(self.sizes[k])))
-        for d, diagonals in by_doc.items():
-            matches = []
-            for (item, _), cells in diagonals.items():
-                for p, j, size in sorted(cells):
-                    if matches and matches[-1][0] == item and matches[-1][1] - matches[-1][2] == p - j and p <= matches[-1][1] + matches[-1][3] - size + 1:
-                        matches[-1][3] = p + size - matches[-1][1]
-                    else:
-                        matches.append([item, p, j, size])
-            matches.sort(key=lambda m: (m[1], m[0], m[2]))
-            spans: list[list[int]] = []
-            for _, p, _, size in matches:
-                if spans and p <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], p + size)
-                else:
-                    spans.append([p, p + size])
-            out[d] = (counts[d], spans, matches, sorted({m[0] for m in matches}))
+        reach = np.maximum.accumulate(pos + self.sizes[window_of])
+        opens = np.flatnonzero(np.append(True, pos[1:] > reach[:-1]))
+        begin, stop = pos[opens], reach[np.append(opens[1:], len(pos)) - 1]
+        for d, p, e in zip((np.searchsorted(starts, begin, "right") - 1).tolist(), begin.tolist(), stop.tolist(), strict=True):
+            out[d][1].append([p - int(starts[d]), e - int(starts[d])])
+        item, diagonal, p, size = self.matches(pos, window_of)
+        doc = np.searchsorted(starts, p, "right") - 1
+        by = np.lexsort((p - diagonal, item, p))
+        for d, i, a, j, n in zip(*(c[by].tolist() for c in (doc, item, p - starts[doc], p - diagonal, size)), strict=True):
+            out[d][2].append([self.items[i], a, j, n])
+        for d in set(doc.tolist()):
+            out[d][3].extend(sorted({m[0] for m in out[d][2]}))
         return out
 
+    def matches(self, pos: np.ndarray, window_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Maximal verbatim matches (item, diagonal, place, words) of windows found at sorted places; at most ``PAIRS`` or one place's pairs of
+        a found place and an item's place are looked at together, so texts that repeat themselves take time, not memory."""
+        pairs = np.cumsum(self.count[window_of])
+        parts, start = [], 0
+        while start < len(pos):
+            before = int(pairs[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(pairs, before + PAIRS, "right")))
+            k = window_of[start:stop]
+            n = self.count[k]
+            which = np.arange(int(n.sum())) + np.repeat(self.first[k] - np.cumsum(n) + n, n)
+            p = np.repeat(pos[start:stop], n)
+            parts.append(_joined(self.item_of[which], p - self.place_of[which], p, np.repeat(self.sizes[k], n), self.sizes_of_items))
+            start = stop
+        return _joined(*(np.concatenate(c) for c in zip(*parts, strict=True)), self.sizes_of_items)
+
+    @cached_property
+    def sizes_of_items(self) -> np.ndarray:
+        """Words of a window of each item."""
+        out = np.zeros(len(self.items), np.int64)
+        out[self.item_of] = np.repeat(self.sizes, self.count)
+        return out
+
+
+def _joined(item: np.ndarray, diagonal: np.ndarray, p: np.ndarray, size: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matches of one item and diagonal whose windows follow each other, made one."""
+    by = np.lexsort((p, diagonal, item))
+    item, diagonal, p, size = item[by], diagonal[by], p[by], size[by]
+    end = p + size
+    opens = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (p[1:] > end[:-1] - window[item[1:]] + 1)))
+    last = np.append(opens[1:], len(p)) - 1
+    return item[opens], diagonal[opens], p[opens], end[last] - p[opens]
+
 
 def _keys(rows: np.ndarray) -> np.ndarray:
     rows = np.ascontiguousarray(rows)
@@ -190,8 +223,18 @@ def find_overlaps(
     blocks = blocks_of(benchmark, item_col, item_text_col, block_bytes)
     if len(blocks) == 1:
         return _one_block(own, "text", blocks[0], window).drop("text")
-    own = own.withColumn("row", F.xxhash64("doc_id", "text"))
-    parts = [_one_block(own, "text", b, window).drop("text") for b in blocks]
+    numbered = _numbered(own, "decontaminate-rows")
+    return numbered.select("row", "doc_id").join(_all_blocks(numbered.select("row", "text"), blocks, window), "row").drop("row")
+
+
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """Stored with a number for each row, so that passes agree on it."""
+    return staged(docs.withColumn("row", F.monotonically_increasing_id()), name)
+
+
+def _all_blocks(rows: DataFrame, blocks: list[DataFrame], window: int) -> DataFrame:
+    """What the passes over ``row, text`` find, by row."""
+    parts = [_one_block(rows, "text", b, window).drop("text") for b in blocks]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
@@ -206,9 +249,9 @@ def find_overlaps(
             ),
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    return union.groupBy("doc_id", "row").agg(
+    return union.groupBy("row").agg(
         F.max("n_words").alias("n_words"), spans.alias("spans"), F.flatten(F.collect_list("matches")).alias("matches"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
-    ).drop("row")
+    )
 
 
 def with_verdict(found: DataFrame, share: int = 20) -> DataFrame:
@@ -224,16 +267,15 @@ def with_verdict(found: DataFrame, share: int = 20) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", window: int = WINDOW, share: int = 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents that are not contaminated, with the columns they came with.
+    """The documents that are not contaminated, with the columns they came with; each row is judged by itself.
 
-    With one block no row leaves its task; beyond it the verdicts are joined by document and text.
+    With one block no row leaves its task; beyond it the verdicts are joined by the row's number.
     """
     blocks = blocks_of(benchmark, "item_id", "text", block_bytes)
-    keep = docs.columns
+    body = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("body")
+    own = docs.select(body, F.col(text_col).alias("text"))
     if len(blocks) == 1:
-        body = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("body")
-        found = _one_block(docs.select(body, F.col(text_col).alias("text")), "text", blocks[0], window)
-        return with_verdict(found, share).where(~F.col("contaminated")).select("body.*")
-    found = with_verdict(find_overlaps(docs, benchmark, text_col=text_col, window=window, block_bytes=block_bytes), share)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("bad_id"), F.lit(True).alias("bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+        return with_verdict(_one_block(own, "text", blocks[0], window), share).where(~F.col("contaminated")).select("body.*")
+    numbered = _numbered(own, "decontaminate-rows")
+    bad = with_verdict(_all_blocks(numbered.select("row", "text"), blocks, window), share).where("contaminated").select("row")
+    return numbered.join(bad, "row", "left_anti").select("body.*")
