@@ -24,13 +24,15 @@ Nothing is capped: every pair that can link meets in a group. Fixed-size bitmaps
 chance lets a row through that a later step drops).
 
 Cases: null or wordless text has an empty set, which links with nothing and is its own component; a null id is the
-component of its row if it is alone; repeated rows are one class; only the two named columns are read. Class keys and
+component of its row if it is alone; repeated rows are one class; an empty table gives an empty result; ``cluster`` reads the two named
+columns only. Class keys and
 n-grams are 64-bit hashes: two different ones fall together once in 2^64.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,22 +85,23 @@ def prefix_size(n: int, share: int) -> int:
     return n - -(-share * n // 100) + 1
 
 
-def classes(docs: DataFrame, doc_col: str, text_col: str, size: int) -> DataFrame:
-    """Rows of two kinds, stored: kind 0: doc_id, class, n;  kind 1: an n-gram (as class) that n sets of a task have."""
-    own = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = own.schema[0].dataType
+def classes(docs: DataFrame, doc_col: str, text_col: str, size: int, *more: Column) -> DataFrame:
+    """Rows of two kinds, stored: kind 0: doc_id, class, n, and more columns;  kind 1: an n-gram (as class) that n sets of a task have."""
+    own = docs.select(F.col(doc_col).alias("doc_id"), *more, F.col(text_col).alias("text"))
+    extra = own.schema.fields[1:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
         met: set[int] = set()
         held = 0
 
-        def repeated(id_arrow: pa.DataType) -> pa.RecordBatch:
+        def repeated(given: list[pa.DataType]) -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(seen), return_counts=True)
             h, n = h[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(h), np.int32)), pa.nulls(len(h), id_arrow), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=names)
+            cols = [pa.array(np.ones(len(h), np.int32)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64)), *(pa.nulls(len(h), t) for t in given)]
+            return pa.RecordBatch.from_arrays(cols, names=names)
 
-        names = ["kind", "doc_id", "class", "n"]
+        names = ["kind", "class", "n", "doc_id", *(f.name for f in extra)]
         for batch in slices(batches, "text"):
             keys, sizes = [], []
             for data in as_bytes(batch.column("text")):
@@ -109,17 +112,17 @@ def classes(docs: DataFrame, doc_col: str, text_col: str, size: int) -> DataFram
                     met.add(keys[-1])
                     seen.append(g)
                     held += len(g)
-            ids = batch.column("doc_id")
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), ids, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())], names=names)
+            given = batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), *given], names=names)
             if held > 2_000_000:
-                yield repeated(ids.type)
+                yield repeated([c.type for c in given])
                 seen, held = [], 0
                 met.clear()
         if seen:
-            yield repeated(ids.type)
+            yield repeated([c.type for c in given])
 
-    schema = StructType([StructField("kind", IntegerType()), StructField("doc_id", id_type), StructField("class", LongType()), StructField("n", LongType())])
-    return staged(own.mapInArrow(run, schema), "classes")
+    fields = [StructField("kind", IntegerType()), StructField("class", LongType()), StructField("n", LongType()), StructField("doc_id", own.schema[0].dataType), *(StructField(f.name, f.dataType) for f in extra)]
+    return staged(own.mapInArrow(run, StructType(fields)), "classes")
 
 
 def bit(column: Column, bits: int) -> Column:
@@ -355,16 +358,21 @@ def _gram_bitmap(lists: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def _components(docs: DataFrame, table: DataFrame, doc_col: str, text_col: str, size: int, share: int) -> DataFrame:
+    """Per class: key, rep (its least doc_id), component_id (the least doc_id that links reach), first (the class that has it; the least of several)."""
+    pairs = staged(links(docs, table, doc_col=doc_col, text_col=text_col, size=size, share=share), "links")
+    rep = table.where("kind = 0 and n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"))
+    of = components(pairs)
+    joined = rep.join(of, rep["class"] == of.node, "left").select("class", "rep", F.coalesce("component", "class").alias("component"))
+    least = joined.where("rep is not null").groupBy("component").agg(F.min(F.struct("rep", "class")).alias("least"))
+    return joined.join(least, "component", "left").select(F.col("class").alias("key"), "rep", F.col("least.rep").alias("component_id"), F.col("least.class").alias("first"))
+
+
 def cluster(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", size: int = 4, share: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least doc_id that links reach)."""
     table = classes(docs, doc_col, text_col, size)
-    pairs = staged(links(docs, table, doc_col=doc_col, text_col=text_col, size=size, share=share), "links")
     rows = table.where("kind = 0").select("doc_id", "class", F.col("n").alias("n_shingles"))
-    rep = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("rep"))
-    of = components(pairs)
-    joined = rep.join(of, rep["class"] == of.node, "left").select("class", "rep", F.coalesce("component", "class").alias("component"))
-    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    final = joined.join(least, "component").select(F.col("class").alias("key"), "component_id")
+    final = _components(docs, table, doc_col, text_col, size, share).select("key", "component_id")
     filled, empty = rows.where("n_shingles > 0"), rows.where("n_shingles = 0")
     return (
         filled.join(final, filled["class"] == final.key, "left")
@@ -374,9 +382,20 @@ def cluster(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", size: int = 5, share: int = 80) -> DataFrame:
-    """The documents that stand for their component (their id is its least); of repeated ids one row stays, without an id all."""
-    kept = cluster(docs, doc_col=doc_col, text_col=text_col, size=size, share=share).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("body"), F.col(doc_col).alias("__id"))
-    both = body.join(kept, F.col("__id") == F.col("__kept"), "left").where("__kept is not null or __id is null")
-    one = both.withColumn("__row", F.row_number().over(Window.partitionBy("__id").orderBy("__id"))).where("__row = 1 or __id is null")
-    return one.select("body.*")
+    """Of each component of texts one row: that of the least id (of several texts with this id in one component, that of the least class;
+    of equal rows or rows that differ elsewhere, that of the least hash). Rows without an id or without words all stay, but for repeated ones of an id.
+
+    Two different texts under one id are two documents: each is judged by its own links.
+    """
+    own = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")
+    table = classes(docs, doc_col, text_col, size, own)
+    final = _components(docs, table, doc_col, text_col, size, share).where("key = first").select("key", "component_id")
+    rows = table.where("kind = 0 and doc_id is not null")
+    stay = rows.join(final, (rows["class"] == final.key) & (rows.doc_id == final.component_id), "left_semi").unionByName(rows.where("n = 0"))
+    stay = stay.select(F.col("doc_id").alias("__kept"), F.col("text_hash").alias("__same")).distinct()
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if not {"map", "variant"} & set(re.findall(r"\w+", f.dataType.simpleString()))]
+    body = docs.select(every.alias("body"), F.col(doc_col).alias("__id"), own.alias("__text"), F.xxhash64(*hashed).alias("__all"))
+    known = body.where("__id is not null").join(stay, (F.col("__id") == F.col("__kept")) & (F.col("__text") == F.col("__same")), "left_semi")
+    one = known.withColumn("__row", F.row_number().over(Window.partitionBy("__id", "__text").orderBy("__all"))).where("__row = 1")
+    return one.select("body.*").unionByName(body.where("__id is null").select("body.*"))
