@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 import zipfile
@@ -50,12 +51,17 @@ def fold(key: Column, folds: int = 5) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see; ours only where the session names none."""
+    """This application's folder below ``spark.checkpoint.dir``, which all executors see; it can go when the application has ended.
+
+    Only a session on one machine may leave that setting open; then it becomes a new temporary folder.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = "/tmp/orefold-shared"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        where = tempfile.mkdtemp(prefix="orefold-")
         spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    return f"{where.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
