@@ -205,10 +205,12 @@ def encoded(rows: DataFrame, cells: Cells, chosen: np.ndarray) -> tuple[list[np.
             own = shared.value[cell]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([own[s:e].tobytes() for s, e in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["y", "x"])
 
-    got = rows.mapInArrow(encode, "y int, x binary").toArrow()
+    x, labels = [], []
+    for r in rows.mapInArrow(encode, "y int, x binary").toLocalIterator():  # one task's rows at a time are with the JVM
+        x.append(np.frombuffer(bytes(r.x), np.int32))
+        labels.append(r.y)
     shared.destroy()
-    x = [np.frombuffer(v.as_buffer(), np.int32) for v in got.column("x")]
-    y = got.column("y").to_numpy()
+    y = np.array(labels)
     order = sorted(range(len(x)), key=lambda i: (xxhash.xxh3_128_digest(x[i]), y[i]))
     return [x[i] for i in order], np.where(y[order] > 0, 1.0, -1.0)
 
