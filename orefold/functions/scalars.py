@@ -126,6 +126,12 @@ def whole_only(c: Column) -> Column:
     return F.when(d == F.floor(d), d.try_cast("bigint"))
 
 
+def whole_text(c: Column) -> Column:
+    """Text of nothing but digits, with or without a sign; 3.0 and true are NULL."""
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+
+
 def decimal(c: Column) -> Column:
     return c.cast("string").try_cast("decimal(38,18)")
 

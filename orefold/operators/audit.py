@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 
-def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column_name, n_rows, n_blank, blank_rate; one pass for all columns."""
+def column_profile(df: DataFrame, columns: list[str], when: str | None = None) -> DataFrame:
+    """column_name, n_rows, n_blank, blank_rate, and with ``when`` the table's min_time and max_time; one pass for all columns."""
+    times = [F.min(when).alias("min_time"), F.max(when).alias("max_time")] if when else []
+    kept = ["n_rows", *(["min_time", "max_time"] if when else [])]
     blank = [F.count_if(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")).alias(c) for c in columns]
-    one = df.agg(F.count("*").alias("n_rows"), *blank)
-    return one.unpivot(["n_rows"], columns, "column_name", "n_blank").select("column_name", "n_rows", "n_blank", (F.col("n_blank") / F.nullif(F.col("n_rows"), F.lit(0))).alias("blank_rate"))
+    one = df.agg(F.count("*").alias("n_rows"), *times, *blank)
+    return one.unpivot(kept, columns, "column_name", "n_blank").select("column_name", *kept, "n_blank", (F.col("n_blank") / F.nullif(F.col("n_rows"), F.lit(0))).alias("blank_rate"))
 
 
 def id_shapes(df: DataFrame, column: str) -> DataFrame:
@@ -25,6 +27,16 @@ def id_shapes(df: DataFrame, column: str) -> DataFrame:
     return ids.groupBy(S.id_shape(F.col("id")).alias("id_shape")).agg(F.count("*").alias("n_ids"), F.min("id").alias("first_id"))
 
 
+def id_profile(df: DataFrame, column: str, k: int = 5) -> DataFrame:
+    """One row: column_name, n_ids, n_uuid, n_numeric, n_text, and the first ``k`` identifiers; blank ones don't count."""
+    text = F.col(column).cast("string")
+    ids = df.where(text.isNotNull() & (F.trim(text) != "")).select(text.alias("id")).distinct()
+    shape = S.id_shape(F.col("id"))
+    counts = ids.agg(F.count("*").alias("n_ids"), *[F.count_if(shape == s).alias(f"n_{s}") for s in ("uuid", "numeric", "text")]).withColumn("column_name", F.lit(column))
+    first = ids.orderBy("id").limit(k).agg(F.array_sort(F.collect_list("id")).alias("samples")).withColumn("column_name", F.lit(column))
+    return counts.join(first, "column_name")
+
+
 @dataclass(frozen=True)
 class Relation:
     name: str

@@ -28,6 +28,11 @@ def membership_summary(members: DataFrame) -> DataFrame:
     )
 
 
+def unmatched_targets(members: DataFrame, targets: DataFrame) -> DataFrame:
+    """Target groups in which nobody is."""
+    return targets.select("group_id").distinct().join(members.select("group_id"), "group_id", "left_anti")
+
+
 def upsert_profiles(old: DataFrame, new: DataFrame, key: str = "profile_id") -> DataFrame:
     """Scoped profiles come in or are updated: first_seen_at stays the earliest, and an inactive one is active again."""
     o, n = old.alias("o"), new.withColumn("__n", F.lit(True)).alias("n")

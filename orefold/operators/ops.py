@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -17,6 +17,12 @@ def watermarks(log: DataFrame, keys: list[str], value: str) -> DataFrame:
     return log.where(at.isNotNull()).groupBy(*keys).agg(F.max_by(value, at).alias("watermark_text"), F.max(at).alias("watermark"))
 
 
+def updated_watermarks(old: DataFrame, log: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The watermarks after a run: the later of the stored and the run's own per key; a null key is a key, a mark never goes back."""
+    both = old.select(*keys, F.col("watermark_text").alias(value)).unionByName(log.select(*keys, value))
+    return watermarks(both, keys, value)
+
+
 def replay_cursor(raw: DataFrame) -> DataFrame:
     return raw.groupBy("source_account").agg(F.max("raw_id").alias("last_raw_id"))
 
@@ -27,6 +33,16 @@ def after_cursor(raw: DataFrame, cursor: DataFrame) -> DataFrame:
     return joined.where(F.col("raw_id") > F.coalesce("last_raw_id", F.lit(-1))).drop("__a", "last_raw_id")
 
 
+def page_after(raw: DataFrame, last_raw_id: int, size: int) -> DataFrame:
+    """The next ``size`` raw rows by raw_id, for a replay in bounded steps; the last one's raw_id is the next call's start.
+
+    Spark keeps at most ``size`` rows per task on the way. An id that repeats would be split over pages, so it is an error.
+    """
+    page = raw.where(F.col("raw_id") > last_raw_id).orderBy("raw_id").limit(size)
+    twice = F.count("*").over(Window.partitionBy("raw_id")) > 1
+    return page.withColumn("raw_id", F.when(twice, F.raise_error(F.lit("raw_id repeats")).cast("bigint")).otherwise(F.col("raw_id")))
+
+
 def last_batches(log: DataFrame, keys: list[str]) -> DataFrame:
     """The latest completed batch per key, by start and id."""
     done = log.where("status = 'completed'")
@@ -67,6 +83,13 @@ def stage_percentiles(timings: DataFrame, stage: str, elapsed: str) -> DataFrame
     return timings.groupBy(stage).agg(F.count("*").alias("n_runs"), disc(0.5).alias("p50"), disc(0.95).alias("p95"), F.max(elapsed).alias("max_elapsed"))
 
 
+def run_breakdown(timings: DataFrame, run: str, stage: str, elapsed: str) -> DataFrame:
+    """Stages of each run with their place by elapsed time, the slowest first, and their share of the run."""
+    own = Window.partitionBy(run)
+    place = F.row_number().over(own.orderBy(F.desc_nulls_last(elapsed), stage))
+    return timings.withColumn("place", place).withColumn("share", F.col(elapsed) / F.nullif(F.sum(elapsed).over(own), F.lit(0)))
+
+
 def recent_runs(timings: DataFrame, run: str, started: str, k: int) -> DataFrame:
     """Timings of the k runs that started last."""
     last = timings.groupBy(run).agg(F.max(started).alias("__s")).orderBy(F.desc("__s"), run).limit(k)
@@ -89,3 +112,12 @@ def reconcile_positions(wanted: DataFrame, positions: DataFrame, athletes: DataF
         .otherwise("to_update")
     )
     return joined.withColumn("status", status).drop("__known")
+
+
+def position_statuses(reconciled: DataFrame) -> DataFrame:
+    return reconciled.groupBy("source_account", "status").agg(F.count("*").alias("n_rows"))
+
+
+def missing_positions(reconciled: DataFrame) -> DataFrame:
+    """Wanted positions that an account lacks, and how many rows want each."""
+    return reconciled.where("status = 'missing_position'").groupBy("source_account", "position_name", "position_slug").agg(F.count("*").alias("affected_rows"))

@@ -245,6 +245,15 @@ def membership_ambiguity(spark, sf):
     return dims.membership_summary(_members(spark, sf))
 
 
+@query("SELECT CAST(n_nationkey AS BIGINT) AS group_id FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9000)")
+def membership_unmatched(spark, sf):
+    """Nations are target groups, customers with high balances their members."""
+    n = t(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("group_id"), F.lit(0).alias("category_id"), F.col("n_nationkey").alias("priority"))
+    c = t(spark, sf, "customer").where("c_acctbal > 9000")
+    assigned = c.select(F.col("c_custkey").alias("profile_id"), F.col("c_nationkey").cast("bigint").alias("group_id"), F.lit(0).alias("category_id"), F.col("c_custkey").alias("raw_id"))
+    return dims.unmatched_targets(dims.membership(assigned, n), n)
+
+
 @query(f"WITH {MEMBERS_SQL} SELECT c_custkey AS profile_id, c_name AS full_name, group_id FROM customer JOIN m ON c_custkey = profile_id WHERE include_in_gold")
 def profile_scope(spark, sf):
     m = _members(spark, sf).where("include_in_gold")
@@ -349,6 +358,23 @@ def id_shape_profile(spark, sf):
     return audit.id_shapes(t(spark, sf, "customer").select(made.alias("id")), "id")
 
 
+@query("""WITH ids AS (SELECT DISTINCT c_name AS id FROM customer UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer)
+SELECT 'id' AS column_name, count(*) AS n_ids, 0 AS n_uuid, count(*) FILTER (regexp_full_match(id, '[0-9]+')) AS n_numeric, count(*) FILTER (NOT regexp_full_match(id, '[0-9]+')) AS n_text,
+(SELECT string_agg(id, ',' ORDER BY id) FROM (SELECT id FROM ids ORDER BY id LIMIT 5)) AS samples FROM ids""")
+def id_profile(spark, sf):
+    c = t(spark, sf, "customer")
+    ids = c.select(F.col("c_name").alias("id")).unionByName(c.select(F.col("c_custkey").cast("string").alias("id")))
+    return audit.id_profile(ids, "id").withColumn("samples", F.array_join("samples", ","))
+
+
+_TIMED = ["o_orderkey", "o_custkey", "o_orderpriority"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_rows, min(o_orderdate) AS min_time, max(o_orderdate) AS max_time, count(*) FILTER ({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '') AS n_blank FROM orders" for c in _TIMED))
+def column_profile_times(spark, sf):
+    return audit.column_profile(t(spark, sf, "orders"), _TIMED, "o_orderdate").drop("blank_rate")
+
+
 # operations
 
 
@@ -536,11 +562,42 @@ pos AS (SELECT CAST(n_nationkey % 5 AS VARCHAR) AS a, n_nationkey AS id, n_name
 SELECT w.a AS source_account, w.i AS athlete_id, CASE WHEN pos.id IS NULL THEN 'missing_position' WHEN ath.i IS NULL THEN 'unknown_athlete' WHEN pos.id = ath.id THEN 'unchanged' ELSE 'to_update' END AS status
 FROM w LEFT JOIN pos ON w.a = pos.a AND w.p = pos.p LEFT JOIN ath ON w.a = ath.a AND w.i = ath.i""")
 def reconcile_status(spark, sf):
+    return _reconciled(spark, sf).select("source_account", "athlete_id", "status")
+
+
+def _reconciled(spark, sf):
     n, acc = t(spark, sf, "nation"), lambda c: (F.col(c) % 5).cast("string").alias("source_account")
     wanted = t(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(acc("s_nationkey"), F.col("s_suppkey").alias("athlete_id"), F.col("n_name").alias("position_name"), F.lower("n_name").alias("position_slug"))
     positions = n.where("n_nationkey % 4 <> 0").select(acc("n_nationkey"), F.col("n_nationkey").alias("position_id"), F.col("n_name").alias("name"), F.lower("n_name").alias("slug"))
     athletes = t(spark, sf, "customer").select(acc("c_nationkey"), F.col("c_custkey").alias("athlete_id"), F.col("c_nationkey").alias("position_id"))
-    return ops.reconcile_positions(wanted, positions, athletes).select("source_account", "athlete_id", "status")
+    return ops.reconcile_positions(wanted, positions, athletes)
+
+
+_POSITIONS_SQL = """WITH w AS (SELECT CAST(s_nationkey % 5 AS VARCHAR) AS a, n_name AS p FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+pos AS (SELECT CAST(n_nationkey % 5 AS VARCHAR) AS a, n_name AS p FROM nation WHERE n_nationkey % 4 <> 0)"""
+
+
+@query(f"""{_POSITIONS_SQL} SELECT a AS source_account, p AS position_name, lower(p) AS position_slug, count(*) AS affected_rows FROM w
+WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.a = w.a AND pos.p = w.p) GROUP BY ALL""")
+def missing_positions(spark, sf):
+    return ops.missing_positions(_reconciled(spark, sf))
+
+
+@query("""SELECT user_id, event_id, event_type AS stage, value AS elapsed, row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id) AS place,
+round(value / nullif(sum(value) OVER (PARTITION BY user_id), 0), 6) AS share FROM events""")
+def run_breakdown(spark, sf):
+    """Each user is a run, each of the user's events a stage of it."""
+    timings = t(spark, sf, "events").select("user_id", "event_id", F.col("event_type").alias("stage"), F.col("value").alias("elapsed"))
+    return ops.run_breakdown(timings, "user_id", "event_id", "elapsed").withColumn("share", F.round("share", 6))
+
+
+@query("""SELECT c_mktsegment AS source_account, strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%SZ') AS watermark_text FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
+def watermark_update(spark, sf):
+    """Marks of finished orders are stored, those of the rest come with the run."""
+    o = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    log = o.select(F.col("c_mktsegment").alias("source_account"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("seen"), "o_orderstatus")
+    stored = ops.watermarks(log.where("o_orderstatus = 'F'"), ["source_account"], "seen")
+    return ops.updated_watermarks(stored, log.where("o_orderstatus <> 'F'"), ["source_account"], "seen").select("source_account", "watermark_text")
 
 
 @query("SELECT user_id, max(event_id) AS last_raw_id, count(*) AS n_rows FROM events GROUP BY 1")

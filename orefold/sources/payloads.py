@@ -172,11 +172,17 @@ def load_counts(raw: DataFrame, shape: Shape | str) -> DataFrame:
     return rows_of(raw, shape).agg(F.count("*").alias("attempted"), F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("skipped"))
 
 
+def skip_reasons(raw: DataFrame, shape: Shape | str) -> DataFrame:
+    """reject_reason, n_rows of what a load leaves out."""
+    shape = SHAPES[shape] if isinstance(shape, str) else shape
+    return rows_of(raw, shape).where("reject_reason is not null").groupBy("reject_reason").agg(F.count("*").alias("n_rows"))
+
+
 def count_items(payload: Column) -> Column:
-    """Items of a payload: a list's, those under ``items``, or one."""
+    """Items of a payload: a list's, those under ``items``, one for any other object, none for what is neither."""
     v = F.try_parse_json(payload)
     listed = F.coalesce(F.try_variant_get(v, "$.items", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"))
-    return F.when(v.isNull(), 0).otherwise(F.coalesce(F.size(listed), F.lit(1)))
+    return F.when(v.isNull(), 0).otherwise(F.coalesce(F.size(listed), F.try_variant_get(v, "$", "map<string, variant>").isNotNull().cast("int")))
 
 
 def _ticks(rows: DataFrame) -> DataFrame:

@@ -211,6 +211,29 @@ def test_cursor_and_batches(spark):
     assert ops.last_batches(log, ["api"]).first().batch_id == "b3"
 
 
+def test_pages_follow_each_other(spark):
+    raw = spark.createDataFrame([(i, f"p{i}") for i in (5, 1, 9, 3)], "raw_id long, payload string")
+    assert [[r.raw_id for r in ops.page_after(raw, at, 2).orderBy("raw_id").collect()] for at in (0, 3, 9)] == [[1, 3], [5, 9], []]
+    with pytest.raises(Exception, match="raw_id repeats"):
+        ops.page_after(raw.union(raw), 0, 4).collect()
+
+
+def test_watermarks_never_go_back(spark):
+    row = "source_account string, seen string"
+    old = ops.watermarks(spark.createDataFrame([("a", "2026-03-01T00:00:00Z"), ("b", "2026-01-01T00:00:00Z")], row), ["source_account"], "seen")
+    run = spark.createDataFrame([("a", "2026-02-01T00:00:00Z"), ("b", "2026-02-01T00:00:00Z"), ("b", "x"), (None, "2026-02-01T00:00:00Z")], row)
+    got = {r.source_account: r.watermark_text[:7] for r in ops.updated_watermarks(old, run, ["source_account"], "seen").collect()}
+    assert got == {"a": "2026-03", "b": "2026-02", None: "2026-02"}
+
+
+def test_breakdown_and_profile_of_nothing(spark):
+    timings = spark.createDataFrame([("r", "a", 1.0), ("r", "b", 3.0), ("r", "c", None), ("s", "a", 0.0)], "run string, stage string, elapsed double")
+    got = {(r.run, r.stage): (r.place, r.share) for r in ops.run_breakdown(timings, "run", "stage", "elapsed").collect()}
+    assert got == {("r", "b"): (1, 0.75), ("r", "a"): (2, 0.25), ("r", "c"): (3, None), ("s", "a"): (1, None)}
+    none = audit.id_profile(spark.createDataFrame([(None,), (" ",)], "id string"), "id").first()
+    assert (none.n_ids, none.n_uuid, none.samples) == (0, 0, [])
+
+
 def test_columns_that_hold_data_are_not_dropped(spark):
     df = spark.createDataFrame([(1, None, 2)], "a int, b int, c int")
     assert audit.drop_empty(df, ["b", "zz"]).columns == ["a", "c"]

@@ -120,4 +120,7 @@ def test_traces_take_profile_and_date_from_their_test(spark):
 def test_counts_of_a_load(spark):
     rows = raw(spark, ({}, [{"id": "1"}, {"id": "1"}, {"name": "x"}]), ({}, "broken {"), ({}, {"items": [{"id": 3}]}), ({}, {"id": 4}))
     assert tuple(P.load_counts(rows, P.Shape({"team_id": ("id", "id")}, ["team_id"], required=["team_id"])).first()) == (5, 4, 1)
+    assert [tuple(r) for r in P.skip_reasons(rows, P.Shape({"team_id": ("id", "id")}, ["team_id"], required=["team_id"])).collect()] == [("missing team_id", 1)]
     assert [r.n for r in rows.orderBy("raw_id").select(P.count_items(F.col("response_payload")).alias("n")).collect()] == [3, 0, 1, 1]
+    others = spark.createDataFrame([("7",), ("null",), ("{}",), ('{"items": {"id": 1}}',), ("[]",), (None,)], "payload string")
+    assert [r.n for r in others.select(P.count_items(F.col("payload")).alias("n")).collect()] == [0, 0, 1, 1, 0, 0]

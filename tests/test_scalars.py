@@ -26,6 +26,9 @@ CASES = [
     (S.finite, "abc", None),
     (S.whole, "-3.9", -3),
     (S.whole_only, "3.5", None),
+    (S.whole_text, " -12 ", -12),
+    (S.whole_text, "3.0", None),
+    (S.whole_text, "true", None),
     (S.boolean, " Yes ", True),
     (S.boolean, "maybe", None),
     (S.identifier, "  ", None),
