@@ -610,3 +610,65 @@ def replay_watermark(spark, sf):
 @query("SELECT strftime(o_orderdate, '%Y_%m') AS month, count(*) AS n_rows, min(o_orderdate) AS first_date FROM orders GROUP BY 1")
 def month_partitions(spark, sf):
     return t(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyy_MM").alias("month")).agg(F.count("*").alias("n_rows"), F.min("o_orderdate").alias("first_date"))
+
+
+# scalar functions on texts made of the tables' own columns
+
+_WRITTEN = """CASE o_orderkey % 9 WHEN 0 THEN CAST(o_custkey AS STRING) WHEN 1 THEN ' ' || CAST(o_custkey AS STRING) || ' ' WHEN 2 THEN CAST(o_custkey AS STRING) || '.75'
+  WHEN 3 THEN '-' || CAST(o_custkey AS STRING) || '.0' WHEN 4 THEN 'true' WHEN 5 THEN 'No' WHEN 6 THEN '   ' WHEN 7 THEN '0' ELSE 'n/a' END"""
+
+
+@query(f"""WITH w AS (SELECT o_orderkey, trim({_WRITTEN}) AS v, TRY_CAST(trim({_WRITTEN}) AS DOUBLE) AS d FROM orders)
+SELECT o_orderkey, d AS number, CAST(trunc(d) AS BIGINT) AS whole, CASE WHEN d = floor(d) THEN CAST(d AS BIGINT) END AS whole_only, CASE WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN CAST(v AS BIGINT) END AS whole_text,
+  d AS exact, CASE WHEN lower(v) IN ('1', 'true') THEN true WHEN lower(v) IN ('0', 'no') THEN false END AS truth, CASE WHEN v NOT IN ('', 'true') THEN v END AS identifier,
+  CASE WHEN v NOT IN ('', 'true', '0') THEN v ELSE CAST(o_orderkey AS VARCHAR) END AS dimension_id, substr(nullif(v, ''), 1, 3) AS short_text FROM w""")
+def scalar_numbers(spark, sf):
+    """Numbers, truth values and identifiers read from text with blanks, signs, words and nothing in it."""
+    c = F.col("v")
+    rows = t(spark, sf, "orders").select("o_orderkey", F.expr(_WRITTEN).alias("v"))
+    return rows.select(
+        "o_orderkey", S.finite(c).alias("number"), S.whole(c).alias("whole"), S.whole_only(c).alias("whole_only"), S.whole_text(c).alias("whole_text"), S.decimal(c).cast("double").alias("exact"),
+        S.boolean(c).alias("truth"), S.identifier(c).alias("identifier"), S.dimension_id(c, F.col("o_orderkey").cast("string")).alias("dimension_id"), S.text(c, 3).alias("short_text"),
+    )
+
+
+@query("""WITH w AS (SELECT o_orderkey, o_orderdate AS d, CASE WHEN o_orderkey % 4 <> 3 THEN o_orderdate END AS known FROM orders WHERE o_orderkey IS NOT NULL)
+SELECT o_orderkey, known AS moment, strftime(known, '%Y-%m-%d') AS day, d + to_milliseconds(250 * (o_orderkey % 4)) AS sensor_time, strftime(d, '%Y-%m-%dT%H:%M:%SZ') AS utc_text,
+  greatest(d, TIMESTAMP '1996-01-01') AS clamped, CASE WHEN o_orderkey % 2 = 0 THEN 7.0 ELSE epoch(TIMESTAMP '2000-01-01') - epoch(d) END AS duration FROM w""")
+def scalar_times(spark, sf):
+    """Epoch seconds and milliseconds, ISO text, and a negative number, which is no time."""
+    ts, seconds = F.col("o_orderdate").cast("timestamp"), F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    k, end = F.col("o_orderkey") % 4, F.lit("2000-01-01 00:00:00").cast("timestamp")
+    made = F.when(k == 0, seconds.cast("string")).when(k == 1, (seconds * 1000).cast("string")).when(k == 2, S.utc_text(ts)).otherwise("-5")
+    at = lambda c: c.cast("timestamp_ntz")
+    return t(spark, sf, "orders").where("o_orderkey is not null").select(
+        "o_orderkey", at(S.moment(made)).alias("moment"), S.day(made).cast("string").alias("day"), at(S.sensor_time(seconds, k * 25)).alias("sensor_time"), S.utc_text(ts).alias("utc_text"),
+        at(S.clamp(ts, F.lit("1996-01-01 00:00:00").cast("timestamp"))).alias("clamped"), S.duration(F.when(F.col("o_orderkey") % 2 == 0, 7.0), ts, end).alias("duration"),
+    )
+
+
+def _by_size(n: int, *values: str | None) -> str:
+    """SQL: of ``n`` values the one of the part's size; the last also of parts without a size."""
+    shown = ["NULL" if v is None else v if "(" in v else f"'{v}'" for v in values]
+    return f"CASE p_size % {n} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(shown[:-1])) + f" ELSE {shown[-1]} END"
+
+
+@query(f"""SELECT p_partkey, {_by_size(6, 'left', 'bilateral', 'inner_left', 'right', None, 'lower(p_brand)')} AS side, {_by_size(6, 'left', 'bilateral', 'trial', 'upper_limb_2', None, 'right')} AS limb,
+  {_by_size(6, 'ms', 'm', 's', 's', 'N', None)} AS gate_unit, p_size % 5 < 4 AND p_size IS NOT NULL AS is_id_key,
+  CASE WHEN p_size % 2 = 0 THEN 'result_' || CAST(p_partkey AS VARCHAR) ELSE coalesce(replace(lower(p_brand), '#', '_') || '_', '') || 'peak_force_n' END AS slug,
+  concat_ws(' ', nullif(trim(p_type), ''), CASE WHEN p_size % 2 = 0 THEN NULL ELSE 'knee' END) AS test_name, p_type || CASE WHEN p_size % 2 = 0 THEN '' ELSE ' - knee' END AS with_position,
+  CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS INTEGER) END AS split_number, 'velocity' || coalesce('_band_' || CAST(p_size AS VARCHAR), '') AS effort_type,
+  CASE WHEN p_size % 2 = 0 THEN substr(md5(p_type), 1, 8) || '-0000-4000-8000-' || substr(md5(p_type), 1, 12) END AS uuid,
+  sha256('{{"p0":' || coalesce(CAST(p_partkey AS VARCHAR), 'null') || ',"p1":' || coalesce('"' || p_brand || '"', 'null') || '}}') AS record_hash FROM part""")
+def scalar_names(spark, sf):
+    """Sides, units, slugs, names and keys of texts as payloads have them."""
+    p, e = F.col("p_partkey"), lambda *a: F.expr(_by_size(*a))
+    even, h = F.col("p_size") % 2 == 0, F.upper(F.md5(F.col("p_type")))
+    knee = F.when(even, " ").otherwise(" knee ")
+    return t(spark, sf, "part").select(
+        p, S.side_label(e(6, "Left Side", "both", "innerLeft", "RIGHT", "", "lower(p_brand)")).alias("side"), S.limb_side(e(6, "LeftSide", "Both", "trial", "Upper Limb-2", "", "right")).alias("limb"),
+        S.gate_unit(e(6, "flight_time", "jump_height_m", "split_1_split_time", "total_run", "max_force", "peak_velocity")).alias("gate_unit"), S.is_id_key(e(5, "testId", "id", "gateIndex", "modifiedUtc", "identity")).alias("is_id_key"),
+        S.slug(F.when(even, "").otherwise(F.col("p_brand")), F.when(even, "").otherwise("Peak Force [N]"), p).alias("slug"), S.test_name([F.col("p_type"), knee], "").alias("test_name"), S.with_position(F.col("p_type"), knee).alias("with_position"),
+        S.split_number(F.when(even, F.concat(F.lit("split_"), F.col("p_size").cast("string"), F.lit("_cumulative_time"))).otherwise("split_time")).alias("split_number"), S.effort_type(F.lit("velocity"), F.col("p_size")).alias("effort_type"),
+        S.uuid(F.when(even, F.concat(F.lit(" "), F.substring(h, 1, 8), F.lit("-0000-4000-8000-"), F.substring(h, 1, 12))).otherwise(h)).alias("uuid"), S.record_hash(p, F.col("p_brand")).alias("record_hash"),
+    )
