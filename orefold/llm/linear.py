@@ -1,15 +1,15 @@
 """Linear classifiers over n-gram indicators that are scaled by naive Bayes log-count ratios.
 
-Labelled rows are a bounded sample (``SAMPLE`` rows, by a hash of the text): their ids and labels are broadcast, their
-texts are staged once. Executors count in how many sampled texts of either class each hashed n-gram occurs; Spark
+Labelled rows are a bounded sample (``SAMPLE`` rows and ``SAMPLE_BYTES`` of text, by a hash of the id): their ids and labels are
+broadcast, their texts are staged once. Executors count in how many sampled texts of either class each hashed n-gram occurs; Spark
 adds these counts up by blocks of buckets, and every feature whose counts differ clearly gets its log-count ratio.
 A second pass over the sample brings the driver each text's features; there a linear model is fitted by dual coordinate
 descent, with hinge loss (a support vector machine) or logistic loss, and its margins are turned into
 probabilities on a held-out part of the sample. Scoring is one pass over all documents without a shuffle.
 
 Cases: null text is empty text, which has no features and gets the score of the bias alone; without labels of both
-classes the score is the share of label 1 after adding one of each; repeated rows are so many rows; only the
-named columns are read.
+classes the score is the share of label 1 after adding one of each; repeated rows are so many rows, and a row that is labelled both ways
+is one of each class; null ids are never learned from; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -31,8 +31,10 @@ BLOCK = 1 << 14
 #: Tasks that count; each gives counts of all buckets, so few of them are enough for the bounded sample.
 TASKS = 16
 SAMPLE = 24_000
-#: Least distance, in standard deviations, of a feature's share in a class from what chance gives.
-CLEARLY = 2.5
+#: Text of the sample; its features, of about the same size, come to the driver.
+SAMPLE_BYTES = 80 << 20
+#: Least number of sampled texts with a feature, and least distance, in standard deviations, of its share in a class from what chance gives.
+LEAST, CLEARLY = 3, 2.5
 
 #: From texts to (number of the text, bucket) of each n-gram in them, repeats included.
 Cells = Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
@@ -148,18 +150,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.a * self.margins(texts) + self.b, -30, 30)))
 
 
-def sampled(docs: DataFrame, labels: DataFrame, *, doc_col: str, text_col: str, label_col: str, sample: int) -> DataFrame:
-    """``text, y`` of at most about ``sample`` labelled rows; which ones depends on a hash of the id."""
+def sampled(docs: DataFrame, labels: DataFrame, *, doc_col: str, text_col: str, label_col: str, sample: int, sample_bytes: int) -> tuple[DataFrame, np.ndarray]:
+    """``text, y`` of at most about ``sample`` labelled rows with ``sample_bytes`` of text, which ones depends on a hash of the id; and the rows of each class."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(doc_col).alias("__id"), F.col(label_col).cast("int").alias("y")).distinct()
     n = known.count()
     share = F.lit(math.ceil(1e6 * min(1.0, sample / max(n, 1))))
-    few = known.where(F.pmod(F.xxhash64(F.col("__id"), F.lit(17)), F.lit(1_000_000)) < share)  # about ``sample`` rows of two numbers
+    at = F.pmod(F.xxhash64(F.col("__id"), F.lit(17)), F.lit(1_000_000)).alias("at")
+    few = known.select("*", at).where(F.col("at") < share)  # about ``sample`` rows of three numbers
     own = docs.select(F.col(doc_col).alias("__doc"), F.col(text_col).alias("text"))
-    return staged(own.join(F.broadcast(few), F.col("__doc") == F.col("__id")).select("text", "y"), "labelled")
+    rows = staged(own.join(F.broadcast(few), F.col("__doc") == F.col("__id")).select("text", "y", "at"), "labelled")
+    text_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if text_bytes > sample_bytes:
+        rows = rows.where(F.col("at") < F.ceil(share * F.lit(sample_bytes / text_bytes)))
+    size = np.zeros(2, np.int64)
+    for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect():
+        size[r.y] = r.n
+    return rows.select("text", "y"), size
 
 
-def features(rows: DataFrame, cells: Cells, size: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets that ``least`` texts have and whose share of either class differs clearly, and their log-count ratios.
+def features(rows: DataFrame, cells: Cells, size: np.ndarray, least: int = LEAST, clearly: float = CLEARLY) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that ``least`` texts have and whose share of either class is ``clearly`` apart, and their log-count ratios.
 
     Counts are added up in Spark, by blocks of buckets; only what is chosen comes to the driver.
     """
@@ -182,7 +192,7 @@ def features(rows: DataFrame, cells: Cells, size: np.ndarray, least: int) -> tup
             n += np.frombuffer(part, np.int32).reshape(2, -1)
         total, p = n.sum(0), size[1] / size.sum()
         z = np.abs(n[1] - total * p) / np.sqrt(np.maximum(total * p * (1 - p) * (1 - total / (size.sum() + 1)), 1e-9))
-        own = np.flatnonzero((total >= least) & (z >= CLEARLY))
+        own = np.flatnonzero((total >= least) & (z >= clearly))
         ratio = np.log((n[1, own] + 1) / (size[1] + 2)) - np.log((n[0, own] + 1) / (size[0] + 2))
         return pa.table({"cell": pa.array(own + block.column("first")[0].as_py(), pa.int64()), "ratio": pa.array(ratio)})
 
@@ -225,18 +235,17 @@ def train(
     text_col: str = "text",
     logistic: bool = False,
     sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
     strength: float = 1.0,
-    least: int = 3,
+    least: int = LEAST,
+    clearly: float = CLEARLY,
 ) -> Model:
-    """``docs`` must hold only the documents whose labels may be learned from."""
-    rows = sampled(docs, labels, doc_col=doc_col, text_col=text_col, label_col=label_col, sample=sample)
-    size = np.zeros(2, np.int64)
-    for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect():
-        size[r.y] = r.n
+    """``docs`` must hold only the documents whose labels may be learned from. ``least=1, clearly=0`` takes every feature of the sample."""
+    rows, size = sampled(docs, labels, doc_col=doc_col, text_col=text_col, label_col=label_col, sample=sample, sample_bytes=sample_bytes)
     weights = np.zeros(1 << BITS, np.float32)
     if not size.all():
         return Model(cells, weights, math.log((size[1] + 1) / (size[0] + 1)), 1.0, 0.0)
-    chosen, values = features(rows, cells, size, least)
+    chosen, values = features(rows, cells, size, least, clearly)
     x, y = encoded(rows, cells, chosen)
     values = values / max(np.sqrt(np.mean([float((values[r] ** 2).sum()) for r in x])), 1e-9)
     part = np.random.default_rng(1).permutation(len(x)) % 5
