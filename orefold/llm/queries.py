@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, jaccard, langid, neardup, pieces, quality, secrets, toxicity, warc
+from . import decontaminate, htmltext, jaccard, langid, lempelziv, merkle, neardup, pieces, quality, secrets, toxicity, warc, whitening
 from .base import fold, table
 
 def held_out() -> Column:
@@ -65,6 +65,27 @@ def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.components(rows, whitening.fit(rows, "embedding", scale=64, shift=1_000_000), "embedding", F.col("vec_id"))
+
+
+def op12_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of texts, and of what they become when their last third gives way to the beginning of the next document."""
+    return lempelziv.with_next(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = lambda n: [F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text")]
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    altered = F.when(chosen, merkle.leaf(*fields(more)))
+    manifest = merkle.build(docs, fields(F.col("n_chars")), F.col("lang"), F.col("doc_id"), doc_id=F.col("doc_id"), altered=altered)
+    proved = merkle.prove(manifest).withColumn("folded_root", merkle.folded(F.coalesce("altered", "leaf"), F.col("path")))
+    return proved.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,6 +105,9 @@ def queries() -> dict:
         "op8_toxicity": op8_toxicity,
         "op9_decontaminate": op9_decontaminate,
         "op10_embedding_neardup": op10_embedding_neardup,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_lz_fingerprint": op12_lz_fingerprint,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
@@ -196,6 +220,30 @@ SELECT m.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(m.vec_id, co
 FROM embeddings m LEFT JOIN n ON n.a = m.vec_id LEFT JOIN reach r ON r.a = m.vec_id
 """
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{0}", "text")) + ")"
+#: Trees of (g, lv, i): a node's two children are 2 i and 2 i + 1 of the level below; ``fold`` climbs from the leaf with its siblings.
+OP13_SQL = f"""
+WITH RECURSIVE tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS v
+  FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) % 7 = 0, false) AS chosen FROM documents, tab),
+h AS (SELECT doc_id, lang AS g, {_LEAF.format('n_chars')} AS leaf, CASE WHEN chosen THEN {_LEAF.format('(CAST(n_chars AS HUGEINT) + 1)')} ELSE {_LEAF.format('n_chars')} END AS altered FROM d),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY g) AS n FROM h),
+node(g, lv, i, n, h) AS (SELECT g, 0, r, n, leaf FROM l
+  UNION ALL SELECT a.g, a.lv + 1, a.i // 2, (a.n + 1) // 2, sha256(a.h || coalesce(b.h, '')) FROM node a LEFT JOIN node b ON a.g IS NOT DISTINCT FROM b.g AND b.i = a.i + 1 WHERE a.i % 2 = 0 AND a.n > 1),
+sub AS (SELECT g, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM node WHERE n = 1),
+top(lv, i, n, h) AS (SELECT 0, r, n, h FROM sub
+  UNION ALL SELECT a.lv + 1, a.i // 2, (a.n + 1) // 2, sha256(a.h || coalesce(b.h, '')) FROM top a LEFT JOIN top b ON b.i = a.i + 1 WHERE a.i % 2 = 0 AND a.n > 1),
+f1(doc_id, g, leaf, i, n, lv, now, p) AS (SELECT doc_id, g, leaf, r, n, 0, altered, '' FROM l
+  UNION ALL SELECT f.doc_id, f.g, f.leaf, f.i // 2, (f.n + 1) // 2, f.lv + 1, sha256(CASE WHEN f.i % 2 = 1 THEN s.h || f.now ELSE f.now || coalesce(s.h, '') END), f.p || coalesce(s.h, '')
+  FROM f1 f LEFT JOIN node s ON s.g IS NOT DISTINCT FROM f.g AND s.lv = f.lv AND s.i = xor(f.i, 1) WHERE f.n > 1),
+f2(doc_id, leaf, subroot, i, n, lv, now, p) AS (SELECT f.doc_id, f.leaf, sub.h, sub.r, sub.n, 0, f.now, f.p FROM f1 f JOIN sub ON sub.g IS NOT DISTINCT FROM f.g WHERE f.n = 1
+  UNION ALL SELECT f.doc_id, f.leaf, f.subroot, f.i // 2, (f.n + 1) // 2, f.lv + 1, sha256(CASE WHEN f.i % 2 = 1 THEN s.h || f.now ELSE f.now || coalesce(s.h, '') END), f.p || coalesce(s.h, '')
+  FROM f2 f LEFT JOIN top s ON s.lv = f.lv AND s.i = xor(f.i, 1) WHERE f.n > 1)
+SELECT f.doc_id, f.leaf, f.subroot, t.h AS root, sha256(f.p) AS proof_sha256, f.now AS folded_root, f.now = t.h AS verified FROM f2 f, top t WHERE f.n = 1 AND t.n = 1
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -203,4 +251,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_embedding_neardup": OP10_SQL,
         "op2_warc_revisits": OP2_SQL,
         "op4_secret_scan": OP4_SQL,
-        "op9_decontaminate": OP9_SQL}
+        "op9_decontaminate": OP9_SQL,
+        "op13_merkle_manifest": OP13_SQL}
