@@ -108,11 +108,12 @@ def roots(tiers: list[DataFrame]) -> DataFrame:
 def walk(tier: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From a page's head down to each asked digit; the new segment goes before the path of the page's head."""
     step = pa.struct([("left", pa.string()), ("right", pa.string())])
-    for batch in batches:
-        take, places, reached, paths = [], [], [], []
-        for i, (n, block, head, records, above, digits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n", "block", "head", "records", "path", "digits")), strict=True)):
-            children = dict(records)
-            levels = min(SPAN, height(n) - SPAN * tier)
+    for whole in batches:
+        for k in range(whole.num_rows):  # a page at a time: its requests' paths take many times its own room
+            batch = whole.slice(k, 1)
+            n, block, now, records, above, digits = (batch.column(c)[0].as_py() for c in ("n", "block", "head", "records", "path", "digits"))
+            head, children, levels = now, dict(records), min(SPAN, height(n) - SPAN * tier)
+            reached, paths = [], []
             for digit in digits:
                 segment, now = [], head
                 for bit in range(levels - 1, -1, -1):
@@ -120,17 +121,16 @@ def walk(tier: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     right = digit >> bit & 1
                     segment.append((below[0], "") if right else ("", below[1] if len(below) > 1 else ""))
                     now = below[right]
-                take.append(i)
-                places.append((block << SPAN) + digit)
                 reached.append(now)
                 paths.append([{"left": a, "right": b} for a, b in reversed(segment)] + above)
-        own = batch.take(pa.array(take, pa.int64()))
-        arrays = [own.column("group"), own.column("n"), own.column("origin"), pa.array(places, pa.int64()), pa.array(reached, pa.string()), pa.array(paths, pa.list_(step))]
-        names = ["group", "n", "origin", "at", "digest", "path"]
-        if "rows" in batch.schema.names:  # the digits' own rows, one for each
-            arrays.append(batch.column("rows").flatten())
-            names.append("row")
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+            own = batch.take(pa.array([0] * len(digits), pa.int64()))
+            places = pa.array([(block << SPAN) + digit for digit in digits], pa.int64())
+            arrays = [own.column("group"), own.column("n"), own.column("origin"), places, pa.array(reached, pa.string()), pa.array(paths, pa.list_(step))]
+            names = ["group", "n", "origin", "at", "digest", "path"]
+            if "rows" in batch.schema.names:  # the digits' own rows, one for each
+                arrays.append(batch.column("rows").flatten())
+                names.append("row")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 def descend(tiers: list[DataFrame], starts: DataFrame, requests: DataFrame) -> DataFrame:
