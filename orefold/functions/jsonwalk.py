@@ -2,55 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scalars as S
 
 
+#: What ``numeric_leaves`` adds to the kept columns.
+LEAF = ["metric_name", "metric_value", "place"]
+
+
+def depth_of(payload: Column) -> Column:
+    """How deep brackets are nested in a JSON text, from one walk over them; what stands in strings doesn't count."""
+    bare = F.regexp_replace(payload, r'"(?:[^"\\]|\\.)*"', "")
+    brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]+", ""), "")
+    step = lambda c: F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+    begin = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def go(s: Column, c: Column) -> Column:
+        return F.struct((s["now"] + step(c)).alias("now"), F.greatest(s["most"], s["now"] + step(c)).alias("most"))
+
+    return F.coalesce(F.aggregate(brackets, begin, go)["most"], F.lit(0))
+
+
 def numeric_leaves(df: DataFrame, payload: str, *keep: str, depth: int = 5) -> DataFrame:
-    """Per row and finite numeric leaf: the kept columns, metric_name (path joined by _, arrays from 1), metric_value.
+    """Per row and finite numeric leaf: the kept columns, metric_name (path joined by _, arrays from 1), metric_value, place.
 
-    Booleans and what stands under identifier-like keys is left out; numbers in text count. Objects and arrays deeper than
-    ``depth`` come as rows with a NULL value and ``too_deep``, so nothing gets lost unseen. Each level is one explode of
-    what the level before left, in the JVM.
+    ``place`` is the path in positions, counted from 0 in the order of the payload's text, so that leaves compared by it come as they were written.
+    (A variant keeps an object's fields by name; their order is that of the text's own keys.) Booleans and what stands under
+    identifier-like keys is left out; numbers in text count. Objects and arrays deeper than ``depth`` come as rows with a NULL value and
+    ``too_deep``, so nothing gets lost unseen. Each level is one explode of what the level before left, in the JVM.
     """
-    level = df.select(*keep, F.lit("").alias("__path"), F.try_parse_json(F.col(payload)).alias("__v"))
+    level = df.select(*keep, F.lit("").alias("__path"), F.array().cast("array<int>").alias("__place"), F.col(payload).alias("__text"), F.try_parse_json(F.col(payload)).alias("__v"))
     out = None
     for k in range(depth + 1):
         kind = F.schema_of_variant("__v")
         nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
         number = S.finite(F.try_variant_get("__v", "$", "string"))
         leaf = level.where(~nested & (kind != "BOOLEAN") & number.isNotNull() & (F.col("__path") != ""))
-        found = leaf.select(*keep, F.col("__path").alias("metric_name"), number.alias("metric_value"), F.lit(False).alias("too_deep"))
+        found = leaf.select(*keep, F.col("__path").alias("metric_name"), number.alias("metric_value"), F.col("__place").alias("place"), F.lit(False).alias("too_deep"))
         if k == depth:
-            deep = level.where(nested).select(*keep, F.col("__path").alias("metric_name"), F.lit(None).cast("double").alias("metric_value"), F.lit(True).alias("too_deep"))
+            deep = level.where(nested).select(*keep, F.col("__path").alias("metric_name"), F.lit(None).cast("double").alias("metric_value"), F.col("__place").alias("place"), F.lit(True).alias("too_deep"))
             found = found.unionByName(deep)
         out = found if out is None else out.unionByName(found)
         if k < depth:
-            inner = level.where(nested).lateralJoin(level.sparkSession.tvf.variant_explode(F.col("__v").outer()))
+            texts = level.where(nested).withColumns({"__fields": F.from_json("__text", "map<string,string>"), "__items": F.from_json("__text", "array<string>")})
+            texts = texts.withColumn("__keys", F.map_keys("__fields"))
+            inner = texts.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("__v").outer()))
             name = F.coalesce(S.metric_name(F.col("key")), (F.col("pos") + 1).cast("string"))
+            at = F.coalesce(F.when(F.col("key").isNotNull(), F.array_position("__keys", F.col("key")).cast("int") - 1), F.col("pos"))
+            own = F.when(F.col("key").isNotNull(), F.col("__fields")[F.col("key")]).otherwise(F.get("__items", F.col("pos")))
             level = inner.where(F.col("key").isNull() | ~S.is_id_key(F.col("key"))).select(
-                *keep, F.concat_ws("_", F.nullif("__path", F.lit("")), name).alias("__path"), F.col("value").alias("__v")
+                *keep, F.concat_ws("_", F.nullif("__path", F.lit("")), name).alias("__path"), F.concat("__place", F.array(at)).alias("__place"), own.alias("__text"), F.col("value").alias("__v")
             )
     return out
 
 
-def all_leaves(df: DataFrame, payload: str, *keep: str, depth: int = 5) -> DataFrame:
-    """The same at any depth: as long as something lies deeper, twice the depth is walked."""
-    while True:
-        rows = numeric_leaves(df, payload, *keep, depth=depth)
-        # brackets bound the depth; only texts with more of them than levels are walked to see
-        brackets = F.regexp_count(F.col(payload), F.lit(r"[\[{]"))
-        if not numeric_leaves(df.where(brackets > depth), payload, depth=depth).where("too_deep").limit(1).count():
-            return rows.where("not too_deep").drop("too_deep")
-        depth *= 2
+def all_leaves(df: DataFrame, payload: str, *keep: str, depth: int | None = None) -> DataFrame:
+    """The same at any depth. ``depth``: a bound that the caller knows; None looks at how deep the brackets of the payloads are nested, a scan of that
+    one column."""
+    if depth is None:
+        depth = df.agg(F.max(depth_of(F.col(payload)))).first()[0] or 1
+    return numeric_leaves(df, payload, *keep, depth=depth).where("not too_deep").drop("too_deep")
 
 
 def wide_to_long(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:
     return df.unpivot(ids, metrics, "metric_name", "metric_value")
 
 
+def wide_leaves(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:
+    """The same with ``place``, the column's place in the list."""
+    at = F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric_name")).cast("int")
+    return wide_to_long(df, ids, metrics).withColumn("place", F.array(at))
+
+
 def items(payload, of: str):
     """A payload that is a list, an object with ``items`` or a single object, as an array of ``of`` (a DDL type)."""
     wrapped = F.from_json(payload, f"struct<items:array<{of}>>")["items"]
@@ -59,29 +84,31 @@ def items(payload, of: str):
 
 
 def repetition_leaves(df: DataFrame, payload: str, *keep: str) -> DataFrame:
-    """Repetitions with jumps and splits inside to rows: the kept columns, rep_number, metric_name, metric_value, metric_unit.
+    """Repetitions with jumps and splits inside to rows: the kept columns, rep_number, metric_name, metric_value, metric_unit, place.
 
     A repetition's own numbers keep their names, those of its jumps and splits become jump_<n>_<name> and split_<n>_<name>, also
-    what a split has nested. Numbers of repetitions, jumps and splits default to their places, counted from one.
+    what a split has nested. Numbers of repetitions, jumps and splits default to their places, counted from one. ``place`` orders a repetition's own
+    numbers before its jumps and these before its splits, each in the order of the payload.
     """
     many, one = "array<map<string,string>>", "map<string,string>"
     at = lambda m, *names: F.coalesce(*[S.whole(F.col(m)[n]) for n in names], F.col("pos") + 1)
-    reps = df.select(*keep, F.posexplode(F.from_json(payload, many)).alias("pos", "rep")).select(*keep, at("rep", "repIndex", "repNumber").cast("int").alias("rep_number"), "rep")
+    reps = df.select(*keep, F.posexplode(F.from_json(payload, many)).alias("pos", "rep")).select(*keep, F.col("pos").alias("__rep"), at("rep", "repIndex", "repNumber").cast("int").alias("rep_number"), "rep")
     keep = (*keep, "rep_number")
 
-    def numbers(rows: DataFrame, m: str, prefix, ignored: list[str]) -> DataFrame:
-        each = rows.withColumn("e", F.explode(F.map_entries(m))).where(~F.col("e.key").isin(ignored))
+    def numbers(rows: DataFrame, m: str, prefix, ignored: list[str], *order) -> DataFrame:
+        each = rows.select("*", F.posexplode(F.map_entries(m)).alias("__key", "e")).where(~F.col("e.key").isin(ignored))
         name = F.concat(prefix, S.camel_to_snake(F.col("e.key")))
-        return each.select(*keep, name.alias("metric_name"), S.finite(F.col("e.value")).alias("metric_value"))
+        place = F.array("__rep", *order, "__key").cast("array<int>")
+        return each.select(*keep, name.alias("metric_name"), S.finite(F.col("e.value")).alias("metric_value"), place.alias("place"))
 
-    parts = [numbers(reps, "rep", F.lit(""), ["repIndex", "repNumber", "jumpResults", "splitResults"])]
-    for kind, ignored in (("jump", ["jumpIndex", "splitCompleteDate"]), ("split", ["splitIndex", "gateIndex", "splitCompleteDate", "additionalSplitData"])):
-        items_ = reps.select(*keep, F.posexplode(F.from_json(F.col("rep")[f"{kind}Results"], many)).alias("pos", "item"))
+    parts = [numbers(reps, "rep", F.lit(""), ["repIndex", "repNumber", "jumpResults", "splitResults"], F.lit(0))]
+    for k, (kind, ignored) in enumerate((("jump", ["jumpIndex", "splitCompleteDate"]), ("split", ["splitIndex", "gateIndex", "splitCompleteDate", "additionalSplitData"])), 1):
+        items_ = reps.select(*keep, "__rep", F.posexplode(F.from_json(F.col("rep")[f"{kind}Results"], many)).alias("pos", "item"))
         items_ = items_.withColumn("prefix", F.concat(F.lit(f"{kind}_"), at("item", f"{kind}Index").cast("string"), F.lit("_")))
-        parts.append(numbers(items_, "item", F.col("prefix"), ignored))
+        parts.append(numbers(items_, "item", F.col("prefix"), ignored, F.lit(k), "pos", F.lit(0)))
         if kind == "split":
             nested = items_.withColumn("more", F.from_json(F.col("item")["additionalSplitData"], one))
-            parts.append(numbers(nested, "more", F.col("prefix"), []))
+            parts.append(numbers(nested, "more", F.col("prefix"), [], F.lit(k), "pos", F.lit(1)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .scope import CUTOFF, GATE
 
 #: A hint tells apart rows of one value, such as the trial's id; the date isn't part of the key, so a corrected date makes no second row.
 KEY_PARTS = ["profile_id", "team_group_id", "test_id", "assessment_family", "source_module", "metric_name", "side", "rep_number", "metric_value", "row_hint"]
@@ -48,42 +50,95 @@ def normalised(df: DataFrame, *, cutoff: str | None = None) -> DataFrame:
     return out if cutoff is None else out.where(F.col("test_date") >= F.lit(cutoff).cast("timestamp"))
 
 
-def family_fact(base: DataFrame, profiles: DataFrame, ids: list[str], metrics: list[str], *, payload: str | None = None, depth: int = 5) -> DataFrame:
-    """Wide columns and JSON leaves of a test to metric rows of active, scoped profiles; a column beats a leaf of its name.
+@dataclass(frozen=True)
+class Entry:
+    """Which tests may enter a fact: those on or after ``cutoff``, and from ``gate`` on only tests of profiles that have ``least`` different tests since then."""
+
+    cutoff: str | None = CUTOFF
+    gate: str | None = GATE
+    least: int = 2
+
+    def profiles(self, tests: DataFrame, when: Column) -> DataFrame:
+        """profile_id of those with enough tests since the gate."""
+        late = tests.where(when >= F.lit(self.gate).cast("timestamp"))
+        return late.groupBy("profile_id").agg(F.countDistinct("test_id").alias("__n")).where(F.col("__n") >= self.least).select("profile_id")
+
+    def admitted(self, rows: DataFrame, tests: DataFrame | None = None, when: Column | None = None) -> DataFrame:
+        """``rows`` with test_date that may enter; ``tests`` and their ``when``: what profiles are counted from (None: the rows themselves)."""
+        if self.cutoff:
+            rows = rows.where(F.col("test_date") >= F.lit(self.cutoff).cast("timestamp"))
+        if not self.gate:
+            return rows
+        enough = self.profiles(rows if tests is None else tests, F.col("test_date") if when is None else when)
+        joined = rows.join(enough.select(F.col("profile_id").alias("__enough")), F.col("profile_id") == F.col("__enough"), "left")
+        return joined.where((F.col("test_date") < F.lit(self.gate).cast("timestamp")) | F.col("__enough").isNotNull()).drop("__enough")
+
+
+#: All tests that have a date.
+ANY = Entry(None, None)
+
+
+def _active(profiles: DataFrame) -> DataFrame:
+    return profiles.where("is_active").drop("is_active")
+
+
+def _with_row(rows: DataFrame) -> DataFrame:
+    """``__row``: a hash of the whole source row, which tells rows of one test apart."""
+    return rows.withColumn("__row", F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))))
+
+
+def first_in_row(rows: DataFrame) -> DataFrame:
+    """Of several values of a metric, side and repetition within one source row (``__row``) the first one: columns before payloads (``__rank``), each in
+    their order (``place``); without NULLs. Rows of different sources don't meet."""
+    keys = ["test_id", "__row", "metric_name", "side", "rep_number"]
+    return first_of(rows.where("metric_value is not null"), keys, [F.asc("__rank"), F.asc("place")]).drop("__rank", "__row", "place")
+
+
+def family_fact(base: DataFrame, profiles: DataFrame, ids: list[str], metrics: list[str], *, payload: str | None = None, depth: int | None = None, entry: Entry = ANY) -> DataFrame:
+    """Wide columns and JSON leaves of a test to metric rows of active, scoped profiles; a column beats a leaf of its name, and of leaves the first does.
 
     ``base`` has test_id, profile_id, test_date, side, rep_number and the metric columns; ``profiles`` profile_id,
-    is_active and the scope's columns.
+    is_active and the scope's columns. Tests without a date are left out.
     """
     from ..functions import jsonwalk
 
-    who = profiles.where("is_active").drop("is_active")
-    rows = base.join(who, "profile_id")
-    scope = [c for c in who.columns if c != "profile_id"]
-    wide = jsonwalk.wide_to_long(rows, [*ids, *scope], metrics).withColumn("__rank", F.lit(0))
+    who = _active(profiles)
+    dated = base.where("test_date is not null")
+    rows = _with_row(entry.admitted(dated.join(who, "profile_id"), dated))
+    keep = [*ids, "__row", *[c for c in who.columns if c != "profile_id"]]
+    wide = jsonwalk.wide_leaves(rows, keep, metrics).withColumn("__rank", F.lit(0))
     if payload:
-        open_ = jsonwalk.all_leaves(rows, payload, *ids, *scope, depth=depth)
+        open_ = jsonwalk.all_leaves(rows, payload, *keep, depth=depth)
         wide = wide.unionByName(open_.withColumn("__rank", F.lit(1)))
-    long = normalised(wide)
-    return first_of(long, ["test_id", "metric_name", "side", "rep_number"], [F.asc("__rank"), F.asc("metric_value")]).drop("__rank")
+    return first_in_row(normalised(wide))
+
 
+#: Dates of a test of trials that stand in for the trial's own, in this order.
+TEST_DATES = ("test_date", "analysed_at", "modified_at")
 
-def trial_fact(results: DataFrame, tests: DataFrame, trials: DataFrame, definitions: DataFrame, profiles: DataFrame) -> DataFrame:
+
+def trial_fact(results: DataFrame, tests: DataFrame, trials: DataFrame, definitions: DataFrame, profiles: DataFrame, *, entry: Entry = ANY) -> DataFrame:
     """Results of trials as metric rows: the six-way join, slugged metric names, ranks of trials as repetitions, no repeats.
 
-    Catalyst picks broadcast for definitions and profiles where their size allows; results and trials meet on their keys.
+    A result's date is its trial's or the first of the test's ``TEST_DATES`` (as far as ``tests`` has them); without any it is left out. Profiles are
+    counted from the tests' own dates. Catalyst picks broadcast for definitions and profiles where their size allows; results and trials
+    meet on their keys.
     """
-    who = profiles.where("is_active").drop("is_active")
+    own = F.coalesce(*[F.col(c) for c in TEST_DATES if c in tests.columns])
+    dated = tests.select("test_id", "profile_id", "test_type", own.alias("tested_at"))
     rows = (
         results.alias("r")
-        .join(tests.select("test_id", "profile_id", "test_type", F.col("test_date").alias("tested_at")), ["test_id", "profile_id"])
+        .join(dated, ["test_id", "profile_id"])
         .join(trials.select("trial_id", F.col("trial_date"), F.col("limb").alias("trial_limb")), "trial_id", "left")
         .join(definitions.select("result_id", "result_group", "result_name", "result_unit"), "result_id", "left")
-        .join(who, "profile_id")
+        .join(_active(profiles), "profile_id")
+        .withColumn("test_date", F.coalesce("trial_date", "tested_at"))
+        .where("test_date is not null")
     )
+    rows = entry.admitted(rows, dated, F.col("tested_at"))
     named = (
         rows.withColumn("metric_name", S.slug(F.col("result_group"), F.col("result_name"), F.col("result_id")))
         .withColumn("side", S.limb_side(F.coalesce("limb", "trial_limb")))
-        .withColumn("test_date", F.coalesce("trial_date", "tested_at"))
         .withColumn("metric_value", S.finite(F.col("value")))
         .withColumn("metric_unit", F.nullif("result_unit", F.lit("")))
         .where("metric_value is not null")
@@ -94,56 +149,53 @@ def trial_fact(results: DataFrame, tests: DataFrame, trials: DataFrame, definiti
     return first_of(ranked, keys, order).drop("__number", "tested_at", "trial_date", "trial_limb", "result_group", "result_name", "result_unit", "limb", "value")
 
 
-def _active(profiles: DataFrame) -> DataFrame:
-    return profiles.where("is_active").drop("is_active")
-
-
-def _first_in_test(rows: DataFrame) -> DataFrame:
-    """Of several values of a test's metric, side and repetition the one of the earliest source (``__rank``), then the least; without NULLs."""
-    return first_of(rows.where("metric_value is not null"), ["test_id", "metric_name", "side", "rep_number"], [F.asc("__rank"), F.asc("metric_value")]).drop("__rank")
-
-
-def gate_fact(summaries: DataFrame, details: DataFrame, profiles: DataFrame) -> DataFrame:
+def gate_fact(summaries: DataFrame, details: DataFrame, profiles: DataFrame, *, entry: Entry = ANY) -> DataFrame:
     """Timing gates: test_id, test_name, test_type, test_date, the profile's columns, metric_name, metric_value, metric_unit, side, rep_number.
 
     Summaries (test_id, profile_id, test_name, test_type, test_date) with the details of their test, if any (test_id, profile_id, test_date, results,
     reps as JSON); the detail's profile and date go first. Numbers of results have no repetition, those of repetitions, jumps and splits have.
+    Profiles are counted from the summaries.
     """
     from ..functions import jsonwalk
 
     d = details.select("test_id", F.col("profile_id").alias("__profile"), F.col("test_date").alias("__date"), "results", "reps")
     base = summaries.join(d, "test_id", "left").withColumn("profile_id", F.coalesce("__profile", "profile_id")).withColumn("test_date", F.coalesce("__date", "test_date"))
     base = base.drop("__profile", "__date").join(_active(profiles), "profile_id").where("test_date is not null")
+    base = _with_row(entry.admitted(base, summaries))
     keep = [c for c in base.columns if c not in ("results", "reps")]
-    whole = jsonwalk.all_leaves(base, "results", *keep).select(*keep, F.lit(None).cast("int").alias("rep_number"), "metric_name", "metric_value", S.gate_unit(F.col("metric_name")).alias("metric_unit"), F.lit(0).alias("__rank"))
+    own = [*keep, "metric_name", "metric_value", "place"]
+    whole = jsonwalk.all_leaves(base, "results", *keep).select(*own, F.lit(None).cast("int").alias("rep_number"), S.gate_unit(F.col("metric_name")).alias("metric_unit"), F.lit(0).alias("__rank"))
     each = jsonwalk.repetition_leaves(base, "reps", *keep).withColumn("__rank", F.lit(1))
     rows = whole.unionByName(each)
     name = S.metric_name(F.col("metric_name"))
-    return _first_in_test(rows.withColumn("side", S.side_of_name(name)).withColumn("metric_name", S.name_without_side(name)))
+    return first_in_row(rows.withColumn("side", S.side_of_name(name)).withColumn("metric_name", S.name_without_side(name)))
 
 
 #: Numbers of a repetition's payload that stand in the trace and aren't metrics of their own.
 EXCLUDED = ("force", "force_newtons")
 
 
-def dynamometer_fact(tests: DataFrame, summaries: DataFrame, repetitions: DataFrame, profiles: DataFrame, *, of_summary: list[str], of_repetition: list[str], excluded: tuple[str, ...] = EXCLUDED) -> DataFrame:
+def dynamometer_fact(
+    tests: DataFrame, summaries: DataFrame, repetitions: DataFrame, profiles: DataFrame, *, of_summary: list[str], of_repetition: list[str], excluded: tuple[str, ...] = EXCLUDED, entry: Entry = ANY
+) -> DataFrame:
     """Dynamometer: summary rows and repetition rows of tests of active profiles, columns first, then the numbers of their payload (JSON).
 
-    tests: test_id, profile_id, test_name, test_type, test_date; summaries: test_id, side, payload, metrics; repetitions: also repetition_number.
+    tests: test_id, profile_id, test_name, test_type, test_date; summaries: test_id, side, payload, metrics, and what else tells them apart, such as the
+    movement; repetitions: also repetition_number. Every source row keeps its own values, so a test with two movements of a side has both.
     """
     from ..functions import jsonwalk
 
-    base = tests.join(_active(profiles), "profile_id").where("test_date is not null")
+    base = tests.where("test_date is not null")
+    base = entry.admitted(base.join(_active(profiles), "profile_id"), base)
     parts = []
     for rows, metrics, numbered in ((summaries, of_summary, False), (repetitions, of_repetition, True)):
         number = F.col("repetition_number").cast("int") if numbered else F.lit(None).cast("int")
-        own = base.join(rows.withColumn("rep_number", number).drop("repetition_number"), "test_id")
-        keep = [*base.columns, "side", "rep_number"]
-        wide = jsonwalk.wide_to_long(own, keep, metrics).withColumn("__rank", F.lit(0))
+        own = base.join(_with_row(rows).withColumn("rep_number", number).drop("repetition_number"), "test_id")
+        keep = [*base.columns, "side", "rep_number", "__row"]
+        wide = jsonwalk.wide_leaves(own, keep, metrics).withColumn("__rank", F.lit(0))
         open_ = jsonwalk.all_leaves(own, "payload", *keep).withColumn("__rank", F.lit(1))
         parts += [wide, open_.where(~F.col("metric_name").isin(*excluded)) if numbered else open_]
-    rows = reduce(DataFrame.unionByName, parts)
-    return _first_in_test(normalised(rows))
+    return first_in_row(normalised(reduce(DataFrame.unionByName, parts)))
 
 
 def all_families(families: dict[str, DataFrame]) -> DataFrame:

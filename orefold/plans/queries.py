@@ -427,7 +427,7 @@ def scoped_refresh(spark, sf):
 
 @query("SELECT event_id, 'k' AS metric_name, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS metric_value FROM events WHERE props IS NOT NULL AND json_extract_string(props, '$.k') IS NOT NULL")
 def json_leaf_walk(spark, sf):
-    return jsonwalk.all_leaves(t(spark, sf, "events"), "props", "event_id", depth=2)
+    return jsonwalk.all_leaves(t(spark, sf, "events"), "props", "event_id").select("event_id", "metric_name", "metric_value")
 
 
 _CAMEL = "concat('maxRFDValue', upper(substr(p_brand, 1, 1)), lower(substr(replace(p_brand, '#', ''), 2)), 'Test - ', replace(p_type, ' ', '--'))"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -31,7 +31,7 @@ TYPES: dict[str, Callable[[Column], Column]] = {
 
 @dataclass(frozen=True)
 class Shape:
-    """columns: name to (aliases, type); an alias may be a path such as ``team.id``, and ``params.x`` looks at the request.
+    """columns: name to (aliases, type); an alias may be a path such as ``team.id``, ``params.x`` looks at the request and ``account`` is the raw row's own account.
     arrays: paths of inner arrays, the first that is given is exploded (``up.x`` in columns then is a field of the item above).
     counter: a column that defaults to the 1-based place in its array. first: of a key's items in one payload the first counts, not the last."""
 
@@ -91,16 +91,16 @@ SHAPES: dict[str, Shape] = {
         rfd_nps="number rateOfForceDevelopmentNewtonsPerSecond|rfdNps|rfd", time_to_peak_s="number timeToPeakForceSeconds|timeToPeakSeconds|timeToPeak", rom_degrees="number rangeOfMotionDegrees|romDegrees|rom",
     ),
     "dynamo_traces": _shape("test_id", test_id="uuid params.testId|testId", tenant_id="uuid params.tenantId|tenantId", trace="json $"),
-    "teams": _shape("source_account team_id", team_id="id id", name="text name", source_account="text params.source_account"),
-    "positions": _shape("source_account position_id", position_id="id id", name="text name", slug="text slug", sport="text sport_name", source_account="text params.source_account"),
-    "parameters": _shape("source_account parameter_id", parameter_id="id id", name="text name", slug="text slug", unit="text unit_type|unit", source_account="text params.source_account"),
-    "venues": _shape("source_account venue_id", venue_id="id id", name="text name", source_account="text params.source_account"),
-    "tag_types": _shape("source_account tag_type_id", tag_type_id="id id", name="text name", source_account="text params.source_account"),
-    "tags": _shape("source_account tag_id", tag_id="id id", tag_type_id="id tag_type_id|tag_type.id", name="text name", source_account="text params.source_account"),
-    "athletes": _shape("source_account athlete_id", athlete_id="id id", first_name="text first_name", last_name="text last_name", nickname="text nickname", team_id="id current_team_id|current_team.id", position_id="id position_id|position.id", height="number height", weight="number weight", is_synced="bool is_synced", created_at="time created_at", source_account="text params.source_account"),
-    "activities": _shape("source_account activity_id", activity_id="id id", name="text name", start_time="time start_time", end_time="time end_time", duration="number duration", source_account="text params.source_account"),
-    "periods": _shape("source_account period_id", period_id="id id", activity_id="id activity_id|params.activity_id", name="text name", start_time="time start_time", end_time="time end_time", duration="number duration", source_account="text params.source_account"),
-    "sensor": _shape("source_account athlete_id activity_id seconds hundredths", "data", required="seconds", athlete_id="id params.athlete_id", activity_id="id params.activity_id", seconds="number ts", hundredths="number cs", latitude="number lat", longitude="number long", speed="number v", heart_rate="number hr", source_account="text params.source_account"),
+    "teams": _shape("source_account team_id", team_id="id id", name="text name", source_account="text account|params.source_account"),
+    "positions": _shape("source_account position_id", position_id="id id", name="text name", slug="text slug", sport="text sport_name", source_account="text account|params.source_account"),
+    "parameters": _shape("source_account parameter_id", parameter_id="id id", name="text name", slug="text slug", unit="text unit_type|unit", source_account="text account|params.source_account"),
+    "venues": _shape("source_account venue_id", venue_id="id id", name="text name", source_account="text account|params.source_account"),
+    "tag_types": _shape("source_account tag_type_id", tag_type_id="id id", name="text name", source_account="text account|params.source_account"),
+    "tags": _shape("source_account tag_id", tag_id="id id", tag_type_id="id tag_type_id|tag_type.id", name="text name", source_account="text account|params.source_account"),
+    "athletes": _shape("source_account athlete_id", athlete_id="id id", first_name="text first_name", last_name="text last_name", nickname="text nickname", team_id="id current_team_id|current_team.id", position_id="id position_id|position.id", height="number height", weight="number weight", is_synced="bool is_synced", created_at="time created_at", source_account="text account|params.source_account"),
+    "activities": _shape("source_account activity_id", activity_id="id id", name="text name", start_time="time start_time", end_time="time end_time", duration="number duration", source_account="text account|params.source_account"),
+    "periods": _shape("source_account period_id", period_id="id id", activity_id="id activity_id|params.activity_id", name="text name", start_time="time start_time", end_time="time end_time", duration="number duration", source_account="text account|params.source_account"),
+    "sensor": _shape("source_account athlete_id activity_id seconds hundredths latitude longitude speed", "data", required="source_account athlete_id activity_id seconds", athlete_id="id athlete_id|params.athlete_id", activity_id="id activity_id|params.activity_id", seconds="number ts", hundredths="number cs", latitude="number latitude|lat", longitude="number longitude|long", speed="number velocity|v", heart_rate="number heart_rate|hr", source_account="text account|params.source_account"),
 }
 
 
@@ -110,6 +110,8 @@ def _path(variant: str, path: str) -> Column:
 
 def _value(path: str) -> Column:
     source, _, rest = path.partition(".")
+    if path == "account":
+        return F.col("__account")
     if source in ("params", "up") and rest:
         return _path("__params" if source == "params" else "__up", rest)
     return _path("__item", path)
@@ -122,17 +124,19 @@ def _exploded(df: DataFrame, variant: str, keep: list[str]) -> DataFrame:
     return rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("__list").outer())).select(*keep, F.col("pos").alias("__pos"), F.col("value").alias("__item"))
 
 
-def rows_of(raw: DataFrame, shape: Shape) -> DataFrame:
+def rows_of(raw: DataFrame, shape: Shape | str) -> DataFrame:
     """Typed rows with raw_id, pos and reject_reason (NULL for a good row)."""
-    base = raw.select("raw_id", F.try_parse_json(F.coalesce("request_params", F.lit("{}"))).alias("__params"), F.try_parse_json("response_payload").alias("__payload"))
+    shape = SHAPES[shape] if isinstance(shape, str) else shape
+    account = F.col("source_account") if "source_account" in raw.columns else F.lit(None).cast("string")
+    base = raw.select("raw_id", account.alias("__account"), F.try_parse_json(F.coalesce("request_params", F.lit("{}"))).alias("__params"), F.try_parse_json("response_payload").alias("__payload"))
     data = F.coalesce(F.try_variant_get("__payload", "$.items", "variant"), F.col("__payload")) if not {"items", "resultDefinitions", "forces", "data"} & set(shape.arrays) else F.col("__payload")
-    items = _exploded(base.withColumn("__top", data), "__top", ["raw_id", "__params"])
+    items = _exploded(base.withColumn("__top", data), "__top", ["raw_id", "__account", "__params"])
     if shape.arrays:
         inner = F.coalesce(*[F.try_variant_get("__item", f"$.{a}", "variant") for a in shape.arrays])
         bare = F.lit(bool({"resultDefinitions", "forces", "items", "data"} & set(shape.arrays)))
         named = items.withColumn("__up", F.col("__item")).withColumn("__inner", F.coalesce(inner, F.when(bare, F.col("__item"))))
         named = named.withColumn("__top_pos", F.col("__pos"))
-        items = _exploded(named, "__inner", ["raw_id", "__params", "__up", "__top_pos"]).withColumn("__order", F.col("__top_pos") * F.lit(1_000_000_000) + F.col("__pos"))
+        items = _exploded(named, "__inner", ["raw_id", "__account", "__params", "__up", "__top_pos"]).withColumn("__order", F.col("__top_pos") * F.lit(1_000_000_000) + F.col("__pos"))
     else:
         items = items.withColumn("__order", F.col("__pos").cast("long"))
     cols = []
@@ -146,15 +150,53 @@ def rows_of(raw: DataFrame, shape: Shape) -> DataFrame:
     return out.drop("place").withColumn("reject_reason", F.coalesce(*missing))
 
 
-def flatten(raw: DataFrame, shape: Shape | str) -> DataFrame:
-    """The good rows, the latest per key (by raw_id, then place)."""
-    shape = SHAPES[shape] if isinstance(shape, str) else shape
-    good = rows_of(raw, shape).where("reject_reason is null").drop("reject_reason")
+def _good(rows: DataFrame, shape: Shape) -> DataFrame:
+    good = rows.where("reject_reason is null").drop("reject_reason")
     if shape.counter == "tick":
         good = _ticks(good)
     return latest(good, shape.keys, [F.desc("raw_id"), F.asc("pos") if shape.first else F.desc("pos")])
 
 
+def flatten(raw: DataFrame, shape: Shape | str) -> DataFrame:
+    """The good rows, the latest per key (by raw_id, then place)."""
+    shape = SHAPES[shape] if isinstance(shape, str) else shape
+    return _good(rows_of(raw, shape), shape)
+
+
+@dataclass(frozen=True)
+class Load:
+    """``rows`` as ``flatten`` gives them, and what the run that writes them sees on its way: nothing is flattened twice.
+
+    A stage that runs again after an executor is lost may be counted again, as with all of Spark's observed metrics.
+    """
+
+    rows: DataFrame
+    seen: Observation
+    reasons: tuple[str, ...]
+
+    def counts(self) -> dict[str, int]:
+        """attempted, loaded (before repeats of a key fall together), skipped; waits for an action on ``rows``."""
+        got = self.seen.get
+        return {k: got[k] or 0 for k in ("attempted", "loaded", "skipped")}
+
+    def skipped(self) -> dict[str, int]:
+        """Items left out by reason."""
+        got = self.seen.get
+        return {r: got[r] for r in self.reasons if got[r]}
+
+
+def load(raw: DataFrame, shape: Shape | str) -> Load:
+    """Flattens and counts in one pass."""
+    shape = SHAPES[shape] if isinstance(shape, str) else shape
+    reasons = tuple(f"missing {c}" for c in shape.required)
+    bad = F.col("reject_reason").isNotNull()
+    seen = Observation()
+    rows = rows_of(raw, shape).observe(
+        seen, F.count("*").alias("attempted"), F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("skipped"), *[F.count_if(F.col("reject_reason") == r).alias(r) for r in reasons]
+    )
+    return Load(_good(rows, shape), seen, reasons)
+
+
 def with_parent(rows: DataFrame, parents: DataFrame, key: str, take: dict[str, str], *, required: str | None = None) -> DataFrame:
     """``rows`` with columns of their parent where they have none of their own (``take``: own name to the parent's), and a reject_reason where
     ``required`` stays empty."""
@@ -165,19 +207,6 @@ def with_parent(rows: DataFrame, parents: DataFrame, key: str, take: dict[str, s
     return out.withColumn("reject_reason", F.when(F.col(required).isNull(), F.lit(f"missing {required}")) if required else F.lit(None).cast("string"))
 
 
-def load_counts(raw: DataFrame, shape: Shape | str) -> DataFrame:
-    """One row: attempted, loaded (before repeats of a key fall together), skipped."""
-    shape = SHAPES[shape] if isinstance(shape, str) else shape
-    bad = F.col("reject_reason").isNotNull()
-    return rows_of(raw, shape).agg(F.count("*").alias("attempted"), F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("skipped"))
-
-
-def skip_reasons(raw: DataFrame, shape: Shape | str) -> DataFrame:
-    """reject_reason, n_rows of what a load leaves out."""
-    shape = SHAPES[shape] if isinstance(shape, str) else shape
-    return rows_of(raw, shape).where("reject_reason is not null").groupBy("reject_reason").agg(F.count("*").alias("n_rows"))
-
-
 def count_items(payload: Column) -> Column:
     """Items of a payload: a list's, those under ``items``, one for any other object, none for what is neither."""
     v = F.try_parse_json(payload)
@@ -193,12 +222,6 @@ def _ticks(rows: DataFrame) -> DataFrame:
     return fill_ticks(placed, "raw_id", "__at", "tick").withColumn("tick", F.col("filled_tick")).drop("filled_tick", "__at")
 
 
-def rejects(raw: DataFrame, shape: Shape | str) -> DataFrame:
-    """reject_reason, n_rows."""
-    shape = SHAPES[shape] if isinstance(shape, str) else shape
-    return rows_of(raw, shape).where("reject_reason is not null").groupBy("reject_reason").agg(F.count("*").alias("n_rows"))
-
-
 def with_placeholders(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str, keep: list[str]) -> DataFrame:
     """Parents, and a nameless one for each child key that has none."""
     wanted = children.where(F.col(child_key).isNotNull()).select(*keep, F.col(child_key).alias(parent_key)).distinct()
@@ -215,12 +238,17 @@ def with_duration(rows: DataFrame) -> DataFrame:
 
 
 def sensor(raw: DataFrame) -> DataFrame:
-    return flatten(raw, "sensor").withColumn("recorded_at", S.sensor_time(F.col("seconds"), F.col("hundredths")))
+    """Readings, the latest of account, time and what was read; two places at one time are two readings."""
+    rows = rows_of(raw, "sensor").where("reject_reason is null").drop("reject_reason")
+    timed = rows.withColumn("recorded_at", S.sensor_time(F.col("seconds"), F.col("hundredths"))).where("recorded_at is not null")
+    read = ("source_account", "activity_id", "athlete_id", "recorded_at", "latitude", "longitude", "speed")
+    keyed = timed.withColumn("record_hash", S.record_hash(*[F.col(c) for c in read]))
+    return latest(keyed, ["source_account", "recorded_at", "record_hash"], [F.desc("raw_id"), F.desc("pos")])
 
 
 def entity_tags(raw: DataFrame) -> DataFrame:
     """record_hash, entity and tag ids, of a list or an object with items."""
-    shape = _shape("entity_id tag_id", entity_id="id entity_id|entity.id", entity_type="text entity_type", tag_id="id tag_id|tag.id", source_account="text params.source_account")
+    shape = _shape("entity_id tag_id", entity_id="id entity_id|entity.id", entity_type="text entity_type", tag_id="id tag_id|tag.id", source_account="text account|params.source_account")
     rows = rows_of(raw, shape).where("reject_reason is null")
     keyed = rows.withColumn("record_hash", S.record_hash(F.col("source_account"), F.col("entity_type"), F.col("entity_id"), F.col("tag_id")))
     return latest(keyed.drop("reject_reason"), ["record_hash"], [F.desc("raw_id"), F.desc("pos")])
@@ -228,7 +256,7 @@ def entity_tags(raw: DataFrame) -> DataFrame:
 
 def annotations(raw: DataFrame, scope: str) -> DataFrame:
     """The scope (activity, period or athlete) says which one target id stays."""
-    shape = _shape("annotation_id", annotation_id="id id", activity_id="id activity_id|params.activity_id", period_id="id period_id|params.period_id", athlete_id="id athlete_id|params.athlete_id", body="text comment|text", source_account="text params.source_account")
+    shape = _shape("source_account annotation_id", annotation_id="id id", activity_id="id activity_id|params.activity_id", period_id="id period_id|params.period_id", athlete_id="id athlete_id|params.athlete_id", body="text comment|text", source_account="text account|params.source_account")
     rows = flatten(raw, shape).withColumn("annotation_scope", F.lit(scope))
     return rows.withColumns({f"{s}_id": F.col(f"{s}_id") if s == scope else F.lit(None).cast("string") for s in ("activity", "period", "athlete")})
 
@@ -237,7 +265,7 @@ STAT_KEYS = ["activity_id", "activity_id_id", "athlete_id", "athlete_id_id", "pe
 
 
 def stats(raw: DataFrame, activities: DataFrame, periods: DataFrame) -> DataFrame:
-    """Statistics rows, the latest of account, activity, athlete and period: ids with suffixed aliases (a 0 is none), times of the parent activity, the period only if it is known, and
+    """Statistics rows, the latest of account, activity, athlete, start and period: ids with suffixed aliases (a 0 is none), times of the parent activity, the period only if it is known, and
     all other fields as a map. Rows without activity or athlete carry a reject_reason."""
     base = raw.select("raw_id", "source_account", F.posexplode(F.from_json("response_payload", "array<map<string,string>>")).alias("pos", "m"))
     rows = base.select(
@@ -249,7 +277,7 @@ def stats(raw: DataFrame, activities: DataFrame, periods: DataFrame) -> DataFram
     joined = rows.join(a, ["source_account", "activity_id"], "left").join(p, ["source_account", "period_key"], "left")
     reason = F.when(F.col("activity_id").isNull(), "missing activity_id").when(F.col("athlete_id").isNull(), "missing athlete_id")
     out = joined.withColumn("start_time", F.coalesce("own_start", "activity_start")).withColumn("reject_reason", reason).drop("own_start", "activity_start")
-    good = latest(out.where("reject_reason is null"), ["source_account", "activity_id", "athlete_id", "period_key"], [F.desc("raw_id"), F.desc("pos")])
+    good = latest(out.where("reject_reason is null"), ["source_account", "activity_id", "athlete_id", "start_time", "period_key"], [F.desc("raw_id"), F.desc("pos")])
     return good.unionByName(out.where("reject_reason is not null")).drop("pos")
 
 

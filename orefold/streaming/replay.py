@@ -1,4 +1,4 @@
-"""Raw to typed as a stream: each micro-batch is merged into a table by key, latest wins."""
+"""Raw to typed as a stream: each micro-batch is merged into a keyed table, latest wins, and rewrites only the folders its keys fall in."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators.merge import latest, upsert
-from ..sources.landing import current, publish
+from ..operators.merge import latest
+from ..sources.keyed import Keyed
 
 
 def merge_stream(
@@ -23,28 +23,21 @@ def merge_stream(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     files_per_batch: int = 1000,
-):
+    buckets: int = 64,
+) -> DataFrame:
     """Reads new Parquet files of ``source``, transforms them and merges them; runs until what is there has been read.
 
-    A batch that runs again gives the same table, because rows are merged by key and order; the pointer to the new
-    version moves last.
+    A batch that runs again finds its own rows in the table and replaces no folder. The table is Keyed at ``folder/name``; each commit is labelled with the
+    batch's number. A new ``checkpoint`` replays everything, and changes nothing where everything is in already.
     """
+    typed = transform(spark.createDataFrame([], schema)).schema
+    table = Keyed(spark, f"{folder}/{name}", typed, tuple(keys), tuple(order), buckets)
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
         rows = latest(transform(batch), keys, order)
-        try:
-            old = current(batch.sparkSession, folder, name)
-        except Exception as e:  # there is no table yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = None
-        if old is None:
-            publish(rows, folder, name)
-        else:
-            both = latest(old.unionByName(rows), keys, order)
-            publish(upsert(old, both, keys), folder, name)
+        Keyed(batch.sparkSession, table.where, typed, table.keys, table.order, buckets).merge(rows, f"batch {number}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return current(spark, folder, name)
+    return table.read()

@@ -154,7 +154,7 @@ def test_leaves_at_any_depth(spark):
 
     deep = '{"a": ' * 9 + "7" + "}" * 9
     df = spark.createDataFrame([(1, deep), (2, '{"b": [1, {"c": 2}]}'), (3, None), (4, "broken")], "n int, p string")
-    got = {(r.n, r.metric_name, r.metric_value) for r in jsonwalk.all_leaves(df, "p", "n", depth=2).collect()}
+    got = {(r.n, r.metric_name, r.metric_value) for r in jsonwalk.all_leaves(df, "p", "n").collect()}
     assert got == {(1, "_".join("a" * 9), 7.0), (2, "b_1", 1.0), (2, "b_2_c", 2.0)}
 
 
@@ -180,6 +180,51 @@ def test_family_fact_prefers_columns(spark):
     assert {(r.metric_name, r.side, r.metric_value, r.metric_unit) for r in got.collect()} == {("max_force", "left", 5.0, "N"), ("max_force", "right", 0.0, "N"), ("extra_v", None, 3.0, None)}
 
 
+IDS = ["test_id", "profile_id", "test_date", "side", "rep_number"]
+
+
+def test_the_first_of_a_payload_counts_and_sources_stay_apart(spark):
+    from orefold.functions import jsonwalk
+
+    base = spark.createDataFrame([("t", "p", dt.datetime(2026, 1, 1), None, 1, 5.0, p) for p in ('{"peak_force": 9, "peakForce": 2, "z": {"b": 1, "a": [2, {"c": 3}]}}', '{"peakForce": 2, "peak_force": 9}')], "test_id string, profile_id string, test_date timestamp, side string, rep_number int, power double, payload string")
+    order = [r.metric_name for r in jsonwalk.all_leaves(base.limit(1), "payload").orderBy("place").collect()]
+    assert order == ["peak_force", "peak_force", "z_b", "z_a_1", "z_a_2_c"]
+    who = spark.createDataFrame([("p", True)], "profile_id string, is_active boolean")
+    got = fact.family_fact(base, who, IDS, ["power"], payload="payload").where("metric_name = 'peak_force'").collect()
+    assert sorted(r.metric_value for r in got) == [2.0, 9.0]
+    nested = spark.createDataFrame([('{"a": "[1, {", "b": [[1]]}',), (r'{"a": "\\\"[{"}',), (None,), ("7",)], "p string")
+    assert [r.d for r in nested.select(jsonwalk.depth_of(F.col("p")).alias("d")).collect()] == [3, 1, 0, 0]
+
+
+def test_two_movements_of_a_side_are_two(spark):
+    tests = spark.createDataFrame([("t", "p", "n", "k", dt.datetime(2026, 1, 1))], "test_id string, profile_id string, test_name string, test_type string, test_date timestamp")
+    sums = spark.createDataFrame([("t", m, "left", v, f'{{"extra": {v}, "maxForce": 1}}') for m, v in (("push", 3.0), ("pull", 4.0))], "test_id string, movement_type string, side string, max_force double, payload string")
+    reps = spark.createDataFrame([("t", 1, "left", 5.0, '{"force": 9}')], "test_id string, repetition_number int, side string, impulse double, payload string")
+    who = spark.createDataFrame([("p", True)], "profile_id string, is_active boolean")
+    got = fact.dynamometer_fact(tests, sums, reps, who, of_summary=["max_force"], of_repetition=["impulse"])
+    assert sorted((r.metric_name, r.metric_value, r.rep_number) for r in got.collect()) == [("extra", 3.0, None), ("extra", 4.0, None), ("impulse", 5.0, 1), ("max_force", 3.0, None), ("max_force", 4.0, None)]
+
+
+def test_entry_into_a_fact(spark):
+    day = lambda m: dt.datetime(2026, m, 9)
+    base = spark.createDataFrame([(t, p, d, None, 1, 5.0) for t, p, d in [("old", "p", dt.datetime(2023, 1, 1)), ("early", "p", day(1)), ("a", "p", day(5)), ("b", "q", day(5)), ("c", "q", day(6)), ("none", "q", None)]], "test_id string, profile_id string, test_date timestamp, side string, rep_number int, force double")
+    who = spark.createDataFrame([("p", True), ("q", True)], "profile_id string, is_active boolean")
+    ids = lambda e: {r.test_id for r in fact.family_fact(base, who, IDS, ["force"], entry=e).collect()}
+    assert ids(fact.Entry()) == {"early", "b", "c"} and ids(fact.ANY) == {"old", "early", "a", "b", "c"} and ids(fact.Entry(least=3)) == {"early"}
+
+
+def test_trials_have_four_dates(spark):
+    results = spark.createDataFrame([("r", f"x{t}", f"t{t}", "p", None, 0, "1") for t in range(5)], "result_id string, trial_id string, test_id string, profile_id string, limb string, repeat int, value string")
+    d = [dt.datetime(2026, 1, i + 1) for i in range(5)]
+    tests = spark.createDataFrame([(f"t{i}", "p", "k", d[1] if i < 2 else None, d[2] if i < 3 else None, d[3] if i < 4 else None) for i in range(5)], "test_id string, profile_id string, test_type string, test_date timestamp, analysed_at timestamp, modified_at timestamp")
+    trials = spark.createDataFrame([("x0", d[0], None)], "trial_id string, trial_date timestamp, limb string")
+    defs = spark.createDataFrame([], "result_id string, result_group string, result_name string, result_unit string")
+    who = spark.createDataFrame([("p", True)], "profile_id string, is_active boolean")
+    run = lambda **how: {r.test_id: r.test_date for r in fact.trial_fact(results, tests, trials, defs, who, **how).collect()}
+    assert run() == {f"t{i}": d[i] for i in range(4)}
+    assert set(run(entry=fact.Entry("2026-01-02", "2026-01-03", 2))) == {"t1", "t2", "t3"} and set(run(entry=fact.Entry(None, "2026-01-03", 3))) == {"t0", "t1"}
+
+
 def test_cutoff_and_gate(spark):
     df = spark.createDataFrame([(1, "2024-01-01", "2025-01-01"), (2, "bad", "2025-01-01"), (3, "2024-06-30T23:00:00Z", None)], "id int, a string, b string")
     assert sorted(r.id for r in scope.after_cutoff(df, ["a", "b"]).collect()) == [2, 3]

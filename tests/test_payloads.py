@@ -32,7 +32,8 @@ def test_trial_results_need_an_id(spark):
     rows = raw(spark, ({"testId": "t9"}, body))
     got = {(r.result_id, r.value, r.limb, r.test_id) for r in P.flatten(rows, "plate_results").collect()}
     assert got == {("r1", 3.0, "Left", "t9"), ("9", 4.0, "Right", "t9")}
-    assert [(r.reject_reason, r.n_rows) for r in P.rejects(rows, "plate_results").collect()] == [("missing result_id", 1)]
+    load = P.load(rows, "plate_results")
+    assert load.rows.count() == 2 and load.skipped() == {"missing result_id": 1}
 
 
 def test_definitions_in_three_shapes(spark):
@@ -69,7 +70,7 @@ def test_athlete(spark):
 
 def test_sensor_time(spark):
     body = [{"data": [{"ts": 100, "cs": 5}, {"ts": 100, "cs": 15}]}]
-    got = P.sensor(raw(spark, ({"athlete_id": 1}, body))).select(F.col("recorded_at").cast("double").alias("t")).orderBy("t").collect()
+    got = P.sensor(raw(spark, ({"athlete_id": 1, "activity_id": 2}, body))).select(F.col("recorded_at").cast("double").alias("t")).orderBy("t").collect()
     assert [round(r.t, 2) for r in got] == [100.05, 100.15]
 
 
@@ -119,8 +120,39 @@ def test_traces_take_profile_and_date_from_their_test(spark):
 
 def test_counts_of_a_load(spark):
     rows = raw(spark, ({}, [{"id": "1"}, {"id": "1"}, {"name": "x"}]), ({}, "broken {"), ({}, {"items": [{"id": 3}]}), ({}, {"id": 4}))
-    assert tuple(P.load_counts(rows, P.Shape({"team_id": ("id", "id")}, ["team_id"], required=["team_id"])).first()) == (5, 4, 1)
-    assert [tuple(r) for r in P.skip_reasons(rows, P.Shape({"team_id": ("id", "id")}, ["team_id"], required=["team_id"])).collect()] == [("missing team_id", 1)]
+    load = P.load(rows, P.Shape({"team_id": ("id", "id")}, ["team_id"], required=["team_id"]))
+    assert sorted(r.team_id for r in load.rows.collect()) == ["1", "3", "4"]
+    assert load.counts() == {"attempted": 5, "loaded": 4, "skipped": 1} and load.skipped() == {"missing team_id": 1}
+    none = P.load(rows.limit(0), "teams")
+    assert none.rows.count() == 0 and none.counts() == {"attempted": 0, "loaded": 0, "skipped": 0} and none.skipped() == {}
     assert [r.n for r in rows.orderBy("raw_id").select(P.count_items(F.col("response_payload")).alias("n")).collect()] == [3, 0, 1, 1]
     others = spark.createDataFrame([("7",), ("null",), ("{}",), ('{"items": {"id": 1}}',), ("[]",), (None,)], "payload string")
     assert [r.n for r in others.select(P.count_items(F.col("payload")).alias("n")).collect()] == [0, 0, 1, 1, 0, 0]
+
+
+def accounts(spark, body, params=None):
+    return spark.createDataFrame([(i, a, json.dumps(params or {}), json.dumps(body)) for i, a in enumerate(("a", "b"))], RAW)
+
+
+def test_the_raw_rows_own_account_counts(spark):
+    for name, key in (("teams", "team_id"), ("tags", "tag_id"), ("athletes", "athlete_id"), ("activities", "activity_id"), ("periods", "period_id")):
+        got = {(r.source_account, r[key]) for r in P.flatten(accounts(spark, [{"id": 1}]), name).collect()}
+        assert got == {("a", "1"), ("b", "1")}, name
+    request = spark.createDataFrame([(1, None, '{"source_account": "c"}', '[{"id": 1}]'), (2, None, "{}", '[{"id": 1}]')], RAW)
+    load = P.load(request, "teams")
+    assert [r.source_account for r in load.rows.collect()] == ["c"] and load.skipped() == {"missing source_account": 1}
+    assert P.annotations(accounts(spark, [{"id": 1, "activity_id": 5, "comment": "x"}]), "activity").count() == 2
+    assert P.entity_tags(accounts(spark, [{"entity_id": 1, "tag_id": 5}])).count() == 2
+
+
+def test_statistics_of_one_period_on_two_days_are_two(spark):
+    body = [{"activity_id": "a1", "athlete_id": "p1", "period_id": "x", "start_time": f"2026-01-0{d}T00:00:00Z", "total": str(d)} for d in (1, 2, 2)]
+    none = spark.createDataFrame([], "source_account string, activity_id string, period_id string, start_time timestamp, end_time timestamp")
+    assert sorted(r.all_parameters["total"] for r in P.stats(raw(spark, ({}, body)), none, none).collect()) == ["1", "2"]
+
+
+def test_two_readings_of_one_hundredth_are_two(spark):
+    read = {"ts": 100, "cs": 5, "lat": 1.0, "long": 2.0, "v": 3}
+    body = [{"data": [read, {**read, "lat": 1.5}, {**read, "hr": 90}, {"ts": 99, "cs": 105, "latitude": 1.0, "longitude": 2.0, "velocity": 3, "heart_rate": 91}]}]
+    got = P.sensor(raw(spark, ({"athlete_id": 1, "activity_id": 2}, body))).collect()
+    assert sorted((r.latitude, r.heart_rate) for r in got) == [(1.0, 91.0), (1.5, None)]
