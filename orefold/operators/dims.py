@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from .quality import persist_flags
 
 
@@ -33,6 +34,14 @@ def unmatched_targets(members: DataFrame, targets: DataFrame) -> DataFrame:
     return targets.select("group_id").distinct().join(members.select("group_id"), "group_id", "left_anti")
 
 
+def scoped_profiles(profiles: DataFrame, members: DataFrame) -> DataFrame:
+    """Profiles (profile_id, tenant_id, given_name, family_name and more) with their included membership's columns and full_name; they meet by profile and tenant, so
+    a membership of the same id with another tenant doesn't count."""
+    m = members.where("include_in_gold").select(F.col("profile_id").alias("__p"), F.col("tenant_id").alias("__t"), *[F.col(c) for c in members.columns if c not in (*profiles.columns, "include_in_gold")])
+    joined = profiles.join(m, (F.col("profile_id") == F.col("__p")) & F.col("tenant_id").eqNullSafe(F.col("__t"))).drop("__p", "__t")
+    return joined.withColumn("full_name", S.full_name(F.col("given_name"), F.col("family_name")))
+
+
 def upsert_profiles(old: DataFrame, new: DataFrame, key: str = "profile_id") -> DataFrame:
     """Scoped profiles come in or are updated: first_seen_at stays the earliest, and an inactive one is active again."""
     o, n = old.alias("o"), new.withColumn("__n", F.lit(True)).alias("n")

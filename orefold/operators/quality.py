@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -103,21 +104,50 @@ def _flag(kind: str, severity: Column, **details: Column) -> Column:
     return F.struct(F.lit(kind).alias("flag_type"), severity.alias("severity"), F.to_json(F.struct(*[c.cast("double").alias(n) for n, c in details.items()])).alias("details"))
 
 
+@dataclass(frozen=True)
+class Pair:
+    """A left and a right metric of one row, compared where both are at least ``least``; flags carry ``label`` and the percentage."""
+
+    label: str
+    left: str
+    right: str
+    least: float = 0.0
+    warning: float = ASYMMETRY_WARNING
+    critical: float = ASYMMETRY_CRITICAL
+
+    def entry(self) -> Column:
+        a, b = F.col(self.left).cast("double"), F.col(self.right).cast("double")
+        pct = F.when((F.abs(a) >= self.least) & (F.abs(b) >= self.least), S.asymmetry(a, b))
+        limits = {"left_value": a, "right_value": b, "asymmetry_pct": pct, "warning_pct": F.lit(float(self.warning)), "critical_pct": F.lit(float(self.critical))}
+        return F.struct(F.lit(self.label).alias("metric_name"), F.round(pct, 2).alias("metric_value"), F.struct(*[c.alias(n) for n, c in limits.items()]).alias("asymmetry"))
+
+
+def wide_rows(rows: DataFrame, ids: list[str], metrics: list[str], pairs: list[Pair] = ()) -> DataFrame:
+    """A row for each metric column and for each pair of them, from one pass over the table: ids, metric_name, metric_value, and for pairs ``asymmetry``."""
+    kind = "struct<metric_name: string, metric_value: double, asymmetry: struct<left_value: double, right_value: double, asymmetry_pct: double, warning_pct: double, critical_pct: double>>"
+    own = [F.struct(F.lit(m).alias("metric_name"), F.col(m).cast("double").alias("metric_value"), F.lit(None).alias("asymmetry")).cast(kind) for m in metrics]
+    each = F.explode(F.array(*own, *[p.entry().cast(kind) for p in pairs])).alias("__each")
+    return rows.select(*ids, *[c for c in ("updated_at",) if c in rows.columns and c not in ids], each).select("*", "__each.*").drop("__each")
+
+
 def flags(rows: DataFrame) -> DataFrame:
-    """A row per fact row and rule broken. ``rows`` has metric_value, the rule's columns and ``b``, a baseline or NULL."""
+    """A row per fact row and rule broken. ``rows`` has metric_value, the rule's columns, ``b``, a baseline or NULL, and maybe ``asymmetry``, a pair's values."""
     v = F.col("metric_value")
     low, high = (F.round(x, 9) for x in S.fence(F.col("b.p25_value"), F.col("b.p75_value"), F.col("fence")))  # not apart by a last bit
     z = F.abs(S.modified_z(v, F.col("b.median_value"), F.col("b.mad_value")))
     width = high - low
     outside = (v < low) | (v > high)
     far = (v < F.round(low - width, 9)) | (v > F.round(high + width, 9))
-    all_flags = F.array(
+    pair = F.col("asymmetry") if "asymmetry" in rows.columns else None
+    more = [] if pair is None else [_flag("asymmetry_extreme", F.when(pair["asymmetry_pct"] >= pair["critical_pct"], "critical").when(pair["asymmetry_pct"] >= pair["warning_pct"], "warning"), **{c: pair[c] for c in ("left_value", "right_value", "asymmetry_pct")})]
+    listed = [
         _flag("negative_value", F.when(F.col("non_negative") & (v < 0), "critical"), value=v),
         _flag("range_violation", F.when((v < F.col("abs_min")) | (v > F.col("abs_max")), "critical"), value=v, least=F.col("abs_min"), most=F.col("abs_max")),
         _flag("outlier_modified_zscore", F.when(z >= F.col("z_critical"), "critical").when(z >= F.col("z_warning"), "warning"), value=v, modified_z=z, median=F.col("b.median_value"), mad=F.col("b.mad_value"), samples=F.col("b.sample_count")),
         _flag("outlier_iqr", F.when(outside & far, "critical").when(outside, "warning"), value=v, low=low, high=high, p25=F.col("b.p25_value"), p75=F.col("b.p75_value"), samples=F.col("b.sample_count")),
-    )
-    return rows.where("metric_value is not null").withColumn("flag", F.explode(F.filter(all_flags, lambda f: f["severity"].isNotNull()))).select("*", "flag.flag_type", "flag.severity", "flag.details").drop("flag")
+        *more,
+    ]
+    return rows.where("metric_value is not null").withColumn("flag", F.explode(F.filter(F.array(*listed), lambda f: f["severity"].isNotNull()))).select("*", "flag.flag_type", "flag.severity", "flag.details").drop("flag")
 
 
 def asymmetry_flags(fact: DataFrame, keys: list[str], *, least: float = 0.0, warning: float = ASYMMETRY_WARNING, critical: float = ASYMMETRY_CRITICAL) -> DataFrame:

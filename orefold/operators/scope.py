@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -55,3 +56,35 @@ def of_raw_rows(typed: DataFrame, raw: DataFrame, key: str = "raw_id") -> DataFr
 def refreshed(existing: DataFrame, rebuilt: DataFrame, scope: DataFrame, test: str = "test_id") -> DataFrame:
     """Rows of the scope's tests come from ``rebuilt``, all others stay; an empty scope changes nothing."""
     return existing.join(scope.select(test), test, "left_anti").unionByName(rebuilt.join(scope.select(test), test, "left_semi"))
+
+
+@dataclass(frozen=True)
+class Selection:
+    """Raw rows of a replay; what is given holds together: those after a cursor, of some batches, of one local day of ingestion, of a window of it.
+
+    cursor: source_account, last_raw_id; batches: batch_id; day: (date, zone), of 23 or 25 hours where clocks change; window: [start, stop) as
+    timestamp text. Without any of them it is every raw row, so a full replay ignores the cursor.
+    """
+
+    cursor: DataFrame | None = None
+    batches: DataFrame | None = None
+    day: tuple[str, str] | None = None
+    window: tuple[str, str] | None = None
+
+    def raw(self, raw: DataFrame) -> DataFrame:
+        rows = raw
+        if self.day:
+            rows = rows.where(local_day(F.col("ingested_at"), *self.day))
+        if self.window:
+            rows = rows.where(in_window(F.col("ingested_at"), *[F.lit(w).cast("timestamp") for w in self.window]))
+        if self.batches is not None:
+            rows = rows.join(self.batches.select("batch_id"), "batch_id", "left_semi")
+        if self.cursor is not None:
+            c = self.cursor.select(F.col("source_account").alias("__a"), "last_raw_id")
+            rows = rows.join(c, rows["source_account"].eqNullSafe(F.col("__a")), "left").where(F.col("raw_id") > F.coalesce("last_raw_id", F.lit(-1))).select(*raw.columns)
+        return rows
+
+    def tests(self, raw: DataFrame, typed: dict[str, list[DataFrame]]) -> DataFrame:
+        """family, test_id of the typed rows (raw_id, test_id) that come from selected raw rows."""
+        ids = self.raw(raw)
+        return touched({family: [of_raw_rows(rows, ids) for rows in each] for family, each in typed.items()})

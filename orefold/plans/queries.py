@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import jsonwalk
 from ..functions import scalars as S
 from ..operators import audit, coverage, dims, fact, marts, merge, ops, quality, scope
-from ..sources import payloads
+from ..sources import landing, payloads
+from ..sources.stored import fresh, stored
 from . import driver as D
+from . import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,7 +44,7 @@ COHORT_OUT = "assessment_family, team_group_id, test_type, metric_name, side"
 
 @query(f"WITH {D.limits_sql(1.2)} SELECT {COHORT_OUT}, n_rows, round(p99, 6) AS p99, round(p25, 6) AS p25, round(upper_limit, 6) AS upper_limit FROM limits")
 def cohort_thresholds(spark, sf):
-    return marts.thresholds(D.fact(spark, sf)).select(*marts.COHORT, "n_rows", *r6("p99", "p25", "upper_limit"))
+    return marts.thresholds(jobs.store_fact(D.fact(spark, sf))).select(*marts.COHORT, "n_rows", *r6("p99", "p25", "upper_limit"))
 
 
 @query(f"WITH {D.limits_sql(1.2)} SELECT {COHORT_OUT}, n_rows, round(p99, 6) AS p99, round(p25, 6) AS p25 FROM limits")
@@ -52,7 +54,7 @@ def cohort_thresholds_by_ranges(spark, sf):
 
 
 def _labelled(spark, sf, factor):
-    f = D.fact(spark, sf)
+    f = jobs.store_fact(D.fact(spark, sf))
     return f, marts.label(f, marts.thresholds(f, factor=factor))
 
 
@@ -79,7 +81,8 @@ cand AS (SELECT s.* FROM kept s JOIN catalog c ON c.assessment_family = s.assess
 
 
 def _mart(select, spark, sf, **how):
-    f, labelled = _labelled(spark, sf, 1.0)
+    f = jobs.store_fact(D.fact(spark, sf))
+    labelled = jobs.label_all(f, factor=1.0)
     keys = list(TEST_NAMED)
     catalog = coverage.reference_metrics(coverage.metric_candidates(f, keys), keys, module="test_type", fixed=_METRICS)
     return select(labelled.withColumn("rep_number", F.nullif("rep_number", F.lit(7))), catalog, named=TEST_NAMED, **how).select(*MART.split(", "))
@@ -256,9 +259,9 @@ def membership_unmatched(spark, sf):
 
 @query(f"WITH {MEMBERS_SQL} SELECT c_custkey AS profile_id, c_name AS full_name, group_id FROM customer JOIN m ON c_custkey = profile_id WHERE include_in_gold")
 def profile_scope(spark, sf):
-    m = _members(spark, sf).where("include_in_gold")
-    c = t(spark, sf, "customer").select(F.col("c_custkey").alias("profile_id"), S.full_name(F.col("c_name")).alias("full_name"))
-    return c.join(m, "profile_id").select("profile_id", "full_name", "group_id")
+    m = _members(spark, sf).withColumn("tenant_id", F.lit("t"))
+    c = t(spark, sf, "customer").select(F.col("c_custkey").alias("profile_id"), F.lit("t").alias("tenant_id"), F.col("c_name").alias("given_name"), F.lit(None).cast("string").alias("family_name"))
+    return dims.scoped_profiles(c, m).select("profile_id", "full_name", "group_id")
 
 
 @query(f"""WITH {MEMBERS_SQL} SELECT c_custkey AS profile_id, c_acctbal > 0 AND c_custkey IN (SELECT profile_id FROM m WHERE include_in_gold) AS is_active,
@@ -418,7 +421,7 @@ def touched_scope(spark, sf):
 @query(f"WITH {_MARTS_SQL} SELECT {MART} FROM kept WHERE test_id IN (SELECT test_id FROM cand)")
 def scoped_refresh(spark, sf):
     """A mart in which the rows of one order status are stale, refreshed: the same as the full one."""
-    full = mart_simple(spark, sf)
+    full = stored(mart_simple(spark, sf), "mart")
     ids = t(spark, sf, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("test_id"))
     marked = full.join(ids.withColumn("__stale", F.lit(True)), "test_id", "left")
     stale = marked.withColumn("metric_value", F.when(F.col("__stale"), -1.0).otherwise(F.col("metric_value"))).drop("__stale")
@@ -609,7 +612,9 @@ def replay_watermark(spark, sf):
 
 @query("SELECT strftime(o_orderdate, '%Y_%m') AS month, count(*) AS n_rows, min(o_orderdate) AS first_date FROM orders GROUP BY 1")
 def month_partitions(spark, sf):
-    return t(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyy_MM").alias("month")).agg(F.count("*").alias("n_rows"), F.min("o_orderdate").alias("first_date"))
+    where, o = fresh(spark, "months"), t(spark, sf, "orders").select("o_orderdate")
+    landing.write_monthly(o, where, "o_orderdate")
+    return landing.read_months(spark, where, o.schema).groupBy("month").agg(F.count("*").alias("n_rows"), F.min("o_orderdate").alias("first_date"))
 
 
 # scalar functions on texts made of the tables' own columns

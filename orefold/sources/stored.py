@@ -26,8 +26,8 @@ def fresh(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
-    """``df``, written as Parquet and read back; ``by``: columns that become folders, so that a filter on them reads only its own."""
+    """``df``, written as Parquet and read back; ``by``: columns of few values that become folders, so that a filter on them reads only its own (an
+    empty text among them comes back as NULL)."""
     path = fresh(df.sparkSession, name)
-    rows = df.repartition(*by) if by else df
-    (rows.write.partitionBy(*by) if by else rows.write).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])

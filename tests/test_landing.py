@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from orefold.operators import merge
 from orefold.sources import landing
+from orefold.sources.keyed import Keyed
+from orefold.sources.runs import RunLog
 from orefold.streaming.replay import merge_stream
 
 
@@ -35,6 +37,37 @@ def test_monthly_partitions(spark, tmp_path):
     assert sorted(r.month for r in spark.read.parquet(str(tmp_path / "m")).select("month").collect()) == ["2026_01", "2026_02", "2026_03"]
 
 
+def test_a_range_of_months_reads_only_its_folders(spark, tmp_path):
+    df = spark.sql("select id, timestamp'2026-01-15' + make_interval(0, id) as ts from range(6)")
+    landing.write_monthly(df, str(tmp_path / "m"), "ts")
+    landing.write_monthly(df.where("id = 2").withColumn("id", F.lit(99).cast("long")), str(tmp_path / "m"), "ts", mode="overwrite")
+    got = landing.read_months(spark, str(tmp_path / "m"), df.schema, dt.date(2026, 2, 20), dt.date(2026, 4, 1))
+    assert sorted(r.id for r in got.collect()) == [1, 99]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and landing.read_months(spark, str(tmp_path / "m"), df.schema).count() == 6
+
+
+def test_month_plan(spark):
+    plan = landing.month_plan(spark, dt.date(2026, 3, 31)).orderBy("start").collect()
+    assert (plan[0].month, plan[-1].month, len(plan)) == ("2024_01", "2027_09", 45) and plan[0].stop == plan[1].start
+    with pytest.raises(ValueError):
+        landing.month_plan(spark, dt.date(2026, 3, 31), ahead=-1)
+    rows = landing.planned(spark.sql("select timestamp'2023-12-31' ts union all select timestamp'2024-01-01' union all select null"), landing.month_plan(spark, dt.date(2026, 3, 1)), "ts")
+    assert sorted(str(r.month) for r in rows.collect()) == ["2024_01", "None", "None"]
+
+
+def test_files_of_a_published_table_are_in_order(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(5000).select(F.when(F.col("id") % 9 != 0, F.col("id") * 7919 % 5003).alias("a"), F.col("id").alias("b"))
+    version = landing.publish(df, str(tmp_path), "t", order=["a", "b"])
+    files = sorted((tmp_path / "t" / version.rsplit("/", 1)[-1]).glob("*.parquet"))
+    rows = [tuple(r.values()) for f in files for r in pq.read_table(f).to_pylist()]
+    assert rows == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) and len(rows) == 5000
+    placed = landing.in_order(landing.current(spark, str(tmp_path), "t"), "place")
+    assert [(r.a, r.b) for r in placed.sort("place").collect()] == rows
+
+
 def test_jdbc_round_trip(spark, tmp_path):
     url = "jdbc:derby:memory:landing;create=true"
     props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
@@ -73,3 +106,75 @@ def test_stream_ends_as_the_batch(spark, tmp_path, data):
     got = merge_stream(spark, str(tmp_path / "in"), e.schema, str(tmp_path), "latest", keys, order, checkpoint=str(tmp_path / "cp"), files_per_batch=1)
     expected = merge.latest(e, keys, order)
     assert got.exceptAll(expected.select(*got.columns)).count() == 0 and got.count() == expected.count()
+    table = Keyed(spark, str(tmp_path / "latest"), e.schema, tuple(keys), tuple(order))
+    before, commits = table.files(), table.commits().count()
+    merge_stream(spark, str(tmp_path / "in"), e.schema, str(tmp_path), "latest", keys, order, checkpoint=str(tmp_path / "again"))
+    assert table.files() == before and table.commits().count() == commits  # a full replay changes nothing
+
+
+KV = "k string, v int, at int"
+
+
+def keyed(spark, where, buckets=8):
+    schema = spark.createDataFrame([], KV).schema
+    return Keyed(spark, str(where), schema, ("k",), (F.desc("at"),), buckets)
+
+
+def files_below(folder):
+    return {str(f) for f in folder.rglob("*.parquet")}
+
+
+def test_a_merge_rewrites_only_the_folders_of_its_keys(spark, tmp_path):
+    t = keyed(spark, tmp_path / "t")
+    assert t.read().count() == 0 and t.files() == {}
+    t.merge(spark.createDataFrame([(f"k{i}", i, 1) for i in range(200)] + [(None, 0, 1)], KV), "first")
+    before, names = t.files(), files_below(tmp_path / "t" / "data")
+    assert t.merge(spark.createDataFrame([("k7", 70, 2), ("k7", 71, 3), (None, 5, 0)], KV), "second") == 1
+    after = t.files()
+    changed = [b for b in before if after[b] != before[b]]
+    assert len(changed) == 1 and names < files_below(tmp_path / "t" / "data")  # what was written stays as it is
+    assert {(r.k, r.v) for r in t.read().where("k = 'k7' or k is null").collect()} == {("k7", 71), (None, 0)} and t.read().count() == 201
+    assert t.unused() == [before[changed[0]]]
+    files = files_below(tmp_path / "t")
+    assert t.merge(spark.createDataFrame([("k7", 70, 2), ("k7", 71, 3), (None, 5, 0)], KV)) == 0 == t.merge(spark.createDataFrame([], KV))
+    assert files_below(tmp_path / "t") == files and [r.label for r in t.commits().sort("commit").collect()] == ["first", "second"]
+    looked = t.lookup(spark.createDataFrame([("k7", 0), ("zz", 0), (None, 0)], "k string, x int"))
+    assert {(r.k, r.v) for r in looked.collect()} == {("k7", 71), (None, 0)} and len(looked.inputFiles()) <= 3
+    t.replace(spark.createDataFrame([("a", 1, 1), ("a", 2, 2)], KV))
+    assert [tuple(r) for r in t.read().collect()] == [("a", 2, 2)]
+    with pytest.raises(ValueError):
+        keyed(spark, tmp_path / "t", 4).read()
+
+
+def test_a_broken_commit_is_not_seen(spark, tmp_path):
+    t = keyed(spark, tmp_path / "t")
+    t.merge(spark.createDataFrame([("a", 1, 1)], KV))
+    broken = spark.createDataFrame([("a", 2, 2)], KV).withColumn("v", F.when(F.col("at") > 1, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        t.merge(broken)
+    assert [tuple(r) for r in t.read().collect()] == [("a", 1, 1)]
+
+
+def test_runs_begin_where_the_last_good_one_did(spark, tmp_path):
+    log, seen = RunLog(spark, str(tmp_path)), []
+    day = lambda d: dt.datetime(2026, 1, d)
+
+    def work(v, breaks=None):
+        def go(since, current):
+            seen.append((since, None if current is None else current.count()))
+            if breaks:
+                raise breaks("x")
+            return spark.range(v)
+
+        return go
+
+    assert log.last("t") is None and log.run("t", "1", work(3), started=day(1)) and not log.run("t", "1", work(9), started=day(1))
+    for breaks in (ValueError, KeyboardInterrupt):
+        with pytest.raises(breaks):
+            log.run("t", "2", work(4, breaks), started=day(2))
+        assert log.current("t").count() == 3
+    assert {(r.run, r.status) for r in log.states().collect()} == {("1", "completed"), ("2", "started")}
+    assert log.run("t", "2", work(5), started=day(3)) and log.run("u", "1", work(1), started=day(9)) and log.current("t").count() == 5
+    assert seen == [(None, None), (day(1), 3), (day(1), 3), (day(1), 3), (None, None)] and log.last("t")[0] == day(3)
+    with pytest.raises(ValueError):
+        log.current("v")

@@ -113,6 +113,12 @@ def test_soft_delete_and_return(spark):
     assert {(r.profile_id, r.is_active, r.first_seen_at) for r in back.where("profile_id = 3").collect()} == {(3, True, d(2025, 1, 1))}
 
 
+def test_profiles_meet_members_of_their_own_tenant(spark):
+    p = spark.createDataFrame([(1, "t", "A", "B"), (1, "u", "A", "C"), (2, None, "D", None), (3, "t", "E", "F")], "profile_id int, tenant_id string, given_name string, family_name string")
+    m = spark.createDataFrame([(1, "t", "g", True), (2, None, "h", True), (3, "t", "g", False), (3, "u", "g", True)], "profile_id int, tenant_id string, group_id string, include_in_gold boolean")
+    assert {(r.profile_id, r.tenant_id, r.full_name, r.group_id) for r in dims.scoped_profiles(p, m).collect()} == {(1, "t", "A B", "g"), (2, None, "D", "h")}
+
+
 def test_reference_metrics(spark):
     c = spark.createDataFrame(
         [("gates", "a", "split_1_cumulative_time", 1.0), ("gates", "a", "split_3_cumulative_time", 3.0), ("gates", "a", "split_2_cumulative_time", 2.0), ("plates", "b", "peak_force", 900.0), ("plates", "b", "jump_height", 3.0), ("plates", "d", "peak_force", 9.0), ("frame", "c", "avg_force", 1.0), ("frame", None, "max_force", 1.0)],
