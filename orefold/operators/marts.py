@@ -18,17 +18,17 @@ FACTOR = 1.2
 LARGE_COHORT = 5_000_000
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, shares: list[float], parts: int = 64) -> DataFrame:
-    """Interpolated percentiles ``p0, p1, ...`` per key, of groups of any size.
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, shares: list[float], parts: int = 64, *, weight: str | None = None) -> DataFrame:
+    """Interpolated percentiles ``p0, p1, ...`` per key, of groups of any size. ``weight``: a column that says how often a row's value is there.
 
     A sketch cuts each group into ranges of values; counts per range tell which range has each rank, and only these ranges'
     values are sorted. No task holds a whole group.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("w"))
     cuts = rows.groupBy(*keys).agg(F.percentile_approx("v", [i / parts for i in range(1, parts)], 10_000).alias("cuts"))
     named = cuts.select(*[F.col(k).alias(f"c_{k}") for k in keys], "cuts")
     joined = rows.join(named, reduce(and_, [rows[k].eqNullSafe(named[f"c_{k}"]) for k in keys]))
-    counted = joined.withColumn("part", F.size(F.filter("cuts", lambda c: c < F.col("v")))).groupBy(*keys, "part", "v").agg(F.count("*").alias("n"))
+    counted = joined.withColumn("part", F.size(F.filter("cuts", lambda c: c < F.col("v")))).groupBy(*keys, "part", "v").agg(F.sum("w").alias("n"))
     sizes = counted.groupBy(*keys, "part").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*keys).orderBy("part")
     total = F.sum("n").over(Window.partitionBy(*keys))
@@ -50,7 +50,8 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, shares: list[f
 
 
 def thresholds(fact: DataFrame, *, factor: float = FACTOR, cohort: list[str] = COHORT, large: bool | None = None) -> DataFrame:
-    """Per cohort: n_rows, p99, p25, upper_limit, lower_limit. ``large``: None looks at the greatest cohort first."""
+    """Per cohort: n_rows, p99, p25, upper_limit, lower_limit. ``large``: None looks at the greatest cohort first. Equal values of a cohort are counted
+    before their percentiles are taken."""
     if large is None:
         top = fact.groupBy(*cohort).count().agg(F.max("count")).first()[0]
         large = (top or 0) > LARGE_COHORT
@@ -60,8 +61,9 @@ def thresholds(fact: DataFrame, *, factor: float = FACTOR, cohort: list[str] = C
         p = p.select(*[F.col(k).alias(f"p_{k}") for k in cohort], F.col("p0").alias("p99"), F.col("p1").alias("p25"))
         out = n.join(p, reduce(and_, [n[k].eqNullSafe(p[f"p_{k}"]) for k in cohort])).select(*cohort, "n_rows", "p99", "p25")
     else:
-        p = F.percentile("metric_value", [0.99, 0.25])
-        out = fact.groupBy(*cohort).agg(F.count("metric_value").alias("n_rows"), p.alias("p")).select(*cohort, "n_rows", F.col("p")[0].alias("p99"), F.col("p")[1].alias("p25"))
+        counted = fact.groupBy(*cohort, "metric_value").agg(F.count("metric_value").alias("n"))
+        p = F.percentile("metric_value", [0.99, 0.25], F.col("n"))
+        out = counted.groupBy(*cohort).agg(F.sum("n").alias("n_rows"), p.alias("p")).select(*cohort, "n_rows", F.col("p")[0].alias("p99"), F.col("p")[1].alias("p25"))
     return out.withColumn("upper_limit", F.col("p99") * factor).withColumn("lower_limit", F.col("p25"))
 
 

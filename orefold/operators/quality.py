@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.stored import stored
 from .marts import LARGE_COHORT, exact_percentiles
 
 MIN_SAMPLES = 10
@@ -43,45 +44,43 @@ def rule_table(spark: SparkSession, rules: dict[str, list] = RULES) -> DataFrame
 
 def grains(rows: DataFrame, keys: list[str], kind: str, team: str) -> DataFrame:
     """A row for each grain that a value belongs to: 0 all, 1 kind, 2 team, 3 both; a row without the grain's own dimension has no part in it."""
-    each = rows.select(*keys, team, kind, "metric_value").withColumn("grain", F.explode(F.array(*[F.lit(g) for g in range(4)])))
+    each = rows.select(*keys, team, kind, "metric_value", *[c for c in ("n",) if c in rows.columns]).withColumn("grain", F.explode(F.array(*[F.lit(g) for g in range(4)])))
     each = each.where(((F.col("grain") < 2) | F.col(team).isNotNull()) & ((F.col("grain") % 2 == 0) | F.col(kind).isNotNull()))
     return each.withColumn(team, F.when(F.col("grain") >= 2, F.col(team))).withColumn(kind, F.when(F.col("grain") % 2 == 1, F.col(kind)))
 
 
-def percentiles(rows: DataFrame, by: list[str], value: str, shares: list[float], large: bool) -> DataFrame:
-    """``by`` (named q_...) and p0, p1, ...; for large groups by ranges of values, so that no task holds a group."""
-    if large:
-        out = exact_percentiles(rows, by, value, shares)
-    else:
-        out = rows.groupBy(*by).agg(F.percentile(value, shares).alias("p")).select(*by, *[F.col("p")[i].alias(f"p{i}") for i in range(len(shares))])
-    return out.withColumnsRenamed({c: f"q_{c}" for c in by})
-
-
 def baselines(fact: DataFrame, keys: list[str], *, kind: str = "test_type", team: str = "team_group_id", large: bool | None = None) -> DataFrame:
     """Per keys and grain (global, kind, team, team and kind) from ``MIN_SAMPLES`` values on: count, mean, sd, quartiles, ends, mad.
 
+    The fact is read once: equal values of a team and kind are counted, these counts are added up to the coarser grains, and all figures come from the counts.
+
     ``large``: None looks at the greatest group first; groups above ``LARGE_COHORT`` values get the same numbers by ranges of values.
     """
-    rows = fact.where("metric_value is not null")
+    finest = fact.where("metric_value is not null").groupBy(*keys, team, kind, "metric_value").agg(F.count("*").alias("n"))
     if large is None:
-        large = (rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > LARGE_COHORT
+        finest = stored(finest, "counts")
+        large = (finest.groupBy(*keys).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0) > LARGE_COHORT
     by = [*keys, team, kind, "grain"]
-    each = grains(rows, keys, kind, team)
+    counted = grains(finest, keys, kind, team).groupBy(*by, "metric_value").agg(F.sum("n").alias("n"))
     same = lambda a, b, p: reduce(and_, [a[c].eqNullSafe(b[f"{p}_{c}"]) for c in by])
-    plain = each.groupBy(*by).agg(
-        F.count("*").alias("sample_count"), F.avg("metric_value").alias("mean_value"), F.stddev_pop("metric_value").alias("sd_value"), F.min("metric_value").alias("min_value"), F.max("metric_value").alias("max_value"),
-        *([] if large else [F.percentile("metric_value", [0.25, 0.5, 0.75]).alias("p")]),
+    v, n = F.col("metric_value"), F.col("n")
+    plain = counted.groupBy(*by).agg(
+        F.sum("n").alias("sample_count"), (F.sum(v * n) / F.sum("n")).alias("mean_value"), F.min("metric_value").alias("min_value"), F.max("metric_value").alias("max_value"),
+        *([] if large else [F.percentile("metric_value", [0.25, 0.5, 0.75], F.col("n")).alias("p")]),
     ).where(F.col("sample_count") >= MIN_SAMPLES)
     if large:
-        q = percentiles(each, by, "metric_value", [0.25, 0.5, 0.75], True)
+        q = exact_percentiles(counted, by, "metric_value", [0.25, 0.5, 0.75], weight="n").withColumnsRenamed({c: f"q_{c}" for c in by})
         plain = plain.join(q, same(plain, q, "q")).withColumn("p", F.array("p0", "p1", "p2"))
-    base = plain.select(
-        *by, "sample_count", "mean_value", "sd_value", F.col("p")[0].alias("p25_value"), F.col("p")[1].alias("median_value"), F.col("p")[2].alias("p75_value"), "min_value", "max_value"
-    )
-    b = base.select(*[F.col(c).alias(f"b_{c}") for c in by], "median_value")
-    distance = each.join(b, same(each, b, "b")).select(*by, F.abs(F.col("metric_value") - F.col("median_value")).alias("distance"))
-    mad = percentiles(distance, by, "distance", [0.5], large)
-    return base.join(mad, same(base, mad, "q")).drop(*[f"q_{c}" for c in by]).withColumnRenamed("p0", "mad_value")
+    base = plain.select(*by, "sample_count", "mean_value", F.col("p")[0].alias("p25_value"), F.col("p")[1].alias("median_value"), F.col("p")[2].alias("p75_value"), "min_value", "max_value")
+    b = base.select(*[F.col(c).alias(f"b_{c}") for c in by], F.col("mean_value").alias("b_mean"), F.col("median_value").alias("b_median"))
+    away = counted.join(b, same(counted, b, "b")).select(*by, "n", F.abs(v - F.col("b_median")).alias("distance"), (F.pow(v - F.col("b_mean"), 2) * n).alias("square"))
+    second = away.groupBy(*by).agg(F.sqrt(F.sum("square") / F.sum("n")).alias("sd_value"), *([] if large else [F.percentile("distance", 0.5, F.col("n")).alias("mad_value")]))
+    second = second.withColumnsRenamed({c: f"s_{c}" for c in by})
+    out = base.join(second, same(base, second, "s")).drop(*[f"s_{c}" for c in by])
+    if large:
+        mad = exact_percentiles(away, by, "distance", [0.5], weight="n").withColumnsRenamed({c: f"q_{c}" for c in by})
+        out = out.join(mad, same(out, mad, "q")).drop(*[f"q_{c}" for c in by]).withColumnRenamed("p0", "mad_value")
+    return out.select(*by, "sample_count", "mean_value", "sd_value", "p25_value", "median_value", "p75_value", "min_value", "max_value", "mad_value")
 
 
 def with_baseline(fact: DataFrame, base: DataFrame, keys: list[str], *, kind: str = "test_type", team: str = "team_group_id") -> DataFrame:

@@ -1,7 +1,7 @@
 """Whole refreshes: the long fact of all families, the marts, the audit; in full, for a window of days or for a scope of tests.
 
 A scope is a DataFrame of test_id; rows of its tests are replaced and all others stay. Limits and baselines always come from the
-full history. The fact is written once, in folders by family, and so are its labelled rows; marts, statistics and audits read these.
+full history. The fact is written once, in folders by family, and the limits of its cohorts once; labels, marts, statistics and audits read these.
 """
 
 from __future__ import annotations
@@ -60,8 +60,9 @@ def store_fact(fact: DataFrame) -> DataFrame:
 
 
 def label_all(fact: DataFrame, *, factor: float = marts.FACTOR) -> DataFrame:
-    """The limits of all cohorts and every row's labels, once, as a table with a folder for each family."""
-    return stored(marts.label(fact, marts.thresholds(fact, factor=factor)), "labelled", "assessment_family")
+    """Every row of a stored fact with its labels. The limits of all cohorts are found once and stored; rows meet them as they are read, which costs less than
+    writing and reading all rows again, as there are only as many limits as cohorts (Spark broadcasts them by their size)."""
+    return marts.label(fact, stored(marts.thresholds(fact, factor=factor), "limits"))
 
 
 def refresh_mart(

@@ -44,7 +44,7 @@ COHORT_OUT = "assessment_family, team_group_id, test_type, metric_name, side"
 
 @query(f"WITH {D.limits_sql(1.2)} SELECT {COHORT_OUT}, n_rows, round(p99, 6) AS p99, round(p25, 6) AS p25, round(upper_limit, 6) AS upper_limit FROM limits")
 def cohort_thresholds(spark, sf):
-    return marts.thresholds(jobs.store_fact(D.fact(spark, sf))).select(*marts.COHORT, "n_rows", *r6("p99", "p25", "upper_limit"))
+    return marts.thresholds(stored(D.fact(spark, sf), "fact")).select(*marts.COHORT, "n_rows", *r6("p99", "p25", "upper_limit"))
 
 
 @query(f"WITH {D.limits_sql(1.2)} SELECT {COHORT_OUT}, n_rows, round(p99, 6) AS p99, round(p25, 6) AS p25 FROM limits")
@@ -54,8 +54,8 @@ def cohort_thresholds_by_ranges(spark, sf):
 
 
 def _labelled(spark, sf, factor):
-    f = jobs.store_fact(D.fact(spark, sf))
-    return f, marts.label(f, marts.thresholds(f, factor=factor))
+    f = stored(D.fact(spark, sf), "fact")
+    return f, jobs.label_all(f, factor=factor)
 
 
 @query(f"WITH {D.limits_sql(1.0)} SELECT test_id, side, rep_number, metric_name, is_above, is_below FROM labelled WHERE is_above OR is_below")
@@ -81,8 +81,7 @@ cand AS (SELECT s.* FROM kept s JOIN catalog c ON c.assessment_family = s.assess
 
 
 def _mart(select, spark, sf, **how):
-    f = jobs.store_fact(D.fact(spark, sf))
-    labelled = jobs.label_all(f, factor=1.0)
+    f, labelled = _labelled(spark, sf, 1.0)
     keys = list(TEST_NAMED)
     catalog = coverage.reference_metrics(coverage.metric_candidates(f, keys), keys, module="test_type", fixed=_METRICS)
     return select(labelled.withColumn("rep_number", F.nullif("rep_number", F.lit(7))), catalog, named=TEST_NAMED, **how).select(*MART.split(", "))
@@ -180,8 +179,8 @@ def baseline_mad(spark, sf):
 
 
 def _flags(spark, sf):
-    f = D.fact(spark, sf)
-    b = quality.with_baseline(f, quality.baselines(f, KEYS), KEYS)
+    f = stored(D.fact(spark, sf), "fact")
+    b = quality.with_baseline(f, stored(quality.baselines(f, KEYS), "baselines"), KEYS)
     ruled = b.select("*", F.lit(True).alias("non_negative"), F.lit(0.0).alias("abs_min"), F.when(F.col("metric_name") == "quantity", 49.0).alias("abs_max"), F.lit(0.5).alias("fence"), F.lit(1.2).alias("z_warning"), F.lit(1.4).alias("z_critical"))
     return quality.flags(ruled)
 
