@@ -16,6 +16,7 @@ with the first element or text that can't stand in it; repeated pages are extrac
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -40,34 +41,149 @@ SILENT = frozenset("script style noscript template title textarea select button
 RAW = frozenset("script style textarea title iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK - {"body", "html", "head"}
+_NOT_MAIN = frozenset("nav aside footer form".split())
+_NAMED = frozenset("article main nav aside footer header form".split())
+_UNLIKE = frozenset("ad ads advert comment comments sidebar cookie notice".split())
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_NAME_END = re.compile(r"[\s/>]|\Z")
+_SPECIAL = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
 
 
-class Block:
-    __slots__ = ("gold", "links", "path", "text")
+class Node:
+    """An open block element: what it adds to the features of what stands in it. ``fresh``: features of its ancestors' kind that no ancestor has."""
+
+    __slots__ = ("article", "broken", "fresh", "gold", "marked", "named", "parent", "tag")
+
+    def __init__(self, parent: Node | None, tag: str, words: tuple[str, ...], gold: int | None, fresh: list[str]):
+        self.parent, self.tag, self.fresh = parent, tag, fresh
+        self.gold = gold if gold is not None or parent is None else parent.gold
+        self.article = tag in ("article", "main") or (parent is not None and parent.article)
+        self.broken = (parent is not None and parent.broken) or (self.article and tag in _NOT_MAIN)
+        self.marked = (parent is not None and parent.marked) or not _UNLIKE.isdisjoint(words)
+        self.named = (parent.named if parent else frozenset()) | (_NAMED & {tag})
+
+    def own(self) -> list[str]:
+        """Features that are the element's alone, not handed on."""
+        return [f"tag {self.tag}", f"pair {self.parent.tag if self.parent else ''} {self.tag}"]
+
+
+class Stack:
+    """Open elements by place and by name, so that the last one of a name is found at once."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.values: list = []
+        self.places: dict[str, list[int]] = {}
+
+    def __len__(self) -> int:
+        return len(self.names)
 
-    def __init__(self, text: str, links: int, path: tuple, gold: int | None):
-        self.text, self.links, self.path, self.gold = text, links, path, gold
+    def push(self, name: str, value: object) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.values.append(value)
+
+    def last(self, name: str) -> int | None:
+        found = self.places.get(name)
+        return found[-1] if found else None
+
+    def top(self) -> str | None:
+        return self.names[-1] if self.names else None
+
+    def cut(self, k: int) -> list:
+        """Takes off what stands from place k on."""
+        for name in reversed(self.names[k:]):
+            self.places[name].pop()
+        gone = self.values[k:]
+        del self.names[k:], self.values[k:]
+        return gone
+
+
+class Block:
+    __slots__ = ("links", "node", "text")
+
+    def __init__(self, text: str, links: int, node: Node | None):
+        self.text, self.links, self.node = text, links, node
+
+    @property
+    def gold(self) -> int | None:
+        return self.node.gold if self.node else None
+
+
+class Ends:
+    """Where tags end, for a whole page at once: from each quote on, the ``>`` that comes when quoted text is passed over."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.at = [m.start() for m in _SPECIAL.finditer(page)]
+        n = len(self.at)
+        self.end = [-1] * (n + 1)
+        self.plain = [-1] * (n + 1)  # the next > whatever is quoted
+        following = {'"': n, "'": n}
+        for k in range(n - 1, -1, -1):
+            c = page[self.at[k]]
+            if c == ">":
+                self.end[k] = self.plain[k] = self.at[k]
+            else:
+                shut = following[c]
+                self.end[k] = self.end[shut + 1] if shut < n else -1
+                self.plain[k] = self.plain[k + 1]
+                following[c] = k
+        self.name_from, self.name_to = 0, 0
+
+    def of(self, start: int, quoted: bool) -> int:
+        """The end of a tag whose name or mark ends at ``start``; -1: none."""
+        k = bisect.bisect_left(self.at, start)
+        return (self.end if quoted else self.plain)[k]
+
+    def name(self, start: int) -> int:
+        """Where the name ends that begins at ``start``; names within one another are looked at once."""
+        if not self.name_from <= start < self.name_to:
+            self.name_from, self.name_to = start, _NAME_END.search(self.page, start).start()
+        return self.name_to
 
 
 def tags(page: str) -> list[tuple[int, int, str, bool, str]]:
-    """Start and end in the page, name, whether it is an end tag, attributes; a comment has no name, what RAW elements hold is part of their tag."""
-    out, skip_to = [], 0
-    for m in _TOKEN.finditer(page):
-        if m.start() < skip_to:
-            continue
-        name, closing, skip_to = (m[2] or m[5] or "").lower(), (m[1] or m[4]) == "/", m.end()
-        if name in RAW and not closing:
-            end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, m.end())
-            skip_to = end.end() if end else len(page)
-        out.append((m.start(), skip_to, name, closing, (m[3] if m[2] else m[6]) or ""))
+    """Start and end in the page, name, whether it is an end tag, attributes; a comment has no name, what RAW elements hold is part of their tag.
+
+    One pass; what doesn't end is text. A ``>`` in a quoted value doesn't end a tag, unless the quotes never close.
+    """
+    out: list[tuple[int, int, str, bool, str]] = []
+    ends, at = Ends(page), page.find("<")
+    while at >= 0:
+        follow = page[at + 1 : at + 2]
+        skip_to = at + 1
+        if page.startswith("<!--", at):
+            shut = page.find("-->", at + 4)
+            skip_to = shut + 3 if shut >= 0 else len(page)
+            out.append((at, skip_to, "", False, ""))
+        elif follow in ("!", "?"):
+            end = ends.of(at + 2, False)
+            if end >= 0:
+                skip_to = end + 1
+                out.append((at, skip_to, "", False, ""))
+        else:
+            first = at + 2 if follow == "/" else at + 1
+            if page[first : first + 1].isascii() and page[first : first + 1].isalpha():
+                stop = ends.name(first)
+                end = ends.of(stop, True)
+                end = ends.of(stop, False) if end < 0 else end
+                if end >= 0:
+                    name, skip_to = page[first:stop].lower(), end + 1
+                    if name in RAW and follow != "/":
+                        shut = _RAW_END[name].search(page, skip_to)
+                        skip_to = shut.end() if shut else len(page)
+                    out.append((at, skip_to, name, follow == "/", page[stop:end]))
+        at = page.find("<", skip_to)
     return out
 
 
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
+
+
 def _opens_silence(name: str, attributes: str) -> bool:
     return name in SILENT and name not in RAW and not (name in ("svg", "math") and attributes.endswith("/"))
 
@@ -75,35 +191,35 @@ def _opens_silence(name: str, attributes: str) -> bool:
 def _unclosed(found: list[tuple[int, int, str, bool, str]]) -> set[int]:
     """Which tags start a silent element that ends with its parent or the page, not by its own end tag."""
     out: set[int] = set()
-    stack: list[tuple[str, int]] = []
+    stack = Stack()
 
     def cut(k: int) -> None:
-        out.update(i for name, i in stack[k:] if name in SILENT)
-        del stack[k:]
+        out.update(i for i in stack.cut(k) if found[i][2] in SILENT)
 
     for i, (_, _, name, closing, attributes) in enumerate(found):
         if name == "head" or name in VOID or not (name in BLOCK or name in SILENT):
             continue
-        at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None) if closing or name in ("button", "select") else None
+        at = stack.last(name) if closing or name in ("button", "select") else None
         if closing:
             if at is not None:
                 cut(at + 1)
-                stack.pop()
+                stack.cut(at)
         else:
             if at is not None:  # a button can't stand in a button
                 cut(at)
             if name in BLOCK or _opens_silence(name, attributes):
-                stack.append((name, i))
+                stack.push(name, i)
     cut(0)
     return out
 
 
 def blocks(page: str | None) -> list[Block]:
-    """Blocks in page order; ``path`` has (tag, attribute words) of the open block elements."""
+    """Blocks in page order; ``node`` is the innermost open block element of each."""
     out: list[Block] = []
     if not page:
         return out
-    stack: list[tuple[str, tuple[str, ...], int | None]] = []
+    stack = Stack()
+    held: dict[str, int] = {}  # features of the open elements, and how many have each
     parts: list[tuple[str, bool]] = []
     anchors, at = 0, 0
     quiet: int | None = None  # place in the stack of the first silent element
@@ -111,7 +227,9 @@ def blocks(page: str | None) -> list[Block]:
 
     def cut(k: int) -> None:
         nonlocal quiet, loose
-        del stack[k:]
+        for node in stack.cut(k):
+            for f in node.fresh:
+                del held[f]
         quiet = None if quiet is not None and quiet >= k else quiet
         loose = None if loose is not None and loose >= k else loose
 
@@ -121,22 +239,22 @@ def blocks(page: str | None) -> list[Block]:
             if text:
                 linked = sum(len(p) for p, a in parts if a)
                 whole = sum(len(p) for p, _ in parts)
-                gold = next((s[2] for s in reversed(stack[:quiet]) if s[2] is not None), None)
-                out.append(Block(text, round(10 * linked / whole), tuple((s[0], s[1]) for s in stack[:quiet]), gold))
+                depth = len(stack) if quiet is None else quiet
+                out.append(Block(text, round(10 * linked / whole), stack.values[depth - 1] if depth else None))
             parts.clear()
 
     found = tags(page)
     unclosed = _unclosed(found)
     for i, (start, end, name, closing, attributes) in enumerate(found):
         if start > at:
-            if stack and stack[-1][0] == "head" and not page[at:start].isspace():
+            if stack.top() == "head" and not page[at:start].isspace():
                 cut(len(stack) - 1)
             if quiet is None:
                 parts.append((page[at:start], anchors > 0))
         at = end
         if not name or (name in RAW and not closing):
             continue
-        if not closing and name not in IN_HEAD and stack and stack[-1][0] == "head":
+        if not closing and name not in IN_HEAD and stack.top() == "head":
             cut(len(stack) - 1)
         if loose is not None and name in BLOCK and name not in ("option", "hr"):
             cut(loose)
@@ -151,15 +269,14 @@ def blocks(page: str | None) -> list[Block]:
             if name in BLOCK:
                 flush()
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        cut(k)
-                        break
+                k = stack.last(name)
+                if k is not None:
+                    cut(k)
             elif name not in VOID and (name in BLOCK or silences):
-                if name in CLOSES_P and stack and stack[-1][0] == "p":
-                    stack.pop()
-                if name == "li" and stack and stack[-1][0] == "li":
-                    stack.pop()
+                if (name in CLOSES_P and stack.top() == "p") or (name == "li" and stack.top() == "li"):
+                    cut(len(stack) - 1)
+                if name == "li" and stack.top() == "li":
+                    cut(len(stack) - 1)
                 words, gold = (), None
                 if attributes:
                     own = [(k.lower(), a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(attributes)]
@@ -168,42 +285,60 @@ def blocks(page: str | None) -> list[Block]:
                 if silences:
                     quiet = len(stack) if quiet is None else quiet
                     loose = len(stack) if loose is None and i in unclosed else loose
-                stack.append((name, words, gold))
+                fresh = [f for f in (f"in {name}", *(f"word {w}" for w in words)) if f not in held]
+                held.update(dict.fromkeys(fresh, 1))
+                stack.push(name, Node(stack.values[-1] if len(stack) else None, name, words, gold, fresh))
                 if name in BLOCK:
                     anchors = 0
-    if at < len(page) and stack and stack[-1][0] == "head" and not page[at:].isspace():
+    if at < len(page) and stack.top() == "head" and not page[at:].isspace():
         cut(len(stack) - 1)
     if at < len(page) and quiet is None:
         tail = page[at:]
-        cut = re.search(r"<[a-zA-Z/!][^>]*\Z", tail)
-        parts.append((tail[: cut.start()] if cut else tail, anchors > 0))
+        opens = _OPEN_TAIL.search(tail, tail.rfind(">") + 1)
+        parts.append((tail[: opens.start()] if opens else tail, anchors > 0))
     flush()
     return out
 
 
+_OPEN_TAIL = re.compile(r"<[a-zA-Z/!]")
+
+
+def inherited(node: Node | None) -> list[str]:
+    """Features that a block has from the elements around it."""
+    out = []
+    up = node
+    while up is not None:
+        out += up.fresh
+        up = up.parent
+    return sorted(out)
+
+
+def alone(node: Node | None) -> list[str]:
+    return [*(node.own() if node else []), "named " + " ".join(sorted(node.named) if node else [])]
+
+
+def of_text(page: list[Block], i: int) -> list[str]:
+    b = page[i]
+    words = b.text.count(" ") + 1
+    return [
+        f"words {min(8, int(math.log2(words)))}",
+        f"links {0 if not b.links else 1 if b.links < 4 else 2 if b.links < 8 else 3}",
+        f"stop {b.text[-1] in '.!?:;'}",
+        f"sign {'©' in b.text or '|' in b.text}",
+        f"first {i == 0}",
+        f"last {i == len(page) - 1}",
+    ]
+
+
 def features(page: list[Block]) -> list[list[str]]:
-    cache: dict[tuple, list[str]] = {}
+    """All features of each block, for training."""
+    cache: dict[int, list[str]] = {}
     out = []
     for i, b in enumerate(page):
-        own = cache.get(b.path)
+        own = cache.get(id(b.node))
         if own is None:
-            own = sorted({f"in {t}" for t, _ in b.path} | {f"word {w}" for _, words in b.path for w in words})
-            if b.path:
-                own += [f"tag {b.path[-1][0]}", f"pair {b.path[-2][0] if len(b.path) > 1 else ''} {b.path[-1][0]}"]
-            named = {t for t, _ in b.path} & {"article", "main", "nav", "aside", "footer", "header", "form"}
-            own.append("named " + " ".join(sorted(named)))
-            cache[b.path] = own
-        words = b.text.count(" ") + 1
-        own = [
-            *own,
-            f"words {min(8, int(math.log2(words)))}",
-            f"links {0 if not b.links else 1 if b.links < 4 else 2 if b.links < 8 else 3}",
-            f"stop {b.text[-1] in '.!?:;'}",
-            f"sign {'©' in b.text or '|' in b.text}",
-            f"first {i == 0}",
-            f"last {i == len(page) - 1}",
-        ]
-        out.append(own)
+            own = cache[id(b.node)] = [*inherited(b.node), *alone(b.node)]
+        out.append([*own, *of_text(page, i)])
     return out
 
 
@@ -213,12 +348,32 @@ class Field:
     def __init__(self, names: dict[str, int], weights: np.ndarray, move: np.ndarray, start: np.ndarray, end: np.ndarray):
         self.names, self.weights, self.move, self.start, self.end = names, weights, move, start, end
 
-    def decode(self, page: list[list[str]]) -> list[int]:
-        """Viterbi; ties go to label 1."""
-        get, w, move = self.names.get, self.weights, self.move.tolist()
+    def weigh(self, own: list[str]) -> float:
+        get, w = self.names.get, self.weights
+        return float(sum(w[k] for k in map(get, own) if k is not None))
+
+    def speak(self, page: list[Block]) -> list[float]:
+        """What each block's features say for label 1. An element's share is its parent's and what it adds, so each element is looked at once."""
+        share: dict[int, float] = {id(None): 0.0}
+        own: dict[int, float] = {}
+        out = []
+        for i, b in enumerate(page):
+            chain, up = [], b.node
+            while id(up) not in share:
+                chain.append(up)
+                up = up.parent
+            for node in reversed(chain):
+                share[id(node)] = share[id(node.parent)] + self.weigh(node.fresh)
+            if id(b.node) not in own:
+                own[id(b.node)] = share[id(b.node)] + self.weigh(alone(b.node))
+            out.append(own[id(b.node)] + self.weigh(of_text(page, i)))
+        return out
+
+    def decode(self, page: list[float]) -> list[int]:
+        """Viterbi over what each block says for label 1; ties go to label 1."""
+        move = self.move.tolist()
         best, back = [], []
-        for i, own in enumerate(page):
-            u = sum(w[k] for k in map(get, own) if k is not None)
+        for i, u in enumerate(page):
             if not i:
                 best = [float(self.start[0]), float(self.start[1] + u)]
                 continue
@@ -371,15 +526,9 @@ def layouts(count: int = 360) -> list[str]:
     return out
 
 
-_NOT_MAIN = frozenset("nav aside footer form".split())
-
-
 def own_label(b: Block) -> int:
     """Of a page that marks its article: inside it, and in none of the parts that aren't text of it."""
-    tags = [t for t, _ in b.path]
-    at = next((i for i, t in enumerate(tags) if t in ("article", "main")), None)
-    words = {w for _, ws in b.path for w in ws}
-    return int(at is not None and not _NOT_MAIN & set(tags[at:]) and not words & {"ad", "ads", "advert", "comment", "comments", "sidebar", "cookie", "notice"})
+    return int(b.node is not None and b.node.article and not b.node.broken and not b.node.marked)
 
 
 def train(pages: DataFrame, *, html_col: str = "html", key_col: str = "page_id", sample: int = SAMPLE) -> Field:
@@ -389,7 +538,7 @@ def train(pages: DataFrame, *, html_col: str = "html", key_col: str = "page_id",
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
             found = [blocks(p) for p in batch.column("html").to_pylist()]
-            found = [b for b in found if any(t in ("article", "main") for x in b for t, _ in x.path)]
+            found = [b for b in found if any(x.node is not None and x.node.article for x in b)]
             f, y = [features(b) for b in found], [[own_label(x) for x in b] for b in found]
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.list_(pa.list_(pa.string()))), pa.array(y, pa.list_(pa.int32()))], names=["f", "y"])
 
@@ -403,7 +552,7 @@ def train(pages: DataFrame, *, html_col: str = "html", key_col: str = "page_id",
 
 def main_text(page: str | None, field: Field) -> str:
     found = blocks(page)
-    return "\n".join(b.text for b, y in zip(found, field.decode(features(found)), strict=True) if y)
+    return "\n".join(b.text for b, y in zip(found, field.decode(field.speak(found)), strict=True) if y)
 
 
 def extract(pages: DataFrame, field: Field, *keep: Column, html_col: str = "html") -> DataFrame:

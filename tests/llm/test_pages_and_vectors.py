@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,7 +62,7 @@ def test_viterbi_is_the_best_of_all_labellings():
         return s + sum(sum(field.weights[field.names[f]] for f in own if f in field.names) for own, k in zip(page, y, strict=True) if k)
 
     best = max(([k >> i & 1 for i in range(5)] for k in range(32)), key=score)
-    assert field.decode(page) == best
+    assert field.decode([field.weigh(own) for own in page]) == best
 
 
 def test_layouts_held_out():
@@ -69,10 +71,49 @@ def test_layouts_held_out():
         b = htmltext.blocks(page)
         known.append((htmltext.features(b), [x.gold or 0 for x in b]))
     field = htmltext.fit(known[:160], rounds=80)
-    wrong = sum(a != b for f, y in known[160:] for a, b in zip(field.decode(f), y, strict=True))
+    wrong = sum(a != b for f, y in known[160:] for a, b in zip(field.decode([field.weigh(b) for b in f]), y, strict=True))
+    for page in htmltext.layouts()[:40]:
+        b = htmltext.blocks(page)
+        assert np.allclose(field.speak(b), [field.weigh(own) for own in htmltext.features(b)])
     assert wrong <= 0.02 * sum(len(y) for _, y in known[160:])
 
 
+@pytest.mark.parametrize("part", ['<a "', "<a ", "<a", "<div>t", "<div class={}>t", "<li>x<p>y", "</p>t", "<!", '<a b="\'>', "<svg>x", "<select>x<option>", "<button>", "&amp"])
+def test_time_grows_with_the_page(part):
+    field = htmltext.Field({"in div": 0}, np.ones(1), np.zeros((2, 2)), np.zeros(2), np.zeros(2))
+
+    def took(n):
+        page = "<div>" * (n if part.startswith("</") else 0) + "".join(part.format(i) for i in range(n))
+        times = []
+        for _ in range(3):
+            start = time.process_time()
+            htmltext.main_text(page, field)
+            times.append(time.process_time() - start)
+        return min(times)
+
+    assert took(16_000) <= 2.5 * max(took(8_000), 0.02)
+
+
+def test_tags_end_where_quotes_let_them():
+    texts = lambda page: [b.text for b in htmltext.blocks(page)]
+    assert texts("<div class='a>b'>t</div>") == ["t"] and texts('<div title="x>t</div>') == ["t"] and texts("1 < 2 <b>and</b> 3") == ["1 < 2 and 3"]
+    assert texts("a<!-- <p> -->b<!x>c<?y>d<!-- e") == ["abcd"] and texts("<p>a<p>b</i></p>c<a") == ["a", "b", "c"]
+    assert texts("<script>'<p>x'</script><p>y</p><style>z") == ["y"]
+
+
+def test_odd_tables_of_pages(spark):
+    field = htmltext.fit([(htmltext.features(b), [x.gold or 0 for x in b]) for b in map(htmltext.blocks, htmltext.layouts(60))], rounds=60)
+    kind = "page_id long, url string, html string, text string, n_chars long"
+    run = lambda rows: htmltext.extract(spark.createDataFrame(rows, kind), field, F.col("page_id"), F.col("url")).collect()
+    assert run([]) == []
+    page = "<html><body><nav><ul><li><a href='/'>home</a></li></ul></nav><article>" + "".join(f"<p>This is sentence number {i} of a very long text.</p>" for i in range(20_000)) + "</article></body></html>"
+    got = run([(1, "u", page, "other", 5), (1, "u", page, None, None), (None, None, None, "t", 1), (2, "u", "", "t", 1)])
+    want = "\n".join(f"This is sentence number {i} of a very long text." for i in range(20_000))
+    assert [r.n_chars for r in got] == [len(want), len(want), 0, 0] and got[0].text == got[1].text == want and got[2].text == ""
+    nothing = spark.createDataFrame([], "page_id long, html string")
+    assert htmltext.train(nothing).names
+
+
 def test_pages_equal_sql(spark, data):
     from orefold.llm import queries
 
