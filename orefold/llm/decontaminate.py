@@ -6,9 +6,10 @@ window (13 words, or the whole of a shorter item) gives the places where the win
 Neighbouring windows on one diagonal join into maximal verbatim matches.
 
 The array is sparse: it holds the suffixes whose first two words stand side by side in some item, because
-no other suffix can match. Words that no item has are one and the same foreign word.
+no other suffix can match, and for the same reason only test suffixes that begin with two words of the shard are searched.
+Words that no item has are one and the same foreign word.
 
-Documents are never shuffled. The benchmark goes to the executors in blocks of a checked size: as long as it
+Documents are never shuffled. The benchmark goes to the executors in blocks of a checked size: as long as its index
 is under ``block_bytes`` there is one block and one pass; beyond it each block gets a pass of its own over the stored, numbered
 rows and the passes' matches are joined by row.
 
@@ -18,7 +19,6 @@ repeated items each count; repeated documents, and different ones of one id, are
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -31,8 +31,10 @@ from pyspark.sql.types import StructType
 from .base import as_bytes, slices, staged
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
-PAIRS = 1 << 20
+#: Bytes of a block's index, which every Python worker holds, and what a word of the benchmark adds to it (ids, places, counts, pairs; its own text, if new).
+BLOCK_BYTES, WORD_BYTES = 64 << 20, 48
+#: Windows searched, and pairs of places joined, at a time.
+SEARCHED, PAIRS = 1 << 16, 1 << 20
 
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -50,44 +52,68 @@ def words_of(data: bytes | None) -> list[bytes]:
 
 
 class TestSuffixes:
-    """One block of the benchmark: word ids, and the window at each suffix, as keys in big-endian order."""
+    """One block of the benchmark as flat arrays: word ids, and the places of its windows in the order of their words.
+
+    Equal windows are one, with as many places as it has. Only the words themselves are kept as a dictionary, made where the index is used.
+    """
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int = WINDOW):
         self.window = window
-        self.vocab: dict[bytes, int] = {}
         self.items = [item for item, _ in items]
-        at: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
-        for number, (_, data) in enumerate(items):
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(data)]
-            size = min(window, len(ids))
-            for j in range(len(ids) - size + 1 if ids else 0):
-                at[tuple(ids[j : j + size])].append((number, j))
-        self.windows = sorted(at)
-        places = [at[w] for w in self.windows]
-        self.sizes = np.array([len(w) for w in self.windows], np.int64)
+        vocab: dict[bytes, int] = {}
+        parts = [np.array([vocab.setdefault(w, len(vocab) + 1) for w in words_of(data)], np.uint32) for _, data in items]
+        self.words = b" ".join(vocab)
+        self.span = len(vocab) + 1
+        lengths = np.array([len(p) for p in parts], np.int64)
+        self.item_starts = np.cumsum(lengths + 1) - lengths - 1
+        flat = np.zeros(int((lengths + 1).sum()) + window, np.uint32)
+        for start, own in zip(self.item_starts.tolist(), parts, strict=True):
+            flat[start : start + len(own)] = own
+        self.flat = flat
+        #: words of a window of each item
+        self.sizes_of_items = np.minimum(lengths, window)
+        per_item = np.where(lengths > 0, lengths - self.sizes_of_items + 1, 0)
+        item_of = np.repeat(np.arange(len(parts)), per_item)
+        starts = np.arange(int(per_item.sum())) - np.repeat(np.cumsum(per_item) - per_item, per_item) + self.item_starts[item_of]
+        rows = self.rows(starts, self.sizes_of_items[item_of], 0)
+        order = np.argsort(_keys(rows), kind="stable")
+        opens = np.flatnonzero(np.append(True, (rows[order[1:]] != rows[order[:-1]]).any(1))) if len(order) else np.zeros(0, np.int64)
+        self.places = starts[order]
         # the places of window k are those from first[k] on, count[k] of them
-        self.count = np.array([len(p) for p in places], np.int64)
-        self.first = np.cumsum(self.count) - self.count
-        self.item_of, self.place_of = np.array([x for p in places for x in p], np.int64).reshape(-1, 2).T
-        low, high = np.zeros((len(at), window), ">u4"), np.full((len(at), window), 0xFFFFFFFF, ">u4")
-        for k, w in enumerate(self.windows):
-            low[k, : len(w)] = high[k, : len(w)] = w
-        self.low, self.high = _keys(low), _keys(high)
-        span = len(self.vocab) + 1
-        self.pairs = np.unique(np.array([w[0] * span + w[1] for w in self.windows if len(w) > 1], np.int64))
-        self.singles = np.unique(np.array([w[0] for w in self.windows if len(w) == 1], np.int64))
-
-    def suffix_array(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys and positions of the suffixes that can match; ids ends with ``window`` zeros."""
+        self.first = opens
+        self.count = np.diff(np.append(opens, len(order)))
+        self.sizes = self.sizes_of_items[item_of[order[opens]]]
+        head = self.places[opens]
+        second = np.where(self.sizes > 1, flat[head + 1] if len(head) else 0, 0).astype(np.int64)
+        #: the first two words of each window, in the order of the windows; the second is 0 where a window is one word
+        self.pairs = flat[head].astype(np.int64) * self.span + second
+
+    def rows(self, starts: np.ndarray, sizes: np.ndarray, rest: int) -> np.ndarray:
+        """The words of windows as big-endian numbers, ``rest`` where a window has no word."""
+        out = self.flat[starts[:, None] + np.arange(self.window)].astype(">u4")
+        out[np.arange(self.window) >= sizes[:, None]] = rest
+        return out
+
+    @cached_property
+    def vocab(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(self.words.split(b" ") if self.words else [], 1)}
+
+    def nbytes(self) -> int:
+        return sum(v.nbytes for v in vars(self).values() if isinstance(v, np.ndarray)) + len(self.words)
+
+    def suffix_array(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys and positions of the suffixes that can match, and the windows that can; ids ends with ``window`` zeros."""
         known = np.flatnonzero(ids[: -self.window])
-        two = known[ids[known + 1] > 0]
-        pair = ids[two].astype(np.int64) * (len(self.vocab) + 1) + ids[two + 1]
-        at = two[_among(pair, self.pairs)]
-        if len(self.singles):
-            at = np.union1d(at, known[_among(ids[known].astype(np.int64), self.singles)])
+        pair = ids[known].astype(np.int64) * self.span
+        asked = np.unique(np.concatenate([pair, pair + ids[known + 1]]))
+        lo, hi = np.searchsorted(self.pairs, asked, "left"), np.searchsorted(self.pairs, asked, "right")
+        there = asked[hi > lo]
+        at = known[_among(pair + ids[known + 1], there) | _among(pair, there)]
+        n = (hi - lo)[hi > lo]
+        windows = np.arange(int(n.sum())) + np.repeat(lo[hi > lo] - np.cumsum(n) + n, n)
         keys = _keys(ids[at[:, None] + np.arange(self.window)].astype(">u4"))
         order = np.argsort(keys, kind="stable")
-        return keys[order], at[order]
+        return keys[order], at[order], windows
 
     def search(self, docs: list[bytes | None]) -> list[tuple[int, list, list, list]]:
         get = self.vocab.get
@@ -101,16 +127,24 @@ class TestSuffixes:
             parts.append(np.zeros(1, np.uint32))
             n += len(words) + 1
         out = [(c, [], [], []) for c in counts]
-        if not self.windows or not docs:
+        if not len(self.first) or not docs:
             return out
         ids = np.concatenate([*parts, np.zeros(self.window, np.uint32)])
-        keys, at = self.suffix_array(ids)
-        lo, hi = np.searchsorted(keys, self.low, "left"), np.searchsorted(keys, self.high, "right")
-        found = np.flatnonzero(hi > lo)
-        if not len(found):
+        keys, at, windows = self.suffix_array(ids)
+        ranges = []
+        for some in range(0, len(windows), SEARCHED):
+            k = windows[some : some + SEARCHED]
+            starts_of = self.places[self.first[k]]
+            lo = np.searchsorted(keys, _keys(self.rows(starts_of, self.sizes[k], 0)), "left")
+            hi = np.searchsorted(keys, _keys(self.rows(starts_of, self.sizes[k], 0xFFFFFFFF)), "right")
+            hit = hi > lo
+            ranges.append((k[hit], lo[hit], hi[hit]))
+        if not sum(len(k) for k, _, _ in ranges):
             return out
-        window_of = np.repeat(found, (hi - lo)[found])
-        pos = np.concatenate([at[lo[k] : hi[k]] for k in found])
+        found, lo, hi = (np.concatenate(c) for c in zip(*ranges, strict=True))
+        n_found = hi - lo
+        window_of = np.repeat(found, n_found)
+        pos = at[np.arange(int(n_found.sum())) + np.repeat(lo - np.cumsum(n_found) + n_found, n_found)]
         order = np.argsort(pos, kind="stable")
         pos, window_of = pos[order], window_of[order]
         starts = np.array(starts)
@@ -140,17 +174,12 @@ class TestSuffixes:
             n = self.count[k]
             which = np.arange(int(n.sum())) + np.repeat(self.first[k] - np.cumsum(n) + n, n)
             p = np.repeat(pos[start:stop], n)
-            parts.append(_joined(self.item_of[which], p - self.place_of[which], p, np.repeat(self.sizes[k], n), self.sizes_of_items))
+            place = self.places[which]
+            item = np.searchsorted(self.item_starts, place, "right") - 1
+            parts.append(_joined(item, p - (place - self.item_starts[item]), p, np.repeat(self.sizes[k], n), self.sizes_of_items))
             start = stop
         return _joined(*(np.concatenate(c) for c in zip(*parts, strict=True)), self.sizes_of_items)
 
-    @cached_property
-    def sizes_of_items(self) -> np.ndarray:
-        """Words of a window of each item."""
-        out = np.zeros(len(self.items), np.int64)
-        out[self.item_of] = np.repeat(self.sizes, self.count)
-        return out
-
 
 def _joined(item: np.ndarray, diagonal: np.ndarray, p: np.ndarray, size: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Matches of one item and diagonal whose windows follow each other, made one."""
@@ -174,20 +203,22 @@ def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
-    """The benchmark in blocks of about ``block_bytes`` of text, decided by its measured size."""
+    """The benchmark in blocks whose indexes take about ``block_bytes``, decided by its counted words; an item is in one block."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    words = F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    size = benchmark.agg(F.coalesce(F.sum(F.coalesce(words, F.lit(0)) * WORD_BYTES + 64), F.lit(0))).first()[0]
     n = 1 + size // block_bytes
     return [rows] if n == 1 else [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
 
 
 def _one_block(docs: DataFrame, text_col: str, block: DataFrame, window: int) -> DataFrame:
-    items = [(r.item if r.item is not None else "", bytes(r.text) if r.text is not None else None) for r in block.collect()]
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    """The index is made once, here, and broadcast; a Python worker reads it once for all its tasks."""
+    items = [(r.item if r.item is not None else "", bytes(r.text) if r.text is not None else None) for r in block.toLocalIterator()]
+    shared = docs.sparkSession.sparkContext.broadcast(TestSuffixes(items, window))
     result = [*docs.columns, *StructType.fromDDL(SCHEMA).names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TestSuffixes(shared.value, window)
+        index = shared.value
         for batch in slices(batches, text_col):
             found = index.search(as_bytes(batch.column(text_col)))
             cols = [

@@ -501,3 +501,25 @@ def test_cells_of_one_text_do_not_depend_on_its_neighbours():
             by[int(d)].add(int(c))
         for i, t in enumerate(texts):
             assert by[i] == set(module.cells([t])[1].tolist())
+
+
+def test_an_index_grows_with_its_block(spark):
+    import tracemalloc
+
+    r = np.random.default_rng(4)
+    words = np.array([f"w{i}".encode() for i in range(20_000)])
+    items = [(str(k), b" ".join(words[r.integers(0, len(words), 150)])) for k in range(2_000)]
+    shard = [b" ".join(words[r.integers(0, len(words), 300)]) + b" " + items[k][1] for k in range(50)]
+    sizes, peaks = [], []
+    for n in (1_000, 2_000):
+        tracemalloc.start()
+        index = decontaminate.TestSuffixes(items[:n])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        sizes.append(index.nbytes())
+        assert index.nbytes() <= decontaminate.WORD_BYTES * (len(index.flat) + len(index.vocab))
+        assert [f[3] for f in index.search(shard)] == [[str(k)] for k in range(50)]
+    assert sizes[1] <= 2.1 * sizes[0] and peaks[1] <= 2.2 * peaks[0] and peaks[1] <= 6 * sizes[1]
+    bench = spark.createDataFrame([(k, t.decode()) for k, t in items], "item_id string, text string")
+    assert len(decontaminate.blocks_of(bench, "item_id", "text", decontaminate.BLOCK_BYTES)) == 1
+    assert len(decontaminate.blocks_of(bench, "item_id", "text", 4 << 20)) == 1 + 2_000 * (150 * decontaminate.WORD_BYTES + 64) // (4 << 20)
