@@ -9,7 +9,8 @@ without a piece, and that character itself, are spelled in byte pieces, so decod
 Equal sums are told apart by the sum of a hash of each piece, and then by the sum of hash times place; both stand in the lower
 bits of one whole number with the score. So the best path is unique and the same however the text is cut.
 
-Where white space starts no piece can cross; between such places the lattice falls apart into words. A batch's words are numbered by
+Where white space starts no piece can cross, nor where two characters meet that stand side by side in no piece; the lattice falls apart at the former into words,
+and words that are long at the latter, too, so text without white space is no dearer. A batch's words are numbered by
 64-bit hashes (two words of a task fall together once in 2^64), new ones are solved together, place by place, and the ids of those
 used lately are kept for later batches. Documents above ``GIANT`` characters are cut into chunks, each a row of its own:
 1. Each chunk gives its transfer matrix: best sum from "the first piece boundary at or after my start is i characters on" to
@@ -129,6 +130,8 @@ class Vocabulary:
         self.line = not any("\n" in p for p in self.ids)
         self.memo = Memo(KEPT_WORDS)
         self._arrays(unknown)
+        inner = {ord(a) << 21 | ord(b) for p in self.ids for a, b in zip(p[:-1], p[1:], strict=True)}
+        self.inner = np.array(sorted(inner), np.int64)  # two characters that stand side by side in some piece
         spelled = [bytes([int(p[1:-1], 16)]) if k == "byte" else p.replace(SPACE, " ").encode() if k == "piece" else b"" for p, _, k in pieces] + [b""]
         self.spelled, self.spelled_size = np.frombuffer(b"".join(spelled), np.uint8), np.array([len(b) for b in spelled])
         self.spelled_start = np.cumsum(self.spelled_size) - self.spelled_size
@@ -149,6 +152,13 @@ class Vocabulary:
         self.table = HashArray(np.array([(hashes[p] + len(p) * _SALT) & _ALL for p in begun], np.uint64))
         self.id_at = np.array([self.ids.get(p, -1) for p in begun], np.int32)[self.table.order]
 
+    def apart(self, codes: np.ndarray) -> np.ndarray:
+        """Whether no piece can hold both characters on either side, for each place between two characters."""
+        pair = codes[:-1].astype(np.int64) << 21 | codes[1:]
+        if not len(self.inner):
+            return np.ones(len(pair), bool)
+        return self.inner[np.minimum(np.searchsorted(self.inner, pair), len(self.inner) - 1)] != pair
+
     @staticmethod
     def _weigh(score: float, number: int) -> int:
         return (round(score * 1000) << SCORE_BIT) + (_hash(number) << HASH_BIT)
@@ -309,6 +319,11 @@ class Vocabulary:
             edge[(ends - lengths)[lengths > 0]] = True
         first = np.flatnonzero(edge)
         size = np.diff(np.append(first, len(codes)))
+        if int(size.max()) > LONG_WORD:  # such words fall apart wherever no piece holds two neighbouring characters
+            inside = np.flatnonzero(np.repeat(size > LONG_WORD, size) & ~edge)
+            edge[inside] = self.apart(codes[np.stack([inside - 1, inside])].T.reshape(-1))[::2]
+            first = np.flatnonzero(edge)
+            size = np.diff(np.append(first, len(codes)))
         short = np.flatnonzero(size <= LONG_WORD)
         at = np.arange(len(codes)) - np.repeat(first, size)
         hashes = np.add.reduceat(mix(codes + np.uint32(1)) * _powers()[at & (LONG_WORD - 1)], first)[short]
@@ -357,16 +372,15 @@ class Vocabulary:
 
     def chokes(self, s: str, size: int) -> list[int]:
         """Places in 0..size that no piece can cross, other than by starting or ending there."""
-        if not self.free:
-            return []
-        out = []
-        for m in re.finditer(f"{SPACE}+|\n" if self.line else f"{SPACE}+", s):
+        out = set()
+        for m in re.finditer(f"{SPACE}+|\n" if self.line else f"{SPACE}+", s) if self.free else ():
             lonely = m[0] == "\n"
             if m.start() <= size and (m.start() or lonely):
-                out.append(m.start())
+                out.add(m.start())
             if lonely and m.end() <= size:
-                out.append(m.end())
-        return sorted(set(out))
+                out.add(m.end())
+        between = np.flatnonzero(self.apart(np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32))) + 1
+        return sorted(out.union(between[between <= size].tolist()))
 
     def exits(self, s: str, start: int, size: int, origin: int) -> tuple[dict[int, tuple[int, int]], list[int]]:
         """From start to the first boundary at or after size: by its distance the best sum and where the last piece begins."""

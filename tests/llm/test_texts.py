@@ -523,3 +523,26 @@ def test_an_index_grows_with_its_block(spark):
     bench = spark.createDataFrame([(k, t.decode()) for k, t in items], "item_id string, text string")
     assert len(decontaminate.blocks_of(bench, "item_id", "text", decontaminate.BLOCK_BYTES)) == 1
     assert len(decontaminate.blocks_of(bench, "item_id", "text", 4 << 20)) == 1 + 2_000 * (150 * decontaminate.WORD_BYTES + 64) // (4 << 20)
+
+
+def test_text_without_white_space_is_no_dearer():
+    import random
+    import time
+
+    v, r = pieces.load(), random.Random(1)
+    prose = " ".join("".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(200_000))[:1_000_000]
+    ideographs = "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(1_000_000))
+    packed = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_000_000))
+    times = []
+    for text in (prose, ideographs, packed):
+        start = time.process_time()
+        ids, counts = v.encode_texts([text])
+        times.append(time.process_time() - start)
+        assert v.decode_all(ids, counts) == [text]
+        own = text[:3000]
+        assert v.encode(own) == v.solve(v.mask(own), 0, len(own) + 1)[0]
+        s = v.mask(text)[:16_384 + v.longest - 1]
+        start = time.process_time()
+        matrix, first, last, _ = v.transfer(s, 16_384, 0)
+        assert first >= 0 and last > 16_000 and time.process_time() - start < 1.0 and len(matrix) <= v.longest**2
+    assert max(times[1:]) <= 5 * times[0]
