@@ -1,6 +1,6 @@
 import pytest
 
-from orefold.plans import flows  # noqa: F401
+from orefold.plans import flows, shapes  # noqa: F401
 from orefold.plans.queries import QUERIES, SQL
 from tests import sqlcheck
 
