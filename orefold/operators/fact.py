@@ -94,6 +94,13 @@ def first_in_row(rows: DataFrame) -> DataFrame:
     return first_of(rows.where("metric_value is not null"), keys, [F.asc("__rank"), F.asc("place")]).drop("__rank", "__row", "place")
 
 
+def with_metrics(tests: DataFrame, metrics: DataFrame, *, when: tuple[str, ...] = ("test_date", "modified_at")) -> DataFrame:
+    """Tests with the metrics of theirs, if any (test_id, metrics as JSON, as ``payload``); test_date is the first of the dates that is given."""
+    m = metrics.select(F.col("test_id").alias("__test"), F.col("metrics").alias("payload"))
+    dated = tests.withColumn("test_date", F.coalesce(*[F.col(c) for c in when if c in tests.columns]))
+    return dated.join(m, F.col("test_id") == F.col("__test"), "left").drop("__test")
+
+
 def family_fact(base: DataFrame, profiles: DataFrame, ids: list[str], metrics: list[str], *, payload: str | None = None, depth: int | None = None, entry: Entry = ANY) -> DataFrame:
     """Wide columns and JSON leaves of a test to metric rows of active, scoped profiles; a column beats a leaf of its name, and of leaves the first does.
 

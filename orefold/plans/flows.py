@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import coverage, dims, fact, marts, quality, scope
+from ..functions import scalars as S
+from ..operators import audit, coverage, dims, fact, marts, merge, ops, quality, scope
 from ..sources import landing, payloads
 from ..sources.runs import RunLog
 from ..sources.stored import fresh, stored
@@ -318,3 +319,178 @@ def profiles_by_tenant(spark, sf):
 def source_catalogs(spark, sf):
     o = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("c_mktsegment", F.col("o_orderpriority").alias("test_name"), F.col("o_orderkey").alias("test_id"), F.col("o_orderdate").alias("test_date"))
     return coverage.source_catalog({m: o.where(F.col("c_mktsegment") == s) for s, m in FAMILIES.items()})
+
+
+# facts of the families whose tests have metrics beside them, with who may enter
+
+_ENTRY = fact.Entry("1993-01-01", "1996-01-01", 5)
+#: Tests that may enter: those from the cutoff on, and from the gate on those of profiles with five tests since then.
+_ENTRY_SQL = """enough AS (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY 1 HAVING count(DISTINCT o_orderkey) >= 5),
+o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0 AND o_orderdate >= TIMESTAMP '1993-01-01' AND (o_orderdate < TIMESTAMP '1996-01-01' OR o_custkey IN (SELECT o_custkey FROM enough)))"""
+
+
+def _profiles(spark, sf) -> DataFrame:
+    return t(spark, sf, "customer").select(F.col("c_custkey").alias("profile_id"), (F.col("c_acctbal") > 0).alias("is_active"), F.col("c_nationkey").alias("team_group_id"))
+
+
+def _tested(spark, sf, *more) -> DataFrame:
+    return t(spark, sf, "orders").where("o_orderkey is not null").select(F.col("o_orderkey").alias("test_id"), F.col("o_custkey").alias("profile_id"), F.col("o_orderdate").cast("timestamp").alias("modified_at"), F.lit(None).cast("timestamp").alias("test_date"), F.lit(None).cast("string").alias("side"), F.lit(None).cast("int").alias("rep_number"), *more)
+
+
+@query(f"""WITH {_ENTRY_SQL}, m AS (SELECT * FROM o WHERE o_orderstatus <> 'P' AND o_totalprice IS NOT NULL)
+SELECT o_orderkey AS test_id, c_nationkey AS team_group_id, 'left' AS side, 'max_force' AS metric_name, 'N' AS metric_unit, o_totalprice AS metric_value FROM o WHERE o_totalprice IS NOT NULL
+UNION ALL SELECT o_orderkey, c_nationkey, 'right', 'torque', 'Nm', o_totalprice + 1 FROM o WHERE o_totalprice IS NOT NULL UNION ALL SELECT o_orderkey, c_nationkey, NULL, 'deep_2_power_w', NULL, o_totalprice FROM m""")
+def hamstring_fact(spark, sf):
+    """Tests with their columns and, if there are any, their metrics; a column goes before a metric of its name."""
+    tests = _tested(spark, sf, F.col("o_totalprice").alias("left_max_force"), (F.col("o_totalprice") + 1).alias("right_torque"))
+    found = t(spark, sf, "orders").where("o_orderstatus <> 'P'")
+    body = F.to_json(F.struct(F.lit(-5).alias("leftMaxForce"), F.array(F.struct(F.lit(None).cast("double").alias("powerW")), F.struct(F.col("o_totalprice").alias("powerW"))).alias("deep"), F.lit(4).alias("testId")))
+    base = fact.with_metrics(tests, found.select(F.col("o_orderkey").alias("test_id"), body.alias("metrics")))
+    rows = fact.family_fact(base, _profiles(spark, sf), ["test_id", "profile_id", "test_date", "side", "rep_number"], ["left_max_force", "right_torque"], payload="payload", entry=_ENTRY)
+    return rows.select("test_id", "team_group_id", "side", "metric_name", "metric_unit", "metric_value")
+
+
+@query(f"""WITH {_ENTRY_SQL} SELECT o_orderkey AS test_id, side, 'max_force' AS metric_name, o_totalprice AS metric_value FROM o, (VALUES ('inner_left'), ('inner_right'), ('outer_left'), ('outer_right')) AS s(side) WHERE o_totalprice IS NOT NULL""")
+def frame_fact(spark, sf):
+    """Four forces of a frame, their sides told from the columns' names."""
+    names = [f"{a}_{b}_max_force" for a in ("inner", "outer") for b in ("left", "right")]
+    tests = fact.with_metrics(_tested(spark, sf, *[F.col("o_totalprice").alias(n) for n in names]), spark.createDataFrame([], "test_id long, metrics string"))
+    rows = fact.family_fact(tests, _profiles(spark, sf), ["test_id", "profile_id", "test_date", "side", "rep_number"], names, payload="payload", entry=_ENTRY)
+    return rows.select("test_id", "side", "metric_name", "metric_value")
+
+
+@query(f"""WITH {D.WIDE_SQL.split(",{chr(10)}wide AS")[0]}, enough AS (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY 1 HAVING count(DISTINCT o_orderkey) >= 5),
+r AS (SELECT l_orderkey, o_custkey, l_linenumber, l_quantity, CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate ELSE o_orderdate END AS d, CASE l_returnflag WHEN 'R' THEN 'right' WHEN 'A' THEN 'left' ELSE 'bilateral' END AS side
+  FROM lines JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0 AND l_quantity IS NOT NULL),
+k AS (SELECT * FROM r WHERE d >= TIMESTAMP '1993-01-01' AND (d < TIMESTAMP '1996-01-01' OR o_custkey IN (SELECT o_custkey FROM enough)))
+SELECT l_orderkey AS test_id, 'jump_peak_force' AS metric_name, side, dense_rank() OVER (PARTITION BY l_orderkey, side ORDER BY d, l_linenumber) AS rep_number, l_quantity AS metric_value FROM k""")
+def plates_fact(spark, sf):
+    """Results of trials: a result's date is its trial's or one of its test's three; repetitions are the trials' ranks."""
+    lines = D.lines(spark, sf).where("l_orderkey is not null")
+    trial = F.format_string("%d/%02d", "l_orderkey", "l_linenumber")
+    limb = F.when(F.col("l_returnflag") == "R", "RightSide").when(F.col("l_returnflag") == "A", "Left")
+    results = lines.join(t(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.lit("r1").alias("result_id"), trial.alias("trial_id"), F.col("l_orderkey").alias("test_id"), F.col("o_custkey").alias("profile_id"), limb.alias("limb"), F.lit(0).alias("repeat"), F.col("l_quantity").cast("string").alias("value"))
+    at, third = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % 3
+    tests = t(spark, sf, "orders").select(F.col("o_orderkey").alias("test_id"), F.col("o_custkey").alias("profile_id"), F.lit("k").alias("test_type"), F.when(third == 0, at).alias("test_date"), F.when(third <= 1, at).alias("analysed_at"), at.alias("modified_at"))
+    trials = lines.select(trial.alias("trial_id"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_shipdate").cast("timestamp")).alias("trial_date"), F.lit("Both").alias("limb"))
+    defs = spark.createDataFrame([("r1", "Jump", "Peak Force", "N")], "result_id string, result_group string, result_name string, result_unit string")
+    rows = fact.trial_fact(results, tests, trials, defs, _profiles(spark, sf), entry=_ENTRY)
+    return rows.select("test_id", "metric_name", "side", F.col("rep_number").cast("long").alias("rep_number"), "metric_value")
+
+
+@query("""SELECT o_orderkey, o_orderkey % 2 = 0 OR o_orderdate >= TIMESTAMP '1995-01-01' AS is_recent_activity FROM orders WHERE CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1996-06-30 23:00:00' ELSE o_orderdate END >= TIMESTAMP '1996-06-30 23:00:00'""")
+def cutoff_scope(spark, sf):
+    """The first date that can be read decides; an activity without a start is kept."""
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.when(F.col("o_orderkey") % 3 == 0, "1996-06-30T23:00:00Z").otherwise("no date").alias("first"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("second"))
+    late = scope.after_cutoff(o, ["first", "second"], "1996-06-30T23:00:00Z")
+    started = late.withColumn("start", F.when(F.col("o_orderkey") % 2 != 0, F.col("o_orderdate").cast("timestamp")))
+    recent = scope.activity_after(started, "start", "1995-01-01").select(F.col("o_orderkey").alias("__k")).distinct()
+    return late.join(recent, F.col("o_orderkey") == F.col("__k"), "left").select("o_orderkey", F.col("__k").isNotNull().alias("is_recent_activity"))
+
+
+@query("""SELECT c_custkey AS profile_id, CASE WHEN c_custkey % 3 <> 0 THEN 'new ' || c_name ELSE c_name END AS full_name, c_custkey % 3 <> 0 OR c_acctbal > 0 AS is_active,
+CASE WHEN c_custkey % 5 = 0 AND c_custkey % 3 <> 0 THEN TIMESTAMP '2025-01-01' WHEN c_custkey % 5 = 0 THEN NULL ELSE TIMESTAMP '2024-01-01' END AS first_seen_at FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey % 3 <> 0""")
+def profile_upsert(spark, sf):
+    """Profiles that come again are updated and active, keep the time they were first seen, and new ones come in."""
+    c = t(spark, sf, "customer")
+    seen = lambda text: F.lit(text).cast("timestamp")
+    old = c.where("c_custkey % 5 <> 0").select(F.col("c_custkey").alias("profile_id"), F.col("c_name").alias("full_name"), (F.col("c_acctbal") > 0).alias("is_active"), F.lit(None).cast("timestamp").alias("deactivated_at"), seen("2024-01-01").alias("first_seen_at"))
+    new = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("profile_id"), F.concat(F.lit("new "), "c_name").alias("full_name"), F.lit(True).alias("is_active"), F.lit(None).cast("timestamp").alias("deactivated_at"), seen("2025-01-01").alias("first_seen_at"))
+    return dims.upsert_profiles(old, new).select("profile_id", "full_name", "is_active", F.col("first_seen_at").cast("timestamp_ntz").alias("first_seen_at"))
+
+
+_RENAMED = {"quantity": "max_force", "extendedprice": "avg_force", "discount": "impulse", "tax": "repetitions"}
+_RULED = _FAMILY_FACT
+for _a, _b in _RENAMED.items():
+    _RULED = _RULED.replace(f"'{_a}' AS metric_name, {_a} AS metric_value", f"'{_b}' AS metric_name, {f'{_a} * 2000 - 40' if _a == 'tax' else _a} AS metric_value")
+_LONG_FLAGS = FLAGS_SQL.replace(D.FACT_SQL, _RULED).replace("* 0.5, 9)", "* 2.0, 9)").replace(">= 1.4 THEN", ">= 3.5 THEN").replace(">= 1.2", ">= 2.5").replace(
+    "SELECT *, 'range_violation' AS flag_type, 'critical' AS severity FROM picked WHERE metric_value < 0 OR (metric_name = 'quantity' AND metric_value > 49)",
+    "SELECT *, 'range_violation' AS flag_type, 'critical' AS severity FROM picked WHERE metric_name = 'repetitions' AND (metric_value < 0 OR metric_value > 100) UNION ALL SELECT *, 'negative_value', 'critical' FROM picked WHERE metric_value < 0",
+)
+
+
+@query(f"""WITH {_LONG_FLAGS} SELECT test_id, rep_number, metric_name, flag_type, severity, 'open' AS status FROM flagged
+WHERE assessment_family IN ('hamstring', 'frame') AND metric_name IN ('max_force', 'avg_force', 'impulse', 'repetitions') OR assessment_family = 'dynamometer' AND metric_name IN ('max_force', 'avg_force')""")
+def long_audit(spark, sf):
+    """The fact of all families by the rules of each; only metrics that have a rule are looked at. A first run, and a second one that changes nothing."""
+    rows = jobs.store_fact(jobs.refresh_fact(None, families(spark, sf)))
+    name = F.coalesce(*[F.when(F.col("metric_name") == a, b) for a, b in _RENAMED.items()])
+    value = F.when(F.col("metric_name") == "tax", F.col("metric_value") * 2000 - 40).otherwise(F.col("metric_value"))
+    rows = rows.select(*[c for c in rows.columns if not c.startswith("metric_")], name.alias("metric_name"), value.alias("metric_value"))
+    first = stored(jobs.audit(rows, quality.rule_table(spark)), "flags")
+    return jobs.audit(rows, quality.rule_table(spark), first).select("test_id", "rep_number", "metric_name", "flag_type", "severity", "status")
+
+
+@query("""WITH d AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS n, count(*) OVER (PARTITION BY o_custkey, o_orderpriority) AS many FROM orders)
+SELECT o_custkey, o_orderpriority, o_orderkey, many AS n_rows FROM d WHERE n = 1 AND many > 1""")
+def key_repair(spark, sf):
+    """Rows that share a natural key, and which of them stays."""
+    o, keys = t(spark, sf, "orders"), ["o_custkey", "o_orderpriority"]
+    twice = merge.duplicates_of_key(o, keys)
+    kept = merge.latest(o, keys, [F.desc("o_orderdate"), F.desc("o_orderkey")]).select(*[F.col(k).alias(f"k_{k}") for k in keys], "o_orderkey")
+    return twice.join(kept, merge.reduce(merge.and_, [twice[k].eqNullSafe(kept[f"k_{k}"]) for k in keys])).select(*keys, "o_orderkey", "n_rows")
+
+
+@query("""WITH e AS (SELECT CAST(event_id % 40 AS VARCHAR) AS batch_id, 'api ' || event_id % 4 AS api, user_id % 3 AS kind, event_id, ts FROM events),
+s AS (SELECT batch_id, arg_max(CASE kind WHEN 0 THEN 'started' WHEN 1 THEN 'completed' ELSE 'failed' END, event_id) AS status FROM e GROUP BY 1),
+l AS (SELECT api, batch_id FROM e WHERE kind = 1 QUALIFY row_number() OVER (PARTITION BY api ORDER BY ts DESC, batch_id DESC) = 1)
+SELECT s.batch_id, status, l.api AS latest_of FROM s LEFT JOIN l ON s.batch_id = l.batch_id""")
+def batch_log(spark, sf):
+    """What became of each batch, and which completed batch is the latest of its interface."""
+    status = F.when(F.col("user_id") % 3 == 0, "started").when(F.col("user_id") % 3 == 1, "completed").otherwise("failed")
+    log = t(spark, sf, "events").select((F.col("event_id") % 40).cast("string").alias("batch_id"), F.concat(F.lit("api "), (F.col("event_id") % 4).cast("string")).alias("api"), status.alias("status"), F.col("event_id").alias("logged_at"), F.col("ts").alias("started_at"))
+    last = ops.last_batches(log, ["api"]).select(F.col("batch_id").alias("__b"), F.col("api").alias("latest_of"))
+    return ops.batch_states(log).join(last, F.col("batch_id") == F.col("__b"), "left").select("batch_id", "status", "latest_of")
+
+
+@query("""WITH x AS (SELECT c_mktsegment AS table_name, max(o_orderdate) AS last FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1),
+y AS (SELECT table_name, (epoch(TIMESTAMP '1998-08-05 00:00:00') - epoch(last)) / 3600 AS lag FROM x)
+SELECT table_name, round(CASE WHEN lag > 6 THEN lag ELSE 1 END, 6) AS value, CASE WHEN lag > 6 AND table_name = 'BUILDING' THEN 'ignored' WHEN lag > 6 THEN 'open' WHEN table_name = 'BUILDING' THEN 'ignored' WHEN table_name = 'MACHINERY' THEN 'resolved' ELSE 'superseded' END AS status FROM y
+WHERE lag > 6 OR table_name IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')""")
+def freshness_flags(spark, sf):
+    """Flags of late tables over those there are: an open one that is in time again is superseded, a resolved one whose value changed opens again."""
+    o = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    tables = {s: (o.where(F.col("c_mktsegment") == s), "o_orderdate") for s in FAMILIES}
+    lag = ops.freshness(tables, F.lit("1998-08-05 00:00:00"))
+    old = spark.createDataFrame([("MACHINERY", 1.0, "resolved"), ("HOUSEHOLD", 1.0, "open"), ("BUILDING", 1.0, "ignored")], "table_name string, value double, status string")
+    got = ops.freshness_flags(old, lag.select("table_name", "lag_hours", "severity"))
+    # a flag that a person has set aside keeps its value
+    late = lag.where("severity is not null").select(F.col("table_name").alias("__t"), "lag_hours")
+    return got.join(late, F.col("table_name") == F.col("__t"), "left").select("table_name", F.round(F.coalesce("lag_hours", "value"), 6).alias("value"), "status")
+
+
+@query("""WITH p AS (SELECT count(*) AS n, count(*) FILTER (c_custkey IS NULL) AS a, count(*) FILTER (c_name IS NULL OR trim(c_name) = '') AS b FROM customer),
+r AS (SELECT count(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)) AS lost FROM orders WHERE o_custkey IS NOT NULL)
+SELECT 'required column' AS "check", 'c_custkey' AS subject, a = 0 AS passed FROM p UNION ALL SELECT 'required column', 'c_name', b = 0 FROM p UNION ALL SELECT 'orphans', 'orders', lost = 0 FROM r UNION ALL SELECT 'rows', 'table', n > 0 FROM p""")
+def review(spark, sf):
+    c = t(spark, sf, "customer")
+    audit.check_columns(c, ["c_custkey", "c_name"], ["c_secret"])
+    lost = audit.orphans([audit.Relation("orders", t(spark, sf, "orders"), c, {"o_custkey": "c_custkey"})])
+    return audit.review(audit.column_profile(c, ["c_custkey", "c_name"]), lost, ["c_custkey", "c_name"])
+
+
+@query("""WITH e AS (SELECT DISTINCT o_custkey AS a, CAST(year(o_orderdate) AS INTEGER) AS b FROM orders WHERE o_orderstatus <> 'P'), x AS (SELECT DISTINCT o_custkey AS a, CAST(year(o_orderdate) AS INTEGER) AS b FROM orders WHERE o_totalprice > 100000)
+SELECT * FROM (SELECT a, b, 'missing' AS status FROM (SELECT * FROM e EXCEPT SELECT * FROM x) ORDER BY a NULLS FIRST, b LIMIT 10) UNION ALL SELECT * FROM (SELECT a, b, 'extra' FROM (SELECT * FROM x EXCEPT SELECT * FROM e) ORDER BY a NULLS FIRST, b LIMIT 10)""")
+def pair_samples(spark, sf):
+    """The first pairs of a report, ten of each kind."""
+    o = t(spark, sf, "orders").select(F.col("o_custkey").alias("a"), F.year("o_orderdate").alias("b"), "o_orderstatus", "o_totalprice")
+    return audit.samples(audit.pair_coverage(o.where("o_orderstatus <> 'P'"), o.where("o_totalprice > 100000"), ["a", "b"]), ["a", "b"], 10)
+
+
+@query("SELECT event_id AS raw_id, user_id FROM events WHERE event_id > 100 ORDER BY event_id LIMIT 250")
+def replay_page(spark, sf):
+    """A page of raw rows after the last one seen."""
+    return ops.page_after(t(spark, sf, "events").select(F.col("event_id").alias("raw_id"), "user_id"), 100, 250)
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate + INTERVAL 1 HOUR, '%Y-%m-%d') AS local_day, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE o_custkey END AS first_number, round((o_totalprice - 1000) / 250, 9) AS z,
+CASE o_orderkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END AS n_items FROM orders WHERE o_orderkey IS NOT NULL AND month(o_orderdate) IN (1, 2, 12)""")
+def scalar_rest(spark, sf):
+    """Local days of epochs in winter, first numbers of maps, standard z, items of payloads of any shape."""
+    o = t(spark, sf, "orders").where("o_orderkey is not null and month(o_orderdate) in (1, 2, 12)")
+    k = F.col("o_orderkey") % 4
+    fields = F.create_map(F.lit("id"), F.lit("9"), F.lit("note"), F.lit("x"), F.lit("some"), F.col("o_custkey").cast("string"), F.lit("height"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice").cast("string")).otherwise("none"))
+    payload = F.when(k == 0, "[1, 2, 3]").when(k == 1, '{"a": 1}').when(k == 2, '{"items": [1, 2]}').otherwise("7")
+    epoch = F.unix_seconds(F.col("o_orderdate").cast("timestamp")).cast("string")
+    z = S.standard_z(F.col("o_totalprice"), F.lit(1000.0), F.lit(250.0))
+    return o.select("o_orderkey", S.local_date(epoch, "Europe/Paris").cast("string").alias("local_day"), S.first_number(fields, ["height"], ["id"]).alias("first_number"), F.round(z, 9).alias("z"), payloads.count_items(payload).cast("int").alias("n_items"))
