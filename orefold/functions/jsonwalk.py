@@ -31,31 +31,28 @@ def numeric_leaves(df: DataFrame, payload: str, *keep: str, depth: int = 5) -> D
     ``place`` is the path in positions, counted from 0 in the order of the payload's text, so that leaves compared by it come as they were written.
     (A variant keeps an object's fields by name; their order is that of the text's own keys.) Booleans and what stands under
     identifier-like keys is left out; numbers in text count. Objects and arrays deeper than ``depth`` come as rows with a NULL value and
-    ``too_deep``, so nothing gets lost unseen. Each level is one explode of what the level before left, in the JVM.
+    ``too_deep``, so nothing gets lost unseen. Each level is one explode in the JVM, through which leaves of the levels above pass as they are, so the rows are
+    read once.
     """
     level = df.select(*keep, F.lit("").alias("__path"), F.array().cast("array<int>").alias("__place"), F.col(payload).alias("__text"), F.try_parse_json(F.col(payload)).alias("__v"))
-    out = None
-    for k in range(depth + 1):
-        kind = F.schema_of_variant("__v")
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        number = S.finite(F.try_variant_get("__v", "$", "string"))
-        leaf = level.where(~nested & (kind != "BOOLEAN") & number.isNotNull() & (F.col("__path") != ""))
-        found = leaf.select(*keep, F.col("__path").alias("metric_name"), number.alias("metric_value"), F.col("__place").alias("place"), F.lit(False).alias("too_deep"))
-        if k == depth:
-            deep = level.where(nested).select(*keep, F.col("__path").alias("metric_name"), F.lit(None).cast("double").alias("metric_value"), F.col("__place").alias("place"), F.lit(True).alias("too_deep"))
-            found = found.unionByName(deep)
-        out = found if out is None else out.unionByName(found)
-        if k < depth:
-            texts = level.where(nested).withColumns({"__fields": F.from_json("__text", "map<string,string>"), "__items": F.from_json("__text", "array<string>")})
-            texts = texts.withColumn("__keys", F.map_keys("__fields"))
-            inner = texts.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("__v").outer()))
-            name = F.coalesce(S.metric_name(F.col("key")), (F.col("pos") + 1).cast("string"))
-            at = F.coalesce(F.when(F.col("key").isNotNull(), F.array_position("__keys", F.col("key")).cast("int") - 1), F.col("pos"))
-            own = F.when(F.col("key").isNotNull(), F.col("__fields")[F.col("key")]).otherwise(F.get("__items", F.col("pos")))
-            level = inner.where(F.col("key").isNull() | ~S.is_id_key(F.col("key"))).select(
-                *keep, F.concat_ws("_", F.nullif("__path", F.lit("")), name).alias("__path"), F.concat("__place", F.array(at)).alias("__place"), own.alias("__text"), F.col("value").alias("__v")
-            )
-    return out
+    kind = F.schema_of_variant("__v")
+    is_nested = F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+    for _ in range(depth):
+        open_ = level.withColumn("__nested", is_nested)
+        text = F.when(F.col("__nested"), F.col("__text"))
+        open_ = open_.withColumns({"__fields": F.from_json(text, "map<string,string>"), "__items": F.from_json(text, "array<string>"), "__in": F.when(F.col("__nested"), F.col("__v"))})
+        open_ = open_.withColumn("__keys", F.map_keys("__fields"))
+        inner = open_.lateralJoin(level.sparkSession.tvf.variant_explode_outer(F.col("__in").outer()))
+        inner = inner.where(~F.col("__nested") | (F.col("pos").isNotNull() & (F.col("key").isNull() | ~S.is_id_key(F.col("key")))))
+        named = F.col("key").isNotNull()
+        name = F.coalesce(S.metric_name(F.col("key")), (F.col("pos") + 1).cast("string"))
+        at = F.coalesce(F.when(named, F.array_position("__keys", F.col("key")).cast("int") - 1), F.col("pos"))
+        own = F.when(named, F.col("__fields")[F.col("key")]).otherwise(F.get("__items", F.col("pos")))
+        new = lambda c, then: F.when(F.col("__nested"), then).otherwise(F.col(c)).alias(c)
+        level = inner.select(*keep, new("__path", F.concat_ws("_", F.nullif("__path", F.lit("")), name)), new("__place", F.concat("__place", F.array(at))), new("__text", own), new("__v", F.col("value")))
+    number = S.finite(F.try_variant_get("__v", "$", "string"))
+    ends = level.select(*keep, F.col("__path").alias("metric_name"), F.when(~is_nested & (kind != "BOOLEAN"), number).alias("metric_value"), F.col("__place").alias("place"), is_nested.alias("too_deep"))
+    return ends.where("too_deep or (metric_value is not null and metric_name <> '')")
 
 
 def all_leaves(df: DataFrame, payload: str, *keep: str, depth: int | None = None) -> DataFrame:
