@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.stored import stored
 from .scope import CUTOFF, GATE
 
 #: A hint tells apart rows of one value, such as the trial's id; the date isn't part of the key, so a corrected date makes no second row.
@@ -112,6 +113,7 @@ def family_fact(base: DataFrame, profiles: DataFrame, ids: list[str], metrics: l
     who = _active(profiles)
     dated = base.where("test_date is not null")
     rows = _with_row(entry.admitted(dated.join(who, "profile_id"), dated))
+    rows = stored(rows, "tests") if payload else rows  # read for columns, depth and leaves
     keep = [*ids, "__row", *[c for c in who.columns if c != "profile_id"]]
     wide = jsonwalk.wide_leaves(rows, keep, metrics).withColumn("__rank", F.lit(0))
     if payload:
@@ -168,7 +170,7 @@ def gate_fact(summaries: DataFrame, details: DataFrame, profiles: DataFrame, *,
     d = details.select("test_id", F.col("profile_id").alias("__profile"), F.col("test_date").alias("__date"), "results", "reps")
     base = summaries.join(d, "test_id", "left").withColumn("profile_id", F.coalesce("__profile", "profile_id")).withColumn("test_date", F.coalesce("__date", "test_date"))
     base = base.drop("__profile", "__date").join(_active(profiles), "profile_id").where("test_date is not null")
-    base = _with_row(entry.admitted(base, summaries))
+    base = stored(_with_row(entry.admitted(base, summaries)), "tests")  # read for depth, leaves and four kinds of repetitions
     keep = [c for c in base.columns if c not in ("results", "reps")]
     own = [*keep, "metric_name", "metric_value", "place"]
     whole = jsonwalk.all_leaves(base, "results", *keep).select(*own, F.lit(None).cast("int").alias("rep_number"), S.gate_unit(F.col("metric_name")).alias("metric_unit"), F.lit(0).alias("__rank"))
@@ -197,7 +199,7 @@ def dynamometer_fact(
     parts = []
     for rows, metrics, numbered in ((summaries, of_summary, False), (repetitions, of_repetition, True)):
         number = F.col("repetition_number").cast("int") if numbered else F.lit(None).cast("int")
-        own = base.join(_with_row(rows).withColumn("rep_number", number).drop("repetition_number"), "test_id")
+        own = stored(base.join(_with_row(rows).withColumn("rep_number", number).drop("repetition_number"), "test_id"), "tests")
         keep = [*base.columns, "side", "rep_number", "__row"]
         wide = jsonwalk.wide_leaves(own, keep, metrics).withColumn("__rank", F.lit(0))
         open_ = jsonwalk.all_leaves(own, "payload", *keep).withColumn("__rank", F.lit(1))

@@ -41,20 +41,20 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SIDE = "CASE l_returnflag WHEN 'R' THEN 'right' WHEN 'A' THEN 'left' END"
 WIDE_SQL = f"""
 lines AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(_LINE)}) AS n FROM lineitem) WHERE n = 1),
-wide AS (SELECT o_custkey AS profile_id, n_regionkey AS team_group_id, c_mktsegment AS assessment_family, o_orderkey AS test_id,
+wide AS MATERIALIZED (SELECT o_custkey AS profile_id, n_regionkey AS team_group_id, c_mktsegment AS assessment_family, o_orderkey AS test_id,
   o_orderpriority AS test_type, o_orderdate AS test_date, {_SIDE} AS side, l_linenumber AS rep_number, l_quantity AS quantity,
   l_extendedprice AS extendedprice, l_discount AS discount, l_tax AS tax
   FROM lines JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
-FACT_SQL = WIDE_SQL + ",\nfact AS (" + " UNION ALL ".join(f"SELECT {', '.join(IDS)}, '{m}' AS metric_name, {m} AS metric_value FROM wide" for m in METRICS) + ")"
+FACT_SQL = WIDE_SQL + ",\nfact AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT {', '.join(IDS)}, '{m}' AS metric_name, {m} AS metric_value FROM wide" for m in METRICS) + ")"
 
 
 def limits_sql(factor: float) -> str:
     return (
         FACT_SQL
         + f""",
-limits AS (SELECT assessment_family, team_group_id, test_type, metric_name, side, count(metric_value) AS n_rows, quantile_cont(metric_value, 0.99) AS p99,
+limits AS MATERIALIZED (SELECT assessment_family, team_group_id, test_type, metric_name, side, count(metric_value) AS n_rows, quantile_cont(metric_value, 0.99) AS p99,
   quantile_cont(metric_value, 0.25) AS p25, quantile_cont(metric_value, 0.99) * {factor} AS upper_limit, quantile_cont(metric_value, 0.25) AS lower_limit FROM fact GROUP BY ALL),
-labelled AS (SELECT f.*, coalesce(f.metric_value > l.upper_limit, false) AS is_above, coalesce(f.metric_value < l.lower_limit, false) AS is_below
+labelled AS MATERIALIZED (SELECT f.*, coalesce(f.metric_value > l.upper_limit, false) AS is_above, coalesce(f.metric_value < l.lower_limit, false) AS is_below
   FROM fact f LEFT JOIN limits l ON f.assessment_family = l.assessment_family AND f.team_group_id = l.team_group_id AND f.metric_name = l.metric_name
   AND f.test_type IS NOT DISTINCT FROM l.test_type AND f.side IS NOT DISTINCT FROM l.side)"""
     )

@@ -62,8 +62,8 @@ def families(spark, sf) -> dict[str, jobs.Family]:
 ROWS = "test_id, rep_number, metric_name, metric_value"
 _FAMILY_FACT = D.FACT_SQL.replace("c_mktsegment AS assessment_family", f"{_FAMILY_SQL} AS assessment_family")
 _FIVE = D.limits_sql(1.0).replace(D.FACT_SQL, _FAMILY_FACT) + f""",
-cand AS (SELECT * FROM labelled WHERE NOT is_above AND NOT is_below AND metric_name = CASE test_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _METRICS.items())} END),
-kept AS (SELECT * FROM labelled WHERE NOT is_above AND NOT is_below),
+cand AS MATERIALIZED (SELECT * FROM labelled WHERE NOT is_above AND NOT is_below AND metric_name = CASE test_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _METRICS.items())} END),
+kept AS MATERIALIZED (SELECT * FROM labelled WHERE NOT is_above AND NOT is_below),
 mode AS (SELECT test_id, bool_or(coalesce(side IN ('left', 'right'), false)) AS has FROM cand WHERE rep_number IS NOT NULL GROUP BY 1),
 least AS (SELECT * FROM cand WHERE rep_number IS NOT NULL QUALIFY row_number() OVER (PARTITION BY test_id ORDER BY metric_value NULLS LAST, rep_number, side NULLS LAST) = 1),
 best AS (SELECT c.* FROM cand c JOIN mode m ON c.test_id = m.test_id WHERE rep_number IS NOT NULL AND (NOT has OR coalesce(side IN ('left', 'right'), false))

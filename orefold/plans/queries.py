@@ -76,8 +76,8 @@ _METRICS = {"1-URGENT": "quantity", "2-HIGH": "extendedprice", "3-MEDIUM": "exte
 _MARTS_SQL = D.limits_sql(1.0) + f""",
 source AS (SELECT * REPLACE (nullif(rep_number, 7) AS rep_number) FROM labelled),
 catalog AS (SELECT DISTINCT assessment_family, test_type, CASE test_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _METRICS.items())} END AS reference FROM fact),
-kept AS (SELECT * FROM source WHERE NOT is_above AND NOT is_below),
-cand AS (SELECT s.* FROM kept s JOIN catalog c ON c.assessment_family = s.assessment_family AND c.test_type IS NOT DISTINCT FROM s.test_type AND c.reference = s.metric_name)"""
+kept AS MATERIALIZED (SELECT * FROM source WHERE NOT is_above AND NOT is_below),
+cand AS MATERIALIZED (SELECT s.* FROM kept s JOIN catalog c ON c.assessment_family = s.assessment_family AND c.test_type IS NOT DISTINCT FROM s.test_type AND c.reference = s.metric_name)"""
 
 
 def _mart(select, spark, sf, **how):
@@ -156,12 +156,12 @@ def baseline_stats(spark, sf):
     return b.select("assessment_family", "metric_name", "sample_count", *r6("mean_value"), F.round("sd_value", 4).alias("sd_value"), *r6("p25_value", "median_value", "p75_value"), "min_value", "max_value")
 
 
-GRAINS_SQL = f"""{D.FACT_SQL}, grains AS (
+GRAINS_SQL = f"""{D.FACT_SQL}, grains AS MATERIALIZED (
   SELECT assessment_family, metric_name, team_group_id, test_type, CAST(2 * (1 - grouping(team_group_id)) + (1 - grouping(test_type)) AS INTEGER) AS grain, count(*) AS sample_count,
     quantile_cont(metric_value, 0.25) AS p25_value, median(metric_value) AS median_value, quantile_cont(metric_value, 0.75) AS p75_value FROM fact
   GROUP BY GROUPING SETS ((assessment_family, metric_name), (assessment_family, metric_name, test_type), (assessment_family, metric_name, team_group_id), (assessment_family, metric_name, team_group_id, test_type))
   HAVING count(*) >= 10),
-mads AS (SELECT g.assessment_family, g.metric_name, g.team_group_id, g.test_type, g.grain, median(abs(f.metric_value - g.median_value)) AS mad_value FROM grains g JOIN fact f
+mads AS MATERIALIZED (SELECT g.assessment_family, g.metric_name, g.team_group_id, g.test_type, g.grain, median(abs(f.metric_value - g.median_value)) AS mad_value FROM grains g JOIN fact f
   ON f.assessment_family = g.assessment_family AND f.metric_name = g.metric_name AND (g.grain < 2 OR f.team_group_id = g.team_group_id) AND (g.grain % 2 = 0 OR f.test_type = g.test_type) GROUP BY ALL)"""
 KEYS = ["assessment_family", "metric_name"]
 
@@ -187,7 +187,7 @@ def _flags(spark, sf):
 
 FLAGS_SQL = f"""{GRAINS_SQL}, base AS (SELECT g.*, m.mad_value FROM grains g JOIN mads m ON g.assessment_family = m.assessment_family AND g.metric_name = m.metric_name AND g.grain = m.grain
   AND g.team_group_id IS NOT DISTINCT FROM m.team_group_id AND g.test_type IS NOT DISTINCT FROM m.test_type),
-picked AS (SELECT f.*, b.median_value, b.mad_value, round(b.p25_value - (b.p75_value - b.p25_value) * 0.5, 9) AS low, round(b.p75_value + (b.p75_value - b.p25_value) * 0.5, 9) AS high FROM fact f JOIN base b
+picked AS MATERIALIZED (SELECT f.*, b.median_value, b.mad_value, round(b.p25_value - (b.p75_value - b.p25_value) * 0.5, 9) AS low, round(b.p75_value + (b.p75_value - b.p25_value) * 0.5, 9) AS high FROM fact f JOIN base b
   ON f.assessment_family = b.assessment_family AND f.metric_name = b.metric_name AND (b.grain < 2 OR f.team_group_id = b.team_group_id) AND (b.grain % 2 = 0 OR f.test_type = b.test_type)
   QUALIFY row_number() OVER (PARTITION BY f.test_id, f.rep_number, f.metric_name ORDER BY b.grain DESC) = 1),
 flagged AS (
