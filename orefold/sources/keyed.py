@@ -73,7 +73,7 @@ class Keyed:
     def merge(self, rows: DataFrame, label: str = "") -> int:
         """Brings rows in and returns how many folders were replaced; rows that change nothing, such as those of a batch that runs again, replace none.
 
-        ``rows`` is read twice (once for its keys and orders only in effect), so what is dear to compute should be stored. New rows meet
+        ``rows`` is read three times (its buckets, its winners, the writing), so what is dear to compute should be stored. New rows meet
         the old ones of their buckets to find those that win; then only the folders of winners are written.
         """
         known = self.files()

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.merge import latest
 from ..sources.keyed import Keyed
+from ..sources.stored import stored
 
 
 def merge_stream(
@@ -34,7 +35,7 @@ def merge_stream(
     table = Keyed(spark, f"{folder}/{name}", typed, tuple(keys), tuple(order), buckets)
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = latest(transform(batch), keys, order)
+        rows = stored(latest(transform(batch), keys, order), "batch")
         Keyed(batch.sparkSession, table.where, typed, table.keys, table.order, buckets).merge(rows, f"batch {number}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
