@@ -58,8 +58,10 @@ def orphans(relations: list[Relation]) -> DataFrame:
 
 def pair_coverage(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs on one side only, with which side they miss."""
-    e, a = expected.select(*keys).distinct(), actual.select(*keys).distinct()
-    return e.exceptAll(a).withColumn("status", F.lit("missing")).unionByName(a.exceptAll(e).withColumn("status", F.lit("extra")))
+    seen = [df.select(*keys, F.lit(mine).alias("__mine")) for df, mine in ((expected, True), (actual, False))]
+    pairs = seen[0].unionByName(seen[1]).groupBy(*keys).agg(F.bool_or("__mine").alias("__e"), F.bool_and("__mine").alias("__only"))
+    status = F.when(F.col("__only"), "missing").when(~F.col("__e"), "extra")
+    return pairs.select(*keys, status.alias("status")).where("status is not null")
 
 
 def samples(pairs: DataFrame, keys: list[str], k: int = 10) -> DataFrame:
