@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..sources import payloads
+from ..sources.stored import stored
 from . import driver as D
-from .queries import _LINES_SQL, query, t
+from .queries import _LINES_SQL, dealt, query, t
 
 KNOWN = "o_orderkey IS NOT NULL"
 
@@ -31,7 +32,7 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 def _orders(spark, sf) -> DataFrame:
     at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return t(spark, sf, "orders").where(KNOWN).select(F.col("o_orderkey").alias("raw_id"), F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderpriority").alias("p"), at.alias("at"), F.col("o_totalprice").alias("v"))
+    return dealt(t(spark, sf, "orders").where(KNOWN)).select(F.col("o_orderkey").alias("raw_id"), F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderpriority").alias("p"), at.alias("at"), F.col("o_totalprice").alias("v"))
 
 
 _TEST = "CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS profile_id"
@@ -50,7 +51,7 @@ _TEST = "CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS profil
 def payload_tests(spark, sf):
     """Profiles and the tests of five families, each with its own names for the same things."""
     o = _orders(spark, sf)
-    c = t(spark, sf, "customer").where("c_custkey is not null").withColumn("raw_id", F.col("c_custkey"))
+    c = dealt(t(spark, sf, "customer").where("c_custkey is not null")).withColumn("raw_id", F.col("c_custkey"))
     none = F.lit(None)
 
     def of(shape: str, rows: DataFrame, payload: Column, id_: str, profile: str, kind: str, at: Column, number: Column) -> DataFrame:
@@ -81,9 +82,10 @@ _ORDERED = f"{_LINES_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY l_ord
 def payload_details(spark, sf):
     """What belongs to a test: definitions, trials, metrics as they came, exercises, repetitions with and without a number, summaries, traces."""
     o, asked = _orders(spark, sf), obj(testId="k", tenantId=F.lit("t"))
-    p = t(spark, sf, "part").where("p_partkey is not null").withColumn("raw_id", F.col("p_partkey"))
+    p = dealt(t(spark, sf, "part").where("p_partkey is not null")).withColumn("raw_id", F.col("p_partkey"))
     fields = obj(n="l_linenumber", key=F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")), q="l_quantity", x="l_tax")
     each = D.lines(spark, sf).where("l_orderkey is not null").groupBy(F.col("l_orderkey").alias("raw_id")).agg(F.array_sort(F.collect_list(fields)).alias("items")).withColumn("k", F.col("raw_id"))
+    each = stored(each, "each")  # four payloads are made of it
     inner = lambda f: F.transform("items", f)
     one = lambda **c: F.struct(*[v.alias(k) for k, v in c.items()])
 
@@ -120,7 +122,7 @@ UNION ALL SELECT 'athletes', a, CAST(c_custkey AS VARCHAR), c_name || ' Lee', c_
 def payload_tracking(spark, sf):
     """Dimensions, athletes, activities and periods of two accounts with the same ids; the account is the raw row's."""
     n = t(spark, sf, "nation").withColumn("raw_id", F.col("n_nationkey").cast("long"))
-    c = t(spark, sf, "customer").where("c_custkey is not null").withColumn("raw_id", F.col("c_custkey"))
+    c = dealt(t(spark, sf, "customer").where("c_custkey is not null")).withColumn("raw_id", F.col("c_custkey"))
     o = _orders(spark, sf)
 
     def of(shape: str, rows: DataFrame, payload: Column, id_: str, name: Column, number: Column, params: Column | None = None, then=lambda df: df) -> DataFrame:

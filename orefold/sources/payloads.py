@@ -104,46 +104,57 @@ SHAPES: dict[str, Shape] = {
 }
 
 
-def _path(variant: str, path: str) -> Column:
-    return F.try_variant_get(variant, "$" if path == "$" else f"$.{path}", "variant")
-
-
-def _value(path: str) -> Column:
+def _value(path: str, item: Column, up: Column | None, kind: str) -> Column:
+    """What an item, the one above it, the request or the raw row has under a path, as text."""
     source, _, rest = path.partition(".")
     if path == "account":
         return F.col("__account")
-    if source in ("params", "up") and rest:
-        return _path("__params" if source == "params" else "__up", rest)
-    return _path("__item", path)
+    named = source in ("params", "up") and rest
+    where = item if not named else F.col("__params") if source == "params" else up
+    path = rest if named else path
+    path = "$" if path == "$" else f"$.{path}"
+    return F.to_json(F.try_variant_get(where, path, "variant")) if kind == "json" else F.try_variant_get(where, path, "string")
 
 
-def _exploded(df: DataFrame, variant: str, keep: list[str]) -> DataFrame:
-    """Items of an array or, of an object, itself; with ``__pos``."""
-    wrapped = F.when(F.schema_of_variant(variant).startswith("ARRAY"), F.col(variant)).otherwise(F.parse_json(F.concat(F.lit("["), F.to_json(variant), F.lit("]"))))
-    rows = df.withColumn("__list", F.when(F.col(variant).isNotNull(), wrapped)).where("__list is not null")
-    return rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("__list").outer())).select(*keep, F.col("pos").alias("__pos"), F.col("value").alias("__item"))
+def _list(variant: Column) -> Column:
+    """Items of an array or, of anything else, itself."""
+    return F.coalesce(F.try_variant_get(variant, "$", "array<variant>"), F.when(variant.isNotNull(), F.array(variant)))
 
 
 def rows_of(raw: DataFrame, shape: Shape | str) -> DataFrame:
-    """Typed rows with raw_id, pos and reject_reason (NULL for a good row)."""
+    """Typed rows with raw_id, pos and reject_reason (NULL for a good row).
+
+    An item's keys are taken out as text within the explode that makes its row, so that looking at them again costs nothing; its other fields are taken
+    out above it, where those that nobody reads are left out. Types are told from that text.
+    """
     shape = SHAPES[shape] if isinstance(shape, str) else shape
     account = F.col("source_account") if "source_account" in raw.columns else F.lit(None).cast("string")
     base = raw.select("raw_id", account.alias("__account"), F.try_parse_json(F.coalesce("request_params", F.lit("{}"))).alias("__params"), F.try_parse_json("response_payload").alias("__payload"))
+    kept = ["raw_id", "__account", "__params"]
     data = F.coalesce(F.try_variant_get("__payload", "$.items", "variant"), F.col("__payload")) if not {"items", "resultDefinitions", "forces", "data"} & set(shape.arrays) else F.col("__payload")
-    items = _exploded(base.withColumn("__top", data), "__top", ["raw_id", "__account", "__params"])
+    keys = dict.fromkeys([*shape.keys, *shape.required])
+
+    def first(name: str, item: Column, up: Column | None) -> Column:
+        """The first alias that is given."""
+        aliases, kind = shape.columns[name]
+        given = F.array(*[_value(a, item, up, kind) for a in aliases.split("|")])
+        return F.get(F.filter(given, lambda x: x.isNotNull() if kind == "json" else x != ""), F.lit(0))
+
+    def opened(item: Column, up: Column | None = None) -> Column:
+        return F.struct(item.alias("item"), *[first(k, item, up).alias(k) for k in keys])
+
+    top = base.select(*kept, data.alias("__top"))
     if shape.arrays:
-        inner = F.coalesce(*[F.try_variant_get("__item", f"$.{a}", "variant") for a in shape.arrays])
-        bare = F.lit(bool({"resultDefinitions", "forces", "items", "data"} & set(shape.arrays)))
-        named = items.withColumn("__up", F.col("__item")).withColumn("__inner", F.coalesce(inner, F.when(bare, F.col("__item"))))
-        named = named.withColumn("__top_pos", F.col("__pos"))
-        items = _exploded(named, "__inner", ["raw_id", "__account", "__params", "__up", "__top_pos"]).withColumn("__order", F.col("__top_pos") * F.lit(1_000_000_000) + F.col("__pos"))
+        items = top.select(*kept, F.posexplode(_list(F.col("__top"))).alias("__top_pos", "__up"))
+        inner = F.coalesce(*[F.try_variant_get("__up", f"$.{a}", "variant") for a in shape.arrays])
+        bare = {"resultDefinitions", "forces", "items", "data"} & set(shape.arrays)
+        named = items.withColumn("__inner", F.coalesce(inner, F.col("__up")) if bare else inner)
+        each = F.posexplode(F.transform(_list(F.col("__inner")), lambda x: opened(x, F.col("__up"))))
+        items = named.select(*kept, "__up", "__top_pos", each.alias("place", "f")).withColumn("pos", F.col("__top_pos") * F.lit(1_000_000_000) + F.col("place"))
     else:
-        items = items.withColumn("__order", F.col("__pos").cast("long"))
-    cols = []
-    for name, (aliases, kind) in shape.columns.items():
-        found = F.coalesce(*[F.nullif(_value(a).cast("string"), F.lit("")) if kind != "json" else F.to_json(_value(a)) for a in aliases.split("|")])
-        cols.append(TYPES[kind](found).alias(name))
-    out = items.select("raw_id", F.col("__order").alias("pos"), F.col("__pos").alias("place"), *cols)
+        items = top.select(*kept, F.posexplode(F.transform(_list(F.col("__top")), opened)).alias("place", "f")).withColumn("pos", F.col("place").cast("long"))
+    text = items.select("raw_id", "pos", "place", *[(F.col("f")[c] if c in keys else first(c, F.col("f")["item"], F.col("__up") if shape.arrays else None)).alias(c) for c in shape.columns])
+    out = text.select("raw_id", "pos", "place", *[TYPES[kind](F.col(c)).alias(c) for c, (_, kind) in shape.columns.items()])
     if shape.counter and shape.counter != "tick":
         out = out.withColumn(shape.counter, F.coalesce(shape.counter, (F.col("place") + 1).cast("bigint")))
     missing = [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in shape.required]
