@@ -57,3 +57,29 @@ def test_a_payloads_fields_are_taken_out_once(spark):
     got = payloads.flatten(raw, "profile_categories").select("profile_id", "category_id", "group_id")
     assert [tuple(r) for r in got.collect()] == [("7", "x", "5")]
     assert plan(got, "optimizedPlan").lower().count("variant_get") <= 20
+
+
+def test_baselines_shuffle_counts_and_few_values(spark):
+    """40,000 different values: what is left to look at is a small part of them, and the figures are those of all values."""
+    f = spark.range(40_000).select(F.lit("m").alias("metric_name"), (F.col("id") % 2).cast("int").alias("team_group_id"), F.lit("t").alias("test_type"), (F.pow(F.col("id") - 9000, 2) / 7e3 - 50).alias("metric_value"))
+    seen = []
+    whole, quality.stored = quality.stored, lambda df, name, *by: seen.append((name, whole(df, name, *by))) or seen[-1][1]
+    try:
+        got = {(r.grain, r.team_group_id): r for r in quality.baselines(f, ["metric_name"]).collect()}
+    finally:
+        quality.stored = whole
+    assert max(df.count() for name, df in seen if name == "counted") < 20_000
+    for (grain, team), r in got.items():
+        values = sorted(x.metric_value for x in (f if grain < 2 else f.where(F.col("team_group_id") == team)).collect())
+        want = f if grain < 2 else f.where(F.col("team_group_id") == team)
+        q = want.agg(F.percentile("metric_value", [0.25, 0.5, 0.75]).alias("q"), F.stddev_pop("metric_value").alias("sd")).first()
+        mad = want.agg(F.percentile(F.abs(F.col("metric_value") - q.q[1]), 0.5).alias("d")).first().d
+        assert (r.sample_count, r.min_value, r.max_value) == (len(values), values[0], values[-1])
+        assert [r.p25_value, r.median_value, r.p75_value] == q.q and r.mad_value == mad and abs(r.sd_value - q.sd) < 1e-9 * q.sd
+    assert len(got) == 6
+
+
+def test_buckets_keep_the_order_of_values(spark):
+    values = [float("-inf"), -1e300, -7.0, -1e-300, 0.0, 5e-324, 0.01, 0.0101, 7.0, 1e300, float("inf"), float("nan")]
+    got = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(quality.bucket(F.col("v")).alias("b")).collect()]
+    assert got == sorted(got) and got[4] == 0 and len(set(got)) == len(got)
