@@ -1,8 +1,12 @@
 """What keeps a query's work in step with its input: reads, shuffles and expressions of its plan."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
-from orefold.operators import audit, marts, quality, scope
+from orefold.functions import scalars as S
+from orefold.operators import audit, fact, marts, quality, scope
 from orefold.plans import driver as D
 from orefold.sources import payloads
 
@@ -83,3 +87,22 @@ def test_buckets_keep_the_order_of_values(spark):
     values = [float("-inf"), -1e300, -7.0, -1e-300, 0.0, 5e-324, 0.01, 0.0101, 7.0, 1e300, float("inf"), float("nan")]
     got = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(quality.bucket(F.col("v")).alias("b")).collect()]
     assert got == sorted(got) and got[4] == 0 and len(set(got)) == len(got)
+
+
+def test_a_fact_reads_doubles_without_text(spark):
+    rows = spark.sql("select 'maxForce' as metric_name, 'Left Side' as side, timestamp '2024-01-01' as test_date, explode(array(1.5d, double('NaN'), double('-Infinity'), 0.1d, null)) as metric_value")
+    got = fact.normalised(rows)
+    assert [(r.metric_name, r.side, r.metric_value) for r in got.collect()] == [("max_force", "left", 1.5), ("max_force", "left", 0.1)]
+    assert "cast(metric_value" not in plan(got, "optimizedPlan").lower()
+
+
+def test_plain_names_are_not_rewritten(spark):
+    names = ["max_force", "a", "a1_b2", "_a", "a_", "a__b", "maxForce", "RFDAt100", "left_max", "inner_left_x", "x_left_y", "left_", "cleft_a", "bright_x", "", "_", "a b", "a-b", "a\n", "left_a\nb", "right_\n"]
+    rows = spark.createDataFrame([(n,) for n in [*names, None]], "n string")
+    n = F.col("n")
+    full = F.regexp_replace(F.regexp_replace(S.camel_to_snake(n), "_+", "_"), "^_|_$", "")
+    side = F.nullif(F.regexp_extract(n, S.SIDE_PREFIX, 1), F.lit(""))
+    bare = F.when(n.rlike(S.SIDE_PREFIX), F.regexp_extract(n, S.SIDE_PREFIX, 2)).otherwise(n)
+    pairs = [(S.metric_name(n), full), (S.side_of_name(n), side), (S.name_without_side(n), bare)]
+    assert rows.where(~reduce(and_, [a.eqNullSafe(b) for a, b in pairs])).collect() == []
+    assert "rlike" in plan(rows.select(S.metric_name(n)), "optimizedPlan").lower()
