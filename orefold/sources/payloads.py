@@ -104,16 +104,45 @@ SHAPES: dict[str, Shape] = {
 }
 
 
-def _value(path: str, item: Column, up: Column | None, kind: str) -> Column:
-    """What an item, the one above it, the request or the raw row has under a path, as text."""
-    source, _, rest = path.partition(".")
-    if path == "account":
-        return F.col("__account")
-    named = source in ("params", "up") and rest
-    where = item if not named else F.col("__params") if source == "params" else up
-    path = rest if named else path
-    path = "$" if path == "$" else f"$.{path}"
-    return F.to_json(F.try_variant_get(where, path, "variant")) if kind == "json" else F.try_variant_get(where, path, "string")
+@dataclass(frozen=True)
+class _Texts:
+    """Fields of a JSON value by their paths, all of them taken out as text in one pass over the value.
+
+    Names of fields may differ by case alone, so once they are taken out they go by their place.
+    """
+
+    fields: dict[str, dict]
+
+    @staticmethod
+    def of(paths: list[str]) -> _Texts:
+        """Of all paths but those that others go on from."""
+        fields: dict[str, dict] = {}
+        for path in paths:
+            if not any(p.startswith(f"{path}.") for p in paths):
+                at = fields
+                for name in path.split("."):
+                    at = at.setdefault(name, {})
+        return _Texts(fields)
+
+    def type(self, named: bool) -> str:
+        return "struct<" + ", ".join((f"`{n}`" if named else f"f{i}") + ": " + (_Texts(f).type(named) if f else "string") for i, (n, f) in enumerate(self.fields.items())) + ">"
+
+    def get(self, variant: Column) -> Column:
+        return F.try_variant_get(variant, "$", self.type(True)).cast(self.type(False)) if self.fields else F.lit(None)
+
+    def each(self, variant: Column) -> Column:
+        """Of an array's items or, of anything else, of itself."""
+        listed = F.try_variant_get(variant, "$", f"array<{self.type(True)}>").cast(f"array<{self.type(False)}>")
+        return F.coalesce(listed, F.when(variant.isNotNull(), F.array(self.get(variant))))
+
+    def text(self, taken: Column, path: str) -> Column | None:
+        """None for a path that isn't among them."""
+        at = self.fields
+        for name in path.split("."):
+            if name not in at:
+                return None
+            taken, at = taken[f"f{list(at).index(name)}"], at[name]
+        return None if at else taken
 
 
 def _list(variant: Column) -> Column:
@@ -121,39 +150,83 @@ def _list(variant: Column) -> Column:
     return F.coalesce(F.try_variant_get(variant, "$", "array<variant>"), F.when(variant.isNotNull(), F.array(variant)))
 
 
+def _given(variant: Column, names: list[str]) -> Column:
+    """The first of an object's fields that is given, as JSON. They are looked up in one pass, as a path that leads nowhere takes long."""
+    kind = lambda name: "struct<" + ", ".join(f"{name(i)}: variant" for i in range(len(names))) + ">"
+    found = F.try_variant_get(variant, "$", kind(lambda i: f"`{names[i]}`")).cast(kind(lambda i: f"f{i}"))
+    return F.coalesce(*[found[f"f{i}"] for i in range(len(names))])
+
+
 def rows_of(raw: DataFrame, shape: Shape | str) -> DataFrame:
     """Typed rows with raw_id, pos and reject_reason (NULL for a good row).
 
-    An item's keys are taken out as text within the explode that makes its row, so that looking at them again costs nothing; its other fields are taken
-    out above it, where those that nobody reads are left out. Types are told from that text.
+    What is read as text is taken out of an item in one pass, as the explode makes its row; what stays JSON is taken out above that, where it is left out
+    if nobody reads it. Types are told from the text.
     """
     shape = SHAPES[shape] if isinstance(shape, str) else shape
-    account = F.col("source_account") if "source_account" in raw.columns else F.lit(None).cast("string")
-    base = raw.select("raw_id", account.alias("__account"), F.try_parse_json(F.coalesce("request_params", F.lit("{}"))).alias("__params"), F.try_parse_json("response_payload").alias("__payload"))
-    kept = ["raw_id", "__account", "__params"]
-    data = F.coalesce(F.try_variant_get("__payload", "$.items", "variant"), F.col("__payload")) if not {"items", "resultDefinitions", "forces", "data"} & set(shape.arrays) else F.col("__payload")
-    keys = dict.fromkeys([*shape.keys, *shape.required])
-
-    def first(name: str, item: Column, up: Column | None) -> Column:
+    wanted: dict[str, list[str]] = {"": [], "up": [], "params": []}
+    whole = set()  # of these the JSON itself is needed, not only its texts
+
+    def split(path: str) -> tuple[str, str]:
+        """Where a path looks, and for what."""
+        source, _, rest = path.partition(".")
+        return (source, rest) if source in ("up", "params") and rest else ("", path)
+
+    for aliases, kind in shape.columns.values():
+        for source, path in map(split, aliases.split("|")):
+            if kind == "json":
+                whole.add(source)
+            elif path != "account" or source:
+                wanted[source].append(path)
+    texts = {source: _Texts.of([p for p in paths if p != "$"]) for source, paths in wanted.items()}
+    whole |= {source for source, paths in wanted.items() if any(p == "$" or texts[source].text(F.lit(None), p) is None for p in paths)}
+
+    def taken(source: str, variant: Column, name: str) -> list[Column]:
+        """A value's texts as ``name``_texts, and the value itself if that is needed."""
+        return ([texts[source].get(variant).alias(f"{name}_texts")] if texts[source].fields else []) + ([variant.alias(name)] if source in whole else [])
+
+    def first(name: str) -> Column:
         """The first alias that is given."""
         aliases, kind = shape.columns[name]
-        given = F.array(*[_value(a, item, up, kind) for a in aliases.split("|")])
-        return F.get(F.filter(given, lambda x: x.isNotNull() if kind == "json" else x != ""), F.lit(0))
-
-    def opened(item: Column, up: Column | None = None) -> Column:
-        return F.struct(item.alias("item"), *[first(k, item, up).alias(k) for k in keys])
+        given = []
+        for source, path in map(split, aliases.split("|")):
+            at = {"": "__item", "up": "__up", "params": "__params"}[source]
+            inside = "$" if path == "$" else f"$.{path}"
+            text = texts[source].text(F.col(f"{at}_texts"), path)
+            if path == "account" and not source:
+                given.append(F.col("__account"))
+            elif kind == "json":
+                given.append(F.to_json(F.try_variant_get(at, inside, "variant")))
+            else:
+                given.append(F.try_variant_get(at, inside, "string") if text is None else text)
+        return F.coalesce(*[g if kind == "json" else F.when(g != "", g) for g in given])
 
+    account = F.col("source_account") if "source_account" in raw.columns else F.lit(None).cast("string")
+    asked = raw.select("raw_id", account.alias("__account"), F.try_parse_json(F.coalesce("request_params", F.lit("{}"))).alias("__asked"), F.try_parse_json("response_payload").alias("__payload"))
+    base = asked.select("raw_id", "__account", *taken("params", F.col("__asked"), "__params"), "__payload")
+    kept = [c for c in base.columns if c != "__payload"]
+    data = F.coalesce(_given(F.col("__payload"), ["items"]), F.col("__payload")) if not {"items", "resultDefinitions", "forces", "data"} & set(shape.arrays) else F.col("__payload")
     top = base.select(*kept, data.alias("__top"))
+
+    def opened(rows: DataFrame, array: str, *more: str) -> DataFrame:
+        """A row for each item of ``array``."""
+        if "" not in whole and texts[""].fields:
+            return rows.select(*kept, *more, F.posexplode(texts[""].each(F.col(array))).alias("place", "__item_texts"))
+        both = F.transform(_list(F.col(array)), lambda x: F.struct(*taken("", x, "__item"), F.lit(0).alias("__any")))
+        each = rows.select(*kept, *more, F.posexplode(both).alias("place", "__f"))
+        return each.select(*kept, *more, "place", "__f.*")
+
     if shape.arrays:
-        items = top.select(*kept, F.posexplode(_list(F.col("__top"))).alias("__top_pos", "__up"))
-        inner = F.coalesce(*[F.try_variant_get("__up", f"$.{a}", "variant") for a in shape.arrays])
+        items = top.select(*kept, F.posexplode(_list(F.col("__top"))).alias("__top_pos", "__above"))
+        inner = _given(F.col("__above"), shape.arrays)
         bare = {"resultDefinitions", "forces", "items", "data"} & set(shape.arrays)
-        named = items.withColumn("__inner", F.coalesce(inner, F.col("__up")) if bare else inner)
-        each = F.posexplode(F.transform(_list(F.col("__inner")), lambda x: opened(x, F.col("__up"))))
-        items = named.select(*kept, "__up", "__top_pos", each.alias("place", "f")).withColumn("pos", F.col("__top_pos") * F.lit(1_000_000_000) + F.col("place"))
+        above = taken("up", F.col("__above"), "__up")
+        named = items.select(*kept, "__top_pos", *above, (F.coalesce(inner, F.col("__above")) if bare else inner).alias("__inner"))
+        more = [c for c in named.columns if c not in kept and c not in ("__top_pos", "__inner")]
+        items = opened(named, "__inner", "__top_pos", *more).withColumn("pos", F.col("__top_pos").cast("long") * F.lit(1_000_000_000) + F.col("place"))
     else:
-        items = top.select(*kept, F.posexplode(F.transform(_list(F.col("__top")), opened)).alias("place", "f")).withColumn("pos", F.col("place").cast("long"))
-    text = items.select("raw_id", "pos", "place", *[(F.col("f")[c] if c in keys else first(c, F.col("f")["item"], F.col("__up") if shape.arrays else None)).alias(c) for c in shape.columns])
+        items = opened(top, "__top").withColumn("pos", F.col("place").cast("long"))
+    text = items.select("raw_id", "pos", "place", *[first(c).alias(c) for c in shape.columns])
     out = text.select("raw_id", "pos", "place", *[TYPES[kind](F.col(c)).alias(c) for c, (_, kind) in shape.columns.items()])
     if shape.counter and shape.counter != "tick":
         out = out.withColumn(shape.counter, F.coalesce(shape.counter, (F.col("place") + 1).cast("bigint")))

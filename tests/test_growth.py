@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orefold.functions import scalars as S
 from orefold.operators import audit, fact, marts, quality, scope
 from orefold.plans import driver as D
+from orefold.plans import flows, queries, shapes  # noqa: F401  # register their queries
 from orefold.sources import payloads
 
 
@@ -63,6 +64,22 @@ def test_a_payloads_fields_are_taken_out_once(spark):
     assert plan(got, "optimizedPlan").lower().count("variant_get") <= 20
 
 
+def test_texts_of_an_item_are_taken_out_in_one_pass(spark):
+    """Two dozen names with or without a value, some of them alike but for their case."""
+    raw = spark.sql("""select 1L as raw_id, '{"tenantId": "t"}' as request_params, '{"items": [{"testId": 7, "hubAthleteId": "p", "testDateUTC": "2024-01-02T00:00:00Z", "innerLeftMaxForce": 2.5}, 4, {"id": "8"}]}' as response_payload from range(1)""")
+    got = payloads.flatten(raw, "frame_tests")
+    assert {(r.test_id, r.profile_id, r.tenant_id, str(r.test_date), r.inner_left_max_force) for r in got.collect()} == {("7", "p", "t", "2024-01-02 00:00:00", 2.5), ("8", None, "t", "None", None)}
+    assert plan(got, "optimizedPlan").lower().count("variant_get") <= 8
+
+
+def test_raw_rows_stay_dealt_among_tasks(spark):
+    assert queries.dealt(spark.range(2000)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_rows_of_two_accounts_are_read_once(spark, data):
+    assert plan(queries.QUERIES["payload_tracking"](spark, data)).count("FileScan parquet") == 9
+
+
 def test_baselines_shuffle_counts_and_few_values(spark):
     """40,000 different values: what is left to look at is a small part of them, and the figures are those of all values."""
     f = spark.range(40_000).select(F.lit("m").alias("metric_name"), (F.col("id") % 2).cast("int").alias("team_group_id"), F.lit("t").alias("test_type"), (F.pow(F.col("id") - 9000, 2) / 7e3 - 50).alias("metric_value"))

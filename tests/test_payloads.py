@@ -156,3 +156,9 @@ def test_two_readings_of_one_hundredth_are_two(spark):
     body = [{"data": [read, {**read, "lat": 1.5}, {**read, "hr": 90}, {"ts": 99, "cs": 105, "latitude": 1.0, "longitude": 2.0, "velocity": 3, "heart_rate": 91}]}]
     got = P.sensor(raw(spark, ({"athlete_id": 1, "activity_id": 2}, body))).collect()
     assert sorted((r.latitude, r.heart_rate) for r in got) == [(1.0, 91.0), (1.5, None)]
+
+
+def test_a_payload_may_list_many_profiles_with_attributes(spark):
+    body = [{"id": f"P{k}", "attributes": [{"attributeTypeId": "k", "attributeValueId": k}, {"attributeTypeId": "k", "attributeValueId": -1}]} for k in range(5)]
+    got = P.rows_of(raw(spark, ({}, body)), "profile_categories").orderBy("pos").collect()
+    assert [(r.pos, r.profile_id, r.group_id) for r in got] == [(k * 1_000_000_000 + i, f"P{k}", str(v)) for k in range(5) for i, v in enumerate((k, -1))]

@@ -33,6 +33,8 @@ CASES = [
     (S.boolean, "maybe", None),
     (S.identifier, "  ", None),
     (S.identifier, "true", None),
+    (S.identifier, " FaLsE", None),
+    (S.identifier, " untrue ", "untrue"),
     (S.id_shape, "123456", "numeric"),
     (S.id_shape, "team-A", "text"),
     (S.id_shape, "AAAAAAAA-aaaa-aaaa-aaaa-aaaaaaaaaaaa", "uuid"),
