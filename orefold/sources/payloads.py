@@ -160,8 +160,8 @@ def _given(variant: Column, names: list[str]) -> Column:
 def rows_of(raw: DataFrame, shape: Shape | str) -> DataFrame:
     """Typed rows with raw_id, pos and reject_reason (NULL for a good row).
 
-    What is read as text is taken out of an item in one pass, as the explode makes its row; what stays JSON is taken out above that, where it is left out
-    if nobody reads it. Types are told from the text.
+    What is read as text is taken out of an item in one pass and typed there, as the explode makes its row: told from columns, types would be told again by each filter
+    on them, in code too large to be compiled. What stays JSON is taken out above that, where it is left out if nobody reads it.
     """
     shape = SHAPES[shape] if isinstance(shape, str) else shape
     wanted: dict[str, list[str]] = {"": [], "up": [], "params": []}
@@ -181,53 +181,66 @@ def rows_of(raw: DataFrame, shape: Shape | str) -> DataFrame:
     texts = {source: _Texts.of([p for p in paths if p != "$"]) for source, paths in wanted.items()}
     whole |= {source for source, paths in wanted.items() if any(p == "$" or texts[source].text(F.lit(None), p) is None for p in paths)}
 
+    def flat(source: str) -> list[Column]:
+        """What is taken above the items, a column for each text."""
+        each = [texts[source].text(F.col(f"__{source}_texts"), p) for p in dict.fromkeys(wanted[source])]
+        return [c.alias(f"__{source}_{i}") for i, c in enumerate(each) if c is not None] + ([F.col(f"__{source}")] if source in whole else [])
+
     def taken(source: str, variant: Column, name: str) -> list[Column]:
         """A value's texts as ``name``_texts, and the value itself if that is needed."""
         return ([texts[source].get(variant).alias(f"{name}_texts")] if texts[source].fields else []) + ([variant.alias(name)] if source in whole else [])
 
-    def first(name: str) -> Column:
-        """The first alias that is given."""
+    plain = [c for c, (_, kind) in shape.columns.items() if kind != "json"]
+
+    def first(name: str, item: Column, item_texts: Column) -> Column:
+        """The first alias that is given, in its type."""
         aliases, kind = shape.columns[name]
         given = []
         for source, path in map(split, aliases.split("|")):
-            at = {"": "__item", "up": "__up", "params": "__params"}[source]
+            at = F.col(f"__{source}") if source else item
             inside = "$" if path == "$" else f"$.{path}"
-            text = texts[source].text(F.col(f"{at}_texts"), path)
+            text = texts[source].text(item_texts, path)
+            if source and text is not None:
+                text = F.col(f"__{source}_{list(dict.fromkeys(wanted[source])).index(path)}")
             if path == "account" and not source:
                 given.append(F.col("__account"))
             elif kind == "json":
                 given.append(F.to_json(F.try_variant_get(at, inside, "variant")))
             else:
                 given.append(F.try_variant_get(at, inside, "string") if text is None else text)
-        return F.coalesce(*[g if kind == "json" else F.when(g != "", g) for g in given])
+        return TYPES[kind](F.coalesce(*[g if kind == "json" else F.when(g != "", g) for g in given]))
+
+    def typed(item: Column, item_texts: Column) -> Column:
+        return F.struct(*[first(c, item, item_texts).alias(c) for c in plain], F.lit(0).alias("__any")).alias("__typed")
 
     account = F.col("source_account") if "source_account" in raw.columns else F.lit(None).cast("string")
     asked = raw.select("raw_id", account.alias("__account"), F.try_parse_json(F.coalesce("request_params", F.lit("{}"))).alias("__asked"), F.try_parse_json("response_payload").alias("__payload"))
-    base = asked.select("raw_id", "__account", *taken("params", F.col("__asked"), "__params"), "__payload")
+    base = asked.select("raw_id", "__account", *taken("params", F.col("__asked"), "__params"), "__payload").select("raw_id", "__account", *flat("params"), "__payload")
     kept = [c for c in base.columns if c != "__payload"]
     data = F.coalesce(_given(F.col("__payload"), ["items"]), F.col("__payload")) if not {"items", "resultDefinitions", "forces", "data"} & set(shape.arrays) else F.col("__payload")
     top = base.select(*kept, data.alias("__top"))
 
     def opened(rows: DataFrame, array: str, *more: str) -> DataFrame:
         """A row for each item of ``array``."""
+        none = F.lit(None)
         if "" not in whole and texts[""].fields:
-            return rows.select(*kept, *more, F.posexplode(texts[""].each(F.col(array))).alias("place", "__item_texts"))
-        both = F.transform(_list(F.col(array)), lambda x: F.struct(*taken("", x, "__item"), F.lit(0).alias("__any")))
-        each = rows.select(*kept, *more, F.posexplode(both).alias("place", "__f"))
-        return each.select(*kept, *more, "place", "__f.*")
+            each = F.transform(texts[""].each(F.col(array)), lambda x: F.struct(typed(none, x)))
+        else:
+            both = F.transform(_list(F.col(array)), lambda x: F.struct(*taken("", x, "__item"), F.lit(0).alias("__any")))
+            each = F.transform(both, lambda x: F.struct(*([x["__item"].alias("__item")] if "" in whole else []), typed(x["__item"] if "" in whole else none, x["__item_texts"] if texts[""].fields else none)))
+        return rows.select(*kept, *more, F.posexplode(each).alias("place", "__f")).select(*kept, *more, "place", "__f.*")
 
     if shape.arrays:
         items = top.select(*kept, F.posexplode(_list(F.col("__top"))).alias("__top_pos", "__above"))
         inner = _given(F.col("__above"), shape.arrays)
         bare = {"resultDefinitions", "forces", "items", "data"} & set(shape.arrays)
         above = taken("up", F.col("__above"), "__up")
-        named = items.select(*kept, "__top_pos", *above, (F.coalesce(inner, F.col("__above")) if bare else inner).alias("__inner"))
+        named = items.select(*kept, "__top_pos", *above, (F.coalesce(inner, F.col("__above")) if bare else inner).alias("__inner")).select(*kept, "__top_pos", *flat("up"), "__inner")
         more = [c for c in named.columns if c not in kept and c not in ("__top_pos", "__inner")]
         items = opened(named, "__inner", "__top_pos", *more).withColumn("pos", F.col("__top_pos").cast("long") * F.lit(1_000_000_000) + F.col("place"))
     else:
         items = opened(top, "__top").withColumn("pos", F.col("place").cast("long"))
-    text = items.select("raw_id", "pos", "place", *[first(c).alias(c) for c in shape.columns])
-    out = text.select("raw_id", "pos", "place", *[TYPES[kind](F.col(c)).alias(c) for c, (_, kind) in shape.columns.items()])
+    out = items.select("raw_id", "pos", "place", *[(F.col("__typed")[c] if c in plain else first(c, F.col("__item"), F.lit(None))).alias(c) for c in shape.columns])
     if shape.counter and shape.counter != "tick":
         out = out.withColumn(shape.counter, F.coalesce(shape.counter, (F.col("place") + 1).cast("bigint")))
     missing = [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in shape.required]
@@ -351,18 +364,23 @@ STAT_KEYS = ["activity_id", "activity_id_id", "athlete_id", "athlete_id_id", "pe
 def stats(raw: DataFrame, activities: DataFrame, periods: DataFrame) -> DataFrame:
     """Statistics rows, the latest of account, activity, athlete, start and period: ids with suffixed aliases (a 0 is none), times of the parent activity, the period only if it is known, and
     all other fields as a map. Rows without activity or athlete carry a reject_reason."""
-    base = raw.select("raw_id", "source_account", F.posexplode(F.from_json("response_payload", "array<map<string,string>>")).alias("pos", "m"))
-    rows = base.select(
-        "raw_id", "pos", "source_account", S.dimension_id(F.col("m")["activity_id"], F.col("m")["activity_id_id"]).alias("activity_id"), S.dimension_id(F.col("m")["athlete_id"], F.col("m")["athlete_id_id"]).alias("athlete_id"),
-        S.dimension_id(F.col("m")["period_id"], F.col("m")["period_id_id"]).alias("period_key"), S.moment(F.col("m")["start_time"]).alias("own_start"), S.remainder(F.col("m"), STAT_KEYS).alias("all_parameters"),
-    )
+
+    def typed(m: Column) -> Column:
+        ids = [S.dimension_id(m[c], m[f"{c}_id"]).alias(name) for c, name in (("activity_id", "activity_id"), ("athlete_id", "athlete_id"), ("period_id", "period_key"))]
+        return F.struct(*ids, S.moment(m["start_time"]).alias("own_start"), S.remainder(m, STAT_KEYS).alias("all_parameters"))
+
+    # typed as the explode makes its row: told from columns, ids would be told again by each filter and join on them, in code too large to be compiled
+    listed = F.transform(F.from_json("response_payload", "array<map<string,string>>"), typed)
+    rows = raw.select("raw_id", "source_account", F.posexplode(listed).alias("pos", "row")).select("raw_id", "pos", "source_account", "row.*")
     a = activities.select("source_account", "activity_id", F.col("start_time").alias("activity_start"), F.col("end_time").alias("end_time"))
     p = periods.select("source_account", F.col("period_id").alias("period_key"), F.col("period_id"))
     joined = rows.join(a, ["source_account", "activity_id"], "left").join(p, ["source_account", "period_key"], "left")
     reason = F.when(F.col("activity_id").isNull(), "missing activity_id").when(F.col("athlete_id").isNull(), "missing athlete_id")
     out = joined.withColumn("start_time", F.coalesce("own_start", "activity_start")).withColumn("reject_reason", reason).drop("own_start", "activity_start")
     good = latest(out.where("reject_reason is null"), ["source_account", "activity_id", "athlete_id", "start_time", "period_key"], [F.desc("raw_id"), F.desc("pos")])
-    return good.unionByName(out.where("reject_reason is not null")).drop("pos")
+    # a reason that can't be NULL, so that nothing is read for rejected rows where only good ones are asked for
+    bad = out.where("reject_reason is not null").withColumn("reject_reason", F.when(F.col("activity_id").isNull(), "missing activity_id").otherwise("missing athlete_id"))
+    return good.unionByName(bad).drop("pos")
 
 
 def efforts(raw: DataFrame) -> DataFrame:

@@ -123,3 +123,41 @@ def test_plain_names_are_not_rewritten(spark):
     pairs = [(S.metric_name(n), full), (S.side_of_name(n), side), (S.name_without_side(n), bare)]
     assert rows.where(~reduce(and_, [a.eqNullSafe(b) for a, b in pairs])).collect() == []
     assert "rlike" in plan(rows.select(S.metric_name(n)), "optimizedPlan").lower()
+
+
+def largest_method(spark, df):
+    """Bytes of the largest method of a plan's generated code; beyond 8,000 the JVM leaves it uncompiled."""
+    debug = getattr(getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        seq = debug.codegenStringSeq(df.select("*")._jdf.queryExecution().executedPlan())
+        return max(seq.apply(i)._3().maxMethodCodeSize() for i in range(seq.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+
+
+RAW = "'acc' as source_account, '{\"k\": 1}' as request_params"
+
+
+def test_methods_of_payloads_are_compiled(spark, data):
+    for name in ("payload_stats", "payload_tests"):
+        assert largest_method(spark, queries.QUERIES[name](spark, data)) < 8000, name
+
+
+def test_rejected_statistics_are_not_read_where_nobody_asks(spark):
+    raw = spark.sql(f"""select 1L as raw_id, {RAW}, '[{{"activity_id": "5", "athlete_id_id": "6", "n": "1"}}, {{"activity_id": "0", "athlete_id": "6"}}, {{"activity_id": "5", "athlete_id": "true"}}, {{}}]' as response_payload""")
+    none = spark.createDataFrame([], "source_account string, activity_id string, period_id string, start_time timestamp, end_time timestamp")
+    got = payloads.stats(raw, none, none)
+    assert sorted((r.reject_reason or "", r.activity_id or "", r.athlete_id or "") for r in got.collect()) == [("", "5", "6"), ("missing activity_id", "", ""), ("missing activity_id", "", "6"), ("missing athlete_id", "5", "")]
+    assert plan(got, "optimizedPlan").count("Generate posexplode") == 2
+    assert plan(got.where("reject_reason is null"), "optimizedPlan").count("Generate posexplode") == 1
+
+
+def test_a_field_of_the_request_is_found_with_one_column_read(spark):
+    """Columns that an explode takes from outside, of which a reader wants one."""
+    raw = spark.sql("""select 1L as raw_id, 'acc' as source_account, '{"athlete_id": 3, "activity_id": 4}' as request_params, '[{"data": [{"ts": 100, "lat": 1.5}, {"ts": 101}]}]' as response_payload from range(1)""")
+    rows = payloads.rows_of(raw, "sensor")
+    assert [r.activity_id for r in rows.select("activity_id").collect()] == ["4", "4"]
+    assert [r.pos for r in rows.select("pos", "latitude").orderBy("pos").collect()] == [0, 1]
+    assert rows.count() == 2
