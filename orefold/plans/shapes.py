@@ -149,7 +149,7 @@ def payload_readings(spark, sf):
     """Sensor rows, efforts of both payload shapes, events bare and under data, tags of entities, annotations; each raw row comes twice."""
     o = _orders(spark, sf).withColumn("odd", F.col("k") % 2 != 0)
     account = F.lit("acc")
-    twice = lambda df: df.unionByName(df.withColumn("raw_id", F.col("raw_id") + 1_000_000_000))
+    twice = lambda df: df.withColumn("raw_id", F.explode(F.array("raw_id", F.col("raw_id") + 1_000_000_000)))  # noqa: E731  # rows are read and written as JSON once for both
     seconds = F.unix_seconds(F.to_timestamp("at"))
     read = lambda more: obj(ts=seconds, cs=F.lit(0), lat=F.col("v") + more, long=F.lit(2.0), v=F.lit(3))
     sensor = payloads.sensor(twice(raw(o, F.array(obj(data=F.array(read(0), read(1)))), obj(athlete_id="c", activity_id="k"), account)))

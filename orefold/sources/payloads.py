@@ -334,21 +334,25 @@ def with_duration(rows: DataFrame) -> DataFrame:
     return rows.withColumn("duration", S.duration(F.col("duration"), F.col("start_time"), F.col("end_time")))
 
 
+def _latest_by_hash(rows: DataFrame, parts: list[Column], order: list[Column], keys: list[str] = ()) -> DataFrame:
+    """With record_hash, a hash of ``parts``, and the latest by it (and ``keys``). Its bytes are shuffled and sorted, half as long as the text that they become."""
+    keyed = rows.withColumn("record_hash", F.unhex(S.record_hash(*parts)))
+    return latest(keyed, [*keys, "record_hash"], order).withColumn("record_hash", F.lower(F.hex("record_hash")))
+
+
 def sensor(raw: DataFrame) -> DataFrame:
     """Readings, the latest of account, time and what was read; two places at one time are two readings."""
     rows = rows_of(raw, "sensor").where("reject_reason is null").drop("reject_reason")
     timed = rows.withColumn("recorded_at", S.sensor_time(F.col("seconds"), F.col("hundredths"))).where("recorded_at is not null")
     read = ("source_account", "activity_id", "athlete_id", "recorded_at", "latitude", "longitude", "speed")
-    keyed = timed.withColumn("record_hash", S.record_hash(*[F.col(c) for c in read]))
-    return latest(keyed, ["source_account", "recorded_at", "record_hash"], [F.desc("raw_id"), F.desc("pos")])
+    return _latest_by_hash(timed, [F.col(c) for c in read], [F.desc("raw_id"), F.desc("pos")], ["source_account", "recorded_at"])
 
 
 def entity_tags(raw: DataFrame) -> DataFrame:
     """record_hash, entity and tag ids, of a list or an object with items."""
     shape = _shape("entity_id tag_id", entity_id="id entity_id|entity.id", entity_type="text entity_type", tag_id="id tag_id|tag.id", source_account="text account|params.source_account")
-    rows = rows_of(raw, shape).where("reject_reason is null")
-    keyed = rows.withColumn("record_hash", S.record_hash(F.col("source_account"), F.col("entity_type"), F.col("entity_id"), F.col("tag_id")))
-    return latest(keyed.drop("reject_reason"), ["record_hash"], [F.desc("raw_id"), F.desc("pos")])
+    rows = rows_of(raw, shape).where("reject_reason is null").drop("reject_reason")
+    return _latest_by_hash(rows, [F.col(c) for c in ("source_account", "entity_type", "entity_id", "tag_id")], [F.desc("raw_id"), F.desc("pos")])
 
 
 def annotations(raw: DataFrame, scope: str) -> DataFrame:
@@ -386,19 +390,24 @@ def stats(raw: DataFrame, activities: DataFrame, periods: DataFrame) -> DataFram
 def efforts(raw: DataFrame) -> DataFrame:
     """Velocity and acceleration efforts of both payload shapes: type with band, start, end, value."""
     one = "struct<start_time:string,end_time:string,band:int,distance:double,max_velocity:double,acceleration:double>"
-    flat = F.from_json("response_payload", f"struct<velocity:array<{one}>,acceleration:array<{one}>>")
-    nested = F.from_json("response_payload", f"array<struct<data:struct<velocity_efforts:array<{one}>,acceleration_efforts:array<{one}>>>>")
-    empty = F.from_json(F.lit("[]"), f"array<{one}>")
     listed = F.substring(F.ltrim("response_payload"), 1, 1) == "["
-    parts = []
-    for kind in ("velocity", "acceleration"):
-        deep = F.flatten(F.transform(nested["data"][f"{kind}_efforts"], lambda x: F.coalesce(x, empty)))
-        found = F.when(listed, deep).otherwise(flat[kind])
-        parts.append(raw.select("raw_id", "source_account", "request_params", F.lit(kind).alias("kind"), F.explode(found).alias("e")))
-    rows = parts[0].unionByName(parts[1])
-    typed = rows.select("raw_id", "source_account", "request_params", S.effort_type(F.col("kind"), F.col("e.band")).alias("effort_type"), S.moment(F.col("e.start_time")).alias("start_time"), S.moment(F.col("e.end_time")).alias("end_time"), F.coalesce("e.distance", "e.max_velocity", "e.acceleration").alias("value"))
-    keyed = typed.withColumn("record_hash", S.record_hash(*[F.col(c) for c in ("source_account", "request_params", "effort_type", "start_time", "end_time", "value")]))
-    return latest(keyed, ["record_hash"], [F.desc("raw_id")])
+    kept = ("raw_id", "source_account", "request_params")
+    flat = F.when(~listed, F.from_json("response_payload", f"struct<velocity:array<{one}>,acceleration:array<{one}>>"))
+    nested = F.when(listed, F.from_json("response_payload", f"array<struct<data:struct<velocity_efforts:array<{one}>,acceleration_efforts:array<{one}>>>>"))
+    empty = F.from_json(F.lit("[]"), f"array<{one}>")
+
+    def found(kind: str) -> Column:
+        deep = F.flatten(F.transform(F.col("nested")["data"][f"{kind}_efforts"], lambda x: F.coalesce(x, empty)))
+        return F.coalesce(deep, F.col("flat")[kind], empty).alias(kind)
+
+    def typed(kind: str) -> Column:
+        """As the explode makes its row, see ``rows_of``."""
+        value = lambda e: F.coalesce(e["distance"], e["max_velocity"], e["acceleration"]).alias("value")
+        return F.transform(kind, lambda e: F.struct(S.effort_type(F.lit(kind), e["band"]).alias("effort_type"), S.moment(e["start_time"]).alias("start_time"), S.moment(e["end_time"]).alias("end_time"), value(e)))
+
+    parsed = raw.select(*kept, flat.alias("flat"), nested.alias("nested")).select(*kept, found("velocity"), found("acceleration"))
+    rows = parsed.select(*kept, F.explode(F.concat(typed("velocity"), typed("acceleration"))).alias("e")).select(*kept, "e.*")
+    return _latest_by_hash(rows, [F.col(c) for c in ("source_account", "request_params", "effort_type", "start_time", "end_time", "value")], [F.desc("raw_id")])
 
 
 def events(raw: DataFrame) -> DataFrame:
@@ -408,5 +417,4 @@ def events(raw: DataFrame) -> DataFrame:
     one = raw.select("raw_id", "source_account", "request_params", F.explode(F.from_json(payload, kinds)).alias("event_type", "each"))
     rows = one.select("raw_id", "source_account", "request_params", "event_type", F.explode("each").alias("fields"))
     typed = rows.withColumn("start_time", S.moment(F.col("fields")["start_time"]))
-    keyed = typed.withColumn("record_hash", S.record_hash(F.col("source_account"), F.col("request_params"), F.col("event_type"), F.to_json("fields")))
-    return latest(keyed, ["record_hash"], [F.desc("raw_id")])
+    return _latest_by_hash(typed, [F.col("source_account"), F.col("request_params"), F.col("event_type"), F.to_json("fields")], [F.desc("raw_id")])

@@ -140,8 +140,18 @@ def largest_method(spark, df):
 RAW = "'acc' as source_account, '{\"k\": 1}' as request_params"
 
 
+def test_readings_are_shuffled_with_hashes_as_bytes(spark, data):
+    raw = spark.sql(f"""select explode(array(1L, 2L)) as raw_id, {RAW}, '[{{"entity_id": 7, "entity_type": "x", "tag": {{"id": 9}}}}]' as response_payload""")
+    got = payloads.entity_tags(raw)
+    want = spark.range(1).select(S.record_hash(F.lit("acc"), F.lit("x"), F.lit("7"), F.lit("9")).alias("h")).first().h
+    assert [(r.raw_id, r.record_hash) for r in got.collect()] == [(2, want)]
+    assert "unhex(sha2" in plan(got, "optimizedPlan").lower()
+    assert "hex(record_hash" not in plan(got.select("entity_id"), "optimizedPlan").lower().replace("unhex", "")
+    assert plan(queries.QUERIES["payload_readings"](spark, data)).count("FileScan parquet") == 7  # 18 when raw rows that come twice and kinds of efforts were read apart
+
+
 def test_methods_of_payloads_are_compiled(spark, data):
-    for name in ("payload_stats", "payload_tests"):
+    for name in ("payload_readings", "payload_stats", "payload_tests"):
         assert largest_method(spark, queries.QUERIES[name](spark, data)) < 8000, name
 
 
