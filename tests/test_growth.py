@@ -5,6 +5,7 @@ from operator import and_
 
 from pyspark.sql import functions as F
 
+from orefold.functions import jsonwalk
 from orefold.functions import scalars as S
 from orefold.operators import audit, fact, marts, quality, scope
 from orefold.plans import driver as D
@@ -171,3 +172,15 @@ def test_a_field_of_the_request_is_found_with_one_column_read(spark):
     assert [r.activity_id for r in rows.select("activity_id").collect()] == ["4", "4"]
     assert [r.pos for r in rows.select("pos", "latitude").orderBy("pos").collect()] == [0, 1]
     assert rows.count() == 2
+
+
+def test_leaves_are_made_once_and_their_methods_are_compiled(spark, data):
+    assert largest_method(spark, queries.QUERIES["dynamometer_fact"](spark, data)) < 8000
+    texts = ['{"a": 1, "b": {"c": "2.5", "dId": 3, "e": [4, null, "x", [5]]}, "f": true, "g": null, "h": "[7]", "i": "8"}', "[1, {\"j\": 2}]", "7", '"{"', "", None, '{"k": 1e400, "l": 12345678901234567890123, "m": 0.10}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, p string")
+    got = jsonwalk.all_leaves(rows, "p", "id")
+    want = [(0, "a", 1.0, [0]), (0, "b_c", 2.5, [1, 0]), (0, "b_e_1", 4.0, [1, 2, 0]), (0, "b_e_4_1", 5.0, [1, 2, 3, 0]), (0, "i", 8.0, [5]), (1, "1", 1.0, [0]), (1, "2_j", 2.0, [1, 0])]
+    assert sorted(tuple(r) for r in got.collect()) == [*want, (6, "l", 12345678901234567890123.0, [1]), (6, "m", 0.1, [2])]
+    assert {r.d for r in rows.where("id < 2").select(jsonwalk.depth_of(F.col("p")).alias("d")).collect()} == {4, 2}
+    filtered = plan(got.where("metric_value > 1 and metric_name <> 'a'"), "optimizedPlan")
+    assert filtered.count("try_variant_get(__v") <= 1 and filtered.count("array_position") <= 4
