@@ -419,8 +419,8 @@ def long_audit(spark, sf):
     name = F.coalesce(*[F.when(F.col("metric_name") == a, b) for a, b in _RENAMED.items()])
     value = F.when(F.col("metric_name") == "tax", F.col("metric_value") * 2000 - 40).otherwise(F.col("metric_value"))
     rows = rows.select(*[c for c in rows.columns if not c.startswith("metric_")], name.alias("metric_name"), value.alias("metric_value"))
-    first = stored(jobs.audit(rows, quality.rule_table(spark)), "flags")
-    return jobs.audit(rows, quality.rule_table(spark), first).select("test_id", "rep_number", "metric_name", "flag_type", "severity", "status")
+    first = stored(jobs.audit(rows, quality.rule_table(spark), at_rest=True), "flags")
+    return jobs.audit(rows, quality.rule_table(spark), first, at_rest=True).select("test_id", "rep_number", "metric_name", "flag_type", "severity", "status")
 
 
 @query("""WITH d AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS n, count(*) OVER (PARTITION BY o_custkey, o_orderpriority) AS many FROM orders)

@@ -9,7 +9,7 @@ from orefold.functions import jsonwalk
 from orefold.functions import scalars as S
 from orefold.operators import audit, fact, marts, quality, scope
 from orefold.plans import driver as D
-from orefold.plans import flows, queries, shapes  # noqa: F401  # register their queries
+from orefold.plans import flows, jobs, queries, shapes  # noqa: F401  # register their queries
 from orefold.sources import payloads
 
 
@@ -184,3 +184,21 @@ def test_leaves_are_made_once_and_their_methods_are_compiled(spark, data):
     assert {r.d for r in rows.where("id < 2").select(jsonwalk.depth_of(F.col("p")).alias("d")).collect()} == {4, 2}
     filtered = plan(got.where("metric_value > 1 and metric_name <> 'a'"), "optimizedPlan")
     assert filtered.count("try_variant_get(__v") <= 1 and filtered.count("array_position") <= 4
+
+
+def test_an_audit_shuffles_no_rows_to_meet_rules_or_flags_that_are_gone(spark):
+    rules = spark.createDataFrame([("a", "m", True, None, 50.0, 2.0, 2.5, 3.5)], "assessment_family string, metric_name string, non_negative boolean, abs_min double, abs_max double, fence double, z_warning double, z_critical double")
+    f = spark.range(40).select(F.lit("a").alias("assessment_family"), F.when(F.col("id") < 30, "m").otherwise("free").alias("metric_name"), F.lit(1).alias("team_group_id"), F.lit("t").alias("test_type"), F.col("id").alias("test_id"), F.lit(None).cast("string").alias("side"), F.lit(1).alias("rep_number"), F.when(F.col("id") < 3, 99.0).otherwise(F.col("id") % 7).cast("double").alias("metric_value"))
+    made = []
+    whole, quality.stored = quality.stored, lambda df, name, *by: made.append((name, whole(df, name, *by))) or made[-1][1]
+    try:
+        first = jobs.audit(f, rules, at_rest=True)
+        old = whole(first, "flags").where("flag_type = 'range_violation'")
+        mended = f.where("test_id <> 1").withColumn("metric_value", F.when(F.col("test_id") == 0, 1.0).otherwise(F.col("metric_value")))  # one row is gone, one is mended
+        again = jobs.audit(mended, rules, old, at_rest=True).where("flag_type = 'range_violation'")
+    finally:
+        quality.stored = whole
+    assert {(r.test_id, r.status) for r in again.collect()} == {(0, "superseded"), (1, "open"), (2, "open")}
+    assert "values" not in [name for name, _ in made] and {r.metric_name for name, df in made if name == "cells" for r in df.collect()} == {"m"}
+    assert [df.count() for name, df in made if name == "gone"] == [2]
+    assert "Exchange hashpartitioning(assessment_family" not in plan(first) and "SortMergeJoin" not in plan(first)
